@@ -220,5 +220,66 @@ oracle("oversized_classes", with_(COMPLAINTS)
        "WHERE o.response = c.response)")
 
 
+# --- labels and weights -----------------------------------------------------
+
+LABELLED = "labelled AS (SELECT * FROM complaints WHERE response IS NOT NULL)"
+LABEL_TABLE = ("ltab AS (SELECT response, CAST(row_number() OVER (ORDER BY response) - 1 AS INTEGER) "
+               "AS target FROM (SELECT DISTINCT response FROM labelled))")
+oracle("label_encode", with_(COMPLAINTS, LABELLED, LABEL_TABLE)
+       + "SELECT l.complaint_id, l.response, t.target FROM labelled l JOIN ltab t ON t.response = l.response")
+oracle("label_decode", with_(COMPLAINTS, LABELLED, LABEL_TABLE)
+       + "SELECT l.complaint_id, t.target, t.response AS decoded FROM labelled l "
+       "JOIN ltab t ON t.response = l.response")
+oracle("class_weights", with_(COMPLAINTS, LABELLED,
+                              "cc AS (SELECT response, count(*) AS count FROM labelled GROUP BY response)")
+       + "SELECT response, count, round((SELECT sum(count) FROM cc) / ((SELECT count(*) FROM cc) * count), 6) "
+       "AS balanced_weight, round((SELECT sum(count) FROM cc) / count, 6) AS inverse_share_weight FROM cc")
+oracle("sample_weights", with_(COMPLAINTS, LABELLED,
+                               "cc AS (SELECT response, count(*) AS count FROM labelled GROUP BY response)")
+       + "SELECT l.complaint_id, l.response, round(1.0 / c.count, 6) AS weight FROM labelled l "
+       "JOIN cc c ON c.response = l.response")
+
+# --- sampling, splits, folds ------------------------------------------------
+
+
+def _h(seed, id_sql):
+    return f"md5('{seed}' || ':' || CAST({id_sql} AS VARCHAR))"
+
+
+def _u(hex_sql, start=1):
+    return f"(CAST(('0x' || substr({hex_sql}, {start}, 8)) AS BIGINT) / 4294967296.0)"
+
+
+EV_RANK = (f"evr AS (SELECT event_id, event_type, row_number() OVER (PARTITION BY event_type "
+           f"ORDER BY {_h(42, 'event_id')}) AS rank, count(*) OVER (PARTITION BY event_type) AS class_n "
+           f"FROM events)")
+
+oracle("quota_sample", with_(EV_RANK)
+       + "SELECT event_id, event_type FROM evr WHERE event_type IN ('click', 'view', 'error') AND rank <= 1000 "
+       "UNION ALL SELECT event_id, event_type FROM events WHERE NOT coalesce(event_type IN "
+       "('click', 'view', 'error'), false)")
+oracle("cap_per_class",
+       "SELECT l_orderkey, l_linenumber, l_returnflag FROM lineitem QUALIFY row_number() OVER "
+       f"(PARTITION BY l_returnflag ORDER BY {_h(42, chr(40) + 'l_orderkey || ' + repr('-') + ' || l_linenumber' + chr(41))}) <= 15000")
+oracle("stratified_split", with_(EV_RANK)
+       + "SELECT event_id, event_type, CASE WHEN rank <= floor(0.8 * class_n) THEN 'train' ELSE 'test' END "
+       "AS split FROM evr")
+oracle("three_way_split",
+       f"SELECT event_id, CASE WHEN {_u(_h(42, 'event_id'))} < 0.6 THEN 'train' "
+       f"WHEN {_u(_h(42, 'event_id'))} < {0.6 + 0.2!r} THEN 'validation' ELSE 'test' END AS split FROM events")
+oracle("stratified_folds", with_(EV_RANK)
+       + "SELECT event_id, event_type, CAST((rank - 1) % 5 AS INTEGER) AS fold FROM evr")
+oracle("weighted_resample", with_(
+    EV_RANK,
+    "cls AS (SELECT event_type, max(class_n) AS cnt, row_number() OVER (ORDER BY event_type) - 1 AS cidx "
+    "FROM evr GROUP BY event_type)",
+    f"d0 AS (SELECT event_id AS draw_id, md5('42' || ':draw:' || CAST(event_id AS VARCHAR)) AS hd FROM events)",
+    f"d1 AS (SELECT draw_id, hd, CAST(floor({_u('hd', 1)} * (SELECT count(*) FROM cls)) AS BIGINT) AS cidx FROM d0)",
+    f"d2 AS (SELECT d1.draw_id, c.event_type, CAST(1 + floor({_u('d1.hd', 9)} * c.cnt) AS BIGINT) AS rank "
+    "FROM d1 JOIN cls c ON c.cidx = d1.cidx)")
+    + "SELECT d2.draw_id, e.event_id, e.event_type FROM d2 JOIN evr e ON e.event_type = d2.event_type "
+    "AND e.rank = d2.rank")
+
+
 def oracle_sql() -> dict[str, str]:
     return dict(ORACLE)

@@ -16,6 +16,8 @@ from pyspark.sql import functions as F
 from narrata.functions import text as T
 from narrata.functions.numeric import round6
 from narrata.operators import filters as FL
+from narrata.operators import labels as LB
+from narrata.operators import sampling as SM
 from narrata.operators import profile as P
 from narrata.operators import sentiment as S
 from narrata.sources import tables as TB
@@ -243,5 +245,82 @@ def q_oversized_classes(spark, sf):
         "complaint_id", "response")
 
 
+# --- labels and weights -----------------------------------------------------
+
+def _labelled(spark, sf):
+    return FL.dropna_subset(TB.complaints(spark, sf), ["response"])
+
+
+@query("label_encode")
+def q_label_encode(spark, sf):
+    c = _labelled(spark, sf)
+    table = LB.label_table(c, "response", "target")
+    return LB.encode_labels(c, "response", table, "target").select("complaint_id", "response", "target")
+
+
+@query("label_decode")
+def q_label_decode(spark, sf):
+    c = _labelled(spark, sf)
+    table = LB.label_table(c, "response", "target")
+    enc = LB.encode_labels(c, "response", table, "target").select("complaint_id", "target")
+    return LB.decode_labels(enc, "target", table, "response", "decoded")
+
+
+@query("class_weights")
+def q_class_weights(spark, sf):
+    return LB.class_weights(TB.complaints(spark, sf), "response")
+
+
+@query("sample_weights")
+def q_sample_weights(spark, sf):
+    return LB.sample_weights(_labelled(spark, sf), "response").select("complaint_id", "response", "weight")
+
+
+# --- sampling, splits, folds ------------------------------------------------
+
+QUOTAS = {"click": 1000, "view": 1000, "error": 1000}
+
+
+def _events(spark, sf):
+    return TB.table(spark, sf, "events").select("event_id", "event_type")
+
+
+@query("quota_sample")
+def q_quota_sample(spark, sf):
+    return SM.quota_sample(_events(spark, sf), "event_type", QUOTAS, "event_id", seed=42)
+
+
+@query("cap_per_class")
+def q_cap_per_class(spark, sf):
+    li = TB.table(spark, sf, "lineitem").select(
+        "l_orderkey", "l_linenumber", "l_returnflag",
+        F.concat_ws("-", "l_orderkey", "l_linenumber").alias("line_key"))
+    return SM.cap_per_class(li, "l_returnflag", 15000, "line_key", seed=42).select(
+        "l_orderkey", "l_linenumber", "l_returnflag")
+
+
+@query("stratified_split")
+def q_stratified_split(spark, sf):
+    return SM.stratified_split(_events(spark, sf), "event_type", "event_id", 0.8, seed=42)
+
+
+@query("three_way_split")
+def q_three_way_split(spark, sf):
+    return SM.three_way_split(_events(spark, sf), "event_id", (0.6, 0.2, 0.2), seed=42).select(
+        "event_id", "split")
+
+
+@query("stratified_folds")
+def q_stratified_folds(spark, sf):
+    return SM.stratified_folds(_events(spark, sf), "event_type", "event_id", 5, seed=42)
+
+
+@query("weighted_resample")
+def q_weighted_resample(spark, sf):
+    ev = _events(spark, sf)
+    draws = ev.select(F.col("event_id").alias("draw_id"))
+    return SM.balanced_resample(ev, "event_type", "event_id", draws, "draw_id", seed=42)
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return dict(REGISTRY)
