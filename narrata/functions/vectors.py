@@ -56,7 +56,8 @@ def element(c, idx0) -> Column:
 
 
 def round_elements(c, places: int = 2) -> Column:
-    return F.transform(as_double(c), lambda x: F.round(x, places))
+    scale = float(10 ** places)
+    return F.transform(as_double(c), lambda x: F.round(x * F.lit(scale)) / F.lit(scale))
 
 
 def true_class_rank(scores, label) -> Column:

@@ -281,5 +281,65 @@ oracle("weighted_resample", with_(
     "AND e.rank = d2.rank")
 
 
+# --- linear model over embeddings and evaluation metrics --------------------
+
+EMB = [
+    "er AS (SELECT vec_id, label, embedding, row_number() OVER (PARTITION BY label ORDER BY "
+    + _h(42, "vec_id") + ") AS rk, count(*) OVER (PARTITION BY label) AS cn FROM embeddings)",
+    "tr AS (SELECT * FROM er WHERE rk <= floor(0.8 * cn))",
+    "te AS (SELECT * FROM er WHERE rk > floor(0.8 * cn))",
+    "cent AS (SELECT label, pos, avg(CAST(x AS DOUBLE)) AS m FROM (SELECT label, unnest(embedding) AS x, "
+    "generate_subscripts(embedding, 1) AS pos FROM tr) GROUP BY label, pos)",
+    "tx AS (SELECT vec_id, label, unnest(embedding) AS x, generate_subscripts(embedding, 1) AS pos FROM te)",
+    "sc AS (SELECT tx.vec_id, tx.label AS y, c.label AS cls, sum(CAST(tx.x AS DOUBLE) * c.m) AS s "
+    "FROM tx JOIN cent c ON c.pos = tx.pos GROUP BY tx.vec_id, tx.label, c.label)",
+    "sm AS (SELECT *, max(s) OVER (PARTITION BY vec_id) AS mx FROM sc)",
+    "se AS (SELECT *, exp(s - mx) AS e, sum(exp(s - mx)) OVER (PARTITION BY vec_id) AS z FROM sm)",
+    "pv AS (SELECT vec_id, y, arg_max(cls, s) AS pred, max(s) AS smax, list(round(e / z * 100) / 100 ORDER BY cls) "
+    "AS probs_2dp, max(mx) + ln(max(z)) AS lse, max(CASE WHEN cls = y THEN s END) AS sy FROM se GROUP BY vec_id, y)",
+    "pp AS (SELECT pv.*, (SELECT e / z FROM se WHERE se.vec_id = pv.vec_id AND se.cls = pv.pred) AS prob FROM pv)",
+]
+oracle("linear_scores", with_(*EMB)
+       + "SELECT vec_id, y AS label, pred, round(prob, 6) AS prob, probs_2dp FROM pp")
+oracle("accuracy", with_(*EMB)
+       + "SELECT round(avg(CASE WHEN y = pred THEN 1.0 ELSE 0.0 END), 6) AS accuracy, count(*) AS n FROM pv")
+oracle("confusion_matrix", with_(
+    *EMB, "cls AS (SELECT y AS c FROM pv UNION SELECT pred FROM pv)",
+    "cnt AS (SELECT y, pred, count(*) AS n FROM pv GROUP BY y, pred)")
+    + "SELECT a.c AS true_label, b.c AS pred_label, CAST(coalesce(cnt.n, 0) AS BIGINT) AS count "
+    "FROM cls a CROSS JOIN cls b LEFT JOIN cnt ON cnt.y = a.c AND cnt.pred = b.c")
+PER_CLASS = [
+    "cls AS (SELECT y AS c FROM pv UNION SELECT pred FROM pv)",
+    "t AS (SELECT c, (SELECT count(*) FROM pv WHERE y = c) AS support, (SELECT count(*) FROM pv WHERE pred = c) "
+    "AS predicted, (SELECT count(*) FROM pv WHERE y = c AND pred = c) AS tp FROM cls)",
+    "t2 AS (SELECT *, CASE WHEN predicted > 0 THEN tp / predicted ELSE 0.0 END AS precision, "
+    "CASE WHEN support > 0 THEN tp / support ELSE 0.0 END AS recall FROM t)",
+    "pc AS (SELECT *, CASE WHEN precision + recall > 0 THEN 2 * precision * recall / (precision + recall) "
+    "ELSE 0.0 END AS f1 FROM t2)",
+]
+oracle("classification_report", with_(*EMB, *PER_CLASS) + """
+SELECT CAST(c AS VARCHAR) AS class, round(precision, 6) AS precision, round(recall, 6) AS recall,
+  round(f1, 6) AS f1, CAST(support AS BIGINT) AS support FROM pc
+UNION ALL SELECT 'macro avg', round(avg(precision), 6), round(avg(recall), 6), round(avg(f1), 6),
+  CAST(sum(support) AS BIGINT) FROM pc
+UNION ALL SELECT 'weighted avg', round(sum(precision * support) / sum(support), 6),
+  round(sum(recall * support) / sum(support), 6), round(sum(f1 * support) / sum(support), 6),
+  CAST(sum(support) AS BIGINT) FROM pc
+UNION ALL SELECT 'accuracy', NULL, NULL, round(sum(tp) / sum(support), 6), CAST(sum(support) AS BIGINT) FROM pc""")
+oracle("weighted_f1", with_(*EMB, *PER_CLASS)
+       + "SELECT round(sum(f1 * support) / sum(support), 6) AS weighted_f1 FROM pc")
+oracle("top_k_accuracy", with_(
+    *EMB,
+    "rk AS (SELECT a.vec_id, 1 + count(b.cls) AS r FROM sc a LEFT JOIN sc b ON b.vec_id = a.vec_id AND "
+    "(b.s > a.s OR (b.s = a.s AND b.cls > a.cls)) WHERE a.cls = a.y GROUP BY a.vec_id)")
+    + "SELECT round(avg(CASE WHEN r <= 3 THEN 1.0 ELSE 0.0 END), 6) AS top_3_accuracy, count(*) AS n FROM rk")
+oracle("cross_entropy", with_(
+    *EMB,
+    "cc AS (SELECT y, count(*) AS n FROM pv GROUP BY y)",
+    "w AS (SELECT y, round((SELECT sum(n) FROM cc) / ((SELECT count(*) FROM cc) * n), 6) AS w FROM cc)")
+    + "SELECT round(avg(lse - sy), 6) AS mean_ce, round(sum(w.w * (lse - sy)) / sum(w.w), 6) AS weighted_ce "
+    "FROM pv JOIN w ON w.y = pv.y")
+
+
 def oracle_sql() -> dict[str, str]:
     return dict(ORACLE)

@@ -15,7 +15,10 @@ from pyspark.sql import functions as F
 
 from narrata.functions import text as T
 from narrata.functions.numeric import round6
+from narrata.functions import vectors as V
 from narrata.operators import filters as FL
+from narrata.operators import metrics as MT
+from narrata.operators import scoring as SC
 from narrata.operators import labels as LB
 from narrata.operators import sampling as SM
 from narrata.operators import profile as P
@@ -322,5 +325,62 @@ def q_weighted_resample(spark, sf):
     return SM.balanced_resample(ev, "event_type", "event_id", draws, "draw_id", seed=42)
 
 
+# --- linear model over embeddings and evaluation metrics --------------------
+
+def _embedding_model(spark, sf):
+    """Nearest-centroid linear model: fit on the 80% stratified train split,
+    score the held-out 20%. Returns (test rows with scores, class labels)."""
+    emb = TB.table(spark, sf, "embeddings")
+    split = SM.stratified_split(emb.select("vec_id", "label"), "label", "vec_id", 0.8, seed=42)
+    rows = emb.join(split.select("vec_id", "split"), "vec_id")
+    train = rows.filter(F.col("split") == "train")
+    test = rows.filter(F.col("split") == "test")
+    labels, matrix = SC.centroid_model(SC.fit_centroids(train, "embedding", "label"))
+    scored = test.select("vec_id", "label", SC.linear_scores("embedding", matrix).alias("scores"))
+    probs, pred_idx, prob = SC.predict("scores")
+    label_of = F.array(*[F.lit(x) for x in labels])
+    return scored.select("vec_id", "label", "scores", probs.alias("probs"),
+                         F.element_at(label_of, pred_idx + 1).alias("pred"), prob.alias("prob"))
+
+
+@query("linear_scores")
+def q_linear_scores(spark, sf):
+    m = _embedding_model(spark, sf)
+    return m.select("vec_id", "label", "pred", r6("prob").alias("prob"),
+                    V.round_elements("probs", 2).alias("probs_2dp"))
+
+
+@query("accuracy")
+def q_accuracy(spark, sf):
+    return MT.accuracy(_embedding_model(spark, sf), "label", "pred")
+
+
+@query("confusion_matrix")
+def q_confusion_matrix(spark, sf):
+    return MT.confusion_matrix(_embedding_model(spark, sf), "label", "pred")
+
+
+@query("classification_report")
+def q_classification_report(spark, sf):
+    return MT.classification_report(_embedding_model(spark, sf), "label", "pred")
+
+
+@query("weighted_f1")
+def q_weighted_f1(spark, sf):
+    return MT.weighted_f1(_embedding_model(spark, sf), "label", "pred")
+
+
+@query("top_k_accuracy")
+def q_top_k_accuracy(spark, sf):
+    return MT.top_k_accuracy(_embedding_model(spark, sf), "label", "scores", 3)
+
+
+@query("cross_entropy")
+def q_cross_entropy(spark, sf):
+    m = _embedding_model(spark, sf)
+    w = LB.class_weights(m, "label")
+    return MT.cross_entropy(m, "label", "scores", w, "label", "balanced_weight")
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return dict(REGISTRY)
