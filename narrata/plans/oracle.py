@@ -341,5 +341,124 @@ oracle("cross_entropy", with_(
     "FROM pv JOIN w ON w.y = pv.y")
 
 
+# --- sentences, text assembly, names ----------------------------------------
+
+SENTS = ("sents AS (SELECT complaint_id, unnest(ss) AS sent, generate_subscripts(ss, 1) - 1 AS spos "
+         f"FROM (SELECT complaint_id, {Q.sentences('narrative')} AS ss FROM complaints))")
+oracle("sentences", with_(COMPLAINTS_NR, SENTS)
+       + "SELECT complaint_id, CAST(spos AS BIGINT) AS sentence_pos, sent AS sentence FROM sents")
+oracle("dedupe_sentences", with_(
+    COMPLAINTS_NR, SENTS,
+    "firsts AS (SELECT complaint_id, sent, min(spos) AS spos FROM sents GROUP BY complaint_id, sent)",
+    "dd AS (SELECT complaint_id, string_agg(sent, ' ' ORDER BY spos) AS deduped FROM firsts "
+    "GROUP BY complaint_id)")
+    + "SELECT c.complaint_id, coalesce(dd.deduped, '') AS deduped FROM complaints c "
+    "LEFT JOIN dd ON dd.complaint_id = c.complaint_id")
+oracle("build_text", with_(COMPLAINTS) + """
+SELECT complaint_id,
+  coalesce(response || ' ' || product || ' ' || issue || ' ' || company, '') AS text_empty,
+  coalesce(narrative, '') || ' ' || coalesce(product, '') || ' ' || coalesce(issue, '') || ' '
+    || coalesce(response, '') AS text_blank,
+  concat_ws(' | ', CASE WHEN narrative <> '' THEN 'Complaint Narrative: ' || narrative END,
+    CASE WHEN company <> '' THEN 'Company: ' || company END,
+    CASE WHEN product <> '' THEN 'Product: ' || product END,
+    CASE WHEN response <> '' THEN 'Response: ' || response END) AS text_skip,
+  coalesce(response, 'No summary generated in Page 1.') AS summary_or_default
+FROM complaints""")
+oracle("label_names", "WITH " + SCORED + f"""
+SELECT complaint_id, sentiment, {SENT_NAME} AS sentiment_name FROM scored""")
+
+# --- vocabulary and token encoding ------------------------------------------
+
+VOCAB = (f"vc AS (SELECT tok AS token, count(*) AS count FROM (SELECT unnest({Q.words('clean')}) AS tok "
+         "FROM cleaned) GROUP BY tok ORDER BY count DESC, token LIMIT 30000)",
+         "vocabulary AS (SELECT token, count, CAST(row_number() OVER (ORDER BY count DESC, token) - 1 + 1000 "
+         "AS INTEGER) AS token_id FROM vc)")
+oracle("vocabulary", "WITH " + CLEANED_NR + ", " + ", ".join(VOCAB) + " SELECT * FROM vocabulary")
+oracle("encode_tokens", "WITH " + CLEANED_NR + ", " + ", ".join(VOCAB) + """
+, tw AS (SELECT complaint_id, """ + Q.words("clean") + """ AS w FROM cleaned)
+, tk AS (SELECT complaint_id, unnest(w) AS token, generate_subscripts(w, 1) - 1 AS pos FROM tw)
+, ids AS (SELECT tk.complaint_id, CAST(tk.pos // 126 AS INTEGER) AS window_index, tk.pos,
+    CAST(coalesce(v.token_id, 100) AS INTEGER) AS tid FROM tk LEFT JOIN vocabulary v ON v.token = tk.token)
+, g AS (SELECT complaint_id, window_index, list(tid ORDER BY pos) AS seq FROM ids GROUP BY complaint_id, window_index)
+, g2 AS (SELECT * FROM g UNION ALL SELECT complaint_id, 0, []::INTEGER[] FROM tw WHERE len(w) = 0)
+SELECT complaint_id, window_index,
+  list_resize(list_concat([101], seq, [102]), 128, 0) AS input_ids,
+  list_resize(list_resize([]::INTEGER[], len(seq) + 2, 1), 128, 0) AS attention_mask
+FROM g2""")
+
+# --- summaries and ROUGE ----------------------------------------------------
+
+oracle("summary_budget", with_(COMPLAINTS_NR, "b AS (SELECT complaint_id, " + Q.word_count("narrative")
+                               + " AS n_words FROM complaints)")
+       + "SELECT complaint_id, n_words, CASE WHEN n_words >= 10 THEN least(n_words, 50) END AS min_words, "
+       "CASE WHEN n_words >= 10 THEN least(n_words, 120) END AS max_words FROM b")
+
+SUMM = [
+    COMPLAINTS_NR, SENTS,
+    f"sents2 AS (SELECT *, CAST(len({Q.words('sent')}) AS BIGINT) AS sw FROM sents)",
+    f"toks AS (SELECT complaint_id, spos, unnest({Q.words(Q.clean('sent'))}) AS tok FROM sents)",
+    "tf AS (SELECT complaint_id, tok, count(*) AS tf FROM toks GROUP BY complaint_id, tok)",
+    "dlen AS (SELECT complaint_id, sum(tf) AS dlen FROM tf GROUP BY complaint_id)",
+    "dfreq AS (SELECT tok, count(*) AS dfreq FROM tf GROUP BY tok)",
+    "w AS (SELECT tf.complaint_id, tf.tok, CAST(round(tf.tf / dlen.dlen * ln((SELECT count(*) FROM complaints) "
+    "/ dfreq.dfreq) * 1e9) AS BIGINT) AS wint FROM tf JOIN dfreq ON dfreq.tok = tf.tok "
+    "JOIN dlen ON dlen.complaint_id = tf.complaint_id)",
+    "ps AS (SELECT t.complaint_id, t.spos, sum(w.wint) AS ws, count(*) AS nt FROM toks t JOIN w "
+    "ON w.complaint_id = t.complaint_id AND w.tok = t.tok GROUP BY t.complaint_id, t.spos)",
+    "sc AS (SELECT s.*, coalesce(ps.ws / ps.nt, 0.0) AS score FROM sents2 s LEFT JOIN ps "
+    "ON ps.complaint_id = s.complaint_id AND ps.spos = s.spos)",
+    "rk AS (SELECT *, sum(sw) OVER (PARTITION BY complaint_id) AS n, row_number() OVER (PARTITION BY "
+    "complaint_id ORDER BY score DESC, spos) AS rn, sum(sw) OVER (PARTITION BY complaint_id ORDER BY "
+    "score DESC, spos ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS cum FROM sc)",
+    "kept AS (SELECT * FROM rk WHERE n >= 10 AND (rn = 1 OR cum <= least(n, 120)))",
+    "summ0 AS (SELECT complaint_id, string_agg(sent, ' ' ORDER BY spos) AS summary FROM kept "
+    "GROUP BY complaint_id)",
+    "summ AS (SELECT c.complaint_id, c.narrative, coalesce(s.summary, '') AS summary FROM complaints c "
+    "LEFT JOIN summ0 s ON s.complaint_id = c.complaint_id)",
+]
+oracle("extractive_summary", with_(*SUMM) + "SELECT complaint_id, summary FROM summ")
+
+
+def _rouge_ctes(n: int) -> list[str]:
+    def grams(col):
+        return (f"unnest(list_transform(range(1, len({col}) - {n} + 2), "
+                f"lambda i: array_to_string({col}[i:i + {n - 1}], ' ')))")
+    return [
+        f"gg{n} AS (SELECT complaint_id, gram, count(*) AS cg FROM (SELECT complaint_id, {grams('g')} AS gram "
+        f"FROM pr) GROUP BY complaint_id, gram)",
+        f"rg{n} AS (SELECT complaint_id, gram, count(*) AS cr FROM (SELECT complaint_id, {grams('r')} AS gram "
+        f"FROM pr) GROUP BY complaint_id, gram)",
+        f"ov{n} AS (SELECT gg{n}.complaint_id, sum(least(cg, cr)) AS ov FROM gg{n} JOIN rg{n} ON "
+        f"rg{n}.complaint_id = gg{n}.complaint_id AND rg{n}.gram = gg{n}.gram GROUP BY gg{n}.complaint_id)",
+        f"sc{n} AS (SELECT pr.complaint_id, coalesce(ov{n}.ov, 0) / greatest(len(g) - {n} + 1, 1) AS p, "
+        f"coalesce(ov{n}.ov, 0) / greatest(len(r) - {n} + 1, 1) AS r FROM pr LEFT JOIN ov{n} "
+        f"ON ov{n}.complaint_id = pr.complaint_id)",
+        f"m{n} AS (SELECT count(*) AS n_pairs, round(avg(p), 6) AS rouge{n}_p, round(avg(r), 6) AS rouge{n}_r, "
+        f"round(avg(CASE WHEN p + r > 0 THEN 2 * p * r / (p + r) ELSE 0.0 END), 6) AS rouge{n}_f FROM sc{n})",
+    ]
+
+
+oracle("rouge_n", with_(
+    *SUMM,
+    f"pr AS (SELECT complaint_id, {Q.rouge_tokens('summary')} AS g, {Q.rouge_tokens('narrative')} AS r "
+    "FROM summ WHERE summary <> '' AND narrative <> '')",
+    *_rouge_ctes(1), *_rouge_ctes(2))
+    + "SELECT m1.n_pairs, rouge1_p, rouge1_r, rouge1_f, rouge2_p, rouge2_r, rouge2_f FROM m1 JOIN m2 "
+    "ON m1.n_pairs = m2.n_pairs")
+
+oracle("embedding_match", with_(
+    *EMB[:4],
+    "cn AS (SELECT label, sqrt(sum(m * m)) AS nm FROM cent GROUP BY label)",
+    "tx AS (SELECT vec_id, unnest(embedding) AS x, generate_subscripts(embedding, 1) AS pos FROM te)",
+    "vn AS (SELECT vec_id, sqrt(sum(CAST(x AS DOUBLE) * CAST(x AS DOUBLE))) AS nv FROM tx GROUP BY vec_id)",
+    "cs AS (SELECT tx.vec_id, c.label, sum(CAST(tx.x AS DOUBLE) * c.m) / (max(vn.nv) * max(cn.nm)) AS cos "
+    "FROM tx JOIN cent c ON c.pos = tx.pos JOIN vn ON vn.vec_id = tx.vec_id JOIN cn ON cn.label = c.label "
+    "GROUP BY tx.vec_id, c.label)",
+    "pp AS (SELECT avg(mx) AS p FROM (SELECT vec_id, max(cos) AS mx FROM cs GROUP BY vec_id))",
+    "rr AS (SELECT avg(mx) AS r FROM (SELECT label, max(cos) AS mx FROM cs GROUP BY label))")
+    + "SELECT round(p, 6) AS precision, round(r, 6) AS recall, round(2 * p * r / (p + r), 6) AS f1 FROM pp, rr")
+
+
 def oracle_sql() -> dict[str, str]:
     return dict(ORACLE)

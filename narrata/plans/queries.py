@@ -19,6 +19,9 @@ from narrata.functions import vectors as V
 from narrata.operators import filters as FL
 from narrata.operators import metrics as MT
 from narrata.operators import scoring as SC
+from narrata.operators import similarity as SI
+from narrata.operators import summarize as SU
+from narrata.operators import tokens as TK
 from narrata.operators import labels as LB
 from narrata.operators import sampling as SM
 from narrata.operators import profile as P
@@ -382,5 +385,115 @@ def q_cross_entropy(spark, sf):
     return MT.cross_entropy(m, "label", "scores", w, "label", "balanced_weight")
 
 
+# --- sentences, text assembly, names ----------------------------------------
+
+@query("sentences")
+def q_sentences(spark, sf):
+    c = TB.complaints(spark, sf, with_response=False)
+    return c.select("complaint_id", F.posexplode(T.sentences("narrative")).alias("sentence_pos", "sentence")) \
+        .withColumn("sentence_pos", F.col("sentence_pos").cast("bigint"))
+
+
+@query("dedupe_sentences")
+def q_dedupe_sentences(spark, sf):
+    c = TB.complaints(spark, sf, with_response=False)
+    return c.select("complaint_id", T.dedupe_sentences("narrative").alias("deduped"))
+
+
+@query("chunk_sentences")
+def q_chunk_sentences(spark, sf):
+    c = TB.complaints(spark, sf, with_response=False)
+    return SU.chunk_sentences(c, "complaint_id", "narrative", SU.CHUNK_WORDS).withColumn(
+        "chunk_index", F.col("chunk_index").cast("bigint"))
+
+
+NO_SUMMARY = "No summary generated in Page 1."
+
+
+@query("build_text")
+def q_build_text(spark, sf):
+    c = TB.complaints(spark, sf)
+    return c.select(
+        "complaint_id",
+        T.build_text(["response", "product", "issue", "company"], "empty").alias("text_empty"),
+        T.build_text(["narrative", "product", "issue", "response"], "blank").alias("text_blank"),
+        T.build_text(["narrative", "company", "product", "response"], "skip", sep=" | ",
+                     labels=["Complaint Narrative", "Company", "Product", "Response"]).alias("text_skip"),
+        F.coalesce("response", F.lit(NO_SUMMARY)).alias("summary_or_default"))
+
+
+@query("label_names")
+def q_label_names(spark, sf):
+    docs = TB.cleaned_complaints(spark, sf, with_response=False)
+    scored = S.lexicon_sentiment(docs, "complaint_id", "clean", TB.test_lexicon(spark, sf))
+    return scored.select("complaint_id", "sentiment", S.sentiment_names("sentiment").alias("sentiment_name"))
+
+
+# --- vocabulary and token encoding ------------------------------------------
+
+VOCAB_SIZE = 30000
+MAX_LEN = 128
+
+
+@query("vocabulary")
+def q_vocabulary(spark, sf):
+    return TK.build_vocabulary(TB.cleaned_complaints(spark, sf, with_response=False), "clean", VOCAB_SIZE)
+
+
+@query("encode_tokens")
+def q_encode_tokens(spark, sf):
+    docs = TB.cleaned_complaints(spark, sf, with_response=False)
+    vocab = TK.build_vocabulary(docs, "clean", VOCAB_SIZE)
+    return TK.encode_tokens(docs, "complaint_id", "clean", vocab, MAX_LEN)
+
+
+# --- summaries and ROUGE ----------------------------------------------------
+
+@query("summary_budget")
+def q_summary_budget(spark, sf):
+    c = TB.complaints(spark, sf, with_response=False).select(
+        "complaint_id", T.word_count("narrative").alias("n_words"))
+    lo, hi = SU.summary_budget("n_words")
+    return c.select("complaint_id", "n_words", lo.alias("min_words"), hi.alias("max_words"))
+
+
+def _summaries(spark, sf):
+    c = TB.complaints(spark, sf, with_response=False).select("complaint_id", "narrative")
+    return SU.extractive_summary(c, "complaint_id", "narrative").join(c, "complaint_id")
+
+
+@query("extractive_summary")
+def q_extractive_summary(spark, sf):
+    return _summaries(spark, sf).select("complaint_id", "summary")
+
+
+@query("chunked_summary")
+def q_chunked_summary(spark, sf):
+    c = TB.complaints(spark, sf, with_response=False).select("complaint_id", "narrative")
+    return SU.chunked_summary(c, "complaint_id", "narrative")
+
+
+@query("rouge_n")
+def q_rouge_n(spark, sf):
+    return SI.rouge_n(_summaries(spark, sf), "complaint_id", "summary", "narrative", (1, 2))
+
+
+@query("rouge_l")
+def q_rouge_l(spark, sf):
+    r = SI.rouge_l_pairs(_summaries(spark, sf), "complaint_id", "summary", "narrative")
+    return r.select("complaint_id", r6("p").alias("rouge_l_p"), r6("r").alias("rouge_l_r"),
+                    r6("f").alias("rouge_l_f"))
+
+
+@query("embedding_match")
+def q_embedding_match(spark, sf):
+    emb = TB.table(spark, sf, "embeddings")
+    split = SM.stratified_split(emb.select("vec_id", "label"), "label", "vec_id", 0.8, seed=42)
+    rows = emb.join(split.select("vec_id", "split"), "vec_id")
+    _, matrix = SC.centroid_model(SC.fit_centroids(rows.filter(F.col("split") == "train"),
+                                                   "embedding", "label"))
+    return SI.embedding_match(rows.filter(F.col("split") == "test"), "embedding", matrix)
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return dict(REGISTRY)
