@@ -460,5 +460,16 @@ oracle("embedding_match", with_(
     + "SELECT round(p, 6) AS precision, round(r, 6) AS recall, round(2 * p * r / (p + r), 6) AS f1 FROM pp, rr")
 
 
+oracle("batch_model_scores", with_(*EMB) + "SELECT vec_id, y AS label, pred FROM pv")
+
+
+oracle("csv_roundtrip", with_(COMPLAINTS)
+       + "SELECT complaint_id, narrative, product, company, issue, response FROM complaints")
+
+
+oracle("stream_score", "WITH " + SCORED + f"""
+SELECT complaint_id, product, sentiment, {SENT_NAME} AS sentiment_name FROM scored""")
+
+
 def oracle_sql() -> dict[str, str]:
     return dict(ORACLE)

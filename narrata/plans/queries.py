@@ -12,10 +12,12 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, DoubleType
 
 from narrata.functions import text as T
 from narrata.functions.numeric import round6
 from narrata.functions import vectors as V
+from narrata.operators import classify as CL
 from narrata.operators import filters as FL
 from narrata.operators import metrics as MT
 from narrata.operators import scoring as SC
@@ -495,5 +497,134 @@ def q_embedding_match(spark, sf):
     return SI.embedding_match(rows.filter(F.col("split") == "test"), "embedding", matrix)
 
 
+# --- classifiers (MLlib) ----------------------------------------------------
+
+def _response_data(spark, sf):
+    """Labelled complaints with the training text layout (narrative, product,
+    issue, company; NULL parts blank) cleaned, and an 80/20 stratified split."""
+    c = _labelled(spark, sf).select(
+        "complaint_id", "response",
+        T.clean_narrative(T.build_text(["narrative", "product", "issue", "company"], "blank")).alias("text"))
+    return SM.stratified_split(c, "response", "complaint_id", 0.8, seed=42)
+
+
+@query("train_classifier")
+def q_train_classifier(spark, sf):
+    data = _response_data(spark, sf)
+    model = CL.fit_classifier(data.filter(F.col("split") == "train"), "text", "response")
+    pred = CL.predict(model, data.filter(F.col("split") == "test"), ["complaint_id", "response"])
+    return pred.select("complaint_id", "response", F.col("predicted_label").alias("predicted_response"))
+
+
+@query("model_family_compare")
+def q_model_family_compare(spark, sf):
+    data = _response_data(spark, sf)
+    return CL.compare_families(data.filter(F.col("split") == "train"),
+                               data.filter(F.col("split") == "test"), "text", "response")
+
+
+@query("cross_validate")
+def q_cross_validate(spark, sf):
+    docs = TB.cleaned_complaints(spark, sf, with_response=False)
+    scored = S.lexicon_sentiment(docs, "complaint_id", "clean", TB.test_lexicon(spark, sf))
+    labelled = scored.select("complaint_id", S.sentiment_names("sentiment").alias("sentiment")) \
+        .join(docs.select("complaint_id", "clean"), "complaint_id")
+    folds = SM.stratified_folds(labelled, "sentiment", "complaint_id", 5, seed=42)
+    pooled = CL.cross_validate(folds, "fold", "clean", "sentiment", 5, keep=["complaint_id", "sentiment"])
+    return MT.classification_report(pooled, "sentiment", "predicted_label")
+
+
+@query("classifier_reload")
+def q_classifier_reload(spark, sf):
+    import uuid
+
+    from pyspark.ml import PipelineModel
+
+    from narrata.sources import io as IO
+    data = _response_data(spark, sf)
+    model = CL.fit_classifier(data.filter(F.col("split") == "train"), "text", "response")
+    path = IO.scratch_path(spark, f"models/response-{uuid.uuid4().hex}")
+    model.write().overwrite().save(path)
+    loaded = PipelineModel.load(path)
+    pred = CL.predict(loaded, data.filter(F.col("split") == "test"), ["complaint_id", "response"])
+    return pred.select("complaint_id", "response", F.col("predicted_label").alias("predicted_response"))
+
+
+# --- caller models in Arrow batches, side-by-side comparison ----------------
+
+@query("batch_model_scores")
+def q_batch_model_scores(spark, sf):
+    emb = TB.table(spark, sf, "embeddings")
+    split = SM.stratified_split(emb.select("vec_id", "label"), "label", "vec_id", 0.8, seed=42)
+    rows = emb.join(split.select("vec_id", "split"), "vec_id")
+    labels, matrix = SC.centroid_model(SC.fit_centroids(rows.filter(F.col("split") == "train"),
+                                                        "embedding", "label"))
+    test = rows.filter(F.col("split") == "test").withColumn(
+        "vec", F.col("embedding").cast("array<double>"))
+    scores = SC.score_batches(test, "vec", SC.numpy_linear_predictor(matrix),
+                              ArrayType(DoubleType()), batch_size=32, input_tensor_shapes=[[len(matrix[0])]])
+    label_of = F.array(*[F.lit(x) for x in labels])
+    return test.select("vec_id", "label", scores.alias("scores")).select(
+        "vec_id", "label", F.element_at(label_of, V.argmax("scores") + 1).alias("pred"))
+
+
+@query("model_compare")
+def q_model_compare(spark, sf):
+    c = TB.complaints(spark, sf)
+    summ = SU.extractive_summary(c.select("complaint_id", "narrative"), "complaint_id", "narrative")
+    c = c.join(summ, "complaint_id")
+    lex = TB.test_lexicon(spark, sf)
+    neg, bst, cw = TB.test_word_roles(spark, sf)
+    inputs = {
+        "combined": T.build_text(["narrative", "company", "product", "issue"], "skip", sep=" | ",
+                                 labels=["Complaint Narrative", "Company", "Product", "Issue"]),
+        "summary": F.when(F.col("summary") != "", F.col("summary")).otherwise(F.lit(NO_SUMMARY)),
+    }
+
+    def plain(d):
+        d = d.withColumn("clean", T.clean_narrative("text"))
+        return S.lexicon_sentiment(d, "_key", "clean", lex).select("_key", "sentiment")
+
+    def context(d):
+        d = d.withColumn("clean", T.clean_narrative("text"))
+        return S.lexicon_sentiment_context(d, "_key", "clean", lex, neg, bst, cw).select("_key", "sentiment")
+
+    out = SC.compare_models(c, "complaint_id", inputs, {"lexicon": plain, "lexicon_context": context})
+    return out.select("complaint_id", "input", "model", "sentiment",
+                      S.sentiment_names("sentiment").alias("sentiment_name"))
+
+
+# --- sources and sinks ------------------------------------------------------
+
+@query("csv_roundtrip")
+def q_csv_roundtrip(spark, sf):
+    import uuid
+
+    from narrata.sources import io as IO
+    path = IO.scratch_path(spark, f"stages/complaints-{uuid.uuid4().hex}.csv")
+    IO.write_stage(TB.complaints(spark, sf), path, "csv")
+    return IO.read_complaints(spark, path)
+
+
+# --- streaming --------------------------------------------------------------
+
+@query("stream_score")
+def q_stream_score(spark, sf):
+    """Documents arriving as files are scored by the streaming scorer until
+    the available input is drained; the sink is read back as a table."""
+    import uuid
+
+    from narrata.sources import io as IO
+    from narrata.streaming import score as ST
+    run = uuid.uuid4().hex
+    sink = IO.scratch_path(spark, f"streams/score-{run}/out")
+    ckpt = IO.scratch_path(spark, f"streams/score-{run}/checkpoint")
+    q = ST.score_stream(spark, sf, TB.test_lexicon(spark, sf), sink, ckpt, glob="documents.parquet")
+    q.awaitTermination()
+    if q.exception() is not None:
+        raise RuntimeError(str(q.exception()))
+    return spark.read.parquet(sink).select("complaint_id", "product", "sentiment", "sentiment_name")
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return dict(REGISTRY)
