@@ -12,7 +12,7 @@ import functools
 import os
 import zipfile
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 # ---------------------------------------------------------------------------
@@ -32,6 +32,18 @@ def _col(c) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
+def with_computed(df: DataFrame, **cols: Column) -> DataFrame:
+    """Add computed columns that later filters will test, evaluated once.
+
+    A filter on a projected column is pushed below the projection by the
+    optimizer with the expression substituted, so an expensive expression
+    (the cleaning regexes) would run twice: once in the filter and once in
+    the projection. Producing the columns from a one-row generator keeps the
+    filter above it, so each expression runs once per row.
+    """
+    return df.select("*", F.inline(F.array(F.struct(*[c.alias(n) for n, c in cols.items()]))))
+
+
 def normalize_whitespace(c) -> Column:
     """Strip ends and collapse every whitespace run (newlines too) to one space."""
     return F.trim(F.regexp_replace(_col(c), PY_WS + "+", " "))

@@ -18,10 +18,33 @@ TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineite
           "conversations")
 
 
+SPREAD_BELOW_BYTES = 256 << 20
+
+
+def spread_small(df: DataFrame) -> DataFrame:
+    """Spread a small local input over all cores.
+
+    A file with a single parquet row group is read by one task however the
+    splits are cut, so all row-level work before the first shuffle would run
+    on one core. Inputs under 256 MB (local files only) are round-robin
+    repartitioned to the default parallelism; large inputs, or inputs on a
+    cluster file system, already arrive in many splits and are left alone.
+    """
+    spark = df.sparkSession
+    files = df.inputFiles()
+    if not files or not all(f.startswith("file:") for f in files):
+        return df
+    total = sum(os.path.getsize(f[len("file:"):]) for f in files if os.path.exists(f[len("file:"):]))
+    n = spark.sparkContext.defaultParallelism
+    if total < SPREAD_BELOW_BYTES and len(files) < n:
+        return df.repartition(n)
+    return df
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     if name not in TABLES:
         raise ValueError(f"unknown table {name!r}")
-    return spark.read.parquet(os.path.join(sf_dir, f"{name}.parquet"))
+    return spread_small(spark.read.parquet(os.path.join(sf_dir, f"{name}.parquet")))
 
 
 def complaints(spark: SparkSession, sf_dir: str, with_response: bool = True) -> DataFrame:
@@ -54,8 +77,8 @@ def complaints(spark: SparkSession, sf_dir: str, with_response: bool = True) ->
 def cleaned_complaints(spark: SparkSession, sf_dir: str, with_response: bool = True) -> DataFrame:
     """Complaints with ``clean`` text; texts cleaned to nothing are dropped
     (the reference loses them when the empty string re-reads as a null)."""
-    c = complaints(spark, sf_dir, with_response).withColumn("clean", T.clean_narrative("narrative"))
-    return c.filter(F.col("clean") != "")
+    c = complaints(spark, sf_dir, with_response)
+    return T.with_computed(c, clean=T.clean_narrative("narrative")).filter(F.col("clean") != "")
 
 
 def vocabulary_tokens(docs: DataFrame, col: str = "clean") -> DataFrame:
