@@ -22,9 +22,9 @@ from narrata.functions.numeric import round6
 def ngrams(tokens, n: int) -> Column:
     """Space-joined n-grams of a token array (empty when shorter than n)."""
     t = F.col(tokens) if isinstance(tokens, str) else tokens
-    count = F.greatest(F.size(t) - n + 1, F.lit(0))
-    return F.transform(F.sequence(F.lit(1), count),
-                       lambda i: F.array_join(F.slice(t, i, n), " "))
+    count = F.size(t) - n + 1
+    starts = F.when(count >= 1, F.sequence(F.lit(1), count)).otherwise(F.array().cast("array<int>"))
+    return F.transform(starts, lambda i: F.array_join(F.slice(t, i, n), " "))
 
 
 def _fmeasure(p: Column, r: Column) -> Column:

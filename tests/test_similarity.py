@@ -46,12 +46,13 @@ def test_rouge_n_brute_force(spark):
     pairs = [(1, "The cat sat on the mat.", "the cat sat on a mat and the cat slept"),
              (2, "Paid 100 fee", "They charged me a 100 fee, I paid the fee"),
              (3, "nothing shared", "completely different words"),
-             (4, "", "skipped because empty")]
+             (4, "", "skipped because empty"),
+             (5, "one", "a single generated token has no bigram")]
     df = spark.createDataFrame(pairs, "id long, g string, r string")
     for n in (1, 2):
         got = {r["id"]: (r["p"], r["r"], r["f"]) for r in SI.rouge_n_pairs(df, "id", "g", "r", n).collect()}
-        assert set(got) == {1, 2, 3}
-        for i, g, r in pairs[:3]:
+        assert set(got) == {1, 2, 3, 5}
+        for i, g, r in pairs[:3] + pairs[4:]:
             want = _rouge_n(g, r, n)
             assert all(abs(x - y) < 1e-12 for x, y in zip(got[i], want))
 
