@@ -96,9 +96,14 @@ def bin_counts(df: DataFrame, col: str, edges=LENGTH_EDGES, labels=LENGTH_LABELS
     is bounded by construction.
     """
     spark = df.sparkSession
-    lab = spark.createDataFrame([(i, s) for i, s in enumerate(labels)], "bin_order int, bin string")
-    counts = df.select(bin_index(col, edges).alias("bin_order")).filter(
-        F.col("bin_order").isNotNull()).groupBy("bin_order").agg(F.count("*").alias("frequency"))
+    names = F.array(*[F.lit(x) for x in labels])
+    lab = spark.range(len(labels)).select(F.col("id").cast("int").alias("bin_order"),
+                                          F.element_at(names, F.col("id").cast("int") + 1).alias("bin"))
+    # NULL values (no bin) are counted and dropped by the join below, not by a
+    # filter: a filter on the bin would be pushed down to the scan and
+    # re-evaluate the bin expression there.
+    counts = df.select(bin_index(col, edges).alias("bin_order")).groupBy("bin_order").agg(
+        F.count("*").alias("frequency"))
     return (F.broadcast(lab).join(counts, "bin_order", "left")
             .select("bin_order", "bin", F.coalesce("frequency", F.lit(0)).cast("bigint").alias("frequency")))
 

@@ -75,10 +75,12 @@ def lexicon_sentiment_context(df: DataFrame, id_col: str, text_col: str, lexicon
     -0.74. Booster words themselves score 0. Words before the first contrast
     word are halved, words after it count 1.5x.
 
-    Only the sparse rows that matter (lexicon words, negators, boosters,
-    contrast word) are shuffled by document for the ordered window, and the
-    "previous word" test is done on positions, not row offsets.
-    ``contrast_word`` is a string or a one-row DataFrame with column ``token``.
+    One pass: tokens are exploded with their position (documents without a
+    token keep one row), joined once to a small role table, and one shuffle
+    by document feeds the ordered window and the per-document sum. Word
+    contributions are summed as integers of 1e-9, so the total is exact and
+    independent of partitioning. ``contrast_word`` is a string or a one-row
+    DataFrame with column ``token``.
     """
     lex = lexicon.select(F.col("token").alias("_tok"), F.col("valence").alias("_val"))
     neg = negators.select(F.col("token").alias("_tok")).distinct().withColumn("_neg", F.lit(True))
@@ -88,52 +90,42 @@ def lexicon_sentiment_context(df: DataFrame, id_col: str, text_col: str, lexicon
     else:
         cw = F.lit(contrast_word)
 
-    ex = df.select(id_col, F.posexplode(T.words(text_col)).alias("_pos", "_tok"))
-    roles = (ex.join(lex, "_tok", "left").join(neg, "_tok", "left").join(bst, "_tok", "left")
-             .withColumn("_neg", F.coalesce("_neg", F.lit(False)))
-             .withColumn("_bst", F.coalesce("_bst", F.lit(False)))
-             .withColumn("_cw", F.col("_tok") == cw))
-    sparse = roles.filter(F.col("_val").isNotNull() | F.col("_neg") | F.col("_bst") | F.col("_cw"))
+    # one small role table (valence, negator, booster per token): a single
+    # join against the exploded token stream instead of three
+    role_table = lex.join(neg, "_tok", "full").join(bst, "_tok", "full")
+    ex = df.select(id_col, *keep, F.posexplode_outer(T.words(text_col)).alias("_pos", "_tok"))
+    s = (ex.join(role_table, "_tok", "left")
+         .withColumn("_neg", F.coalesce("_neg", F.lit(False)))
+         .withColumn("_bst", F.coalesce("_bst", F.lit(False)))
+         .withColumn("_cw", F.coalesce(F.col("_tok") == cw, F.lit(False))))
 
     w = Window.partitionBy(id_col).orderBy("_pos")
-    prev = [(F.lag("_pos", k).over(w), F.lag("_val", k).over(w),
-             F.lag("_neg", k).over(w), F.lag("_bst", k).over(w)) for k in (1, 2, 3)]
-    s = sparse.withColumn("_bi", F.min(F.when(F.col("_cw"), F.col("_pos")))
-                          .over(Window.partitionBy(id_col)))
-    for k, (p, v, n, b) in enumerate(prev, start=1):
-        s = (s.withColumn(f"_p{k}", p).withColumn(f"_v{k}", v)
-             .withColumn(f"_n{k}", n).withColumn(f"_b{k}", b))
+    s = s.withColumn("_bi", F.min(F.when(F.col("_cw"), F.col("_pos"))).over(Window.partitionBy(id_col)))
+    for d in (1, 2, 3):
+        s = (s.withColumn(f"_v{d}", F.lag("_val", d).over(w))
+             .withColumn(f"_n{d}", F.lag("_neg", d).over(w))
+             .withColumn(f"_b{d}", F.lag("_bst", d).over(w)))
 
     # Each rule step is its own column so the plan never nests the running
     # valence expression inside itself.
     s = s.withColumn("_v", F.when(F.col("_bst"), F.lit(0.0)).otherwise(F.col("_val")))
     for d in (1, 2, 3):
-        is_neg = F.lit(False)
-        is_bst = F.lit(False)
-        for k in (1, 2, 3):
-            hit = (F.col(f"_p{k}") == F.col("_pos") - d) & F.col(f"_v{k}").isNull()
-            is_neg = is_neg | (hit & F.col(f"_n{k}"))
-            is_bst = is_bst | (hit & F.col(f"_b{k}"))
+        free = F.col(f"_v{d}").isNull()
+        is_bst = F.coalesce(F.col(f"_b{d}") & free, F.lit(False))
+        is_neg = F.coalesce(F.col(f"_n{d}") & free, F.lit(False))
         inc = F.lit(BOOSTER_INCREMENT * BOOSTER_DAMPING[d - 1])
         v = F.col("_v")
-        s = s.withColumn("_v", v + F.when(F.coalesce(is_bst, F.lit(False)),
-                                          F.when(v < 0, -inc).otherwise(inc)).otherwise(F.lit(0.0)))
+        s = s.withColumn("_v", v + F.when(is_bst, F.when(v < 0, -inc).otherwise(inc)).otherwise(F.lit(0.0)))
         v = F.col("_v")
-        s = s.withColumn("_v", F.when(F.coalesce(is_neg, F.lit(False)), v * F.lit(NEGATION_SCALAR))
-                         .otherwise(v))
+        s = s.withColumn("_v", F.when(is_neg, v * F.lit(NEGATION_SCALAR)).otherwise(v))
     v = F.col("_v")
     v = (F.when(F.col("_bi").isNull(), v)
          .when(F.col("_pos") < F.col("_bi"), v * F.lit(BEFORE_CONTRAST))
          .when(F.col("_pos") > F.col("_bi"), v * F.lit(AFTER_CONTRAST))
          .otherwise(v))
-    # Contributions are summed as integers of 1e-9 so the document total is
-    # exact and the same for any partitioning or summation order.
-    per_doc = s.groupBy(id_col).agg(
-        (F.sum(F.round(v * F.lit(1e9)).cast("long")) / F.lit(1e9)).alias("_s"))
-    base = df.select(id_col, *keep)
-    out = (base.join(per_doc, id_col, "left")
-           .withColumn("valence_sum", F.coalesce(F.col("_s"), F.lit(0.0)).cast("double"))
-           .drop("_s"))
+    out = s.groupBy(id_col, *keep).agg(
+        F.coalesce(F.sum(F.round(v * F.lit(1e9)).cast("long")) / F.lit(1e9), F.lit(0.0))
+        .cast("double").alias("valence_sum"))
     return _finish(out)
 
 

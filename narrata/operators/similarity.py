@@ -31,37 +31,52 @@ def _fmeasure(p: Column, r: Column) -> Column:
     return F.when(p + r > 0, 2 * p * r / (p + r)).otherwise(F.lit(0.0))
 
 
-def rouge_n_pairs(df: DataFrame, id_col: str, gen_col: str, ref_col: str, n: int) -> DataFrame:
-    """Per pair ``(id, p, r, f)`` of ROUGE-N; pairs with a NULL or empty side are skipped."""
-    pairs = df.filter(F.col(gen_col).isNotNull() & (F.col(gen_col) != "")
-                      & F.col(ref_col).isNotNull() & (F.col(ref_col) != ""))
-    toks = pairs.select(id_col, T.rouge_tokens(gen_col).alias("_g"), T.rouge_tokens(ref_col).alias("_r"))
-    totals = toks.select(id_col,
-                         F.greatest(F.size("_g") - n + 1, F.lit(0)).alias("_gn"),
-                         F.greatest(F.size("_r") - n + 1, F.lit(0)).alias("_rn"))
-    g = (toks.select(id_col, F.explode(ngrams("_g", n)).alias("_gram"))
-         .groupBy(id_col, "_gram").agg(F.count("*").alias("_cg")))
-    r = (toks.select(id_col, F.explode(ngrams("_r", n)).alias("_gram"))
-         .groupBy(id_col, "_gram").agg(F.count("*").alias("_cr")))
-    overlap = (g.join(r, [id_col, "_gram"])
-               .groupBy(id_col).agg(F.sum(F.least("_cg", "_cr")).alias("_ov")))
-    s = totals.join(overlap, id_col, "left").withColumn("_ov", F.coalesce("_ov", F.lit(0)))
+def _valid_pairs(df: DataFrame, gen_col: str, ref_col: str) -> DataFrame:
+    return df.filter(F.col(gen_col).isNotNull() & (F.col(gen_col) != "")
+                     & F.col(ref_col).isNotNull() & (F.col(ref_col) != ""))
+
+
+def rouge_n_pairs(df: DataFrame, id_col: str, gen_col: str, ref_col: str, ns=(1, 2)) -> DataFrame:
+    """Per pair and n: ``(id, n, p, r, f)``; pairs with a NULL or empty side are skipped.
+
+    All requested n are handled in one pass: each side explodes its n-grams
+    for every n at once, tagged with n, so the inputs are read once and the
+    join is keyed by (id, n, n-gram).
+    """
+    ns = [int(n) for n in (ns if isinstance(ns, (list, tuple)) else [ns])]
+    toks = _valid_pairs(df, gen_col, ref_col).select(
+        id_col, T.rouge_tokens(gen_col).alias("_g"), T.rouge_tokens(ref_col).alias("_r"))
+
+    def tag(n):
+        return lambda x: F.struct(F.lit(n).alias("n"), x.alias("gram"))
+
+    def tagged(arr):
+        return F.flatten(F.array(*[F.transform(ngrams(arr, n), tag(n)) for n in ns]))
+
+    def counts(arr, name):
+        return (toks.select(id_col, F.inline(tagged(arr)))
+                .groupBy(id_col, "n", "gram").agg(F.count("*").alias(name)))
+
+    overlap = (counts("_g", "_cg").join(counts("_r", "_cr"), [id_col, "n", "gram"])
+               .groupBy(id_col, "n").agg(F.sum(F.least("_cg", "_cr")).alias("_ov")))
+    totals = toks.select(id_col, F.explode(F.array(*[F.struct(
+        F.lit(n).alias("n"), F.greatest(F.size("_g") - n + 1, F.lit(0)).alias("_gn"),
+        F.greatest(F.size("_r") - n + 1, F.lit(0)).alias("_rn")) for n in ns])).alias("_t")) \
+        .select(id_col, "_t.*")
+    s = totals.join(overlap, [id_col, "n"], "left").withColumn("_ov", F.coalesce("_ov", F.lit(0)))
     p = F.col("_ov") / F.greatest(F.col("_gn"), F.lit(1))
     rr = F.col("_ov") / F.greatest(F.col("_rn"), F.lit(1))
-    return s.select(id_col, p.alias("p"), rr.alias("r"), _fmeasure(p, rr).alias("f"))
+    return s.select(id_col, "n", p.alias("p"), rr.alias("r"), _fmeasure(p, rr).alias("f"))
 
 
 def rouge_n(df: DataFrame, id_col: str, gen_col: str, ref_col: str, ns=(1, 2)) -> DataFrame:
-    """Mean ROUGE-N precision, recall and F over all valid pairs, for each n."""
-    out = None
+    """Mean ROUGE-N precision, recall and F over all valid pairs, one column set per n."""
+    per = rouge_n_pairs(df, id_col, gen_col, ref_col, ns)
+    aggs = [F.count_if(F.col("n") == ns[0]).alias("n_pairs")]
     for n in ns:
-        m = rouge_n_pairs(df, id_col, gen_col, ref_col, n).agg(
-            F.count("*").alias("n_pairs"),
-            round6(F.avg("p")).alias(f"rouge{n}_p"), round6(F.avg("r")).alias(f"rouge{n}_r"),
-            round6(F.avg("f")).alias(f"rouge{n}_f"))
-        # one-row aggregates over the same pairs share n_pairs: equi-join on it
-        out = m if out is None else out.join(m, "n_pairs")
-    return out
+        for m in ("p", "r", "f"):
+            aggs.append(round6(F.avg(F.when(F.col("n") == n, F.col(m)))).alias(f"rouge{n}_{m}"))
+    return per.agg(*aggs)
 
 
 def lcs_length(a, b) -> int:
@@ -102,8 +117,7 @@ def _rouge_l_udf(gen: pd.Series, ref: pd.Series) -> pd.DataFrame:
 
 def rouge_l_pairs(df: DataFrame, id_col: str, gen_col: str, ref_col: str) -> DataFrame:
     """Per pair ROUGE-L ``(id, p, r, f)`` over whole token lists."""
-    pairs = df.filter(F.col(gen_col).isNotNull() & (F.col(gen_col) != "")
-                      & F.col(ref_col).isNotNull() & (F.col(ref_col) != ""))
+    pairs = _valid_pairs(df, gen_col, ref_col)
     s = _rouge_l_udf(T.rouge_tokens(gen_col), T.rouge_tokens(ref_col))
     return pairs.select(id_col, s.alias("_s")).select(id_col, "_s.p", "_s.r", "_s.f")
 

@@ -108,7 +108,7 @@ def q_strip_stopwords(spark, sf):
 def _wc_frame(spark, sf):
     """Cleaned complaints with the stored word count (taken before cleaning,
     as the reference stores it) and the count of the cleaned text."""
-    c = TB.cleaned_complaints(spark, sf)
+    c = TB.cleaned_complaints(spark, sf, with_response=False)
     return c.withColumn("word_count", T.word_count("narrative")) \
             .withColumn("clean_word_count", T.word_count("clean"))
 
@@ -619,7 +619,9 @@ def q_stream_score(spark, sf):
     run = uuid.uuid4().hex
     sink = IO.scratch_path(spark, f"streams/score-{run}/out")
     ckpt = IO.scratch_path(spark, f"streams/score-{run}/checkpoint")
-    q = ST.score_stream(spark, sf, TB.test_lexicon(spark, sf), sink, ckpt, glob="documents.parquet")
+    # the lexicon is written once to the shared folder, not re-derived per micro-batch
+    lexicon = IO.materialize(TB.test_lexicon(spark, sf), spark, f"streams/score-{run}/lexicon")
+    q = ST.score_stream(spark, sf, lexicon, sink, ckpt, glob="documents.parquet")
     q.awaitTermination()
     if q.exception() is not None:
         raise RuntimeError(str(q.exception()))

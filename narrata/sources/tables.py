@@ -19,6 +19,7 @@ TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineite
 
 
 SPREAD_BELOW_BYTES = 256 << 20
+SPREAD_FROM_BYTES = 1 << 20
 
 
 def spread_small(df: DataFrame) -> DataFrame:
@@ -28,7 +29,8 @@ def spread_small(df: DataFrame) -> DataFrame:
     splits are cut, so all row-level work before the first shuffle would run
     on one core. Inputs under 256 MB (local files only) are round-robin
     repartitioned to the default parallelism; large inputs, or inputs on a
-    cluster file system, already arrive in many splits and are left alone.
+    cluster file system, already arrive in many splits and are left alone;
+    inputs under 1 MB are cheap enough for one task.
     """
     spark = df.sparkSession
     files = df.inputFiles()
@@ -36,7 +38,7 @@ def spread_small(df: DataFrame) -> DataFrame:
         return df
     total = sum(os.path.getsize(f[len("file:"):]) for f in files if os.path.exists(f[len("file:"):]))
     n = spark.sparkContext.defaultParallelism
-    if total < SPREAD_BELOW_BYTES and len(files) < n:
+    if SPREAD_FROM_BYTES <= total < SPREAD_BELOW_BYTES and len(files) < n:
         return df.repartition(n)
     return df
 

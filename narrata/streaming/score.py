@@ -48,6 +48,10 @@ def score_stream(spark: SparkSession, source_dir: str, lexicon: DataFrame, sink_
 
     def write_batch(batch: DataFrame, epoch_id: int) -> None:
         out = os.path.join(sink_dir, f"epoch={epoch_id}")
+        cores = batch.sparkSession.sparkContext.defaultParallelism
+        if batch.rdd.getNumPartitions() < cores:
+            # a micro-batch of a few files arrives in few splits: spread it
+            batch = batch.repartition(cores)
         score_batch(batch, lexicon).write.mode("overwrite").parquet(out)
 
     writer = (stream.writeStream.foreachBatch(write_batch)
