@@ -66,8 +66,7 @@ def q_lexicon_sentiment(spark, sf):
 @query("lexicon_sentiment_context")
 def q_lexicon_sentiment_context(spark, sf):
     docs = TB.cleaned_complaints(spark, sf, with_response=False)
-    lex = TB.test_lexicon(spark, sf)
-    neg, bst, cw = TB.test_word_roles(spark, sf)
+    lex, neg, bst, cw = TB.test_word_roles(spark, sf)
     scored = S.lexicon_sentiment_context(docs, "complaint_id", "clean", lex, neg, bst, cw)
     return scored.select("complaint_id", r6("valence_sum").alias("valence_sum"),
                          r6("compound").alias("compound"), "sentiment")
@@ -573,8 +572,7 @@ def q_model_compare(spark, sf):
     c = TB.complaints(spark, sf)
     summ = SU.extractive_summary(c.select("complaint_id", "narrative"), "complaint_id", "narrative")
     c = c.join(summ, "complaint_id")
-    lex = TB.test_lexicon(spark, sf)
-    neg, bst, cw = TB.test_word_roles(spark, sf)
+    lex, neg, bst, cw = TB.test_word_roles(spark, sf)
     inputs = {
         "combined": T.build_text(["narrative", "company", "product", "issue"], "skip", sep=" | ",
                                  labels=["Complaint Narrative", "Company", "Product", "Issue"]),

@@ -88,28 +88,36 @@ def vocabulary_tokens(docs: DataFrame, col: str = "clean") -> DataFrame:
     return docs.select(F.explode(T.words(col)).alias("token")).distinct()
 
 
+def _lexicon_from(toks: DataFrame) -> DataFrame:
+    d = F.substring(F.md5("token"), 1, 1)
+    return (toks.select("token", F.when(d.isin("0", "1"), F.lit(1.5))
+                        .when(d.isin("2", "3"), F.lit(-1.5)).alias("valence"))
+            .filter(F.col("valence").isNotNull()))
+
+
 def test_lexicon(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Valence table derived from the corpus so an SQL engine can rebuild it.
 
     token -> +1.5 when the first md5 hex digit is 0-1, -1.5 when 2-3, else no
     entry. Stands in for a caller-supplied sentiment lexicon.
     """
-    toks = vocabulary_tokens(cleaned_complaints(spark, sf_dir, with_response=False))
-    d = F.substring(F.md5("token"), 1, 1)
-    return (toks.select("token", F.when(d.isin("0", "1"), F.lit(1.5))
-                        .when(d.isin("2", "3"), F.lit(-1.5)).alias("valence"))
-            .filter(F.col("valence").isNotNull()))
+    return _lexicon_from(vocabulary_tokens(cleaned_complaints(spark, sf_dir, with_response=False)))
 
 
 def test_word_roles(spark: SparkSession, sf_dir: str):
-    """Negator and booster word tables plus the contrast word for context rules.
+    """Lexicon, negator and booster tables plus the contrast word, from one vocabulary.
 
     Negators: first md5 hex digit 4; boosters: digit 5; contrast word: the
-    token with the smallest md5 (a one-row aggregate used as a scalar).
+    token with the smallest md5 (a one-row aggregate used as a scalar). The
+    vocabulary is derived once and checkpointed to the shared checkpoint
+    folder, so the four tables do not each re-read and re-clean the corpus.
     """
-    toks = vocabulary_tokens(cleaned_complaints(spark, sf_dir, with_response=False))
+    from narrata.session import checkpoint_dir
+
+    checkpoint_dir(spark)
+    toks = vocabulary_tokens(cleaned_complaints(spark, sf_dir, with_response=False)).checkpoint()
     d = F.substring(F.md5("token"), 1, 1)
     negators = toks.filter(d == "4")
     boosters = toks.filter(d == "5")
     contrast = toks.agg(F.min_by("token", F.md5("token")).alias("token"))
-    return negators, boosters, contrast
+    return _lexicon_from(toks), negators, boosters, contrast
