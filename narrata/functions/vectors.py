@@ -71,3 +71,15 @@ def true_class_rank(scores, label) -> Column:
     sy = F.element_at(s, y + 1)
     ahead = F.filter(s, lambda x, i: (x > sy) | ((x == sy) & (i > y)))
     return (F.size(ahead) + 1).cast("int")
+
+
+def top_k_classes(scores, k: int) -> Column:
+    """0-based indices of the k best scores, best first; on equal scores the
+    higher class index comes first."""
+    s = as_double(scores)
+    pairs = F.transform(s, lambda x, i: F.struct(x.alias("score"), i.alias("cls")))
+    ordered = F.array_sort(pairs, lambda a, b: F.when(a["score"] > b["score"], -1)
+                           .when(a["score"] < b["score"], 1)
+                           .when(a["cls"] > b["cls"], -1)
+                           .when(a["cls"] < b["cls"], 1).otherwise(0))
+    return F.transform(F.slice(ordered, 1, k), lambda p: p["cls"])

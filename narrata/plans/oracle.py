@@ -301,6 +301,9 @@ EMB = [
 ]
 oracle("linear_scores", with_(*EMB)
        + "SELECT vec_id, y AS label, pred, round(prob, 6) AS prob, probs_2dp FROM pp")
+oracle("top_k_classes", with_(*EMB)
+       + "SELECT vec_id, y AS label, list(CAST(cls AS INTEGER) ORDER BY s DESC, cls DESC)[1:3] AS top_3 "
+       "FROM sc GROUP BY vec_id, y")
 oracle("accuracy", with_(*EMB)
        + "SELECT round(avg(CASE WHEN y = pred THEN 1.0 ELSE 0.0 END), 6) AS accuracy, count(*) AS n FROM pv")
 oracle("confusion_matrix", with_(

@@ -354,6 +354,12 @@ def q_linear_scores(spark, sf):
                     V.round_elements("probs", 2).alias("probs_2dp"))
 
 
+@query("top_k_classes")
+def q_top_k_classes(spark, sf):
+    m = _embedding_model(spark, sf)
+    return m.select("vec_id", "label", V.top_k_classes("scores", 3).alias("top_3"))
+
+
 @query("accuracy")
 def q_accuracy(spark, sf):
     return MT.accuracy(_embedding_model(spark, sf), "label", "pred")

@@ -67,3 +67,8 @@ def test_cross_entropy(spark):
     got = MT.cross_entropy(df, "y", "s").first()["mean_ce"]
     want = (-math.log(math.exp(2) / (math.exp(2) + 1)) - math.log(math.e / (1 + math.e))) / 2
     assert abs(got - want) < 1e-6
+
+
+def test_top_k_classes_ties(spark):
+    df = spark.createDataFrame([([1.0, 3.0, 3.0, 0.5],)], "s array<double>")
+    assert df.select(V.top_k_classes("s", 3)).first()[0] == [2, 1, 0]
