@@ -125,9 +125,11 @@ def balanced_resample(df: DataFrame, col: str, id_col: str, draws: DataFrame, dr
     ``md5(seed || ':draw:' || j)``. Draws and ranked rows meet in one
     equi-join on (class, rank).
     """
-    ranked = exact_rank(df.filter(F.col(col).isNotNull()), col, id_col, seed,
-                        rank_col="_rank", keep_class_size=True)
-    classes = (ranked.groupBy(col).agg(F.max("_class_n").alias("_cnt")))
+    rows = df.filter(F.col(col).isNotNull())
+    ranked = exact_rank(rows, col, id_col, seed, rank_col="_rank")
+    # class sizes from a separate map-side-combined count (one row per class),
+    # not from the ranked frame, so the rank windows run once
+    classes = rows.groupBy(col).agg(F.count("*").alias("_cnt"))
     classes = classes.withColumn("_cidx", (F.row_number().over(Window.orderBy(col)) - 1).cast("long"))
     k = classes.agg(F.count("*")).scalar()
     hd = F.md5(F.concat(F.lit(str(seed)), F.lit(":draw:"), F.col(draw_col).cast("string")))
