@@ -16,6 +16,8 @@ def get_session(master: str | None = None, shuffle_partitions: int | None = None
     explicit arguments are for local runs and tests.
     """
     builder = SparkSession.builder.appName(app_name)
+    if os.environ.get("NARRATA_EVENT_LOG"):
+        builder = builder.config("spark.eventLog.enabled", "true").config("spark.eventLog.dir", os.environ["NARRATA_EVENT_LOG"])
     if master:
         builder = builder.master(master)
     conf = {
