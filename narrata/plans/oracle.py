@@ -474,5 +474,27 @@ oracle("stream_score", "WITH " + SCORED + f"""
 SELECT complaint_id, product, sentiment, {SENT_NAME} AS sentiment_name FROM scored""")
 
 
+def _chunk_sql(max_words: int = 512) -> str:
+    n = f"CAST(len({Q.words('s')}) AS BIGINT)"
+    step = ("lambda acc, x: CASE WHEN acc.cur_n + x.cur_n <= " + str(max_words) + " THEN "
+            "{'done': acc.done, 'cur': CASE WHEN acc.cur = '' THEN x.cur ELSE acc.cur || ' ' || x.cur END, "
+            "'cur_n': acc.cur_n + x.cur_n} "
+            "ELSE {'done': list_append(acc.done, acc.cur), 'cur': x.cur, 'cur_n': x.cur_n} END")
+    items = f"list_transform(ss, lambda s: {{'done': []::VARCHAR[], 'cur': s, 'cur_n': {n}}})"
+    init = "{'done': []::VARCHAR[], 'cur': '', 'cur_n': CAST(0 AS BIGINT)}"
+    return with_(
+        COMPLAINTS_NR,
+        f"ss AS (SELECT complaint_id, {Q.sentences('narrative')} AS ss FROM complaints)",
+        f"acc AS (SELECT complaint_id, list_reduce({items}, {step}, {init}) AS acc FROM ss)",
+        "cs AS (SELECT complaint_id, list_filter(list_append(acc.done, acc.cur), lambda c: c <> '') AS chunks "
+        "FROM acc)",
+        "ex AS (SELECT complaint_id, unnest(chunks) AS chunk, generate_subscripts(chunks, 1) - 1 AS chunk_index "
+        "FROM cs)") + (f"SELECT complaint_id, CAST(chunk_index AS BIGINT) AS chunk_index, chunk, "
+                       f"{Q.word_count('chunk')} AS chunk_words FROM ex")
+
+
+oracle("chunk_sentences", _chunk_sql(512))
+
+
 def oracle_sql() -> dict[str, str]:
     return dict(ORACLE)
