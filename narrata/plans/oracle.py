@@ -474,7 +474,7 @@ oracle("stream_score", "WITH " + SCORED + f"""
 SELECT complaint_id, product, sentiment, {SENT_NAME} AS sentiment_name FROM scored""")
 
 
-def _chunk_sql(max_words: int = 512) -> str:
+def _chunk_ctes(max_words: int = 512) -> list[str]:
     n = f"CAST(len({Q.words('s')}) AS BIGINT)"
     step = ("lambda acc, x: CASE WHEN acc.cur_n + x.cur_n <= " + str(max_words) + " THEN "
             "{'done': acc.done, 'cur': CASE WHEN acc.cur = '' THEN x.cur ELSE acc.cur || ' ' || x.cur END, "
@@ -482,17 +482,59 @@ def _chunk_sql(max_words: int = 512) -> str:
             "ELSE {'done': list_append(acc.done, acc.cur), 'cur': x.cur, 'cur_n': x.cur_n} END")
     items = f"list_transform(ss, lambda s: {{'done': []::VARCHAR[], 'cur': s, 'cur_n': {n}}})"
     init = "{'done': []::VARCHAR[], 'cur': '', 'cur_n': CAST(0 AS BIGINT)}"
-    return with_(
+    return [
         COMPLAINTS_NR,
         f"ss AS (SELECT complaint_id, {Q.sentences('narrative')} AS ss FROM complaints)",
         f"acc AS (SELECT complaint_id, list_reduce({items}, {step}, {init}) AS acc FROM ss)",
         "cs AS (SELECT complaint_id, list_filter(list_append(acc.done, acc.cur), lambda c: c <> '') AS chunks "
         "FROM acc)",
         "ex AS (SELECT complaint_id, unnest(chunks) AS chunk, generate_subscripts(chunks, 1) - 1 AS chunk_index "
-        "FROM cs)") + (f"SELECT complaint_id, CAST(chunk_index AS BIGINT) AS chunk_index, chunk, "
-                       f"{Q.word_count('chunk')} AS chunk_words FROM ex")
+        "FROM cs)",
+    ]
+
+
+def _chunk_sql(max_words: int = 512) -> str:
+    return with_(*_chunk_ctes(max_words)) + (
+        f"SELECT complaint_id, CAST(chunk_index AS BIGINT) AS chunk_index, chunk, "
+        f"{Q.word_count('chunk')} AS chunk_words FROM ex")
+
+
+def _summary_ctes(p: str, src: str, key: str, text: str) -> list[str]:
+    """The extractive-summary SQL over any (key, text) source, CTE names prefixed."""
+    return [
+        f"{p}sents AS (SELECT {key}, unnest(ss) AS sent, generate_subscripts(ss, 1) - 1 AS spos "
+        f"FROM (SELECT {key}, {Q.sentences(text)} AS ss FROM {src}))",
+        f"{p}sents2 AS (SELECT *, CAST(len({Q.words('sent')}) AS BIGINT) AS sw FROM {p}sents)",
+        f"{p}toks AS (SELECT {key}, spos, unnest({Q.words(Q.clean('sent'))}) AS tok FROM {p}sents)",
+        f"{p}tf AS (SELECT {key}, tok, count(*) AS tf FROM {p}toks GROUP BY {key}, tok)",
+        f"{p}dlen AS (SELECT {key}, sum(tf) AS dlen FROM {p}tf GROUP BY {key})",
+        f"{p}dfreq AS (SELECT tok, count(*) AS dfreq FROM {p}tf GROUP BY tok)",
+        f"{p}w AS (SELECT a.{key}, a.tok, CAST(round(a.tf / d.dlen * ln((SELECT count(*) FROM {src}) "
+        f"/ f.dfreq) * 1e9) AS BIGINT) AS wint FROM {p}tf a JOIN {p}dfreq f ON f.tok = a.tok "
+        f"JOIN {p}dlen d ON d.{key} = a.{key})",
+        f"{p}ps AS (SELECT t.{key}, t.spos, sum(w.wint) AS ws, count(*) AS nt FROM {p}toks t JOIN {p}w w "
+        f"ON w.{key} = t.{key} AND w.tok = t.tok GROUP BY t.{key}, t.spos)",
+        f"{p}sc AS (SELECT s.*, coalesce(ps.ws / ps.nt, 0.0) AS score FROM {p}sents2 s LEFT JOIN {p}ps ps "
+        f"ON ps.{key} = s.{key} AND ps.spos = s.spos)",
+        f"{p}rk AS (SELECT *, sum(sw) OVER (PARTITION BY {key}) AS n, row_number() OVER (PARTITION BY "
+        f"{key} ORDER BY score DESC, spos) AS rn, sum(sw) OVER (PARTITION BY {key} ORDER BY "
+        f"score DESC, spos ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS cum FROM {p}sc)",
+        f"{p}kept AS (SELECT * FROM {p}rk WHERE n >= 10 AND (rn = 1 OR cum <= least(n, 120)))",
+        f"{p}summ AS (SELECT {key}, string_agg(sent, ' ' ORDER BY spos) AS summary FROM {p}kept GROUP BY {key})",
+    ]
 
 
+oracle("chunked_summary", with_(
+    *_chunk_ctes(512),
+    "kd AS (SELECT CAST(complaint_id AS VARCHAR) || ':' || CAST(chunk_index AS VARCHAR) AS ck, complaint_id, "
+    "chunk_index, chunk FROM ex)",
+    *_summary_ctes("k_", "kd", "ck", "chunk"),
+    "per AS (SELECT kd.complaint_id, kd.chunk_index, coalesce(s.summary, '') AS cs FROM kd "
+    "LEFT JOIN k_summ s ON s.ck = kd.ck)",
+    "agg AS (SELECT complaint_id, string_agg(cs, ' ' ORDER BY chunk_index) FILTER (WHERE cs <> '') AS summary "
+    "FROM per GROUP BY complaint_id)")
+    + "SELECT c.complaint_id, coalesce(a.summary, '') AS summary FROM complaints c "
+    "LEFT JOIN agg a ON a.complaint_id = c.complaint_id")
 oracle("chunk_sentences", _chunk_sql(512))
 
 
