@@ -57,7 +57,11 @@ SELECT sentiment, count(*) AS count, round(count(*) / (SELECT count(*) FROM name
 FROM named GROUP BY sentiment""")
 
 
-def _context_sql() -> str:
+def _context_ctes(p: str, src: str, key: str) -> list[str]:
+    """Context-rule scoring of ``src(key, clean)``; needs vocab and lex CTEs.
+
+    Ends with ``{p}sc(key, valence_sum)`` for every row of ``src``.
+    """
     steps = []
     prev = "v0"
     for d in (1, 2, 3):
@@ -65,29 +69,36 @@ def _context_sql() -> str:
         b = f"(bst{d} AND val{d} IS NULL)"
         n = f"(neg{d} AND val{d} IS NULL)"
         add = f"{prev} + CASE WHEN {b} THEN (CASE WHEN {prev} < 0 THEN -{inc} ELSE {inc} END) ELSE 0.0 END"
-        steps.append(f"s{d}a AS (SELECT *, {add} AS a{d} FROM {'s0' if d == 1 else f's{d-1}b'})")
-        steps.append(f"s{d}b AS (SELECT *, CASE WHEN {n} THEN a{d} * ({S.NEGATION_SCALAR!r}) "
-                     f"ELSE a{d} END AS w{d} FROM s{d}a)")
+        steps.append(f"{p}s{d}a AS (SELECT *, {add} AS a{d} FROM {p + 's0' if d == 1 else f'{p}s{d-1}b'})")
+        steps.append(f"{p}s{d}b AS (SELECT *, CASE WHEN {n} THEN a{d} * ({S.NEGATION_SCALAR!r}) "
+                     f"ELSE a{d} END AS w{d} FROM {p}s{d}a)")
         prev = f"w{d}"
     lags = ", ".join(f"lag(val, {d}) OVER w AS val{d}, lag(neg, {d}) OVER w AS neg{d}, "
                      f"lag(bst, {d}) OVER w AS bst{d}" for d in (1, 2, 3))
-    return ("WITH " + CLEANED_NR + Q.lexicon_ctes()
-            + ", tw AS (SELECT complaint_id, " + Q.words("clean") + " AS w FROM cleaned)"
-            + ", toks AS (SELECT complaint_id, unnest(w) AS tok, generate_subscripts(w, 1) - 1 AS pos FROM tw)"
-            + ", cw AS (SELECT arg_min(token, md5(token)) AS token FROM vocab)"
-            + ", r AS (SELECT t.complaint_id, t.pos, t.tok, l.valence AS val, "
-              "substr(md5(t.tok), 1, 1) = '4' AS neg, substr(md5(t.tok), 1, 1) = '5' AS bst, "
-              "t.tok = (SELECT token FROM cw) AS iscw FROM toks t LEFT JOIN lex l ON l.token = t.tok)"
-            + f", s0 AS (SELECT *, CASE WHEN bst THEN 0.0 ELSE val END AS v0, {lags}, "
-              "min(CASE WHEN iscw THEN pos END) OVER (PARTITION BY complaint_id) AS bi "
-              "FROM r WINDOW w AS (PARTITION BY complaint_id ORDER BY pos))"
-            + ", " + ", ".join(steps)
-            + f", fin AS (SELECT complaint_id, CASE WHEN bi IS NULL THEN w3 WHEN pos < bi THEN w3 * "
-              f"{S.BEFORE_CONTRAST!r} WHEN pos > bi THEN w3 * {S.AFTER_CONTRAST!r} ELSE w3 END AS v FROM s3b)"
-            + ", per AS (SELECT complaint_id, sum(CAST(round(v * 1e9) AS BIGINT)) / 1e9 AS s FROM fin GROUP BY complaint_id)"
-            + ", sc AS (SELECT c.complaint_id, CAST(coalesce(p.s, 0) AS DOUBLE) AS valence_sum "
-              "FROM cleaned c LEFT JOIN per p ON p.complaint_id = c.complaint_id) "
-            + "SELECT complaint_id, round(valence_sum, 6) AS valence_sum, round("
+    return [
+        f"{p}tw AS (SELECT {key}, {Q.words('clean')} AS w FROM {src})",
+        f"{p}toks AS (SELECT {key}, unnest(w) AS tok, generate_subscripts(w, 1) - 1 AS pos FROM {p}tw)",
+        f"{p}cw AS (SELECT arg_min(token, md5(token)) AS token FROM vocab)",
+        f"{p}r AS (SELECT t.{key}, t.pos, t.tok, l.valence AS val, "
+        "(v.token IS NOT NULL AND substr(md5(t.tok), 1, 1) = '4') AS neg, "
+        "(v.token IS NOT NULL AND substr(md5(t.tok), 1, 1) = '5') AS bst, "
+        f"t.tok = (SELECT token FROM {p}cw) AS iscw FROM {p}toks t LEFT JOIN lex l ON l.token = t.tok "
+        "LEFT JOIN vocab v ON v.token = t.tok)",
+        f"{p}s0 AS (SELECT *, CASE WHEN bst THEN 0.0 ELSE val END AS v0, {lags}, "
+        f"min(CASE WHEN iscw THEN pos END) OVER (PARTITION BY {key}) AS bi "
+        f"FROM {p}r WINDOW w AS (PARTITION BY {key} ORDER BY pos))",
+        *steps,
+        f"{p}fin AS (SELECT {key}, CASE WHEN bi IS NULL THEN w3 WHEN pos < bi THEN w3 * "
+        f"{S.BEFORE_CONTRAST!r} WHEN pos > bi THEN w3 * {S.AFTER_CONTRAST!r} ELSE w3 END AS v FROM {p}s3b)",
+        f"{p}per AS (SELECT {key}, sum(CAST(round(v * 1e9) AS BIGINT)) / 1e9 AS s FROM {p}fin GROUP BY {key})",
+        f"{p}sc AS (SELECT c.{key}, CAST(coalesce(x.s, 0) AS DOUBLE) AS valence_sum "
+        f"FROM {src} c LEFT JOIN {p}per x ON x.{key} = c.{key})",
+    ]
+
+
+def _context_sql() -> str:
+    return ("WITH " + CLEANED_NR + Q.lexicon_ctes() + ", " + ", ".join(_context_ctes("", "cleaned", "complaint_id"))
+            + " SELECT complaint_id, round(valence_sum, 6) AS valence_sum, round("
             + Q.compound("valence_sum") + ", 6) AS compound, " + Q.label(Q.compound("valence_sum"))
             + " AS sentiment FROM sc")
 
@@ -538,5 +549,30 @@ oracle("chunked_summary", with_(
 oracle("chunk_sentences", _chunk_sql(512))
 
 
+_COMBINED = ("concat_ws(' | ', CASE WHEN narrative <> '' THEN 'Complaint Narrative: ' || narrative END, "
+             "CASE WHEN company <> '' THEN 'Company: ' || company END, "
+             "CASE WHEN product <> '' THEN 'Product: ' || product END, "
+             "CASE WHEN issue <> '' THEN 'Issue: ' || issue END)")
+oracle("model_compare", "WITH " + CLEANED_NR + Q.lexicon_ctes() + ", " + ", ".join([
+    *_summary_ctes("s_", "complaints", "complaint_id", "narrative"),
+    "stacked AS (SELECT CAST(complaint_id AS VARCHAR) || '|combined' AS _key, complaint_id, 'combined' AS input, "
+    + _COMBINED + " AS text FROM complaints UNION ALL "
+    "SELECT CAST(c.complaint_id AS VARCHAR) || '|summary', c.complaint_id, 'summary', "
+    "CASE WHEN coalesce(s.summary, '') <> '' THEN s.summary ELSE 'No summary generated in Page 1.' END "
+    "FROM complaints c LEFT JOIN s_summ s ON s.complaint_id = c.complaint_id)",
+    f"sclean AS (SELECT _key, complaint_id, input, {Q.clean('text')} AS clean FROM stacked)",
+    f"ptok AS (SELECT _key, unnest({Q.words('clean')}) AS tok FROM sclean)",
+    "psum AS (SELECT t._key, sum(l.valence) AS s FROM ptok t JOIN lex l ON l.token = t.tok GROUP BY t._key)",
+    "plain AS (SELECT c._key, CAST(coalesce(x.s, 0) AS DOUBLE) AS valence_sum FROM sclean c "
+    "LEFT JOIN psum x ON x._key = c._key)",
+    *_context_ctes("x_", "sclean", "_key"),
+    "scored2 AS (SELECT _key, 'lexicon' AS model, valence_sum FROM plain UNION ALL "
+    "SELECT _key, 'lexicon_context', valence_sum FROM x_sc)",
+    "lab AS (SELECT b._key, b.model, " + Q.label(Q.compound("b.valence_sum")) + " AS sentiment FROM scored2 b)",
+]) + f""" SELECT s.complaint_id, s.input, l.model, l.sentiment,
+  CASE l.sentiment WHEN 0 THEN 'Negative' WHEN 1 THEN 'Neutral' WHEN 2 THEN 'Positive' END AS sentiment_name
+FROM lab l JOIN stacked s ON s._key = l._key""")
+
+
 def oracle_sql() -> dict[str, str]:
     return dict(ORACLE)
