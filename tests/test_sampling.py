@@ -95,3 +95,23 @@ def test_class_weights_balanced(spark):
     df = spark.createDataFrame([("a",)] * 3 + [("b",)], "r string")
     w = {r[0]: r[2] for r in LB.class_weights(df, "r").collect()}
     assert w == {"a": round(4 / 6, 6), "b": 2.0}
+
+
+def test_rank_window_partitioned_by_class_and_bucket(spark):
+    ev = events(spark)
+    p = SM.stratified_folds(ev, "event_type", "event_id", 5)._jdf.queryExecution().executedPlan().toString()
+    assert "hashpartitioning(event_type" in p and "_b" in p
+
+
+def test_hot_class_spread_over_buckets(spark):
+    ev = events(spark).withColumn(
+        "cls", F.when(F.col("event_id") % 10 < 8, F.lit("hot")).otherwise(F.col("event_type")))
+    got = SM.exact_rank(ev, "cls", "event_id", 42, bucket_chars=2)
+    w = Window.partitionBy("cls").orderBy(SM.hash_key(42, "event_id"))
+    want = ev.withColumn("rank", F.row_number().over(w))
+    assert got.select("event_id", "rank").exceptAll(want.select("event_id", "rank")).count() == 0
+    hot = ev.filter(F.col("cls") == "hot").count()
+    biggest = (ev.filter(F.col("cls") == "hot")
+               .groupBy(F.substring(SM.hash_key(42, "event_id"), 1, 2)).count()
+               .agg(F.max("count")).first()[0])
+    assert biggest < hot / 50
