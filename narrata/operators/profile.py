@@ -92,20 +92,18 @@ def bin_index(c, edges=LENGTH_EDGES):
 def bin_counts(df: DataFrame, col: str, edges=LENGTH_EDGES, labels=LENGTH_LABELS) -> DataFrame:
     """Frequency per labelled bin, empty bins kept with 0.
 
-    The bin label table has exactly ``len(labels)`` rows, so broadcasting it
-    is bounded by construction.
+    One global aggregate of conditional counts (one per bin, partial
+    aggregation map-side) expanded into one row per bin. No join: a join
+    against the label table would let the optimizer infer a NOT NULL filter
+    on the bin and push the bin expression down to the scan.
     """
-    spark = df.sparkSession
-    names = F.array(*[F.lit(x) for x in labels])
-    lab = spark.range(len(labels)).select(F.col("id").cast("int").alias("bin_order"),
-                                          F.element_at(names, F.col("id").cast("int") + 1).alias("bin"))
-    # NULL values (no bin) are counted and dropped by the join below, not by a
-    # filter: a filter on the bin would be pushed down to the scan and
-    # re-evaluate the bin expression there.
-    counts = df.select(bin_index(col, edges).alias("bin_order")).groupBy("bin_order").agg(
-        F.count("*").alias("frequency"))
-    return (F.broadcast(lab).join(counts, "bin_order", "left")
-            .select("bin_order", "bin", F.coalesce("frequency", F.lit(0)).cast("bigint").alias("frequency")))
+    b = bin_index(col, edges)
+    counts = df.select(b.alias("_bin")).agg(
+        *[F.count_if(F.col("_bin") == i).alias(f"_c{i}") for i in range(len(labels))])
+    rows = F.array(*[F.struct(F.lit(i).alias("bin_order"), F.lit(lab).alias("bin"),
+                              F.col(f"_c{i}").cast("bigint").alias("frequency"))
+                     for i, lab in enumerate(labels)])
+    return counts.select(F.inline(rows))
 
 
 def histogram(df: DataFrame, col: str, bins: int = 30) -> DataFrame:
