@@ -9,8 +9,7 @@ becomes an explicit class, because Java's ``\\w`` and ``\\s`` are ASCII-only.
 from __future__ import annotations
 
 import functools
-import os
-import zipfile
+from importlib import resources
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -77,20 +76,14 @@ def word_count(c) -> Column:
 
 @functools.lru_cache(maxsize=1)
 def default_stopwords() -> tuple[str, ...]:
-    """Spark MLlib's default English stop-word list (read from the MLlib jar).
+    """Spark MLlib's default English stop words, from the package data file.
 
-    Same list ``StopWordsRemover.loadDefaultStopWords("english")`` returns;
-    read from the jar so it is available without a running JVM.
+    The list ``StopWordsRemover.loadDefaultStopWords("english")`` returns. Read
+    as a package resource on first use: no jar, no JVM and no folder is touched
+    when the module is imported, and it works from a zipped package.
     """
-    import pyspark
-
-    jars = os.path.join(os.path.dirname(pyspark.__file__), "jars")
-    for name in sorted(os.listdir(jars)):
-        if name.startswith("spark-mllib_") and name.endswith(".jar"):
-            with zipfile.ZipFile(os.path.join(jars, name)) as z:
-                raw = z.read("org/apache/spark/ml/feature/stopwords/english.txt")
-            return tuple(w for w in raw.decode("utf-8").split("\n") if w)
-    raise FileNotFoundError("spark-mllib jar with default stop words not found")
+    raw = resources.files("narrata.data").joinpath("stopwords_en.txt").read_text(encoding="utf-8")
+    return tuple(w for w in raw.split("\n") if w)
 
 
 def letters_only_stopwords(stopwords=None) -> list[str]:

@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 import os
-import tempfile
 
 from pyspark.sql import SparkSession
 
@@ -48,14 +47,15 @@ def get_session(master: str | None = None, shuffle_partitions: int | None = None
 def checkpoint_dir(spark: SparkSession) -> str:
     """Shared checkpoint folder: ``spark.checkpoint.dir`` from the session.
 
-    Only when the cluster names none (local tests) a private folder is
-    created and registered; on a cluster the configured shared folder wins.
+    Where the session names none (tests, notebooks) a folder under the
+    warehouse is used: like the checkpoint folder, the warehouse is by
+    definition visible to the driver and every executor.
     """
     current = spark.sparkContext.getCheckpointDir()
     if current:
         return current
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if not configured:
-        configured = tempfile.mkdtemp(prefix="narrata-ckpt-")
+        configured = spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/_checkpoints"
     spark.sparkContext.setCheckpointDir(configured)
     return spark.sparkContext.getCheckpointDir() or configured

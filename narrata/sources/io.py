@@ -8,8 +8,6 @@ Everything written goes under the cluster's shared checkpoint folder
 
 from __future__ import annotations
 
-import os
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as TY
 
@@ -27,10 +25,7 @@ COMPLAINT_SCHEMA = TY.StructType([
 
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A path under the shared checkpoint folder."""
-    base = checkpoint_dir(spark)
-    if base.startswith("file:"):
-        base = base[len("file:"):]
-    return os.path.join(base, "narrata", name)
+    return "/".join([checkpoint_dir(spark).rstrip("/"), "narrata", name])
 
 
 def read_complaints(spark: SparkSession, path: str, schema: TY.StructType = COMPLAINT_SCHEMA) -> DataFrame:

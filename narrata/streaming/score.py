@@ -9,8 +9,6 @@ retried batch idempotent (exactly-once output with the checkpointed offsets).
 
 from __future__ import annotations
 
-import os
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as TY
@@ -47,11 +45,7 @@ def score_stream(spark: SparkSession, source_dir: str, lexicon: DataFrame, sink_
     stream = reader.parquet(source_dir)
 
     def write_batch(batch: DataFrame, epoch_id: int) -> None:
-        out = os.path.join(sink_dir, f"epoch={epoch_id}")
-        cores = batch.sparkSession.sparkContext.defaultParallelism
-        if batch.rdd.getNumPartitions() < cores:
-            # a micro-batch of a few files arrives in few splits: spread it
-            batch = batch.repartition(cores)
+        out = f"{sink_dir}/epoch={epoch_id}"
         score_batch(batch, lexicon).write.mode("overwrite").parquet(out)
 
     writer = (stream.writeStream.foreachBatch(write_batch)
