@@ -6,10 +6,10 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from narrata.llm import token_files
+from narrata.llm import decontaminate, packing, token_files
 
-_QUERIES = [token_files.op6_token_files]
-_SQL: dict[str, str] = {}
+_QUERIES = [packing.op3_packing, decontaminate.op5_benchmark_decontamination, token_files.op6_token_files]
+_SQL: dict[str, str] = {"op5_benchmark_decontamination": decontaminate.SQL}
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
