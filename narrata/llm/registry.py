@@ -6,10 +6,34 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from narrata.llm import decontaminate, packing, token_files
-
-_QUERIES = [packing.op3_packing, decontaminate.op5_benchmark_decontamination, token_files.op6_token_files]
-_SQL: dict[str, str] = {"op5_benchmark_decontamination": decontaminate.SQL}
+from narrata.llm import (
+    ball_tree,
+    chat_format,
+    decontaminate,
+    kd_shards,
+    language_id,
+    license_scan,
+    packing,
+    token_counts,
+    token_files,
+)
+
+_QUERIES = [
+    license_scan.op2_license_scan,
+    packing.op3_packing,
+    token_counts.op4_token_counts,
+    decontaminate.op5_benchmark_decontamination,
+    token_files.op6_token_files,
+    chat_format.op7_chat_format,
+    kd_shards.op8_kd_shards,
+    language_id.op9_language_id,
+    ball_tree.op10_ball_tree_top_k,
+]
+_SQL: dict[str, str] = {
+    "op5_benchmark_decontamination": decontaminate.SQL,
+    "op7_chat_format": chat_format.SQL,
+    "op10_ball_tree_top_k": ball_tree.SQL,
+}
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
