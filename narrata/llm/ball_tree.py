@@ -233,9 +233,9 @@ def op10_ball_tree_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 SQL = f"""
-WITH v AS (SELECT vec_id, list_transform(embedding, x -> floor({SCALE} * CAST(x AS DOUBLE))) AS e FROM embeddings
+WITH v AS (SELECT vec_id, list_transform(embedding, lambda x: floor({SCALE} * CAST(x AS DOUBLE))) AS e FROM embeddings
            WHERE vec_id IS NOT NULL AND len(embedding) > 0
-             AND len(list_filter(embedding, x -> x IS NULL OR NOT isfinite(x))) = 0),
+             AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
 scored AS (SELECT q.vec_id AS query_id, c.vec_id, CAST(list_dot_product(q.e, c.e) AS BIGINT) AS score
            FROM v q JOIN v c ON c.vec_id <> q.vec_id AND len(c.e) = len(q.e) WHERE q.vec_id % {QUERY_EVERY} = 0)
 SELECT query_id, CAST(rank AS INTEGER) AS rank, vec_id, score FROM (

@@ -13,12 +13,14 @@ from narrata.llm import (
     kd_shards,
     language_id,
     license_scan,
+    ngram_join,
     packing,
     token_counts,
     token_files,
 )
 
 _QUERIES = [
+    ngram_join.op1_ngram_join,
     license_scan.op2_license_scan,
     packing.op3_packing,
     token_counts.op4_token_counts,
