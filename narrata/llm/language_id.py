@@ -32,6 +32,7 @@ MAX_LANGUAGES = 64
 EPOCHS = 8
 UNDETERMINED = "und"
 _PAD, _UNSEEN = 0, 1
+_HASHES = (1 << 63) - 1
 
 
 @dataclass
@@ -174,12 +175,17 @@ def training_windows(docs: DataFrame) -> list[tuple[bytes, str]]:
     labelled = docs.filter(F.col("lang").isNotNull() & F.col("doc_id").isNotNull() & ~held_out()
                            & F.col("text").rlike(r"\p{L}"))
     most = labelled.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(MAX_LANGUAGES)
-    languages = [r.lang for r in most.collect()]
-    h = F.xxhash64("doc_id", "text")
+    counts = {r.lang: r["count"] for r in most.collect()}
+    if not counts:
+        return []
+    # ids by a hash; only hashes below a bound that holds some four samples go on, so no task sees a whole language
+    h = F.shiftrightunsigned(F.xxhash64("doc_id", "text"), 1)
+    bound = F.element_at(F.create_map(*(F.lit(x) for lang, n in counts.items() for x in (
+        lang, min(_HASHES, 4 * DOCS_PER_LANGUAGE * _HASHES // n)))), F.col("lang"))
     first = Window.partitionBy("lang").orderBy("h")
     places = F.transform(F.sequence(F.lit(0), F.lit(WINDOWS_PER_DOC - 1)), lambda i: F.when(
         i == 0, F.lit(0)).otherwise(F.pmod(F.xxhash64(F.col("h"), i), F.length("text"))))
-    cut = (labelled.filter(F.col("lang").isin(languages)).withColumn("h", h)
+    cut = (labelled.filter(F.col("lang").isin(list(counts))).withColumn("h", h).filter(F.col("h") <= bound)
            .withColumn("windows", F.transform(places, lambda at: F.substring(
                F.col("text"), (at + 1).cast("int"), F.lit(WINDOW))))
            .select("lang", "h", "windows"))
@@ -252,6 +258,20 @@ def identify(docs: DataFrame, model: Model | None, keep: list[str] | None = None
     return docs.select(*dict.fromkeys([*keep, text])).mapInArrow(_apply(held, text, keep, list(names)), schema)
 
 
+def keep_identified(docs: DataFrame, least: float = 0.5) -> DataFrame:
+    """``docs`` whose language the network (trained on their own labels) is sure of; all columns stay.
+
+    Rejected are texts without a letter and texts of which no language has
+    half of the probability (texts that mix languages).
+    """
+    names = ("lang_pred", "score")
+    while set(names) & set(docs.columns):
+        names = ("_" + names[0], "_" + names[1])
+    found = identify(docs, fit(docs), names=names)
+    sure = (F.col(names[0]) != UNDETERMINED) & (F.col(names[1]) >= least)
+    return found.filter(sure).select(*docs.columns)
+
+
 def op9_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The predicted language of every document."""
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")

@@ -28,6 +28,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import LongType, StructField, StructType
 
 from narrata.llm.batches import row_chunks, text_buffer
 from narrata.llm.components import components
@@ -262,7 +263,7 @@ def _link_large(spark: SparkSession, texts: DataFrame, labels: DataFrame, sizes:
 
 def similar_components(docs: DataFrame, shingle: int = SHINGLE, similar: tuple[int, int] = SIMILAR,
                        doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """(doc_id, n_shingles, node, component_id) of every row.
+    """(doc_id, n_shingles, node, component, component_id) of every row; node is its set's id, component its component's.
 
     A text is the set of its distinct ``shingle``-word shingles (A-Z to lower
     case, words between white space; fewer words: all as one). Rows link when
@@ -329,13 +330,66 @@ def similar_components(docs: DataFrame, shingle: int = SHINGLE, similar: tuple[i
     # from labels to the least doc_id, for every class and then for every row
     named = IO.materialize(labels.join(classes.select("node", "rep"), "node"), spark, f"{run}/named")
     least = IO.materialize(named.groupBy("label").agg(F.min("rep").alias("component")), spark, f"{run}/least")
-    linked = named.join(least, "label").select("node", "component")
+    linked = named.join(least, "label").select("node", "label", "component")
     final = IO.materialize(classes.join(linked, "node", "left").select(
-        "node", F.coalesce("component", "rep").alias("component")), spark, f"{run}/components")
+        "node", F.coalesce("label", "node").alias("component"), F.coalesce("component", "rep").alias("component_id")),
+        spark, f"{run}/components")
     return rows.join(final, "node", "left").select(
-        "doc_id", F.col("n").alias("n_shingles"), "node", F.coalesce("component", "doc_id").alias("component_id"))
+        "doc_id", F.col("n").alias("n_shingles"), "node", "component",
+        F.coalesce("component_id", "doc_id").alias("component_id"))
+
+
+def _fresh(name: str, taken: list[str]) -> str:
+    """A column name that the table doesn't have."""
+    while name in taken:
+        name = "_" + name
+    return name
+
+
+def _split_off(k: int, suspects, inside: bool, names: list[str]):
+    """Rows whose id is in the bitmap, with their set's id, or the other rows."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for rows in row_chunks(batches, "text"):
+            ids = rows.column("doc_id")
+            hit = _in_bitmap(suspects.value, ids.cast(pa.int64()).fill_null(0).to_numpy()) & np.array(ids.is_valid())
+            rows = rows.filter(pa.array(hit == inside))
+            if not inside:
+                yield rows
+            elif rows.num_rows:
+                node = set_ids(*shingle_sets(rows.column("text"), k))
+                yield pa.RecordBatch.from_arrays([*rows.columns, pa.array(node)], names=names)
+    return run
+
+
+def keep_one_of_each(docs: DataFrame, shingle: int = 5, similar: tuple[int, int] = (80, 100)) -> DataFrame:
+    """``docs`` with one row of each component of similar texts, the one of the least ``doc_id``; all columns stay.
+
+    Rows alone in their component, without shingles or without an id all stay.
+    Only rows of components of several are looked at again and shuffled.
+    """
+    spark = docs.sparkSession
+    run = f"keep-one-{uuid.uuid4().hex}"
+    found = IO.materialize(similar_components(docs, shingle, similar).filter("node IS NOT NULL"), spark, f"{run}/found")
+    several = IO.materialize(
+        found.groupBy("component").agg(F.min(F.struct("doc_id", "node")).alias("stays"), F.count(F.lit(1)).alias("n"))
+        .filter("n > 1").select("component", "stays"), spark, f"{run}/several")
+    suspects = IO.materialize(
+        found.join(several, "component").groupBy("doc_id", "node").agg(F.min("stays").alias("stays"))
+        .select(F.col("doc_id").alias("suspect_id"), F.col("node").alias("suspect_node"),
+                (F.struct("doc_id", "node") == F.col("stays")).alias("stays")), spark, f"{run}/suspects")
+    held = spark.sparkContext.broadcast(bitmap(suspects, "suspect_id"))
+    node = _fresh("node", docs.columns)
+    alone = docs.mapInArrow(_split_off(shingle, held, False, []), docs.schema)
+    schema = StructType([*docs.schema.fields, StructField(node, LongType())])
+    seen = docs.mapInArrow(_split_off(shingle, held, True, [*docs.columns, node]), schema)
+    here = (F.col("doc_id") == suspects["suspect_id"]) & (F.col(node) == suspects["suspect_node"])
+    unmet = seen.join(suspects, here, "left_anti").select(*docs.columns)
+    stays = (seen.join(suspects.filter("stays"), here, "left_semi").dropDuplicates(["doc_id", node])
+             .select(*docs.columns))
+    return alone.unionByName(unmet).unionByName(stays)
 
 
 def op1_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Components of ``documents`` by 4-word shingles at a Jaccard similarity of 0.85."""
-    return similar_components(spark.read.parquet(f"{sf_dir}/documents.parquet")).drop("node")
+    found = similar_components(spark.read.parquet(f"{sf_dir}/documents.parquet"))
+    return found.select("doc_id", "n_shingles", "component_id")

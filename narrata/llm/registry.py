@@ -6,6 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+import corpus_pipeline
 from narrata.llm import (
     ball_tree,
     chat_format,
@@ -39,8 +40,9 @@ _SQL: dict[str, str] = {
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in _QUERIES}
+    return {f.__name__: f for f in _QUERIES} | {"pipeline": corpus_pipeline.run}
 
 
 def oracle_sql() -> dict[str, str]:
-    return dict(_SQL)
+    own = {"pipeline": corpus_pipeline.ORACLE_SQL} if corpus_pipeline.ORACLE_SQL else {}
+    return _SQL | own
