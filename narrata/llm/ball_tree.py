@@ -176,7 +176,8 @@ def _tops(k: int):
             return pa.table({"query_id": none, "vec_id": none, "score": none})
         s = _searches(candidates, queries, k)
         s.full(queries["floor"].to_numpy())
-        real = s.top_ids != _LONG
+        # below the shared k-th score nothing is among the best: it isn't sent on
+        real = (s.top_ids != _LONG) & (s.top >= queries["floor"].to_numpy()[:, None])
         return pa.table({"query_id": np.repeat(s.query_ids, k)[real.ravel()], "vec_id": s.top_ids[real],
                          "score": s.top[real]})
     return run
