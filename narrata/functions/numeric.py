@@ -16,9 +16,3 @@ def round6(c) -> Column:
     x = F.col(c) if isinstance(c, str) else c
     return F.round(x.cast("double") * F.lit(1e6)) / F.lit(1e6)
 
-
-def round_places(c, places: int) -> Column:
-    """``round(x * 10^places) / 10^places`` (see ``round6``)."""
-    x = F.col(c) if isinstance(c, str) else c
-    scale = float(10 ** places)
-    return F.round(x.cast("double") * F.lit(scale)) / F.lit(scale)

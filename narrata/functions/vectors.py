@@ -50,27 +50,27 @@ def argmax(c) -> Column:
     return (F.array_position(s, F.array_max(s)) - 1).cast("int")
 
 
-def element(c, idx0) -> Column:
-    """Element at a 0-based index column."""
-    return F.element_at(_col(c), _col(idx0) + 1)
-
-
 def round_elements(c, places: int = 2) -> Column:
     scale = float(10 ** places)
     return F.transform(as_double(c), lambda x: F.round(x * F.lit(scale)) / F.lit(scale))
 
 
-def true_class_rank(scores, label) -> Column:
-    """1-based rank of the true class's score within the row.
+def class_index(label, labels) -> Column:
+    """0-based place of a label in the class order of the scores; NULL for a label that has no score."""
+    return F.nullif(F.array_position(labels, _col(label)), F.lit(0)) - 1
+
+
+def true_class_rank(scores, index) -> Column:
+    """1-based rank of the score at ``index`` (a 0-based place) within the row.
 
     Classes scoring strictly higher come first; on an equal score the class
     with the higher index wins, so the true class is ranked after it.
     """
     s = as_double(scores)
-    y = _col(label)
-    sy = F.element_at(s, y + 1)
+    y = _col(index)
+    sy = F.element_at(s, (y + 1).cast("int"))
     ahead = F.filter(s, lambda x, i: (x > sy) | ((x == sy) & (i > y)))
-    return (F.size(ahead) + 1).cast("int")
+    return F.when(y.isNotNull(), (F.size(ahead) + 1).cast("int"))
 
 
 def top_k_classes(scores, k: int) -> Column:

@@ -2,8 +2,9 @@
 
 Predicates are native Column expressions so they push into the parquet scan
 where they reference scan columns. Class-frequency filters aggregate first
-(one small row per class) and semi/anti-join back; the join is left to AQE,
-which broadcasts the per-class table when its runtime size is small.
+(one small row per class, written once so that its size is known) and
+semi/anti-join back: a broadcast below the session's threshold, a join with
+skew splitting beyond it.
 """
 
 from __future__ import annotations
@@ -12,6 +13,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from narrata.operators import profile as P
+from narrata.operators.labels import class_map
 
 
 def dropna_subset(df: DataFrame, cols) -> DataFrame:
@@ -53,7 +55,7 @@ def class_sizes(df: DataFrame, col: str) -> DataFrame:
 
 def keep_frequent(df: DataFrame, col: str, more_than: int) -> DataFrame:
     """Keep rows whose class occurs more than ``more_than`` times (NULL class dropped)."""
-    frequent = class_sizes(df, col).filter(F.col("_class_n") > more_than).select(col)
+    frequent = class_map(class_sizes(df, col).filter(F.col("_class_n") > more_than).select(col))
     return df.join(frequent, col, "left_semi")
 
 
@@ -64,4 +66,4 @@ def oversized_classes(df: DataFrame, col: str, max_size: int) -> DataFrame:
 
 def outside_oversized(df: DataFrame, col: str, max_size: int) -> DataFrame:
     """Rows not in an oversized class; NULL-class rows are kept (pandas ``~isin``)."""
-    return df.join(oversized_classes(df, col, max_size), col, "left_anti")
+    return df.join(class_map(oversized_classes(df, col, max_size)), col, "left_anti")

@@ -107,21 +107,25 @@ def bin_counts(df: DataFrame, col: str, edges=LENGTH_EDGES, labels=LENGTH_LABELS
 
 
 def histogram(df: DataFrame, col: str, bins: int = 30) -> DataFrame:
-    """Equal-width histogram between min and max, last bin closed; empty bins kept."""
+    """Equal-width histogram between min and max, last bin closed; empty bins kept.
+
+    The bounds are one scalar aggregate. Where all values are equal the width
+    is 0 and every row is in bin 0; without any value there are no bins.
+    """
     spark = df.sparkSession
-    x = F.col(col).cast("double")
-    vals = df.select(x.alias("_x")).filter(F.col("_x").isNotNull())
-    lo = vals.agg(F.min("_x")).scalar()
-    hi = vals.agg(F.max("_x")).scalar()
-    width = (hi - lo) / F.lit(float(bins))
-    idx = F.least(F.floor((F.col("_x") - lo) / width), F.lit(bins - 1)).cast("int")
-    counts = vals.select(idx.alias("bin")).groupBy("bin").agg(F.count("*").alias("count"))
+    vals = df.select(F.col(col).cast("double").alias("_x")).filter(F.col("_x").isNotNull())
+    ends = vals.agg(F.struct(F.min("_x").alias("lo"), F.max("_x").alias("hi"))).scalar()
+    lo, width = ends["lo"], (ends["hi"] - ends["lo"]) / F.lit(float(bins))
+    place = F.coalesce(F.floor(F.try_divide(F.col("_x") - lo, width)), F.lit(0))
+    counts = (vals.select(F.least(place, F.lit(bins - 1)).cast("int").alias("bin"))
+              .groupBy("bin").agg(F.count("*").alias("count")))
     grid = spark.range(bins).select(F.col("id").cast("int").alias("bin"))
     return (grid.join(counts, "bin", "left")
             .select("bin",
                     round6(lo + F.col("bin") * width).alias("lower"),
                     round6(lo + (F.col("bin") + 1) * width).alias("upper"),
-                    F.coalesce("count", F.lit(0)).cast("bigint").alias("count")))
+                    F.coalesce("count", F.lit(0)).cast("bigint").alias("count"))
+            .filter(F.col("lower").isNotNull()))
 
 
 def text_audit(df: DataFrame, col: str) -> DataFrame:
@@ -163,9 +167,9 @@ def distinct_values(df: DataFrame, col: str) -> DataFrame:
 
 
 def distinct_in_order(df: DataFrame, col: str, key: str) -> DataFrame:
-    """Distinct non-NULL values and the smallest key they appear with."""
+    """Distinct non-NULL values in order of appearance, with the smallest key they appear with."""
     return (df.filter(F.col(col).isNotNull()).groupBy(col)
-            .agg(F.min(key).alias("first_key")).orderBy(col))
+            .agg(F.min(key).alias("first_key")).orderBy("first_key", col))
 
 
 def validate(df: DataFrame, required, target: str | None = None) -> DataFrame:
@@ -174,9 +178,9 @@ def validate(df: DataFrame, required, target: str | None = None) -> DataFrame:
     The schema check is free (driver metadata); the NULL probe is a
     ``limit(1)`` job that stops at the first offending row.
     """
-    missing = [c for c in required if c not in df.columns]
-    if missing:
-        raise ValueError(f"Missing required columns: {missing}")
-    if target is not None and df.filter(F.col(target).isNull()).limit(1).count() > 0:
-        raise ValueError(f"Missing values detected in target column {target!r}")
+    absent = [c for c in required if c not in df.columns]
+    if absent:
+        raise ValueError(f"no such columns: {', '.join(absent)}")
+    if target is not None and not df.filter(F.col(target).isNull()).limit(1).isEmpty():
+        raise ValueError(f"column {target!r} holds nulls")
     return df.select(*required)

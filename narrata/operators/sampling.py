@@ -9,9 +9,9 @@ all rows, so a window partitioned by class alone would put that third in one
 task. Rows are instead bucketed by the first ``bucket_chars`` hex digits of
 ``h`` (16^4 = 65,536 buckets per class by default). A small count table per
 (class, bucket) gives each bucket its offset (prefix sum in hash order) and
-the rank is ``offset + row_number()`` inside (class, bucket). The count table
-has at most classes x 65,536 rows and is joined without a hint (AQE
-broadcasts it when small). For "rank <= n" picks, buckets starting at or past
+the rank is ``offset + row_number()`` inside (class, bucket). The class is
+made a key that is never null, so the join with the count table and the
+window share one exchange of the rows. For "rank <= n" picks, buckets starting at or past
 n are dropped before the window.
 """
 
@@ -20,7 +20,9 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-TWO_POW_32 = 4294967296.0
+from narrata.sources import io as IO
+
+TWO_POW_52 = 4503599627370496.0
 
 
 def hash_key(seed, id_col) -> Column:
@@ -29,45 +31,57 @@ def hash_key(seed, id_col) -> Column:
 
 
 def unit_uniform(hex_col, start: int = 1) -> Column:
-    """[0, 1) from 8 hex digits of an md5 string starting at ``start`` (1-based)."""
-    return F.conv(F.substring(hex_col, start, 8), 16, 10).cast("double") / F.lit(TWO_POW_32)
+    """[0, 1) from 13 hex digits (52 bits) of an md5 string starting at ``start`` (1-based)."""
+    return F.conv(F.substring(hex_col, start, 13), 16, 10).cast("double") / F.lit(TWO_POW_52)
+
 
+def _class_key(by: str) -> Column:
+    """The class as a key that is never null, so that join and window share one partitioning."""
+    return F.coalesce(F.concat(F.lit("v"), F.col(by).cast("string")), F.lit("n"))
 
-def _bucket_offsets(d: DataFrame, by: str) -> DataFrame:
-    counts = d.groupBy(by, "_b").agg(F.count("*").alias("_bn"))
-    before = Window.partitionBy(by).orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)
+
+def _bucket_offsets(d: DataFrame) -> DataFrame:
+    counts = d.groupBy("_k", "_b").agg(F.count("*").alias("_bn"))
+    before = Window.partitionBy("_k").orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)
     return (counts
             .withColumn("_off", F.coalesce(F.sum("_bn").over(before), F.lit(0)))
-            .withColumn("_class_n", F.sum("_bn").over(Window.partitionBy(by))))
+            .withColumn("_class_n", F.sum("_bn").over(Window.partitionBy("_k"))))
 
 
 def _with_offsets(df: DataFrame, by: str, id_col: str, seed, bucket_chars: int) -> DataFrame:
-    d = (df.withColumn("_h", hash_key(seed, id_col))
+    """Rows with their class key, hash, bucket, and the bucket's offset and class size.
+
+    The offsets (at most classes x 65,536 rows) are written once, so the
+    planner knows their size; rows are exchanged by (class, bucket) at most
+    once, for the join or for the rank window after it.
+    """
+    d = (df.withColumn("_k", _class_key(by)).withColumn("_h", hash_key(seed, id_col))
          .withColumn("_b", F.substring("_h", 1, bucket_chars)))
-    offs = _bucket_offsets(d, by).withColumnRenamed(by, "_cls")
-    j = d.join(offs, d[by].eqNullSafe(offs["_cls"]) & (d["_b"] == offs["_b"]))
-    return j.drop(offs["_b"]).drop("_cls")
+    offsets = IO.materialize(_bucket_offsets(d), df.sparkSession, "bucket-offsets")
+    return d.join(offsets, ["_k", "_b"])
 
 
-def _rank_in_bucket(j: DataFrame, by: str, rank_col: str) -> DataFrame:
-    w = Window.partitionBy(by, "_b").orderBy("_h")
+def _rank_in_bucket(j: DataFrame, rank_col: str) -> DataFrame:
+    w = Window.partitionBy("_k", "_b").orderBy("_h")
     return j.withColumn(rank_col, F.col("_off") + F.row_number().over(w))
 
 
+_WORK = ("_k", "_h", "_b", "_bn", "_off")
+
+
 def exact_rank(df: DataFrame, by: str, id_col: str, seed=42, bucket_chars: int = 4,
                rank_col: str = "rank", keep_class_size: bool = False) -> DataFrame:
     """1-based rank of each row within its class in hash order (see module doc)."""
-    j = _rank_in_bucket(_with_offsets(df, by, id_col, seed, bucket_chars), by, rank_col)
-    drop = ["_h", "_b", "_bn", "_off"] + ([] if keep_class_size else ["_class_n"])
-    return j.drop(*drop)
+    j = _rank_in_bucket(_with_offsets(df, by, id_col, seed, bucket_chars), rank_col)
+    return j.drop(*_WORK, *([] if keep_class_size else ["_class_n"]))
 
 
 def rank_at_most(df: DataFrame, by: str, id_col: str, limit: Column, seed=42,
                  bucket_chars: int = 4) -> DataFrame:
     """Rows whose hash-order rank within the class is <= ``limit`` (a Column)."""
     j = _with_offsets(df, by, id_col, seed, bucket_chars).filter(F.col("_off") < limit)
-    j = _rank_in_bucket(j, by, "_rank").filter(F.col("_rank") <= limit)
-    return j.drop("_h", "_b", "_bn", "_off", "_class_n", "_rank")
+    j = _rank_in_bucket(j, "_rank").filter(F.col("_rank") <= limit)
+    return j.drop(*_WORK, "_class_n", "_rank")
 
 
 def quota_sample(df: DataFrame, col: str, quotas: dict, id_col: str, seed=42) -> DataFrame:
@@ -92,9 +106,9 @@ def stratified_split(df: DataFrame, col: str, id_col: str, train_frac: float = 0
     """``train`` for hash-rank <= floor(train_frac * class size), else ``test``."""
     j = _with_offsets(df, col, id_col, seed, 4)
     thr = F.floor(F.lit(float(train_frac)) * F.col("_class_n"))
-    j = _rank_in_bucket(j, col, "_rank")
+    j = _rank_in_bucket(j, "_rank")
     out = j.withColumn(split_col, F.when(F.col("_rank") <= thr, F.lit("train")).otherwise(F.lit("test")))
-    return out.drop("_h", "_b", "_bn", "_off", "_class_n", "_rank")
+    return out.drop(*_WORK, "_class_n", "_rank")
 
 
 def three_way_split(df: DataFrame, id_col: str, fracs=(0.6, 0.2, 0.2), seed=42,
@@ -130,13 +144,14 @@ def balanced_resample(df: DataFrame, col: str, id_col: str, draws: DataFrame, dr
     # class sizes from a separate map-side-combined count (one row per class),
     # not from the ranked frame, so the rank windows run once
     classes = rows.groupBy(col).agg(F.count("*").alias("_cnt"))
+    # one row per class: the only rows of the unpartitioned window
     classes = classes.withColumn("_cidx", (F.row_number().over(Window.orderBy(col)) - 1).cast("long"))
     k = classes.agg(F.count("*")).scalar()
     hd = F.md5(F.concat(F.lit(str(seed)), F.lit(":draw:"), F.col(draw_col).cast("string")))
     d = draws.select(F.col(draw_col), hd.alias("_hd"))
     d = d.withColumn("_cidx", F.floor(unit_uniform("_hd", 1) * k).cast("long"))
-    d = d.join(classes, "_cidx").withColumn(
-        "_rank", (F.lit(1) + F.floor(unit_uniform("_hd", 9) * F.col("_cnt"))).cast("long"))
+    d = d.join(IO.materialize(classes, df.sparkSession, "class-map"), "_cidx").withColumn(
+        "_rank", (F.lit(1) + F.floor(unit_uniform("_hd", 14) * F.col("_cnt"))).cast("long"))
     picked = d.select(draw_col, col, "_rank").join(
         ranked.select(col, "_rank", id_col), [col, "_rank"])
     return picked.select(draw_col, id_col, col)

@@ -1,8 +1,9 @@
 """Model scoring (M4-M6): linear scores, softmax, caller models in Arrow batches.
 
-A fitted model is small and fixed in size (classes x features); it is held
-on the driver like any MLlib model and shipped inside the plan as a literal
-after its size is checked. Data rows never pass through the driver.
+A fitted model is small (classes x features) and written once. Plans take it
+as one array value; a caller's numpy code gets it in its closure, like any
+MLlib model, after its bytes are checked. Data rows never pass through the
+driver.
 """
 
 from __future__ import annotations
@@ -11,8 +12,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from narrata.functions import vectors as V
+from narrata.sources import io as IO
 
-MAX_MODEL_CELLS = 4_000_000   # classes x features shipped as a literal
+MAX_MODEL_BYTES = 16 << 20   # of a model shipped to Python workers in a closure
 
 
 def fit_centroids(df: DataFrame, vec_col: str, label_col: str) -> DataFrame:
@@ -25,25 +27,36 @@ def fit_centroids(df: DataFrame, vec_col: str, label_col: str) -> DataFrame:
     return ex.groupBy("label", "pos").agg(F.avg(F.col("x").cast("double")).alias("mean"))
 
 
-def centroid_model(centroids: DataFrame) -> tuple[list, list[list[float]]]:
-    """Collect a centroid table as ``(labels, matrix)`` after checking its size."""
-    size = centroids.count()
-    if size > MAX_MODEL_CELLS:
-        raise ValueError(f"model has {size} cells, above the literal limit {MAX_MODEL_CELLS}")
-    rows = centroids.orderBy("label", "pos").collect()
-    labels: list = []
-    matrix: list[list[float]] = []
-    for r in rows:
-        if not labels or labels[-1] != r["label"]:
-            labels.append(r["label"])
-            matrix.append([])
-        matrix[-1].append(float(r["mean"]))
-    return labels, matrix
-
-
-def linear_scores(vec, matrix) -> Column:
-    """Score vector ``[vec . w_c for each class c]`` against a literal weight matrix."""
-    return F.array(*[V.dot(vec, F.array(*[F.lit(float(x)) for x in w])) for w in matrix])
+def centroid_rows(centroids: DataFrame) -> DataFrame:
+    """``(label, vec)``: one row per class, written once, so that a model is fitted once."""
+    vec = F.transform(F.array_sort(F.collect_list(F.struct("pos", "mean"))), lambda x: x["mean"])
+    return IO.materialize(centroids.groupBy("label").agg(vec.alias("vec")), centroids.sparkSession, "centroids")
+
+
+def model_column(model: DataFrame) -> Column:
+    """All classes of a ``(label, vec)`` model as one array value in label order.
+
+    A scalar subquery: attach it to the rows as a column before lambdas use it.
+    """
+    return model.agg(F.array_sort(F.collect_list(F.struct("label", "vec")))).scalar()
+
+
+def model_labels(model) -> Column:
+    return F.transform(model, lambda c: c["label"])
+
+
+def linear_scores(vec, model) -> Column:
+    """Score vector ``[vec . w_c for each class c]``; ``model`` names the attached model column."""
+    return F.transform(model, lambda c: V.dot(vec, c["vec"]))
+
+
+def local_model(model: DataFrame) -> tuple[list, list[list[float]]]:
+    """``(labels, matrix)`` on the driver for a caller's numpy code, after its size is checked."""
+    cells = model.agg(F.sum(F.size("vec"))).first()[0] or 0
+    if 8 * cells > MAX_MODEL_BYTES:
+        raise ValueError(f"a model of {8 * cells} bytes doesn't fit a closure; score it with linear_scores")
+    rows = model.orderBy("label").collect()
+    return [r["label"] for r in rows], [[float(x) for x in r["vec"]] for r in rows]
 
 
 def predict(scores) -> tuple[Column, Column, Column]:

@@ -1,9 +1,11 @@
 """Lexicon sentiment (M1-M3): valence sum, compound score, 3-way label.
 
 The lexicon is a table ``(token, valence)``. Tokens are exploded with their
-position, joined to the lexicon without a hint (AQE broadcasts a lexicon
-whose runtime size is small, otherwise sort-merge with skew splitting on hot
-tokens) and summed per document. Because the exploded rows of one document
+position, joined to the lexicon and summed per document. The join key is
+(token, salt): a document's salt is a hash of its id, and the lexicon is
+repeated for each of the ``SALTS`` salts, so a word of every document is
+spread over as many keys. The written lexicon's size is known to the planner,
+which broadcasts it below the session's threshold. Because the exploded rows of one document
 sit in one partition, the partial aggregate collapses them to one row per
 document before the shuffle.
 """
@@ -15,6 +17,10 @@ from pyspark.sql import functions as F
 
 from narrata.functions import text as T
 from narrata.functions.numeric import round6
+from narrata.sources import io as IO
+
+#: Keys that one token's rows are spread over.
+SALTS = 16
 
 # ---------------------------------------------------------------------------
 # Fixed values of the rule-based scorer (Hutto & Gilbert 2014).
@@ -42,6 +48,17 @@ def sentiment_label(compound_col) -> Column:
             .otherwise(F.lit(1)))
 
 
+def salt_of(id_col) -> Column:
+    """The salt of a document's token rows."""
+    return F.pmod(F.xxhash64(id_col), F.lit(SALTS)).cast("int")
+
+
+def salted(table: DataFrame) -> DataFrame:
+    """A token table repeated for every salt, written so that its size is known."""
+    rows = table.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+    return IO.materialize(rows, table.sparkSession, "salted-tokens")
+
+
 def _finish(scored: DataFrame) -> DataFrame:
     return (scored.withColumn("compound", compound("valence_sum"))
             .withColumn("sentiment", sentiment_label("compound")))
@@ -52,15 +69,17 @@ def lexicon_sentiment(df: DataFrame, id_col: str, text_col: str, lexicon: DataFr
     """Per-document valence sum, compound score and label.
 
     Returns ``id_col, *keep, valence_sum, compound, sentiment``; a document
-    with no lexicon word (or no token) scores 0 and is neutral. ``keep``
+    with no lexicon word (or no token) scores 0 and is neutral. Valences are
+    summed as integers of 1e-9, so a sum doesn't depend on its order. ``keep``
     columns ride through the explode, so keep them small (join wide columns
     back on the id).
     """
-    lex = lexicon.select(F.col("token").alias("_tok"), F.col("valence").alias("_val"))
-    ex = df.select(id_col, *keep, F.explode_outer(T.words(text_col)).alias("_tok"))
-    hits = ex.join(lex, "_tok", "left")
+    units = F.round(F.col("valence") * F.lit(1e9)).cast("long")
+    lex = salted(lexicon.select(F.col("token").alias("_tok"), units.alias("_val")))
+    ex = df.select(id_col, *keep, salt_of(id_col).alias("_salt"), F.explode_outer(T.words(text_col)).alias("_tok"))
+    hits = ex.join(lex, ["_tok", "_salt"], "left")
     agg = hits.groupBy(id_col, *keep).agg(
-        F.coalesce(F.sum("_val"), F.lit(0.0)).cast("double").alias("valence_sum"))
+        F.coalesce(F.sum("_val") / F.lit(1e9), F.lit(0.0)).cast("double").alias("valence_sum"))
     return _finish(agg)
 
 
@@ -92,9 +111,10 @@ def lexicon_sentiment_context(df: DataFrame, id_col: str, text_col: str, lexicon
 
     # one small role table (valence, negator, booster per token): a single
     # join against the exploded token stream instead of three
-    role_table = lex.join(neg, "_tok", "full").join(bst, "_tok", "full")
-    ex = df.select(id_col, *keep, F.posexplode_outer(T.words(text_col)).alias("_pos", "_tok"))
-    s = (ex.join(role_table, "_tok", "left")
+    role_table = salted(lex.join(neg, "_tok", "full").join(bst, "_tok", "full"))
+    ex = df.select(id_col, *keep, salt_of(id_col).alias("_salt"),
+                   F.posexplode_outer(T.words(text_col)).alias("_pos", "_tok"))
+    s = (ex.join(role_table, ["_tok", "_salt"], "left")
          .withColumn("_neg", F.coalesce("_neg", F.lit(False)))
          .withColumn("_bst", F.coalesce("_bst", F.lit(False)))
          .withColumn("_cw", F.coalesce(F.col("_tok") == cw, F.lit(False))))

@@ -1,8 +1,7 @@
 """Summary quality metrics (G7-G9): ROUGE-N, ROUGE-L, embedding match.
 
-ROUGE-N is a join of n-gram counts keyed by (pair id, n-gram), so a long
-document's n-grams spread over many partitions; only n-grams present on both
-sides meet in the join. ROUGE-L needs a longest common subsequence per pair,
+ROUGE-N counts the n-gram overlap of a pair within its row, by array
+functions. ROUGE-L needs a longest common subsequence per pair,
 which no built-in computes, so it runs in an Arrow-batched pandas UDF with a
 bit-parallel LCS over whole token lists.
 """
@@ -39,34 +38,27 @@ def _valid_pairs(df: DataFrame, gen_col: str, ref_col: str) -> DataFrame:
 def rouge_n_pairs(df: DataFrame, id_col: str, gen_col: str, ref_col: str, ns=(1, 2)) -> DataFrame:
     """Per pair and n: ``(id, n, p, r, f)``; pairs with a NULL or empty side are skipped.
 
-    All requested n are handled in one pass: each side explodes its n-grams
-    for every n at once, tagged with n, so the inputs are read once and the
-    join is keyed by (id, n, n-gram).
+    Both texts are in one row, so the overlap is counted there and nothing is
+    shuffled: the reference's n-grams that occur in the summary are kept (a
+    summary has a bounded number of words), then clipped counts are summed.
     """
     ns = [int(n) for n in (ns if isinstance(ns, (list, tuple)) else [ns])]
-    toks = _valid_pairs(df, gen_col, ref_col).select(
-        id_col, T.rouge_tokens(gen_col).alias("_g"), T.rouge_tokens(ref_col).alias("_r"))
+    toks = T.with_computed(_valid_pairs(df, gen_col, ref_col).select(id_col, gen_col, ref_col),
+                           _g=T.rouge_tokens(gen_col), _r=T.rouge_tokens(ref_col)).drop(gen_col, ref_col)
+    grams = F.array(*[F.struct(F.lit(n).alias("n"), ngrams("_g", n).alias("g"), ngrams("_r", n).alias("r"))
+                      for n in ns])
+    rows = toks.select(id_col, F.inline(grams))
+    rows = T.with_computed(rows, common=F.array_intersect("g", "r"))
+    rows = T.with_computed(rows, shared=F.filter("r", lambda x: F.array_contains(F.col("common"), x)))
 
-    def tag(n):
-        return lambda x: F.struct(F.lit(n).alias("n"), x.alias("gram"))
+    def clipped(x):
+        return F.least(F.size(F.filter("g", lambda y: y == x)), F.size(F.filter("shared", lambda y: y == x)))
 
-    def tagged(arr):
-        return F.flatten(F.array(*[F.transform(ngrams(arr, n), tag(n)) for n in ns]))
-
-    def counts(arr, name):
-        return (toks.select(id_col, F.inline(tagged(arr)))
-                .groupBy(id_col, "n", "gram").agg(F.count("*").alias(name)))
-
-    overlap = (counts("_g", "_cg").join(counts("_r", "_cr"), [id_col, "n", "gram"])
-               .groupBy(id_col, "n").agg(F.sum(F.least("_cg", "_cr")).alias("_ov")))
-    totals = toks.select(id_col, F.explode(F.array(*[F.struct(
-        F.lit(n).alias("n"), F.greatest(F.size("_g") - n + 1, F.lit(0)).alias("_gn"),
-        F.greatest(F.size("_r") - n + 1, F.lit(0)).alias("_rn")) for n in ns])).alias("_t")) \
-        .select(id_col, "_t.*")
-    s = totals.join(overlap, [id_col, "n"], "left").withColumn("_ov", F.coalesce("_ov", F.lit(0)))
-    p = F.col("_ov") / F.greatest(F.col("_gn"), F.lit(1))
-    rr = F.col("_ov") / F.greatest(F.col("_rn"), F.lit(1))
-    return s.select(id_col, "n", p.alias("p"), rr.alias("r"), _fmeasure(p, rr).alias("f"))
+    overlap = F.aggregate(F.transform("common", clipped), F.lit(0), lambda acc, c: acc + c)
+    p = F.col("_ov") / F.greatest(F.size("g"), F.lit(1))
+    r = F.col("_ov") / F.greatest(F.size("r"), F.lit(1))
+    rows = T.with_computed(rows, _ov=overlap)
+    return rows.select(id_col, "n", p.alias("p"), r.alias("r"), _fmeasure(p, r).alias("f"))
 
 
 def rouge_n(df: DataFrame, id_col: str, gen_col: str, ref_col: str, ns=(1, 2)) -> DataFrame:
@@ -122,22 +114,19 @@ def rouge_l_pairs(df: DataFrame, id_col: str, gen_col: str, ref_col: str) -> Dat
     return pairs.select(id_col, s.alias("_s")).select(id_col, "_s.p", "_s.r", "_s.f")
 
 
-def embedding_match(df: DataFrame, vec_col: str, ref_matrix) -> DataFrame:
+def embedding_match(df: DataFrame, vec_col: str, model: str) -> DataFrame:
     """Greedy cosine matching between a vector set and a bounded reference set.
 
     Precision: mean over the vectors of their best cosine to any reference
     vector; recall: mean over reference vectors of their best cosine to any
-    vector; F is their harmonic mean. Each row computes its cosines to the
-    (size-checked, literal) reference set, and recall comes from an
-    element-wise max aggregate, so no pair rows are materialised.
+    vector; F is their harmonic mean. ``model`` names a column that
+    holds the reference set as one array value (``scoring.model_column``); a row yields one number for each
+    reference vector, which a partial aggregate reduces at once, so no pairs
+    of rows are made.
     """
-    refs = [F.array(*[F.lit(float(x)) for x in w]) for w in ref_matrix]
-    cos = F.array(*[V.cosine(vec_col, r) for r in refs])
-    rows = df.select(cos.alias("_c"))
-    aggs = [F.avg(F.array_max("_c")).alias("_p")]
-    aggs += [F.max(F.element_at("_c", i + 1)).alias(f"_m{i}") for i in range(len(refs))]
-    a = rows.agg(*aggs)
-    rec = sum(F.col(f"_m{i}") for i in range(len(refs))) / F.lit(float(len(refs)))
-    a = a.select(F.col("_p").alias("p"), rec.alias("r"))
+    rows = T.with_computed(df.select(vec_col, model), _c=F.transform(model, lambda c: V.cosine(vec_col, c["vec"])))
+    each = rows.select(F.array_max("_c").alias("_best"), F.posexplode("_c").alias("_ref", "_x"))
+    a = (each.groupBy("_ref").agg(F.avg("_best").alias("_p"), F.max("_x").alias("_m"))
+         .agg(F.max("_p").alias("p"), F.avg("_m").alias("r")))
     return a.select(round6("p").alias("precision"), round6("r").alias("recall"),
                     round6(_fmeasure(F.col("p"), F.col("r"))).alias("f1"))

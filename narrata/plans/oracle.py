@@ -258,7 +258,7 @@ def _h(seed, id_sql):
 
 
 def _u(hex_sql, start=1):
-    return f"(CAST(('0x' || substr({hex_sql}, {start}, 8)) AS BIGINT) / 4294967296.0)"
+    return f"(CAST(('0x' || substr({hex_sql}, {start}, 13)) AS BIGINT) / 4503599627370496.0)"
 
 
 EV_RANK = (f"evr AS (SELECT event_id, event_type, row_number() OVER (PARTITION BY event_type "
@@ -286,7 +286,7 @@ oracle("weighted_resample", with_(
     "FROM evr GROUP BY event_type)",
     f"d0 AS (SELECT event_id AS draw_id, md5('42' || ':draw:' || CAST(event_id AS VARCHAR)) AS hd FROM events)",
     f"d1 AS (SELECT draw_id, hd, CAST(floor({_u('hd', 1)} * (SELECT count(*) FROM cls)) AS BIGINT) AS cidx FROM d0)",
-    f"d2 AS (SELECT d1.draw_id, c.event_type, CAST(1 + floor({_u('d1.hd', 9)} * c.cnt) AS BIGINT) AS rank "
+    f"d2 AS (SELECT d1.draw_id, c.event_type, CAST(1 + floor({_u('d1.hd', 14)} * c.cnt) AS BIGINT) AS rank "
     "FROM d1 JOIN cls c ON c.cidx = d1.cidx)")
     + "SELECT d2.draw_id, e.event_id, e.event_type FROM d2 JOIN evr e ON e.event_type = d2.event_type "
     "AND e.rank = d2.rank")

@@ -270,7 +270,7 @@ def q_label_decode(spark, sf):
     c = _labelled(spark, sf)
     table = LB.label_table(c, "response", "target")
     enc = LB.encode_labels(c, "response", table, "target").select("complaint_id", "target")
-    return LB.decode_labels(enc, "target", table, "response", "decoded")
+    return LB.decode_labels(enc, "target", table, "response", "decoded").select("complaint_id", "target", "decoded")
 
 
 @query("class_weights")
@@ -331,20 +331,24 @@ def q_weighted_resample(spark, sf):
 
 # --- linear model over embeddings and evaluation metrics --------------------
 
-def _embedding_model(spark, sf):
-    """Nearest-centroid linear model: fit on the 80% stratified train split,
-    score the held-out 20%. Returns (test rows with scores, class labels)."""
+def _embedding_split(spark, sf):
+    """Nearest-centroid linear model fitted on the 80% stratified train split:
+    (test rows, model rows)."""
     emb = TB.table(spark, sf, "embeddings")
-    split = SM.stratified_split(emb.select("vec_id", "label"), "label", "vec_id", 0.8, seed=42)
-    rows = emb.join(split.select("vec_id", "split"), "vec_id")
-    train = rows.filter(F.col("split") == "train")
-    test = rows.filter(F.col("split") == "test")
-    labels, matrix = SC.centroid_model(SC.fit_centroids(train, "embedding", "label"))
-    scored = test.select("vec_id", "label", SC.linear_scores("embedding", matrix).alias("scores"))
+    rows = SM.stratified_split(emb, "label", "vec_id", 0.8, seed=42)
+    model = SC.centroid_rows(SC.fit_centroids(rows.filter(F.col("split") == "train"), "embedding", "label"))
+    return rows.filter(F.col("split") == "test"), model
+
+
+def _embedding_model(spark, sf):
+    """Test rows with scores, the classes of the scores, probabilities and prediction."""
+    test, rows = _embedding_split(spark, sf)
+    model = SC.model_column(rows)
+    held = test.select("vec_id", "label", "embedding").withColumn("model", model)
+    scored = T.with_computed(held, scores=SC.linear_scores("embedding", "model"), classes=SC.model_labels("model"))
     probs, pred_idx, prob = SC.predict("scores")
-    label_of = F.array(*[F.lit(x) for x in labels])
-    return scored.select("vec_id", "label", "scores", probs.alias("probs"),
-                         F.element_at(label_of, pred_idx + 1).alias("pred"), prob.alias("prob"))
+    return scored.select("vec_id", "label", "scores", "classes", probs.alias("probs"),
+                         F.element_at("classes", pred_idx + 1).alias("pred"), prob.alias("prob"))
 
 
 @query("linear_scores")
@@ -357,7 +361,8 @@ def q_linear_scores(spark, sf):
 @query("top_k_classes")
 def q_top_k_classes(spark, sf):
     m = _embedding_model(spark, sf)
-    return m.select("vec_id", "label", V.top_k_classes("scores", 3).alias("top_3"))
+    best = F.transform(V.top_k_classes("scores", 3), lambda i: F.element_at("classes", i + 1))
+    return m.select("vec_id", "label", best.alias("top_3"))
 
 
 @query("accuracy")
@@ -382,14 +387,14 @@ def q_weighted_f1(spark, sf):
 
 @query("top_k_accuracy")
 def q_top_k_accuracy(spark, sf):
-    return MT.top_k_accuracy(_embedding_model(spark, sf), "label", "scores", 3)
+    return MT.top_k_accuracy(_embedding_model(spark, sf), "label", "scores", F.col("classes"), 3)
 
 
 @query("cross_entropy")
 def q_cross_entropy(spark, sf):
     m = _embedding_model(spark, sf)
     w = LB.class_weights(m, "label")
-    return MT.cross_entropy(m, "label", "scores", w, "label", "balanced_weight")
+    return MT.cross_entropy(m, "label", "scores", F.col("classes"), w, "label", "balanced_weight")
 
 
 # --- sentences, text assembly, names ----------------------------------------
@@ -471,7 +476,8 @@ def _summaries(spark, sf):
 
 @query("extractive_summary")
 def q_extractive_summary(spark, sf):
-    return _summaries(spark, sf).select("complaint_id", "summary")
+    c = TB.complaints(spark, sf, with_response=False).select("complaint_id", "narrative")
+    return SU.extractive_summary(c, "complaint_id", "narrative")
 
 
 @query("chunked_summary")
@@ -494,12 +500,8 @@ def q_rouge_l(spark, sf):
 
 @query("embedding_match")
 def q_embedding_match(spark, sf):
-    emb = TB.table(spark, sf, "embeddings")
-    split = SM.stratified_split(emb.select("vec_id", "label"), "label", "vec_id", 0.8, seed=42)
-    rows = emb.join(split.select("vec_id", "split"), "vec_id")
-    _, matrix = SC.centroid_model(SC.fit_centroids(rows.filter(F.col("split") == "train"),
-                                                   "embedding", "label"))
-    return SI.embedding_match(rows.filter(F.col("split") == "test"), "embedding", matrix)
+    test, model = _embedding_split(spark, sf)
+    return SI.embedding_match(test.withColumn("model", SC.model_column(model)), "embedding", "model")
 
 
 # --- classifiers (MLlib) ----------------------------------------------------
@@ -559,13 +561,9 @@ def q_classifier_reload(spark, sf):
 
 @query("batch_model_scores")
 def q_batch_model_scores(spark, sf):
-    emb = TB.table(spark, sf, "embeddings")
-    split = SM.stratified_split(emb.select("vec_id", "label"), "label", "vec_id", 0.8, seed=42)
-    rows = emb.join(split.select("vec_id", "split"), "vec_id")
-    labels, matrix = SC.centroid_model(SC.fit_centroids(rows.filter(F.col("split") == "train"),
-                                                        "embedding", "label"))
-    test = rows.filter(F.col("split") == "test").withColumn(
-        "vec", F.col("embedding").cast("array<double>"))
+    test, model = _embedding_split(spark, sf)
+    labels, matrix = SC.local_model(model)
+    test = test.withColumn("vec", F.col("embedding").cast("array<double>"))
     scores = SC.score_batches(test, "vec", SC.numpy_linear_predictor(matrix),
                               ArrayType(DoubleType()), batch_size=32, input_tensor_shapes=[[len(matrix[0])]])
     label_of = F.array(*[F.lit(x) for x in labels])

@@ -31,12 +31,6 @@ def get_session(master: str | None = None, shuffle_partitions: int | None = None
     }
     if shuffle_partitions:
         conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
-    if master and master.startswith("local"):
-        # Small local inputs: let AQE merge shuffle partitions up to a target
-        # size instead of keeping one per core, so iterative MLlib jobs and
-        # tiny aggregates do not pay per-task overhead on empty partitions.
-        conf["spark.sql.adaptive.coalescePartitions.parallelismFirst"] = "false"
-        conf["spark.sql.adaptive.advisoryPartitionSizeInBytes"] = "2m"
     for k, v in conf.items():
         builder = builder.config(k, v)
     spark = builder.getOrCreate()

@@ -8,6 +8,8 @@ Everything written goes under the cluster's shared checkpoint folder
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as TY
 
@@ -49,8 +51,12 @@ def write_stage(df: DataFrame, path: str, fmt: str = "parquet") -> None:
 
 
 def materialize(df: DataFrame, spark: SparkSession, name: str) -> DataFrame:
-    """Write a DataFrame to the shared folder and read it back (cuts lineage,
-    survives executor loss; the replacement for caching a long plan)."""
-    path = scratch_path(spark, name)
+    """Write a DataFrame to a folder of its own in the shared folder and read it back.
+
+    Cuts lineage, survives executor loss, keeps column pruning, and tells the
+    planner the table's size: a small one is broadcast by the session's
+    threshold, a large one is joined by exchanges that AQE can split.
+    """
+    path = scratch_path(spark, f"{name}-{uuid.uuid4().hex}")
     write_stage(df, path, "parquet")
-    return spark.read.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)

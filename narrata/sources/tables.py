@@ -6,8 +6,6 @@ pushes filters into the scan; nothing is cached or collected here.
 
 from __future__ import annotations
 
-import os
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -18,35 +16,10 @@ TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineite
           "conversations")
 
 
-SPREAD_BELOW_BYTES = 256 << 20
-SPREAD_FROM_BYTES = 1 << 20
-
-
-def spread_small(df: DataFrame) -> DataFrame:
-    """Spread a small local input over all cores.
-
-    A file with a single parquet row group is read by one task however the
-    splits are cut, so all row-level work before the first shuffle would run
-    on one core. Inputs under 256 MB (local files only) are round-robin
-    repartitioned to the default parallelism; large inputs, or inputs on a
-    cluster file system, already arrive in many splits and are left alone;
-    inputs under 1 MB are cheap enough for one task.
-    """
-    spark = df.sparkSession
-    files = df.inputFiles()
-    if not files or not all(f.startswith("file:") for f in files):
-        return df
-    total = sum(os.path.getsize(f[len("file:"):]) for f in files if os.path.exists(f[len("file:"):]))
-    n = spark.sparkContext.defaultParallelism
-    if SPREAD_FROM_BYTES <= total < SPREAD_BELOW_BYTES and len(files) < n:
-        return df.repartition(n)
-    return df
-
-
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     if name not in TABLES:
         raise ValueError(f"unknown table {name!r}")
-    return spread_small(spark.read.parquet(os.path.join(sf_dir, f"{name}.parquet")))
+    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
 def complaints(spark: SparkSession, sf_dir: str, with_response: bool = True) -> DataFrame:

@@ -64,7 +64,7 @@ def test_confusion_matrix_zero_cells(spark):
 
 def test_cross_entropy(spark):
     df = spark.createDataFrame([(0, [2.0, 0.0]), (1, [0.0, 1.0])], "y int, s array<double>")
-    got = MT.cross_entropy(df, "y", "s").first()["mean_ce"]
+    got = MT.cross_entropy(df, "y", "s", F.array(F.lit(0), F.lit(1))).first()["mean_ce"]
     want = (-math.log(math.exp(2) / (math.exp(2) + 1)) - math.log(math.e / (1 + math.e))) / 2
     assert abs(got - want) < 1e-6
 
@@ -72,3 +72,21 @@ def test_cross_entropy(spark):
 def test_top_k_classes_ties(spark):
     df = spark.createDataFrame([([1.0, 3.0, 3.0, 0.5],)], "s array<double>")
     assert df.select(V.top_k_classes("s", 3)).first()[0] == [2, 1, 0]
+
+
+def test_labels_are_not_positions(spark):
+    """Classes 3, 7, 9; a true class 5 that the model has never seen."""
+    labels = F.array(F.lit(3), F.lit(7), F.lit(9))
+    df = spark.createDataFrame([(3, [2.0, 0.0, 1.0]), (9, [0.0, 3.0, 1.0]), (7, [5.0, 0.0, 4.0]), (5, [1.0, 1.0, 1.0])],
+                               "y int, s array<double>")
+    assert MT.top_k_accuracy(df, "y", "s", labels, 1).first()["top_1_accuracy"] == 0.25
+    assert MT.top_k_accuracy(df, "y", "s", labels, 2).first()["top_2_accuracy"] == 0.5
+
+    def loss(scores, i):
+        return math.log(sum(math.exp(x) for x in scores)) - scores[i]
+
+    want = (loss([2, 0, 1], 0) + loss([0, 3, 1], 2) + loss([5, 0, 4], 1)) / 3
+    assert abs(MT.cross_entropy(df, "y", "s", labels).first()["mean_ce"] - want) < 1e-6
+    weights = spark.createDataFrame([(3, 1.0), (7, 2.0), (9, 0.5)], "label int, weight double")
+    want = (loss([2, 0, 1], 0) + 2 * loss([5, 0, 4], 1) + 0.5 * loss([0, 3, 1], 2)) / 3.5
+    assert abs(MT.cross_entropy(df, "y", "s", labels, weights).first()["weighted_ce"] - want) < 1e-6

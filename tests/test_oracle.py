@@ -20,9 +20,20 @@ def norm(v):
     return v
 
 
-def canon(cols, rows):
-    order = sorted(range(len(cols)), key=lambda i: cols[i])
-    return sorted((tuple(norm(r[i]) for i in order) for r in rows), key=repr)
+def canon(rows):
+    return sorted((tuple(map(norm, r)) for r in rows), key=repr)
+
+
+def kind(name):
+    """A type's family, for engines that name and size types differently."""
+    name = str(name).lower()
+    if name.endswith("[]") or name.startswith("array"):
+        return "array"
+    for family, words in (("text", ("varchar", "string")), ("real", ("double", "float", "decimal")),
+                          ("boolean", ("boolean",)), ("whole", ("hugeint", "bigint", "integer", "int", "long", "smallint"))):
+        if any(name.startswith(w) for w in words):
+            return family
+    return name
 
 
 @pytest.fixture(scope="module")
@@ -36,11 +47,10 @@ def con():
 @pytest.mark.parametrize("name", sorted(E.oracle_sql()))
 def test_query_matches_oracle(spark, con, name):
     df = E.queries()[name](spark, SF_SMALL)
-    got = canon(df.columns, [tuple(r) for r in df.collect()])
+    got = canon(df.collect())
     rel = con.execute(E.oracle_sql()[name])
-    cols = [d[0] for d in rel.description]
-    assert sorted(cols) == sorted(df.columns)
-    assert got == canon(cols, rel.fetchall())
+    assert [(d[0], kind(d[1])) for d in rel.description] == [(n, kind(t)) for n, t in df.dtypes]
+    assert got == canon(rel.fetchall())
 
 
 @pytest.mark.parametrize("name", sorted(set(E.queries()) - set(E.oracle_sql()) - SLOW))

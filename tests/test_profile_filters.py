@@ -55,3 +55,18 @@ def test_validate_raises(spark):
         P.validate(df, ["a", "missing"])
     with pytest.raises(ValueError):
         P.validate(df, ["a", "t"], target="t")
+
+
+def test_histogram_of_one_value_and_of_none(spark):
+    df = spark.createDataFrame([(7.0,), (7.0,), (None,)], "x double")
+    got = rows(P.histogram(df, "x", 4), "bin", "lower", "upper", "count")
+    assert sorted(got) == [(0, 7.0, 7.0, 2), (1, 7.0, 7.0, 0), (2, 7.0, 7.0, 0), (3, 7.0, 7.0, 0)]
+    assert rows(P.histogram(df.filter("x IS NULL"), "x", 4)) == []
+    even = spark.createDataFrame([(float(i),) for i in range(9)], "x double")
+    assert [r[3] for r in sorted(rows(P.histogram(even, "x", 4)))] == [2, 2, 2, 3]
+
+
+def test_distinct_values_by_appearance(spark):
+    df = spark.createDataFrame([(3, "a"), (1, "c"), (2, "b"), (5, "c"), (0, None)], "k int, v string")
+    assert rows(P.distinct_in_order(df, "v", "k")) == [("c", 1), ("b", 2), ("a", 3)]
+    assert rows(P.distinct_values(df, "v")) == [("a",), ("b",), ("c",)]

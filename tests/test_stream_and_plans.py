@@ -59,3 +59,57 @@ def test_words_whole_text(spark):
     df = spark.createDataFrame([(doc,)], "t string")
     from pyspark.sql import functions as F
     assert df.select(F.size(T.words("t"))).first()[0] == 20000
+
+
+def joins(df):
+    """The shuffled joins of a plan, with their keys."""
+    return [line for line in plan(df).splitlines() if "SortMergeJoin" in line or "ShuffledHashJoin" in line]
+
+
+def test_no_join_by_token_alone(spark):
+    import __spark_entry__ as E
+    qs = E.queries()
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        for name in ("extractive_summary", "lexicon_sentiment", "lexicon_sentiment_context", "sentiment_by_product"):
+            on_token = [j for j in joins(qs[name](spark, SF_SMALL)) if "tok#" in j]
+            assert on_token, name
+            for j in on_token:
+                assert "_salt#" in j or "complaint_id#" in j, (name, j)
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+def test_one_exchange_of_rows_in_the_exact_rank(spark):
+    import __spark_entry__ as E
+    qs = E.queries()
+    for threshold in ("-1", "10485760"):
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
+        try:
+            for name in ("cap_per_class", "stratified_split", "stratified_folds"):
+                p = plan(qs[name](spark, SF_SMALL))
+                moved = [line for line in p.splitlines() if "Exchange hashpartitioning" in line]
+                # one for the rows; with a shuffled join one more for the small offsets table
+                assert len(moved) == (2 if threshold == "-1" else 1), (name, p)
+        finally:
+            spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+def test_class_tables_join_without_moving_rows(spark):
+    import __spark_entry__ as E
+    qs = E.queries()
+    for name in ("rare_class_filter", "oversized_classes", "label_encode", "sample_weights"):
+        df = qs[name](spark, SF_SMALL)
+        assert not [j for j in joins(df) if "response#" in j], name
+
+
+def test_rouge_n_shuffles_no_ngrams(spark):
+    from narrata.operators import similarity as SI
+    df = spark.createDataFrame([(1, "a b", "a b c")], "id long, g string, r string")
+    assert "Exchange" not in plan(SI.rouge_n_pairs(df, "id", "g", "r", (1, 2)))
+
+
+def test_linear_model_is_fitted_once(spark):
+    import __spark_entry__ as E
+    p = plan(E.queries()["linear_scores"](spark, SF_SMALL))
+    assert p.count("embeddings.parquet") == 1 and p.count("Window") <= 2
