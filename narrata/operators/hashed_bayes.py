@@ -1,0 +1,125 @@
+"""Naive Bayes over hashed word features, scored in Arrow batches (M4, M6, S4).
+
+Features are words, or pairs of neighbouring words, hashed by the first three
+hex digits of their md5 (4,096 buckets). A model is one row per class: prior,
+the weight of a bucket that the class has never seen, and the other buckets'
+weights, all as whole numbers of 1e-9, so that scores don't depend on the
+order of summation and SQL gives the same ones. Models are written like any
+table, and read again by a batch job or a stream.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, LongType
+
+from narrata.functions import text as T
+from narrata.functions import vectors as V
+from narrata.functions.numeric import round6
+from narrata.operators import scoring as SC
+
+BUCKETS = 4096
+UNIT = 1e9
+
+
+def features(text_col, pairs: bool = False) -> Column:
+    """The words of a cleaned text, or its pairs of neighbouring words."""
+    w = T.words(text_col)
+    if not pairs:
+        return w
+    places = F.when(F.size(w) > 1, F.sequence(F.lit(1), F.size(w) - 1)).otherwise(F.array().cast("array<int>"))
+    return F.transform(places, lambda i: F.concat(F.get(w, i - 1), F.lit(" "), F.get(w, i)))
+
+
+def _units(x: Column) -> Column:
+    return F.round(x * F.lit(UNIT)).cast("long")
+
+
+def fit(train: DataFrame, text_col: str, label_col: str, pairs: bool = False) -> DataFrame:
+    """``(label, prior, unseen, buckets, weights)``, a row per class of the training rows.
+
+    Counting by (class, bucket) is a partial aggregate of at most classes x
+    4,096 rows from each task; a class's list is bounded by the buckets.
+    """
+    rows = train.filter(F.col(label_col).isNotNull())
+    bucket = F.conv(F.substring(F.md5("tok"), 1, 3), 16, 10).cast("int")
+    counts = (rows.select(F.col(label_col).alias("label"), F.explode(features(text_col, pairs)).alias("tok"))
+              .select("label", bucket.alias("bucket")).groupBy("label", "bucket").agg(F.count("*").alias("n")))
+    lists = counts.groupBy("label").agg(F.sum("n").alias("total"),
+                                        F.array_sort(F.collect_list(F.struct("bucket", "n"))).alias("seen"))
+    sizes = rows.groupBy(F.col(label_col).alias("label")).agg(F.count("*").alias("size"))
+    n_rows = sizes.agg(F.sum("size")).scalar()
+    model = (sizes.withColumn("all", n_rows).join(lists, "label", "left")
+             .withColumn("total", F.coalesce("total", F.lit(0)) + BUCKETS))
+    seen = F.coalesce("seen", F.array().cast("array<struct<bucket:int,n:bigint>>"))
+    return model.select(
+        "label", _units(F.log(F.col("size") / F.col("all"))).alias("prior"),
+        _units(F.log(F.lit(1) / F.col("total"))).alias("unseen"),
+        F.transform(seen, lambda x: x["bucket"]).alias("buckets"),
+        F.transform(seen, lambda x: _units(F.log((x["n"] + 1) / F.col("total")))).alias("weights"))
+
+
+def save(model: DataFrame, path: str) -> None:
+    model.write.mode("overwrite").parquet(path)
+
+
+def load(spark: SparkSession, path: str) -> tuple[list, list[tuple]]:
+    """Labels and per-class parameters on the driver (classes x 4,096 numbers at most, checked in bytes)."""
+    model = spark.read.parquet(path)
+    cells = model.agg(F.sum(F.size("buckets"))).first()[0] or 0
+    if 12 * cells > SC.MAX_MODEL_BYTES:
+        raise ValueError(f"a model of {12 * cells} bytes doesn't fit a closure")
+    rows = model.orderBy("label").collect()
+    return [r.label for r in rows], [(r.prior, r.unseen, list(r.buckets), list(r.weights)) for r in rows]
+
+
+def predictor(classes: list[tuple], pairs: bool = False):
+    """Factory for ``predict_batch_udf``: cleaned texts -> whole-number scores of all classes."""
+    def make():
+        import hashlib
+
+        import numpy as np
+
+        table = np.empty((BUCKETS, len(classes)), np.int64)
+        for j, (_, unseen, buckets, weights) in enumerate(classes):
+            table[:, j] = unseen
+            table[buckets, j] = weights
+        priors = np.array([c[0] for c in classes], np.int64)
+        known: dict[str, int] = {}
+
+        def bucket(tok: str) -> int:
+            if len(known) > 1_000_000:
+                known.clear()
+            if tok not in known:
+                known[tok] = int(hashlib.md5(tok.encode()).hexdigest()[:3], 16)
+            return known[tok]
+
+        def predict_fn(texts):
+            out = np.empty((len(texts), len(classes)), np.int64)
+            for i, text in enumerate(texts):
+                w = (text or "").split(" ")
+                w = [x for x in w if x]
+                toks = [f"{a} {b}" for a, b in zip(w, w[1:])] if pairs else w
+                out[i] = priors + table[[bucket(t) for t in toks]].sum(axis=0)
+            return out
+        return predict_fn
+    return make
+
+
+def score(df: DataFrame, text_col: str, labels: list, classes: list[tuple], pairs: bool = False) -> DataFrame:
+    """``df`` with ``scores`` (of ``labels``, in order), ``predicted`` and its ``probability``."""
+    words = F.array_join(T.words(text_col), " ")
+    raw = SC.score_batches(df.withColumn("_words", words), "_words", predictor(classes, pairs),
+                           ArrayType(LongType()), batch_size=256)
+    scored = T.with_computed(df.withColumn("_words", words), _raw=raw).drop("_words")
+    scored = T.with_computed(scored, scores=F.transform("_raw", lambda x: x / F.lit(UNIT))).drop("_raw")
+    names = F.array(*[F.lit(x) for x in labels])
+    probs, best, prob = SC.predict("scores")
+    return scored.withColumn("predicted", F.element_at(names, best + 1)).withColumn("probability", round6(prob))
+
+
+def top_labels(labels: list, k: int) -> Column:
+    """The k best labels of ``scores``, best first (ties: the later label)."""
+    names = F.array(*[F.lit(x) for x in labels])
+    return F.transform(V.top_k_classes("scores", k), lambda i: F.element_at(names, i + 1))

@@ -574,5 +574,92 @@ oracle("model_compare", "WITH " + CLEANED_NR + Q.lexicon_ctes() + ", " + ", ".jo
 FROM lab l JOIN stacked s ON s._key = l._key""")
 
 
+# --- hashed naive Bayes -----------------------------------------------------
+
+def _feats(col: str, pairs: bool) -> str:
+    w = Q.words(col)
+    if not pairs:
+        return w
+    return f"list_transform(range(1, len({w})), lambda i: ({w})[i] || ' ' || ({w})[i + 1])"
+
+
+def _bayes_ctes(p: str, train: str, rows: str, pairs: bool = False) -> list[str]:
+    """Train on ``train`` (label, clean), score ``rows`` (_key, clean): {p}s (_key, label, score), {p}p predictions."""
+    bucket = "CAST(('0x' || substr(md5(tok), 1, 3)) AS INTEGER)"
+    return [
+        f"{p}c AS (SELECT label, b, count(*) AS n FROM (SELECT label, {bucket} AS b FROM (SELECT label, "
+        f"unnest({_feats('clean', pairs)}) AS tok FROM {train})) GROUP BY label, b)",
+        f"{p}z AS (SELECT label, count(*) AS size FROM {train} GROUP BY label)",
+        f"{p}l AS (SELECT z.label, CAST(round(ln(z.size / (SELECT sum(size) FROM {p}z)) * 1e9) AS BIGINT) AS prior, "
+        f"coalesce((SELECT sum(n) FROM {p}c c WHERE c.label = z.label), 0) + 4096 AS total FROM {p}z z)",
+        f"{p}l2 AS (SELECT *, CAST(round(ln(1 / total) * 1e9) AS BIGINT) AS unseen FROM {p}l)",
+        f"{p}w AS (SELECT c.label, c.b, CAST(round(ln((c.n + 1) / l.total) * 1e9) AS BIGINT) - l.unseen AS more "
+        f"FROM {p}c c JOIN {p}l2 l ON l.label = c.label)",
+        f"{p}t AS (SELECT _key, {bucket} AS b, count(*) AS m FROM (SELECT _key, unnest({_feats('clean', pairs)}) AS tok "
+        f"FROM {rows}) GROUP BY _key, b)",
+        f"{p}n AS (SELECT _key, sum(m) AS nt FROM {p}t GROUP BY _key)",
+        f"{p}d AS (SELECT t._key, w.label, sum(t.m * w.more) AS more FROM {p}t t JOIN {p}w w ON w.b = t.b GROUP BY ALL)",
+        f"{p}s AS (SELECT r._key, l.label, l.prior + coalesce(n.nt, 0) * l.unseen + coalesce(d.more, 0) AS score "
+        f"FROM {rows} r CROSS JOIN {p}l2 l LEFT JOIN {p}n n ON n._key = r._key "
+        f"LEFT JOIN {p}d d ON d._key = r._key AND d.label = l.label)",
+        f"{p}m AS (SELECT *, max(score) OVER (PARTITION BY _key) AS top, row_number() OVER (PARTITION BY _key "
+        f"ORDER BY score DESC, label) AS nth FROM {p}s)",
+        f"{p}p AS (SELECT _key, max(label) FILTER (WHERE nth = 1) AS predicted, "
+        f"round(1 / sum(exp((score - top) / 1e9)), 6) AS probability FROM {p}m GROUP BY _key)",
+    ]
+
+
+def _train(label: str) -> list[str]:
+    """train (label, clean) and test (_key, label, clean): 80% of each class in hash order, and the rest."""
+    return [
+        f"labs AS (SELECT complaint_id, {label} AS label, clean, row_number() OVER (PARTITION BY {label} ORDER BY "
+        f"{_h(42, 'complaint_id')}) AS rk, count(*) OVER (PARTITION BY {label}) AS cn FROM cleaned "
+        f"WHERE {label} IS NOT NULL)",
+        "train AS (SELECT * FROM labs WHERE rk <= floor(0.8 * cn))",
+        "test AS (SELECT complaint_id AS _key, label, clean FROM labs WHERE rk > floor(0.8 * cn))",
+    ]
+
+
+_ALL = "everything AS (SELECT complaint_id AS _key, clean FROM cleaned)"
+_TEXT_SCORES = (with_(CLEANED, *_train("response"), _ALL, *_bayes_ctes("b_", "train", "everything"))
+                + "SELECT _key AS complaint_id, predicted AS predicted_response, probability FROM b_p")
+oracle("batch_text_scores", _TEXT_SCORES)
+oracle("stream_classify", _TEXT_SCORES)
+oracle("trained_model_compare", with_(
+    CLEANED, *_train("response"), *_summary_ctes("s_", "complaints", "complaint_id", "narrative"),
+    "stacked AS (SELECT CAST(complaint_id AS VARCHAR) || '|combined' AS _key, complaint_id, 'combined' AS input, "
+    + _COMBINED + " AS text FROM complaints UNION ALL "
+    "SELECT CAST(c.complaint_id AS VARCHAR) || '|summary', c.complaint_id, 'summary', coalesce(s.summary, '') "
+    "FROM complaints c LEFT JOIN s_summ s ON s.complaint_id = c.complaint_id)",
+    f"sclean AS (SELECT _key, {Q.clean('text')} AS clean FROM stacked)",
+    *_bayes_ctes("w_", "train", "sclean"), *_bayes_ctes("x_", "train", "sclean", True),
+    "twin AS (SELECT _key, 'words' AS model, predicted, probability FROM w_p UNION ALL "
+    "SELECT _key, 'pairs', predicted, probability FROM x_p)")
+    + "SELECT s.complaint_id, s.input, b.model, b.predicted AS predicted_response, b.probability "
+    "FROM twin b JOIN stacked s ON s._key = b._key")
+_ISSUES = [CLEANED, *_train("issue"), *_bayes_ctes("b_", "train", "test"),
+           "pv AS (SELECT t._key, t.label AS y, p.predicted AS pred FROM test t JOIN b_p p ON p._key = t._key)"]
+oracle("issue_confusion", with_(
+    *_ISSUES, "cls AS (SELECT y AS c FROM pv UNION SELECT pred FROM pv)",
+    "cnt AS (SELECT y, pred, count(*) AS n FROM pv GROUP BY y, pred)")
+    + "SELECT a.c AS true_label, b.c AS pred_label, CAST(coalesce(cnt.n, 0) AS BIGINT) AS count "
+    "FROM cls a CROSS JOIN cls b LEFT JOIN cnt ON cnt.y = a.c AND cnt.pred = b.c")
+oracle("issue_classifier", with_(
+    *_ISSUES, *PER_CLASS,
+    "rk AS (SELECT t._key, (SELECT 1 + count(*) FROM b_s o WHERE o._key = t._key AND (o.score > a.score OR "
+    "(o.score = a.score AND o.label > a.label))) AS r FROM test t LEFT JOIN b_s a ON a._key = t._key "
+    "AND a.label = t.label)") + """
+SELECT CAST(c AS VARCHAR) AS class, round(precision, 6) AS precision, round(recall, 6) AS recall,
+  round(f1, 6) AS f1, CAST(support AS BIGINT) AS support FROM pc
+UNION ALL SELECT 'macro avg', round(avg(precision), 6), round(avg(recall), 6), round(avg(f1), 6),
+  CAST(sum(support) AS BIGINT) FROM pc
+UNION ALL SELECT 'weighted avg', round(sum(precision * support) / sum(support), 6),
+  round(sum(recall * support) / sum(support), 6), round(sum(f1 * support) / sum(support), 6),
+  CAST(sum(support) AS BIGINT) FROM pc
+UNION ALL SELECT 'accuracy', NULL, NULL, round(sum(tp) / sum(support), 6), CAST(sum(support) AS BIGINT) FROM pc
+UNION ALL SELECT 'top 3 accuracy', NULL, NULL, round(avg(CASE WHEN r <= 3 THEN 1.0 ELSE 0.0 END), 6),
+  count(*) FROM rk""")
+
+
 def oracle_sql() -> dict[str, str]:
     return dict(ORACLE)

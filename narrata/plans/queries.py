@@ -8,6 +8,7 @@ places in both so engines that sum in a different order still agree.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -19,6 +20,7 @@ from narrata.functions.numeric import round6
 from narrata.functions import vectors as V
 from narrata.operators import classify as CL
 from narrata.operators import filters as FL
+from narrata.operators import hashed_bayes as NB
 from narrata.operators import metrics as MT
 from narrata.operators import scoring as SC
 from narrata.operators import similarity as SI
@@ -520,14 +522,19 @@ def q_train_classifier(spark, sf):
     data = _response_data(spark, sf)
     model = CL.fit_classifier(data.filter(F.col("split") == "train"), "text", "response")
     pred = CL.predict(model, data.filter(F.col("split") == "test"), ["complaint_id", "response"])
-    return pred.select("complaint_id", "response", F.col("predicted_label").alias("predicted_response"))
+    return pred.select("complaint_id", "response", F.col("predicted_label").alias("predicted_response"),
+                       r6(F.array_max("probabilities")).alias("probability"))
 
 
 @query("model_family_compare")
 def q_model_family_compare(spark, sf):
+    """Metrics of every family; the best one is saved to the shared folder."""
+    from narrata.sources import io as IO
     data = _response_data(spark, sf)
-    return CL.compare_families(data.filter(F.col("split") == "train"),
-                               data.filter(F.col("split") == "test"), "text", "response")
+    rows, best = CL.compare_families(data.filter(F.col("split") == "train"),
+                                     data.filter(F.col("split") == "test"), "text", "response")
+    CL.save(best, IO.scratch_path(spark, f"models/best-{uuid.uuid4().hex}"))
+    return rows
 
 
 @query("cross_validate")
@@ -543,8 +550,6 @@ def q_cross_validate(spark, sf):
 
 @query("classifier_reload")
 def q_classifier_reload(spark, sf):
-    import uuid
-
     from pyspark.ml import PipelineModel
 
     from narrata.sources import io as IO
@@ -596,12 +601,85 @@ def q_model_compare(spark, sf):
                       S.sentiment_names("sentiment").alias("sentiment_name"))
 
 
+# --- text classifiers whose scores SQL can give: hashed naive Bayes -----------
+
+def _bayes(spark, train, label, pairs=False):
+    """Fit on cleaned texts, save to the shared folder, load again: (labels, classes)."""
+    from narrata.sources import io as IO
+    path = IO.scratch_path(spark, f"models/bayes-{uuid.uuid4().hex}")
+    NB.save(NB.fit(train, "clean", label, pairs), path)
+    return NB.load(spark, path)
+
+
+def _split(spark, sf, label):
+    """Cleaned complaints with a label, split 80/20 within each class."""
+    c = FL.dropna_subset(TB.cleaned_complaints(spark, sf), [label])
+    return SM.stratified_split(c.select("complaint_id", label, "clean"), label, "complaint_id", 0.8, seed=42)
+
+
+@query("batch_text_scores")
+def q_batch_text_scores(spark, sf):
+    train = _split(spark, sf, "response").filter(F.col("split") == "train")
+    labels, classes = _bayes(spark, train, "response")
+    docs = TB.cleaned_complaints(spark, sf, with_response=False).select("complaint_id", "clean")
+    return NB.score(docs, "clean", labels, classes).select(
+        "complaint_id", F.col("predicted").alias("predicted_response"), "probability")
+
+
+@query("trained_model_compare")
+def q_trained_model_compare(spark, sf):
+    """Two trained classifiers (words, pairs of words) over the combined text and the summary."""
+    train = _split(spark, sf, "response").filter(F.col("split") == "train")
+    models = {name: (_bayes(spark, train, "response", pairs), pairs) for name, pairs in (("words", False), ("pairs", True))}
+    c = TB.complaints(spark, sf, with_response=False)
+    c = c.join(SU.extractive_summary(c.select("complaint_id", "narrative"), "complaint_id", "narrative"), "complaint_id")
+    inputs = {
+        "combined": T.build_text(["narrative", "company", "product", "issue"], "skip", sep=" | ",
+                                 labels=["Complaint Narrative", "Company", "Product", "Issue"]),
+        "summary": F.col("summary"),
+    }
+
+    def scorer(model, pairs):
+        def run(d):
+            cleaned = d.select("_key", T.clean_narrative("text").alias("clean"))
+            return NB.score(cleaned, "clean", *model, pairs).select("_key", "predicted", "probability")
+        return run
+
+    out = SC.compare_models(c, "complaint_id", inputs, {n: scorer(m, p) for n, (m, p) in models.items()})
+    return out.select("complaint_id", "input", "model", F.col("predicted").alias("predicted_response"), "probability")
+
+
+def _issue_predictions(spark, sf):
+    from narrata.sources import io as IO
+    rows = _split(spark, sf, "issue")
+    labels, classes = _bayes(spark, rows.filter(F.col("split") == "train"), "issue")
+    scored = NB.score(rows.filter(F.col("split") == "test"), "clean", labels, classes)
+    scored = scored.select("complaint_id", "issue", "predicted", "scores")
+    return IO.materialize(scored, spark, "issue-predictions"), F.array(*[F.lit(x) for x in labels])
+
+
+@query("issue_classifier")
+def q_issue_classifier(spark, sf):
+    """Report of the issue classifier on its test split, with top-3 accuracy as a row of its own."""
+    scored, labels = _issue_predictions(spark, sf)
+    report = MT.classification_report(scored, "issue", "predicted")
+    top = MT.top_k_accuracy(scored, "issue", "scores", labels, 3)
+    none = F.lit(None).cast("double")
+    return report.unionByName(top.select(
+        F.lit("top 3 accuracy").alias("class"), none.alias("precision"), none.alias("recall"),
+        F.col("top_3_accuracy").alias("f1"), F.col("n").alias("support")))
+
+
+@query("issue_confusion")
+def q_issue_confusion(spark, sf):
+    scored, _ = _issue_predictions(spark, sf)
+    return MT.confusion_matrix(scored, "issue", "predicted")
+
+
 # --- sources and sinks ------------------------------------------------------
 
 @query("csv_roundtrip")
 def q_csv_roundtrip(spark, sf):
-    import uuid
-
     from narrata.sources import io as IO
     path = IO.scratch_path(spark, f"stages/complaints-{uuid.uuid4().hex}.csv")
     IO.write_stage(TB.complaints(spark, sf), path, "csv")
@@ -614,8 +692,6 @@ def q_csv_roundtrip(spark, sf):
 def q_stream_score(spark, sf):
     """Documents arriving as files are scored by the streaming scorer until
     the available input is drained; the sink is read back as a table."""
-    import uuid
-
     from narrata.sources import io as IO
     from narrata.streaming import score as ST
     run = uuid.uuid4().hex
@@ -630,5 +706,22 @@ def q_stream_score(spark, sf):
     return spark.read.parquet(sink).select("complaint_id", "product", "sentiment", "sentiment_name")
 
 
+@query("stream_classify")
+def q_stream_classify(spark, sf):
+    """Documents arriving as files are classified by a saved model until the input is drained."""
+    from narrata.sources import io as IO
+    from narrata.streaming import score as ST
+    train = _split(spark, sf, "response").filter(F.col("split") == "train")
+    run = f"streams/classify-{uuid.uuid4().hex}"
+    NB.save(NB.fit(train, "clean", "response"), IO.scratch_path(spark, f"{run}/model"))
+    sink = IO.scratch_path(spark, f"{run}/out")
+    q = ST.classify_stream(spark, sf, IO.scratch_path(spark, f"{run}/model"), sink,
+                           IO.scratch_path(spark, f"{run}/checkpoint"), glob="documents.parquet")
+    q.awaitTermination()
+    if q.exception() is not None:
+        raise RuntimeError(str(q.exception()))
+    return spark.read.parquet(sink).select("complaint_id", "predicted_response", "probability")
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return dict(REGISTRY)

@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as TY
 
 from narrata.functions import text as T
+from narrata.operators import hashed_bayes as NB
 from narrata.operators import sentiment as S
 
 DOCUMENT_SCHEMA = TY.StructType([
@@ -35,20 +36,41 @@ def score_batch(docs: DataFrame, lexicon: DataFrame) -> DataFrame:
                          S.sentiment_names("sentiment").alias("sentiment_name"))
 
 
-def score_stream(spark: SparkSession, source_dir: str, lexicon: DataFrame, sink_dir: str,
-                 checkpoint_location: str, glob: str = "*.parquet",
-                 available_now: bool = True, max_files_per_trigger: int | None = None):
-    """Start the streaming scorer; returns the StreamingQuery."""
+def classify_batch(docs: DataFrame, labels: list, classes: list) -> DataFrame:
+    """Batch classification of raw documents by a loaded hashed naive Bayes model."""
+    cleaned = T.with_computed(docs.select(F.col("doc_id").alias("complaint_id"), "text"),
+                              clean=T.clean_narrative("text")).filter(F.col("clean") != "")
+    scored = NB.score(cleaned.select("complaint_id", "clean"), "clean", labels, classes)
+    return scored.select("complaint_id", F.col("predicted").alias("predicted_response"), "probability")
+
+
+def _start(spark: SparkSession, source_dir: str, batch_fn, sink_dir: str, checkpoint_location: str, glob: str,
+           available_now: bool, max_files_per_trigger: int | None):
     reader = spark.readStream.schema(DOCUMENT_SCHEMA).option("pathGlobFilter", glob)
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
     stream = reader.parquet(source_dir)
 
     def write_batch(batch: DataFrame, epoch_id: int) -> None:
-        out = f"{sink_dir}/epoch={epoch_id}"
-        score_batch(batch, lexicon).write.mode("overwrite").parquet(out)
+        batch_fn(batch).write.mode("overwrite").parquet(f"{sink_dir}/epoch={epoch_id}")
 
     writer = (stream.writeStream.foreachBatch(write_batch)
               .option("checkpointLocation", checkpoint_location))
     writer = writer.trigger(availableNow=True) if available_now else writer.trigger(processingTime="10 seconds")
     return writer.start()
+
+
+def classify_stream(spark: SparkSession, source_dir: str, model_path: str, sink_dir: str, checkpoint_location: str,
+                    glob: str = "*.parquet", available_now: bool = True, max_files_per_trigger: int | None = None):
+    """Start a stream that classifies arriving documents by a saved model; returns the StreamingQuery."""
+    labels, classes = NB.load(spark, model_path)
+    return _start(spark, source_dir, lambda batch: classify_batch(batch, labels, classes), sink_dir,
+                  checkpoint_location, glob, available_now, max_files_per_trigger)
+
+
+def score_stream(spark: SparkSession, source_dir: str, lexicon: DataFrame, sink_dir: str,
+                 checkpoint_location: str, glob: str = "*.parquet",
+                 available_now: bool = True, max_files_per_trigger: int | None = None):
+    """Start the streaming scorer; returns the StreamingQuery."""
+    return _start(spark, source_dir, lambda batch: score_batch(batch, lexicon), sink_dir, checkpoint_location, glob,
+                  available_now, max_files_per_trigger)

@@ -1,41 +1,16 @@
 """Every registered query with oracle SQL equals DuckDB on the smallest fixture."""
 
-import math
-
 import duckdb
 import pytest
 
 import __spark_entry__ as E
 from narrata.sources.tables import TABLES
 from tests.conftest import SF_SMALL
+from tools.compare import canon, schema
 
 SLOW = {"train_classifier", "model_family_compare", "cross_validate", "classifier_reload"}
 
 
-def norm(v):
-    if isinstance(v, float):
-        return "nan" if math.isnan(v) else round(v, 6) + 0.0
-    if isinstance(v, (list, tuple)):
-        return tuple(norm(x) for x in v)
-    return v
-
-
-def canon(rows):
-    return sorted((tuple(map(norm, r)) for r in rows), key=repr)
-
-
-def kind(name):
-    """A type's family, for engines that name and size types differently."""
-    name = str(name).lower()
-    if name.endswith("[]") or name.startswith("array"):
-        return "array"
-    for family, words in (("text", ("varchar", "string")), ("real", ("double", "float", "decimal")),
-                          ("boolean", ("boolean",)), ("whole", ("hugeint", "bigint", "integer", "int", "long", "smallint"))):
-        if any(name.startswith(w) for w in words):
-            return family
-    return name
-
-
 @pytest.fixture(scope="module")
 def con():
     c = duckdb.connect()
@@ -49,7 +24,7 @@ def test_query_matches_oracle(spark, con, name):
     df = E.queries()[name](spark, SF_SMALL)
     got = canon(df.collect())
     rel = con.execute(E.oracle_sql()[name])
-    assert [(d[0], kind(d[1])) for d in rel.description] == [(n, kind(t)) for n, t in df.dtypes]
+    assert schema((d[0], d[1]) for d in rel.description) == schema(df.dtypes)
     assert got == canon(rel.fetchall())
 
 
