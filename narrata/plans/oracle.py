@@ -2,10 +2,18 @@
 
 from __future__ import annotations
 
-from narrata.functions.text import default_stopwords, letters_only_stopwords
-from narrata.operators import sentiment as S
+import re
+from importlib import resources
+
 from narrata.plans import sqltext as Q
 
+# Fixed values, stated here again so that the SQL shares no code with what it checks.
+BOOSTER_INCREMENTS = (0.293, 0.293 * 0.95, 0.293 * 0.9)   # by distance 1, 2, 3
+NEGATION = "-0.74"
+BEFORE, AFTER = "0.5", "1.5"                              # around the contrast word
+STOP_WORDS = resources.files("narrata.data").joinpath("stopwords_en.txt").read_text(encoding="utf-8").split()
+BARE_STOP_WORDS = list(dict.fromkeys(w for w in (re.sub("[^a-z]", "", x.lower()) for x in STOP_WORDS) if w))
+
 ORACLE: dict[str, str] = {}
 
 
@@ -65,12 +73,12 @@ def _context_ctes(p: str, src: str, key: str) -> list[str]:
     steps = []
     prev = "v0"
     for d in (1, 2, 3):
-        inc = repr(S.BOOSTER_INCREMENT * S.BOOSTER_DAMPING[d - 1])
+        inc = repr(BOOSTER_INCREMENTS[d - 1])
         b = f"(bst{d} AND val{d} IS NULL)"
         n = f"(neg{d} AND val{d} IS NULL)"
         add = f"{prev} + CASE WHEN {b} THEN (CASE WHEN {prev} < 0 THEN -{inc} ELSE {inc} END) ELSE 0.0 END"
         steps.append(f"{p}s{d}a AS (SELECT *, {add} AS a{d} FROM {p + 's0' if d == 1 else f'{p}s{d-1}b'})")
-        steps.append(f"{p}s{d}b AS (SELECT *, CASE WHEN {n} THEN a{d} * ({S.NEGATION_SCALAR!r}) "
+        steps.append(f"{p}s{d}b AS (SELECT *, CASE WHEN {n} THEN a{d} * ({NEGATION}) "
                      f"ELSE a{d} END AS w{d} FROM {p}s{d}a)")
         prev = f"w{d}"
     lags = ", ".join(f"lag(val, {d}) OVER w AS val{d}, lag(neg, {d}) OVER w AS neg{d}, "
@@ -89,7 +97,7 @@ def _context_ctes(p: str, src: str, key: str) -> list[str]:
         f"FROM {p}r WINDOW w AS (PARTITION BY {key} ORDER BY pos))",
         *steps,
         f"{p}fin AS (SELECT {key}, CASE WHEN bi IS NULL THEN w3 WHEN pos < bi THEN w3 * "
-        f"{S.BEFORE_CONTRAST!r} WHEN pos > bi THEN w3 * {S.AFTER_CONTRAST!r} ELSE w3 END AS v FROM {p}s3b)",
+        f"{BEFORE} WHEN pos > bi THEN w3 * {AFTER} ELSE w3 END AS v FROM {p}s3b)",
         f"{p}per AS (SELECT {key}, sum(CAST(round(v * 1e9) AS BIGINT)) / 1e9 AS s FROM {p}fin GROUP BY {key})",
         f"{p}sc AS (SELECT c.{key}, CAST(coalesce(x.s, 0) AS DOUBLE) AS valence_sum "
         f"FROM {src} c LEFT JOIN {p}per x ON x.{key} = c.{key})",
@@ -114,7 +122,7 @@ oracle("word_counts", with_(COMPLAINTS_NR)
        + f"SELECT complaint_id, {Q.word_count('narrative')} AS word_count, "
        f"{Q.word_count(Q.clean('narrative'))} AS clean_word_count FROM complaints")
 
-_STOPS = Q.sql_list(letters_only_stopwords())
+_STOPS = Q.sql_list(BARE_STOP_WORDS)
 _letters = f"lower(regexp_replace(narrative, '[^a-zA-Z\\t-\\r\\x1c-\\x20\\x{{85}}\\p{{Z}}]', '', 'g'))"
 oracle("strip_stopwords", with_(COMPLAINTS_NR)
        + f"SELECT complaint_id, array_to_string(list_filter({Q.words(_letters)}, "
@@ -186,7 +194,7 @@ oracle("wordcount_audit", with_(CLEANED, WC)
        "OR word_count <> clean_word_count) AS mismatches, round(avg(word_count), 6) AS original_mean, "
        "round(avg(clean_word_count), 6) AS new_mean FROM wc")
 
-_SW = Q.sql_list(default_stopwords())
+_SW = Q.sql_list(STOP_WORDS)
 oracle("stopword_counts", with_(CLEANED)
        + f"SELECT complaint_id, CAST(len(list_filter({Q.words('clean')}, lambda x: "
        f"list_contains({_SW}, lower(x)))) AS BIGINT) AS stopwords FROM cleaned")
@@ -377,7 +385,7 @@ SELECT complaint_id,
     CASE WHEN company <> '' THEN 'Company: ' || company END,
     CASE WHEN product <> '' THEN 'Product: ' || product END,
     CASE WHEN response <> '' THEN 'Response: ' || response END) AS text_skip,
-  coalesce(response, 'No summary generated in Page 1.') AS summary_or_default
+  coalesce(response, '(none)') AS summary_or_default
 FROM complaints""")
 oracle("label_names", "WITH " + SCORED + f"""
 SELECT complaint_id, sentiment, {SENT_NAME} AS sentiment_name FROM scored""")
@@ -558,7 +566,7 @@ oracle("model_compare", "WITH " + CLEANED_NR + Q.lexicon_ctes() + ", " + ", ".jo
     "stacked AS (SELECT CAST(complaint_id AS VARCHAR) || '|combined' AS _key, complaint_id, 'combined' AS input, "
     + _COMBINED + " AS text FROM complaints UNION ALL "
     "SELECT CAST(c.complaint_id AS VARCHAR) || '|summary', c.complaint_id, 'summary', "
-    "CASE WHEN coalesce(s.summary, '') <> '' THEN s.summary ELSE 'No summary generated in Page 1.' END "
+    "CASE WHEN coalesce(s.summary, '') <> '' THEN s.summary ELSE '(none)' END "
     "FROM complaints c LEFT JOIN s_summ s ON s.complaint_id = c.complaint_id)",
     f"sclean AS (SELECT _key, complaint_id, input, {Q.clean('text')} AS clean FROM stacked)",
     f"ptok AS (SELECT _key, unnest({Q.words('clean')}) AS tok FROM sclean)",

@@ -421,7 +421,7 @@ def q_chunk_sentences(spark, sf):
         "chunk_index", F.col("chunk_index").cast("bigint"))
 
 
-NO_SUMMARY = "No summary generated in Page 1."
+NO_SUMMARY = "(none)"   # stands for a text without a summary
 
 
 @query("build_text")

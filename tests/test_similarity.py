@@ -62,3 +62,23 @@ def test_rouge_l_udf(spark):
     df = spark.createDataFrame([(1, "a b c d", "a x b y d")], "id long, g string, r string")
     r = SI.rouge_l_pairs(df, "id", "g", "r").first()
     assert abs(r["p"] - 3 / 4) < 1e-12 and abs(r["r"] - 3 / 5) < 1e-12
+
+
+def test_rouge_l_query_against_brute_force(spark):
+    import re
+
+    import __spark_entry__ as E
+    from narrata.plans import queries as Q
+    from tests.conftest import SF_SMALL
+    got = {r.complaint_id: r for r in E.queries()["rouge_l"](spark, SF_SMALL).collect()}
+    pairs = [r for r in Q._summaries(spark, SF_SMALL).collect() if r.summary and r.narrative]
+    assert set(got) == {r.complaint_id for r in pairs}
+    for r in pairs:
+        g, t = (re.findall("[a-z0-9]+", x.lower()) for x in (r.summary, r.narrative))
+        if len(g) * len(t) > 300_000:
+            continue
+        both = lcs_dp(t, g)
+        p, rec = (both / len(g) if g else 0.0), (both / len(t) if t else 0.0)
+        f = 2 * p * rec / (p + rec) if p + rec else 0.0
+        own = got[r.complaint_id]
+        assert max(abs(own.rouge_l_p - p), abs(own.rouge_l_r - rec), abs(own.rouge_l_f - f)) < 1e-6
