@@ -18,8 +18,8 @@ import numpy as np
 from narrata.llm.words import span_hashes
 
 DEFAULT_VOCABULARY = "byte_bpe_50k.json"
-#: Distinct pieces kept per worker before the table starts anew (about 100 MB).
-MAX_PIECES = 3_000_000
+#: Distinct pieces kept per worker before the table starts anew (about 50 MB).
+MAX_PIECES = 1_500_000
 _SPACE, _LETTER, _NUMBER, _OTHER, _UNKNOWN = 0, 1, 2, 3, 255
 _TABLE_END = 0x2028
 

@@ -40,9 +40,9 @@ from narrata.sources import io as IO
 SHINGLE = 4
 SIMILAR = (85, 100)
 #: An element in this share of all texts is frequent: it doesn't make a part strong. (Any set of frequent
-#: elements gives the same links; the bound keeps the broadcast set below 8 MB.)
+#: elements gives the same links; the bound keeps the broadcast set below 2 MB.)
 FREQUENT_SHARE = 0.001
-MAX_FREQUENT = 1_000_000
+MAX_FREQUENT = 200_000
 #: A block holds so many elements or so many classes on average, whichever is more.
 BLOCK_ELEMENTS = 16_000
 BLOCK_CLASSES = 64
@@ -123,7 +123,7 @@ def _sign(k: int, num: int, den: int, text: str, doc_id: str, frequent, wanted):
             for i, x in enumerate(ids.tolist()):
                 new[i] = sizes[i] > 0 and x not in done
                 done.add(x)
-            if len(done) > 1 << 20:  # bounded memory: a set may then sign again
+            if len(done) > 1 << 18:  # bounded memory: a set may then sign again
                 done = set()
             elements = elements[np.repeat(new, sizes)]
             sigs, of = signatures(elements, sizes[new], frequent.value, num, den)
@@ -143,7 +143,7 @@ def _sign(k: int, num: int, den: int, text: str, doc_id: str, frequent, wanted):
 def bitmap(rows: DataFrame, column: str) -> np.ndarray:
     """Bits set for the values of a long column; built by the executors, at most 16 MB."""
     n = rows.count()
-    bits = min(MAX_BITS, max(1 << 15, 1 << int(np.ceil(np.log2(16 * n + 1)))))
+    bits = min(MAX_BITS, max(1 << 15, 1 << int(np.ceil(np.log2(64 * n + 1)))))
     place = F.pmod(F.col(column), F.lit(bits)) + 1
     parts = (rows.groupBy(F.bitmap_bucket_number(place).alias("part"))
              .agg(F.bitmap_construct_agg(F.bitmap_bit_position(place)).alias("bits")).collect())
@@ -171,7 +171,7 @@ def _only(wanted):
             for r in rows:
                 new.append(r not in done)
                 done.add(r)
-            if len(done) > 1 << 19:  # bounded memory: a row may then come again
+            if len(done) > 1 << 18:  # bounded memory: a row may then come again
                 done = set()
             yield batch.filter(pa.array(new, pa.bool_()))
     return run
@@ -373,20 +373,24 @@ def keep_one_of_each(docs: DataFrame, shingle: int = 5, similar: tuple[int, int]
     several = IO.materialize(
         found.groupBy("component").agg(F.min(F.struct("doc_id", "node")).alias("stays"), F.count(F.lit(1)).alias("n"))
         .filter("n > 1").select("component", "stays"), spark, f"{run}/several")
+    # every row of these components: whether it stays, and whether it is there more than once
     suspects = IO.materialize(
-        found.join(several, "component").groupBy("doc_id", "node").agg(F.min("stays").alias("stays"))
+        found.join(several, "component").groupBy("doc_id", "node")
+        .agg(F.min("stays").alias("stays"), (F.count(F.lit(1)) > 1).alias("again"))
         .select(F.col("doc_id").alias("suspect_id"), F.col("node").alias("suspect_node"),
-                (F.struct("doc_id", "node") == F.col("stays")).alias("stays")), spark, f"{run}/suspects")
+                (F.struct("doc_id", "node") == F.col("stays")).alias("stays"), "again"), spark, f"{run}/suspects")
     held = spark.sparkContext.broadcast(bitmap(suspects, "suspect_id"))
     node = _fresh("node", docs.columns)
+    names = [_fresh(c, docs.columns) for c in suspects.columns]
+    suspect_id, suspect_node, stays, again = map(F.col, names)
     alone = docs.mapInArrow(_split_off(shingle, held, False, []), docs.schema)
     schema = StructType([*docs.schema.fields, StructField(node, LongType())])
     seen = docs.mapInArrow(_split_off(shingle, held, True, [*docs.columns, node]), schema)
-    here = (F.col("doc_id") == suspects["suspect_id"]) & (F.col(node) == suspects["suspect_node"])
-    unmet = seen.join(suspects, here, "left_anti").select(*docs.columns)
-    stays = (seen.join(suspects.filter("stays"), here, "left_semi").dropDuplicates(["doc_id", node])
-             .select(*docs.columns))
-    return alone.unionByName(unmet).unionByName(stays)
+    met = seen.join(suspects.toDF(*names), (F.col("doc_id") == suspect_id) & (F.col(node) == suspect_node), "left")
+    out = alone.unionByName(met.filter(suspect_id.isNull() | (stays & ~again)).select(*docs.columns))
+    if not suspects.filter("stays AND again").isEmpty():
+        out = out.unionByName(met.filter(stays & again).dropDuplicates(names[:2]).select(*docs.columns))
+    return out
 
 
 def op1_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -53,9 +53,14 @@ def _parts(low: int, differ: int) -> tuple[int, int]:
     raise AssertionError
 
 
+#: A class's largest size over its smallest, at least (similar sets never differ by more than one class). Wide
+#: classes need more parts, but fewer sets sign for the class below; this is about the least number in all.
+WIDTH = 1.35
+
+
 @lru_cache(maxsize=None)
 def _class_at(low: int, num: int, den: int) -> SizeClass:
-    high = low * den // num
+    high = max(low * den // num, int(low * WIDTH) if low * den // num > low else low)
     differ = (den - num) * (high + high * den // num) // (den + num)
     parts, least = _parts(low, differ) if differ else (0, 0)
     return SizeClass(low, high, differ, parts, least)
@@ -74,7 +79,7 @@ def signatures(elements: np.ndarray, counts: np.ndarray, frequent: np.ndarray, n
                ) -> tuple[np.ndarray, np.ndarray]:
     """Signatures of sets (distinct hashes, one set after another) and the set of each signature."""
     classes = size_classes(int(counts.max(initial=1)), num, den)
-    lows = np.array([c.low for c in classes])
+    lows, highs = np.array([c.low for c in classes]), np.array([c.high for c in classes], np.int64)
     own = np.searchsorted(lows, counts, "right") - 1
     rare = np.ones(len(elements), bool)
     if len(frequent):
@@ -88,6 +93,8 @@ def signatures(elements: np.ndarray, counts: np.ndarray, frequent: np.ndarray, n
         cls = own - below
         live = (counts > 0) & (cls >= 0)
         cls = np.where(live, cls, 0)
+        if below:  # only sets that can be similar to one of the class below
+            live &= counts * num <= highs[cls] * den
         parts = np.where(live, parts_of[cls], 0)
         if not parts.any():
             continue

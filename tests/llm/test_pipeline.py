@@ -75,6 +75,8 @@ def test_one_of_each_keeps_clashing_columns(spark):
     rows = [(2, text, 1), (1, text + " x", 2), (3, "other words here", 3), (None, text, 4), (4, None, 5), (4, None, 5),
             (1, "another text of id one", 6), (1, "another text of id one", 6)]
     docs = spark.createDataFrame(rows, "doc_id long, text string, node int")
+    docs = docs.withColumn("stays", docs["node"]).withColumn("again", docs["text"])
+    rows = [(*r, r[2], r[1]) for r in rows]
     got = sorted(map(tuple, NJ.keep_one_of_each(docs).collect()), key=repr)
     assert got == sorted([rows[1], rows[2], rows[3], rows[4], rows[5], rows[6]], key=repr)
     assert re.fullmatch("_+node", NJ._fresh("node", docs.columns))
