@@ -6,9 +6,24 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+from pyspark.sql import DataFrame
 
 #: Text bytes worked on at once inside a task; a longer single text is worked on alone.
-CHUNK_BYTES = 2 << 20
+CHUNK_BYTES = 1 << 20
+#: Rows of an Arrow batch; Spark's default of 10,000 would be tens of megabytes of text on both sides of the pipe.
+BATCH_ROWS = 400
+
+
+def map_texts(df: DataFrame, task, schema) -> DataFrame:
+    """``mapInArrow`` over rows with texts, in small batches.
+
+    Batches have one size in a session: it is lowered to ``BATCH_ROWS`` here
+    and stays so (results don't depend on it).
+    """
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if not 0 < int(df.sparkSession.conf.get(key)) <= BATCH_ROWS:
+        df.sparkSession.conf.set(key, str(BATCH_ROWS))
+    return df.mapInArrow(task, schema)
 
 
 def text_buffer(col: pa.Array) -> tuple[np.ndarray, np.ndarray]:

@@ -25,7 +25,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, LongType, StructField, StructType
 
-from narrata.llm.batches import row_chunks, text_buffer
+from narrata.llm.batches import map_texts, row_chunks, text_buffer
 from narrata.llm.words import LOWER, NOT_WORD, span_hashes, split_words
 
 WINDOW = 13
@@ -192,7 +192,7 @@ def annotate(docs: DataFrame, benchmark: DataFrame, keep: list[str] | None = Non
         fields = [out.schema[c] for c in held]
         schema = StructType([*fields, *(StructField(c, LongType()) for c in added[:2]),
                              *(StructField(c, ArrayType(LongType())) for c in added[2:])])
-        out = out.mapInArrow(_scan(spark.sparkContext.broadcast(items), window, text, held, added, before), schema)
+        out = map_texts(out, _scan(spark.sparkContext.broadcast(items), window, text, held, added, before), schema)
         before = ("hit_runs", "items")
     return out
 

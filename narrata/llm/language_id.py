@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, StringType, StructField, StructType
 
-from narrata.llm.batches import row_chunks, text_buffer
+from narrata.llm.batches import map_texts, row_chunks, text_buffer
 
 WINDOW = 256
 WIDTHS = (2, 3, 4)
@@ -255,7 +255,7 @@ def identify(docs: DataFrame, model: Model | None, keep: list[str] | None = None
     schema = StructType([*(docs.schema[c] for c in keep), StructField(names[0], StringType()),
                          StructField(names[1], DoubleType())])
     held = docs.sparkSession.sparkContext.broadcast(model)  # the network's size doesn't depend on the data's
-    return docs.select(*dict.fromkeys([*keep, text])).mapInArrow(_apply(held, text, keep, list(names)), schema)
+    return map_texts(docs.select(*dict.fromkeys([*keep, text])), _apply(held, text, keep, list(names)), schema)
 
 
 def keep_identified(docs: DataFrame, least: float = 0.5) -> DataFrame:

@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.types import ArrayType, DoubleType, LongType, StringType, StructField, StructType
 
-from narrata.llm.batches import row_chunks, text_buffer
+from narrata.llm.batches import map_texts, row_chunks, text_buffer
 from narrata.llm.words import LOWER, NOT_WORD, shingle_hashes, span_hashes, split_words
 
 #: Least score, as a fraction of whole numbers.
@@ -212,8 +212,8 @@ def scan(docs: DataFrame, templates=TEMPLATES, least: tuple[int, int] = LEAST, k
     types = [LongType(), ArrayType(StringType()), StringType(), DoubleType(), LongType(), LongType()]
     schema = StructType([*(docs.schema[c] for c in keep),
                          *(StructField(n, t) for n, t in zip(added, types, strict=True))])
-    return docs.select(*dict.fromkeys([*keep, text])).mapInArrow(
-        _scan(compile_templates(templates, least), text, keep, added), schema)
+    return map_texts(docs.select(*dict.fromkeys([*keep, text])),
+                     _scan(compile_templates(templates, least), text, keep, added), schema)
 
 
 def op2_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -30,7 +30,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StructField, StructType
 
-from narrata.llm.batches import row_chunks, text_buffer
+from narrata.llm.batches import map_texts, row_chunks, text_buffer
 from narrata.llm.components import components
 from narrata.llm.shingle_parts import signatures
 from narrata.llm.signature_tree import SignatureTree
@@ -101,7 +101,7 @@ def _scan(k: int, text: str, doc_id: str):
                 [ids, pa.array(sizes), pa.array(set_ids(elements, sizes), mask=~part), none, none], names=names)
             held.append(elements)
             size, n_texts = size + len(elements), n_texts + len(sizes)
-            if size >= 1 << 21:
+            if size >= 1 << 19:
                 yield counts_batch(held, n_texts)
                 held, size, n_texts = [], 0, 0
         if held:
@@ -279,7 +279,7 @@ def similar_components(docs: DataFrame, shingle: int = SHINGLE, similar: tuple[i
     spark, (num, den) = docs.sparkSession, similar
     run = f"ngram-join-{uuid.uuid4().hex}"
     texts = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text"))
-    scan = IO.materialize(texts.mapInArrow(_scan(shingle, "text", "doc_id"), SCAN_SCHEMA), spark, f"{run}/scan")
+    scan = IO.materialize(map_texts(texts, _scan(shingle, "text", "doc_id"), SCAN_SCHEMA), spark, f"{run}/scan")
     rows = scan.filter("n IS NOT NULL").select("doc_id", "n", "node")
     n_rows = rows.count()
     often = (scan.filter("element IS NOT NULL").groupBy("element").agg(F.sum("seen").alias("seen"))
@@ -291,12 +291,12 @@ def similar_components(docs: DataFrame, shingle: int = SHINGLE, similar: tuple[i
         spark, f"{run}/classes")
 
     # signatures of several classes, each with its least class
-    signed = texts.mapInArrow(_sign(shingle, num, den, "text", "doc_id", held, None), "sig long, node long")
+    signed = map_texts(texts, _sign(shingle, num, den, "text", "doc_id", held, None), "sig long, node long")
     shared = IO.materialize(
         signed.groupBy("sig").agg(F.min("node").alias("hub"), F.max("node").alias("last")).filter("hub <> last")
         .select("sig", "hub"), spark, f"{run}/shared")
     wanted = spark.sparkContext.broadcast(bitmap(shared, "sig"))
-    again = texts.mapInArrow(_sign(shingle, num, den, "text", "doc_id", held, wanted), "sig long, node long")
+    again = map_texts(texts, _sign(shingle, num, den, "text", "doc_id", held, wanted), "sig long, node long")
     edges = again.join(shared, "sig").filter("hub <> node").select(F.col("hub").alias("a"), F.col("node").alias("b"))
     clusters = components(IO.materialize(edges.distinct(), spark, f"{run}/edges"))
 
@@ -311,7 +311,7 @@ def similar_components(docs: DataFrame, shingle: int = SHINGLE, similar: tuple[i
         members.join(sizes, "cluster").select("cluster", "node", "rep", F.pmod(F.xxhash64("node"), "blocks").alias("first")),
         spark, f"{run}/dealt")
     reps = spark.sparkContext.broadcast(bitmap(dealt, "rep"))
-    member_texts = texts.mapInArrow(_only(reps), "doc_id long, text string").join(
+    member_texts = map_texts(texts, _only(reps), "doc_id long, text string").join(
         dealt, F.col("doc_id") == F.col("rep")).select("node", "cluster", "first", "text")
     member_texts = IO.materialize(member_texts, spark, f"{run}/texts")
     link = _link(shingle, num, den)
@@ -383,9 +383,9 @@ def keep_one_of_each(docs: DataFrame, shingle: int = 5, similar: tuple[int, int]
     node = _fresh("node", docs.columns)
     names = [_fresh(c, docs.columns) for c in suspects.columns]
     suspect_id, suspect_node, stays, again = map(F.col, names)
-    alone = docs.mapInArrow(_split_off(shingle, held, False, []), docs.schema)
+    alone = map_texts(docs, _split_off(shingle, held, False, []), docs.schema)
     schema = StructType([*docs.schema.fields, StructField(node, LongType())])
-    seen = docs.mapInArrow(_split_off(shingle, held, True, [*docs.columns, node]), schema)
+    seen = map_texts(docs, _split_off(shingle, held, True, [*docs.columns, node]), schema)
     met = seen.join(suspects.toDF(*names), (F.col("doc_id") == suspect_id) & (F.col(node) == suspect_node), "left")
     out = alone.unionByName(met.filter(suspect_id.isNull() | (stays & ~again)).select(*docs.columns))
     if not suspects.filter("stays AND again").isEmpty():

@@ -34,7 +34,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from narrata.llm import bpe
-from narrata.llm.batches import as_arrays, binary_column, row_chunks
+from narrata.llm.batches import as_arrays, binary_column, map_texts, row_chunks
 from narrata.sources import io as IO
 
 WINDOW = 2048
@@ -191,7 +191,7 @@ def pack(docs: DataFrame, weights: dict[str, float] | None = None, window: int =
         raise ValueError(f"weights need {MAX_QUEUES} sources at most")
     run = f"packing-{uuid.uuid4().hex}"
     encoded = IO.materialize(
-        docs.select("doc_id", "text", "source").mapInArrow(_encode(vocabulary, end_id, hashed), ENCODED_SCHEMA),
+        map_texts(docs.select("doc_id", "text", "source"), _encode(vocabulary, end_id, hashed), ENCODED_SCHEMA),
         spark, f"{run}/ids")
     parts = encoded.groupBy("queue", "part").agg(F.sum("n").alias("n"))
     before = Window.partitionBy("queue").orderBy("part")  # a row for each task
@@ -203,8 +203,8 @@ def pack(docs: DataFrame, weights: dict[str, float] | None = None, window: int =
     mixture = Mixture([n for _, n in totals], shares)
     dtype = bpe.encoder(vocabulary).dtype
     placed = encoded.join(base.select("queue", "part", "base"), ["queue", "part"])
-    return placed.select("queue", "doc_id", "local_start", "base", "ids").mapInArrow(
-        _cut(mixture, queues, window, dtype), PIECE_SCHEMA)
+    return map_texts(placed.select("queue", "doc_id", "local_start", "base", "ids"),
+                     _cut(mixture, queues, window, dtype), PIECE_SCHEMA)
 
 
 def op3_packing(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from narrata.llm import bpe
-from narrata.llm.batches import row_chunks
+from narrata.llm.batches import map_texts, row_chunks
 
 #: Least characters of a segment.
 SEGMENT = 256
@@ -209,7 +209,7 @@ def recount(docs: DataFrame, edits_of: Callable[[str], list[Edit]] = repeated_li
     edit's places count in the text as the edits before have left it. Null
     texts are empty; rows stay rows, whatever their ids.
     """
-    return docs.select("doc_id", "text").mapInArrow(_recount(vocabulary, edits_of), RECOUNT_SCHEMA)
+    return map_texts(docs.select("doc_id", "text"), _recount(vocabulary, edits_of), RECOUNT_SCHEMA)
 
 
 def _apply(path: str | None):

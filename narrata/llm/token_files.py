@@ -36,7 +36,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from narrata.llm import bpe
-from narrata.llm.batches import row_chunks
+from narrata.llm.batches import map_texts, row_chunks
 from narrata.sources import io as IO
 
 MAGIC = b"PFR1"
@@ -186,7 +186,7 @@ def write_token_files(docs: DataFrame, path: str, vocabulary: str | None = None,
     """
     keyed = docs.select("doc_id", "text", F.xxhash64(F.coalesce("text", F.lit(""))).alias("h"))
     ordered = keyed.repartitionByRange("doc_id", "h").sortWithinPartitions("doc_id", "h")
-    ordered.mapInArrow(_encode_partition(vocabulary, end_id), FILE_SCHEMA).write.mode("overwrite").parquet(path)
+    map_texts(ordered, _encode_partition(vocabulary, end_id), FILE_SCHEMA).write.mode("overwrite").parquet(path)
 
 
 def shard_starts(spark: SparkSession, path: str) -> DataFrame:

@@ -13,7 +13,7 @@ _powers: dict[str, np.ndarray] = {}
 def _power_tables(n: int) -> tuple[np.ndarray, np.ndarray]:
     """Powers 0..n of the base and of its inverse modulo 2**64."""
     if _powers.get("n", np.zeros(0)).size < n + 1:
-        size = max(n + 1, 1 << 16)
+        size = max(n + 1, 1 << 18)
         up, down = np.ones(size, np.uint64), np.ones(size, np.uint64)
         up[1:], down[1:] = np.uint64(_BASE), np.uint64(_INV)
         _powers["n"], _powers["inv"] = np.multiply.accumulate(up), np.multiply.accumulate(down)
@@ -31,7 +31,7 @@ def mix64(x: np.ndarray) -> np.ndarray:
     return x
 
 
-def span_hashes(codes: np.ndarray, starts: np.ndarray, ends: np.ndarray, segment: int = 1 << 21) -> np.ndarray:
+def span_hashes(codes: np.ndarray, starts: np.ndarray, ends: np.ndarray, segment: int = 1 << 18) -> np.ndarray:
     """A 64-bit hash of ``codes[start:end]`` for each span; spans are ascending and disjoint.
 
     A polynomial prefix hash over segments of bounded length, then scrambled
