@@ -318,13 +318,16 @@ def similar_components(docs: DataFrame, shingle: int = SHINGLE, similar: tuple[i
     in_blocks = (member_texts.withColumn("label", F.col("node")).groupBy("cluster", "first")
                  .applyInArrow(link, LINK_SCHEMA))
     labels = IO.materialize(in_blocks, spark, f"{run}/labels")
-    large = sizes.filter("blocks > 1")
+    large = IO.materialize(sizes.filter("blocks > 1"), spark, f"{run}/large-sizes")
     if not large.isEmpty():
+        # only the texts of these clusters go through the exchanges of the meetings
+        large_texts = IO.materialize(member_texts.join(large.select("cluster"), "cluster", "left_semi"),
+                                     spark, f"{run}/large-texts")
         some = labels.join(large.select("cluster"), "cluster", "left_semi")
         some = IO.materialize(some, spark, f"{run}/large")
         units = dealt.join(large.select("cluster"), "cluster", "left_semi").select(
             "cluster", "node", F.col("first").alias("unit"))
-        done = _link_large(spark, member_texts, some, large, units, link, run)
+        done = _link_large(spark, large_texts, some, large, units, link, run)
         labels = labels.join(large.select("cluster"), "cluster", "left_anti").unionByName(done)
 
     # from labels to the least doc_id, for every class and then for every row
