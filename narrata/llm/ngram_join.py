@@ -49,6 +49,8 @@ BLOCK_CLASSES = 64
 #: Units (blocks, then groups of them) whose largest components meet at once; blocks joined into one where all meet.
 CARRIED_UNITS = 64
 MEETING_BLOCKS = 4
+#: Rows of a few longs (some 10 MB) that are broadcast to rows with texts; a larger table is joined by an exchange.
+BROADCAST_ROWS = 250_000
 #: Bits of a broadcast bitmap (16 MB at most; where rows outgrow it, more rows pass on to the exact join).
 MAX_BITS = 1 << 27
 
@@ -177,6 +179,11 @@ def _only(wanted):
     return run
 
 
+def _sized(table: DataFrame) -> DataFrame:
+    """A written table to be joined to texts: broadcast up to ``BROADCAST_ROWS`` rows of a few longs, else shuffled."""
+    return F.broadcast(table) if table.count() <= BROADCAST_ROWS else table
+
+
 # --- linking --------------------------------------------------------------------
 
 LINK_SCHEMA = "cluster long, node long, label long"
@@ -312,7 +319,7 @@ def similar_components(docs: DataFrame, shingle: int = SHINGLE, similar: tuple[i
         spark, f"{run}/dealt")
     reps = spark.sparkContext.broadcast(bitmap(dealt, "rep"))
     member_texts = map_texts(texts, _only(reps), "doc_id long, text string").join(
-        dealt, F.col("doc_id") == F.col("rep")).select("node", "cluster", "first", "text")
+        _sized(dealt), F.col("doc_id") == F.col("rep")).select("node", "cluster", "first", "text")
     member_texts = IO.materialize(member_texts, spark, f"{run}/texts")
     link = _link(shingle, num, den)
     in_blocks = (member_texts.withColumn("label", F.col("node")).groupBy("cluster", "first")
@@ -389,7 +396,7 @@ def keep_one_of_each(docs: DataFrame, shingle: int = 5, similar: tuple[int, int]
     alone = map_texts(docs, _split_off(shingle, held, False, []), docs.schema)
     schema = StructType([*docs.schema.fields, StructField(node, LongType())])
     seen = map_texts(docs, _split_off(shingle, held, True, [*docs.columns, node]), schema)
-    met = seen.join(suspects.toDF(*names), (F.col("doc_id") == suspect_id) & (F.col(node) == suspect_node), "left")
+    met = seen.join(_sized(suspects.toDF(*names)), (F.col("doc_id") == suspect_id) & (F.col(node) == suspect_node), "left")
     out = alone.unionByName(met.filter(suspect_id.isNull() | (stays & ~again)).select(*docs.columns))
     if not suspects.filter("stays AND again").isEmpty():
         out = out.unionByName(met.filter(stays & again).dropDuplicates(names[:2]).select(*docs.columns))

@@ -95,6 +95,7 @@ def test_clusters_of_many_blocks(spark, monkeypatch):
     monkeypatch.setattr(NJ, "BLOCK_CLASSES", 2)
     monkeypatch.setattr(NJ, "CARRIED_UNITS", 3)
     monkeypatch.setattr(NJ, "MEETING_BLOCKS", 2)
+    monkeypatch.setattr(NJ, "BROADCAST_ROWS", 0)
     check(spark, corpus(4, families=6, copies=40, edits=14))
 
 
