@@ -8,11 +8,11 @@ from pyspark.sql import SparkSession
 
 
 def get_session(master: str | None = None, shuffle_partitions: int | None = None,
-                app_name: str = "narrata") -> SparkSession:
-    """Build (or reuse) a session tuned for the operators in this package.
+                app_name: str = "narrata", extra: dict[str, str] | None = None) -> SparkSession:
+    """Build (or reuse) a session for the operators in this package.
 
     On a cluster the master and sizing come from ``spark-submit``; the
-    explicit arguments are for local runs and tests.
+    explicit arguments and ``extra`` settings are for local runs and tests.
     """
     builder = SparkSession.builder.appName(app_name)
     if os.environ.get("NARRATA_EVENT_LOG"):
@@ -31,6 +31,7 @@ def get_session(master: str | None = None, shuffle_partitions: int | None = None
     }
     if shuffle_partitions:
         conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
+    conf |= extra or {}
     for k, v in conf.items():
         builder = builder.config(k, v)
     spark = builder.getOrCreate()

@@ -14,7 +14,10 @@ SF_ORACLE = "/root/testdata/sf0.01"
 def spark():
     from narrata.session import checkpoint_dir, get_session
 
-    s = get_session("local[*]", 8, app_name="narrata-tests")
+    # small inputs on one machine: merge shuffle partitions up to a size instead of one for each core
+    local = {"spark.sql.adaptive.coalescePartitions.parallelismFirst": "false",
+             "spark.sql.adaptive.advisoryPartitionSizeInBytes": "2m"}
+    s = get_session("local[*]", 8, app_name="narrata-tests", extra=local)
     if not s.conf.get("spark.checkpoint.dir", None):
         s.conf.set("spark.checkpoint.dir", tempfile.mkdtemp(prefix="narrata-test-ckpt-"))
     checkpoint_dir(s)
