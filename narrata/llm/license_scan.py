@@ -12,6 +12,8 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 from dataclasses import dataclass
+from fractions import Fraction
+from itertools import groupby
 
 import numpy as np
 import pyarrow as pa
@@ -136,8 +138,8 @@ def compile_templates(templates=TEMPLATES, least: tuple[int, int] = LEAST) -> Co
                     member.sum(axis=0), least)
 
 
-def best_window(bigrams: np.ndarray, hits: np.ndarray, template: int, c: Compiled) -> tuple[int, int, int] | None:
-    """(shared, both sizes, first bigram) of a text's best window that scores enough: the first of the best.
+def scoring_windows(bigrams: np.ndarray, hits: np.ndarray, template: int, c: Compiled) -> list[tuple[int, int, int]]:
+    """(shared, both sizes, first bigram) of all windows of a text that score enough.
 
     Windows begin at a bigram of the template and are as long as the template,
     or end with the text.
@@ -147,19 +149,51 @@ def best_window(bigrams: np.ndarray, hits: np.ndarray, template: int, c: Compile
     places = places[c.member[hits[places], template]]
     ends = places + c.windows[template]
     inside = np.searchsorted(places, ends, "left") - np.arange(len(places))
-    best = None
+    out = []
     for i in np.flatnonzero(inside >= c.need[template]):
         own = hits[places[i:i + inside[i]]]
         shared = len(np.unique(own))
         if shared < c.need[template]:
             continue
         both = len(np.unique(bigrams[places[i]:ends[i]])) + int(c.sizes[template])
-        if 2 * shared * den >= num * both and (best is None or shared * best[1] > best[0] * both):
-            best = (shared, both, int(places[i]))
+        if 2 * shared * den >= num * both:
+            out.append((shared, both, int(places[i])))
+    return out
+
+
+def best_window(windows: list[tuple[int, int, int]]) -> tuple[int, int, int] | None:
+    """The first of the best windows."""
+    best = None
+    for w in windows:
+        if best is None or w[0] * best[1] > best[0] * w[1]:
+            best = w
     return best
 
 
-def _scan(c: Compiled, text: str, keep: list[str], added: list[str]):
+def unexplained(found: list[tuple[int, list[tuple[int, int, int]]]], hits: np.ndarray, c: Compiled) -> set[int]:
+    """Templates with a window that no better match explains (``found``: templates with their windows).
+
+    Windows go by descending score. One of which more than half of the matched
+    bigrams lie in better windows that stay is the same notice again, seen
+    through a similar template; windows of equal scores all stay.
+    """
+    every = sorted(((Fraction(w[0], w[1]), t, w[2]) for t, own in found for w in own), reverse=True)
+    explained = np.zeros(len(hits), bool)
+    out = set()
+    for _, group in groupby(every, key=lambda x: x[0]):
+        stay = []
+        for _, t, first in group:
+            own = hits[first:first + c.windows[t]]
+            places = first + np.flatnonzero((own >= 0) & c.member[own, t])
+            if 2 * explained[places].sum() <= len(places):
+                out.add(t)
+                stay.append(places)
+        for places in stay:
+            explained[places] = True
+    return out
+
+
+def _scan(c: Compiled, text: str, keep: list[str], added: list[str], best_only: bool):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for rows in row_chunks(batches, text):
             bigrams, counts, starts, ends, n_words, raw, offsets = _bigrams(rows.column(text))
@@ -173,11 +207,14 @@ def _scan(c: Compiled, text: str, keep: list[str], added: list[str]):
             shared = np.zeros((len(counts), len(c.templates)), np.int32)
             np.add.at(shared, pairs // max(1, len(c.bigrams)), c.member[pairs % max(1, len(c.bigrams))])
             results: list[list[tuple]] = [[] for _ in counts]
+            windows: list[list[tuple]] = [[] for _ in counts]
             first, word = np.cumsum(counts) - counts, np.cumsum(n_words) - n_words
             for row, t in zip(*np.nonzero(shared >= c.need), strict=True):
                 own = slice(first[row], first[row] + counts[row])
-                if (best := best_window(bigrams[own], hits[own], t, c)) is None:
+                scoring = scoring_windows(bigrams[own], hits[own], t, c)
+                if (best := best_window(scoring)) is None:
                     continue
+                windows[row].append((t, scoring))
                 begins = np.cumsum((raw[offsets[row]:offsets[row + 1]] & 0xC0) != 0x80)
                 a = word[row] + best[2]
                 b = min(a + c.windows[t], word[row] + n_words[row] - 1)
@@ -185,9 +222,14 @@ def _scan(c: Compiled, text: str, keep: list[str], added: list[str]):
                                      int(begins[starts[a] - offsets[row]]) - 1,
                                      int(begins[ends[b] - 1 - offsets[row]])))
             tops = [min(r, key=lambda x: (-x[1], x[2], x[0][1])) if r else None for r in results]
+            licenses = [{x[0][0] for x in r} for r in results]
+            for row, own in enumerate(licenses):
+                if best_only and len(own) > 1:
+                    stay = unexplained(windows[row], hits[first[row]:first[row] + counts[row]], c)
+                    licenses[row] = {c.templates[t][0] for t in stay}
             yield pa.RecordBatch.from_arrays(
                 [*(rows.column(k) for k in keep), pa.array(counts, pa.int64()),
-                 pa.array([sorted({x[0][0] for x in r}) for r in results], pa.list_(pa.string())),
+                 pa.array([sorted(x) for x in licenses], pa.list_(pa.string())),
                  pa.array([t and t[0][1] for t in tops], pa.string()),
                  pa.array([t and t[1] for t in tops], pa.float64()),
                  pa.array([t and t[2] for t in tops], pa.int64()), pa.array([t and t[3] for t in tops], pa.int64())],
@@ -196,7 +238,7 @@ def _scan(c: Compiled, text: str, keep: list[str], added: list[str]):
 
 
 def scan(docs: DataFrame, templates=TEMPLATES, least: tuple[int, int] = LEAST, keep: list[str] | None = None,
-         text: str = "text") -> DataFrame:
+         text: str = "text", best_only: bool = False) -> DataFrame:
     """``docs`` (or its columns ``keep``) with the licenses found in each text.
 
     Adds ``n_bigrams`` (the text's word bigrams), ``licenses`` (sorted, of all
@@ -206,6 +248,11 @@ def scan(docs: DataFrame, templates=TEMPLATES, least: tuple[int, int] = LEAST, k
     these names are replaced. Texts that are null, empty or a single word have
     no bigrams and no licenses. The templates are the caller's and go to the
     tasks with the code.
+
+    Templates of different licenses may differ in a word. With ``best_only``
+    the best match of a place counts alone (ties: all of them), see
+    :func:`unexplained`; without, ``licenses`` holds every license whose
+    template scores enough.
     """
     added = ["n_bigrams", "licenses", "template", "dice", "match_start", "match_end"]
     keep = [c for c in (keep or docs.columns) if c not in added]
@@ -213,9 +260,10 @@ def scan(docs: DataFrame, templates=TEMPLATES, least: tuple[int, int] = LEAST, k
     schema = StructType([*(docs.schema[c] for c in keep),
                          *(StructField(n, t) for n, t in zip(added, types, strict=True))])
     return map_texts(docs.select(*dict.fromkeys([*keep, text])),
-                     _scan(compile_templates(templates, least), text, keep, added), schema)
+                     _scan(compile_templates(templates, least), text, keep, added, best_only), schema)
 
 
 def op2_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Licenses found in every document."""
-    return scan(spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text"), keep=["doc_id"])
+    """Licenses found in every document, the best match at each place."""
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text")
+    return scan(docs, keep=["doc_id"], best_only=True)

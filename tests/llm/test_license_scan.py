@@ -70,3 +70,23 @@ def test_own_templates_and_empty(spark):
     assert LS.scan(spark.createDataFrame([], "doc_id long, text string")).collect() == []
     assert [list(r.licenses) for r in LS.scan(spark.createDataFrame([("a b",)], "text string"), templates=()).collect()
             ] == [[]]
+
+
+def test_query_takes_the_best_match_of_a_place(spark, tmp_path):
+    line = {name: text for _, name, text in LS.TEMPLATES}
+    gpl2, gpl3 = line["gpl2-line"], line["gpl3-line"]
+    texts = {
+        "in front " + gpl3 + " tail": ["GPL-3.0"],
+        "in front " + gpl2 + " tail": ["GPL-2.0"],
+        gpl3 + " and elsewhere, after other words, " + gpl2: ["GPL-2.0", "GPL-3.0"],
+        gpl3.replace("version 3", "version 4"): ["GPL-2.0", "GPL-3.0"],  # as near to one as to the other
+        # the GPL-2 line has an edit of its own, so its template scores as much at the GPL-3 line
+        gpl3 + " and elsewhere " + gpl2.replace("This work", "That work"): ["GPL-2.0", "GPL-3.0"],
+        line["apache-notice"] + " " + gpl3 + " " + line["mit-text"]: ["Apache-2.0", "GPL-3.0", "MIT"],
+        line["mit-line"] + " " + line["apache-line"]: ["Apache-2.0", "MIT"],
+    }
+    spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    got = {r.doc_id: r for r in LS.op2_license_scan(spark, str(tmp_path)).collect()}
+    for i, want in enumerate(texts.values()):
+        assert list(got[i].licenses) == want, i
+    assert got[0].template == "gpl3-line" and got[0].dice == 1.0
