@@ -10,9 +10,11 @@ is never compared.
 
 from __future__ import annotations
 
+import json
 from collections.abc import Iterator
 from dataclasses import dataclass
 from fractions import Fraction
+from importlib import resources
 from itertools import groupby
 
 import numpy as np
@@ -26,73 +28,14 @@ from narrata.llm.words import LOWER, NOT_WORD, shingle_hashes, span_hashes, spli
 #: Least score, as a fraction of whole numbers.
 LEAST = (9, 10)
 
-# --- fixed values: public license notices and texts, (license, name of the text, text) ---
-TEMPLATES: tuple[tuple[str, str, str], ...] = (
-    ("Apache-2.0", "apache-line", "Licensed under the Apache License, Version 2.0."),
-    ("MIT", "mit-line", "Released under the MIT License."),
-    ("MIT", "mit-line-2", "This project is licensed under the MIT License."),
-    ("GPL-3.0", "gpl3-line", "This work is licensed under the GNU General Public License, version 3."),
-    ("GPL-2.0", "gpl2-line", "This work is licensed under the GNU General Public License, version 2."),
-    ("CC-BY-NC-4.0", "cc-by-nc-line", "Licensed under CC BY-NC 4.0."),
-    ("CC-BY-4.0", "cc-by-line", "Licensed under CC BY 4.0."),
-    ("CC-BY-SA-4.0", "cc-by-sa-line", "Licensed under CC BY-SA 4.0."),
-    ("CC-BY-4.0", "cc-by-notice",
-     "This work is licensed under a Creative Commons Attribution 4.0 International License."),
-    ("Apache-2.0", "apache-notice",
-     "Licensed under the Apache License, Version 2.0 (the \"License\"); you may not use this file except in "
-     "compliance with the License. You may obtain a copy of the License at "
-     "http://www.apache.org/licenses/LICENSE-2.0 Unless required by applicable law or agreed to in writing, "
-     "software distributed under the License is distributed on an \"AS IS\" BASIS, WITHOUT WARRANTIES OR "
-     "CONDITIONS OF ANY KIND, either express or implied. See the License for the specific language governing "
-     "permissions and limitations under the License."),
-    ("MIT", "mit-text",
-     "Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated "
-     "documentation files (the \"Software\"), to deal in the Software without restriction, including without "
-     "limitation the rights to use, copy, modify, merge, publish, distribute, sublicense, and/or sell copies of the "
-     "Software, and to permit persons to whom the Software is furnished to do so, subject to the following "
-     "conditions: The above copyright notice and this permission notice shall be included in all copies or "
-     "substantial portions of the Software. THE SOFTWARE IS PROVIDED \"AS IS\", WITHOUT WARRANTY OF ANY KIND, "
-     "EXPRESS OR IMPLIED, INCLUDING BUT NOT LIMITED TO THE WARRANTIES OF MERCHANTABILITY, FITNESS FOR A PARTICULAR "
-     "PURPOSE AND NONINFRINGEMENT. IN NO EVENT SHALL THE AUTHORS OR COPYRIGHT HOLDERS BE LIABLE FOR ANY CLAIM, "
-     "DAMAGES OR OTHER LIABILITY, WHETHER IN AN ACTION OF CONTRACT, TORT OR OTHERWISE, ARISING FROM, OUT OF OR IN "
-     "CONNECTION WITH THE SOFTWARE OR THE USE OR OTHER DEALINGS IN THE SOFTWARE."),
-    ("ISC", "isc-text",
-     "Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby "
-     "granted, provided that the above copyright notice and this permission notice appear in all copies. THE "
-     "SOFTWARE IS PROVIDED \"AS IS\" AND THE AUTHOR DISCLAIMS ALL WARRANTIES WITH REGARD TO THIS SOFTWARE INCLUDING "
-     "ALL IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS. IN NO EVENT SHALL THE AUTHOR BE LIABLE FOR ANY SPECIAL, "
-     "DIRECT, INDIRECT, OR CONSEQUENTIAL DAMAGES OR ANY DAMAGES WHATSOEVER RESULTING FROM LOSS OF USE, DATA OR "
-     "PROFITS, WHETHER IN AN ACTION OF CONTRACT, NEGLIGENCE OR OTHER TORTIOUS ACTION, ARISING OUT OF OR IN CONNECTION "
-     "WITH THE USE OR PERFORMANCE OF THIS SOFTWARE."),
-    ("BSD-2-Clause", "bsd2-text",
-     "Redistribution and use in source and binary forms, with or without modification, are permitted provided that "
-     "the following conditions are met: 1. Redistributions of source code must retain the above copyright notice, "
-     "this list of conditions and the following disclaimer. 2. Redistributions in binary form must reproduce the "
-     "above copyright notice, this list of conditions and the following disclaimer in the documentation and/or other "
-     "materials provided with the distribution. THIS SOFTWARE IS PROVIDED BY THE COPYRIGHT HOLDERS AND CONTRIBUTORS "
-     "\"AS IS\" AND ANY EXPRESS OR IMPLIED WARRANTIES, INCLUDING, BUT NOT LIMITED TO, THE IMPLIED WARRANTIES OF "
-     "MERCHANTABILITY AND FITNESS FOR A PARTICULAR PURPOSE ARE DISCLAIMED. IN NO EVENT SHALL THE COPYRIGHT HOLDER OR "
-     "CONTRIBUTORS BE LIABLE FOR ANY DIRECT, INDIRECT, INCIDENTAL, SPECIAL, EXEMPLARY, OR CONSEQUENTIAL DAMAGES "
-     "(INCLUDING, BUT NOT LIMITED TO, PROCUREMENT OF SUBSTITUTE GOODS OR SERVICES; LOSS OF USE, DATA, OR PROFITS; OR "
-     "BUSINESS INTERRUPTION) HOWEVER CAUSED AND ON ANY THEORY OF LIABILITY, WHETHER IN CONTRACT, STRICT LIABILITY, OR "
-     "TORT (INCLUDING NEGLIGENCE OR OTHERWISE) ARISING IN ANY WAY OUT OF THE USE OF THIS SOFTWARE, EVEN IF ADVISED OF "
-     "THE POSSIBILITY OF SUCH DAMAGE."),
-    ("GPL-3.0", "gpl3-notice",
-     "This program is free software: you can redistribute it and/or modify it under the terms of the GNU General "
-     "Public License as published by the Free Software Foundation, either version 3 of the License, or (at your "
-     "option) any later version. This program is distributed in the hope that it will be useful, but WITHOUT ANY "
-     "WARRANTY; without even the implied warranty of MERCHANTABILITY or FITNESS FOR A PARTICULAR PURPOSE. See the GNU "
-     "General Public License for more details. You should have received a copy of the GNU General Public License "
-     "along with this program. If not, see <https://www.gnu.org/licenses/>."),
-    ("MPL-2.0", "mpl2-notice",
-     "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0. If a copy of the MPL was "
-     "not distributed with this file, You can obtain one at https://mozilla.org/MPL/2.0/."),
-    ("Unlicense", "unlicense-notice",
-     "This is free and unencumbered software released into the public domain. Anyone is free to copy, modify, "
-     "publish, use, compile, sell, or distribute this software, either in source code form or as a compiled binary, "
-     "for any purpose, commercial or non-commercial, and by any means."),
-)
-# ---------------------------------------------------------------------------------------
+
+def _default_templates() -> tuple[tuple[str, str, str], ...]:
+    raw = resources.files("narrata.data").joinpath("licenses.json").read_text(encoding="utf-8")
+    return tuple((x["license"], x["name"], x["text"]) for x in json.loads(raw))
+
+
+#: Public license notices and texts of the package data: (license, name of the text, text).
+TEMPLATES = _default_templates()
 
 
 @dataclass

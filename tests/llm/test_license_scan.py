@@ -90,3 +90,12 @@ def test_query_takes_the_best_match_of_a_place(spark, tmp_path):
     for i, want in enumerate(texts.values()):
         assert list(got[i].licenses) == want, i
     assert got[0].template == "gpl3-line" and got[0].dice == 1.0
+
+
+def test_default_templates_tell_licenses_apart(spark):
+    covered = {lic for lic, *_ in LS.TEMPLATES}
+    assert {"BSD-3-Clause", "LGPL-2.1", "LGPL-3.0", "AGPL-3.0", "GPL-2.0", "EPL-2.0", "CC0-1.0"} <= covered
+    rows = [(i, f"in front of it {text} and after it") for i, (_, _, text) in enumerate(LS.TEMPLATES)]
+    out = LS.scan(spark.createDataFrame(rows, "id int, text string"), best_only=True).collect()
+    assert {r.id: list(r.licenses) for r in out} == {i: [t[0]] for i, t in enumerate(LS.TEMPLATES)}
+    assert all(r.dice == 1.0 for r in out)
