@@ -25,10 +25,12 @@ WINDOW = 256
 WIDTHS = (2, 3, 4)
 FILTERS = 16
 EMBEDDING = 8
-#: The bounded training sample: documents of each language, windows of each, languages (the most frequent).
+#: The bounded training sample: documents of each language, windows of each, documents in all (one of each language at least).
 DOCS_PER_LANGUAGE = 600
 WINDOWS_PER_DOC = 4
-MAX_LANGUAGES = 64
+MAX_DOCS = 64 * DOCS_PER_LANGUAGE
+#: Most bytes of the last layer's weights, which grow with the number of languages.
+MAX_WEIGHT_BYTES = 16 << 20
 EPOCHS = 8
 UNDETERMINED = "und"
 _PAD, _UNSEEN = 0, 1
@@ -164,32 +166,41 @@ def held_out(doc_id: str = "doc_id"):
     return F.coalesce(F.crc32(F.col(doc_id).cast("string")) % 4 == 2, F.lit(False))
 
 
+def _bound(per_language: int, n: int) -> int:
+    """The largest hash that goes on of a language of n documents (some four samples, 64 documents at least)."""
+    return min(_HASHES, max(64, 4 * per_language) * _HASHES // n)
+
+
 def training_windows(docs: DataFrame) -> list[tuple[bytes, str]]:
     """The bounded sample of labelled windows, the same for any partitioning.
 
-    For each of the ``MAX_LANGUAGES`` most frequent languages the
-    ``DOCS_PER_LANGUAGE`` first documents by a hash of their ids, of each
+    For every language the ``DOCS_PER_LANGUAGE`` first documents by a hash of
+    their ids (fewer where all languages would pass ``MAX_DOCS``), of each
     ``WINDOWS_PER_DOC`` windows at hashed places. Only ``text`` and ``lang``
     of documents that are not held out are read.
     """
     labelled = docs.filter(F.col("lang").isNotNull() & F.col("doc_id").isNotNull() & ~held_out()
                            & F.col("text").rlike(r"\p{L}"))
-    most = labelled.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(MAX_LANGUAGES)
-    counts = {r.lang: r["count"] for r in most.collect()}
+    counted = labelled.groupBy("lang").count()
+    most = MAX_WEIGHT_BYTES // (4 * FILTERS * len(WIDTHS))
+    counts = {r.lang: r["count"] for r in counted.limit(most + 1).collect()}
+    if len(counts) > most:
+        raise ValueError(f"more than {most} languages: the weights of as many don't fit {MAX_WEIGHT_BYTES} bytes")
     if not counts:
         return []
+    per_language = max(1, min(DOCS_PER_LANGUAGE, MAX_DOCS // len(counts)))
     # ids by a hash; only hashes below a bound that holds some four samples go on, so no task sees a whole language
     h = F.shiftrightunsigned(F.xxhash64("doc_id", "text"), 1)
-    bound = F.element_at(F.create_map(*(F.lit(x) for lang, n in counts.items() for x in (
-        lang, min(_HASHES, 4 * DOCS_PER_LANGUAGE * _HASHES // n)))), F.col("lang"))
+    bounds = docs.sparkSession.createDataFrame(
+        [(lang, _bound(per_language, n)) for lang, n in counts.items()], "lang string, bound long")
     first = Window.partitionBy("lang").orderBy("h")
     places = F.transform(F.sequence(F.lit(0), F.lit(WINDOWS_PER_DOC - 1)), lambda i: F.when(
         i == 0, F.lit(0)).otherwise(F.pmod(F.xxhash64(F.col("h"), i), F.length("text"))))
-    cut = (labelled.filter(F.col("lang").isin(list(counts))).withColumn("h", h).filter(F.col("h") <= bound)
+    cut = (labelled.join(F.broadcast(bounds), "lang").withColumn("h", h).filter(F.col("h") <= F.col("bound"))
            .withColumn("windows", F.transform(places, lambda at: F.substring(
                F.col("text"), (at + 1).cast("int"), F.lit(WINDOW))))
            .select("lang", "h", "windows"))
-    sample = cut.withColumn("nth", F.row_number().over(first)).filter(F.col("nth") <= DOCS_PER_LANGUAGE)
+    sample = cut.withColumn("nth", F.row_number().over(first)).filter(F.col("nth") <= per_language)
     out = []
     for r in sorted(sample.collect(), key=lambda r: (r.lang, r.h, r.windows)):
         out += [(w.encode()[:WINDOW], r.lang) for w in dict.fromkeys(r.windows) if len(w) >= 8 or len(r.windows[0]) < 8]
@@ -262,13 +273,17 @@ def keep_identified(docs: DataFrame, least: float = 0.5) -> DataFrame:
     """``docs`` whose language the network (trained on their own labels) is sure of; all columns stay.
 
     Rejected are texts without a letter and texts of which no language has
-    half of the probability (texts that mix languages).
+    half of the probability (texts that mix languages). A text whose own
+    ``lang`` the network hasn't learned (all its documents are held out) isn't
+    rejected for a low probability.
     """
     names = ("lang_pred", "score")
     while set(names) & set(docs.columns):
         names = ("_" + names[0], "_" + names[1])
-    found = identify(docs, fit(docs), names=names)
-    sure = (F.col(names[0]) != UNDETERMINED) & (F.col(names[1]) >= least)
+    model = fit(docs)
+    found = identify(docs, model, names=names)
+    unknown = F.coalesce(~F.col("lang").isin(model.labels if model else []), F.lit(False))
+    sure = (F.col(names[0]) != UNDETERMINED) & ((F.col(names[1]) >= least) | unknown)
     return found.filter(sure).select(*docs.columns)
 
 

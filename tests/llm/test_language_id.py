@@ -92,3 +92,40 @@ def test_no_labels(spark):
 def test_chunk_of_one_text_is_batched(model):
     lang, score = LI.predict(model, pa.array(["and the of in " * 30_000, None]))
     assert len(lang) == 2 and lang[1] == "und"
+
+
+def many_languages(spark, n=70):
+    """``n`` languages, each of words of its own two letters, and one of which all documents are held out."""
+    rows, i = [], 0
+    for lang in range(n):
+        own = chr(0x0250 + lang) + chr(0x0400 + lang)
+        rows += [(i + k, f"{own} {own[::-1]} " * 30, f"l{lang:02d}") for k in range(8)]
+        i += 8
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    ids = spark.range(10_000, 10_100).withColumnRenamed("id", "doc_id").filter(LI.held_out()).limit(3)
+    # two languages' words at once, and one of its own: no language is sure
+    mixed = "".join(chr(0x0250 + k) + chr(0x0400 + k) + " " for k in range(n)) * 3
+    return docs, ids.select("doc_id", F.lit(mixed).alias("text"), F.lit("rare").alias("lang"))
+
+
+def test_all_languages_are_learned(spark, monkeypatch):
+    monkeypatch.setattr(LI, "EPOCHS", 1)
+    docs, rare = many_languages(spark)
+    both = docs.unionByName(rare)
+    assert {lang for _, lang in LI.training_windows(both)} == {f"l{k:02d}" for k in range(70)}
+    monkeypatch.setattr(LI, "MAX_DOCS", 140)
+    windows = LI.training_windows(both)  # the sample is scaled, the languages stay
+    assert {lang for _, lang in windows} == {f"l{k:02d}" for k in range(70)} and len(windows) <= 140 * LI.WINDOWS_PER_DOC
+    monkeypatch.setattr(LI, "MAX_WEIGHT_BYTES", 4 * LI.FILTERS * len(LI.WIDTHS) * 69)
+    with pytest.raises(ValueError):
+        LI.training_windows(both)
+
+
+def test_unlearned_language_is_not_rejected(spark, monkeypatch):
+    docs, rare = many_languages(spark)
+    model = LI.train([(r.text.encode()[:LI.WINDOW], r.lang) for r in docs.collect()], epochs=2)
+    monkeypatch.setattr(LI, "fit", lambda _: model)
+    assert LI.identify(rare, model).agg(F.max("score")).first()[0] < 0.5
+    assert LI.keep_identified(rare).count() == 3
+    assert LI.keep_identified(rare.withColumn("lang", F.lit("l01"))).count() == 0
+    assert LI.keep_identified(rare.withColumn("lang", F.lit(None).cast("string"))).count() == 0
