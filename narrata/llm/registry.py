@@ -16,6 +16,7 @@ from narrata.llm import (
     license_scan,
     ngram_join,
     packing,
+    piece_bpe,
     token_counts,
     token_files,
 )
@@ -31,6 +32,7 @@ _QUERIES = [
     kd_shards.op8_kd_shards,
     language_id.op9_language_id,
     ball_tree.op10_ball_tree_top_k,
+    piece_bpe.op13_piece_bpe,
 ]
 _SQL: dict[str, str] = {
     "op5_benchmark_decontamination": decontaminate.SQL,
