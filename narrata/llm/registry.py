@@ -17,6 +17,7 @@ from narrata.llm import (
     ngram_join,
     packing,
     piece_bpe,
+    spelling,
     token_counts,
     token_files,
 )
@@ -32,6 +33,7 @@ _QUERIES = [
     kd_shards.op8_kd_shards,
     language_id.op9_language_id,
     ball_tree.op10_ball_tree_top_k,
+    spelling.op12_spelling_variants,
     piece_bpe.op13_piece_bpe,
 ]
 _SQL: dict[str, str] = {
