@@ -10,6 +10,7 @@ import corpus_pipeline
 from narrata.llm import (
     ball_tree,
     chat_format,
+    collocations,
     decontaminate,
     kd_shards,
     language_id,
@@ -33,6 +34,7 @@ _QUERIES = [
     kd_shards.op8_kd_shards,
     language_id.op9_language_id,
     ball_tree.op10_ball_tree_top_k,
+    collocations.op11_collocations,
     spelling.op12_spelling_variants,
     piece_bpe.op13_piece_bpe,
 ]
@@ -40,6 +42,7 @@ _SQL: dict[str, str] = {
     "op5_benchmark_decontamination": decontaminate.SQL,
     "op7_chat_format": chat_format.SQL,
     "op10_ball_tree_top_k": ball_tree.SQL,
+    "op11_collocations": collocations.SQL,
 }
 
 
