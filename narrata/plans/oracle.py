@@ -582,33 +582,38 @@ oracle("model_compare", "WITH " + CLEANED_NR + Q.lexicon_ctes() + ", " + ", ".jo
 FROM lab l JOIN stacked s ON s._key = l._key""")
 
 
-# --- hashed naive Bayes -----------------------------------------------------
+# --- naive Bayes over exact words ---------------------------------------------
 
-def _feats(col: str, pairs: bool) -> str:
-    w = Q.words(col)
-    if not pairs:
-        return w
-    return f"list_transform(range(1, len({w})), lambda i: ({w})[i] || ' ' || ({w})[i + 1])"
+def _tokens(src: str, cols: str, pairs: bool, col: str = "clean") -> str:
+    """Rows (``cols``, tok) of a table's texts; the words are computed before the lambda that pairs them."""
+    w = f"SELECT {cols}, {Q.words(col)} AS w FROM {src}"
+    toks = "unnest(list_transform(range(1, len(w)), lambda i: w[i] || ' ' || w[i + 1]))" if pairs else "unnest(w)"
+    return f"(SELECT {cols}, {toks} AS tok FROM ({w}))"
 
 
 def _bayes_ctes(p: str, train: str, rows: str, pairs: bool = False) -> list[str]:
     """Train on ``train`` (label, clean), score ``rows`` (_key, clean): {p}s (_key, label, score), {p}p predictions."""
-    bucket = "CAST(('0x' || substr(md5(tok), 1, 3)) AS INTEGER)"
     return [
-        f"{p}c AS (SELECT label, b, count(*) AS n FROM (SELECT label, {bucket} AS b FROM (SELECT label, "
-        f"unnest({_feats('clean', pairs)}) AS tok FROM {train})) GROUP BY label, b)",
+        f"{p}c AS (SELECT label, tok, count(*) AS n FROM {_tokens(train, 'label', pairs)} GROUP BY label, tok)",
         f"{p}z AS (SELECT label, count(*) AS size FROM {train} GROUP BY label)",
         f"{p}l AS (SELECT z.label, CAST(round(ln(z.size / (SELECT sum(size) FROM {p}z)) * 1e9) AS BIGINT) AS prior, "
-        f"coalesce((SELECT sum(n) FROM {p}c c WHERE c.label = z.label), 0) + 4096 AS total FROM {p}z z)",
+        f"greatest(coalesce((SELECT sum(n) FROM {p}c c WHERE c.label = z.label), 0) + "
+        f"(SELECT count(DISTINCT tok) FROM {p}c), 1) AS total FROM {p}z z)",
         f"{p}l2 AS (SELECT *, CAST(round(ln(1 / total) * 1e9) AS BIGINT) AS unseen FROM {p}l)",
-        f"{p}w AS (SELECT c.label, c.b, CAST(round(ln((c.n + 1) / l.total) * 1e9) AS BIGINT) - l.unseen AS more "
+        f"{p}w AS (SELECT c.label, c.tok, CAST(round(ln((c.n + 1) / l.total) * 1e9) AS BIGINT) - l.unseen AS more "
         f"FROM {p}c c JOIN {p}l2 l ON l.label = c.label)",
-        f"{p}t AS (SELECT _key, {bucket} AS b, count(*) AS m FROM (SELECT _key, unnest({_feats('clean', pairs)}) AS tok "
-        f"FROM {rows}) GROUP BY _key, b)",
+        f"{p}t AS (SELECT _key, tok, count(*) AS m FROM {_tokens(rows, '_key', pairs)} GROUP BY _key, tok)",
+        *_bayes_scores(p, rows, f"{p}w w ON w.tok = t.tok", f"{p}l2 l ON true"),
+    ]
+
+
+def _bayes_scores(p: str, rows: str, weights: str, classes: str) -> list[str]:
+    """Scores and predictions of rows with tokens {p}t (_key, tok, m)."""
+    return [
         f"{p}n AS (SELECT _key, sum(m) AS nt FROM {p}t GROUP BY _key)",
-        f"{p}d AS (SELECT t._key, w.label, sum(t.m * w.more) AS more FROM {p}t t JOIN {p}w w ON w.b = t.b GROUP BY ALL)",
+        f"{p}d AS (SELECT t._key, w.label, sum(t.m * w.more) AS more FROM {p}t t JOIN {weights} GROUP BY ALL)",
         f"{p}s AS (SELECT r._key, l.label, l.prior + coalesce(n.nt, 0) * l.unseen + coalesce(d.more, 0) AS score "
-        f"FROM {rows} r CROSS JOIN {p}l2 l LEFT JOIN {p}n n ON n._key = r._key "
+        f"FROM {rows} r JOIN {classes} LEFT JOIN {p}n n ON n._key = r._key "
         f"LEFT JOIN {p}d d ON d._key = r._key AND d.label = l.label)",
         f"{p}m AS (SELECT *, max(score) OVER (PARTITION BY _key) AS top, row_number() OVER (PARTITION BY _key "
         f"ORDER BY score DESC, label) AS nth FROM {p}s)",
@@ -645,6 +650,28 @@ oracle("trained_model_compare", with_(
     "SELECT _key, 'pairs', predicted, probability FROM x_p)")
     + "SELECT s.complaint_id, s.input, b.model, b.predicted AS predicted_response, b.probability "
     "FROM twin b JOIN stacked s ON s._key = b._key")
+# a separate fit on the other folds' rows for every fold
+oracle("cross_validate_words", "WITH " + SCORED + ", " + ", ".join([
+    f"labelled AS (SELECT s.complaint_id AS _key, {SENT_NAME} AS label, c.clean "
+    "FROM scored s JOIN cleaned c ON c.complaint_id = s.complaint_id)",
+    "folds AS (SELECT *, CAST((row_number() OVER (PARTITION BY label ORDER BY "
+    + _h(42, "_key") + ") - 1) % 5 AS INTEGER) AS fold FROM labelled)",
+    "fs AS (SELECT DISTINCT fold AS f FROM folds)",
+    f"x_o AS (SELECT fold, label, tok, count(*) AS n FROM {_tokens('folds', 'fold, label', False)} GROUP BY ALL)",
+    "x_c AS (SELECT fs.f, o.label, o.tok, sum(o.n) AS n FROM x_o o JOIN fs ON o.fold <> fs.f GROUP BY ALL)",
+    "x_z AS (SELECT fs.f, r.label, count(*) AS size FROM folds r JOIN fs ON r.fold <> fs.f GROUP BY ALL)",
+    "x_v AS (SELECT f, count(DISTINCT tok) AS v FROM x_c GROUP BY f)",
+    "x_k AS (SELECT f, label, sum(n) AS n FROM x_c GROUP BY f, label)",
+    "x_l AS (SELECT z.f, z.label, CAST(round(ln(z.size / sum(z.size) OVER (PARTITION BY z.f)) * 1e9) AS BIGINT) AS prior, "
+    "greatest(coalesce(k.n, 0) + coalesce(v.v, 0), 1) AS total FROM x_z z LEFT JOIN x_k k ON k.f = z.f AND k.label = z.label "
+    "LEFT JOIN x_v v ON v.f = z.f)",
+    "x_l2 AS (SELECT *, CAST(round(ln(1 / total) * 1e9) AS BIGINT) AS unseen FROM x_l)",
+    "x_w AS (SELECT c.f, c.label, c.tok, CAST(round(ln((c.n + 1) / l.total) * 1e9) AS BIGINT) - l.unseen AS more "
+    "FROM x_c c JOIN x_l2 l ON l.label = c.label AND l.f = c.f)",
+    f"x_t AS (SELECT _key, fold, tok, count(*) AS m FROM {_tokens('folds', '_key, fold', False)} GROUP BY ALL)",
+    *_bayes_scores("x_", "folds", "x_w w ON w.tok = t.tok AND w.f = t.fold", "x_l2 l ON l.f = r.fold"),
+]) + """ SELECT f._key AS complaint_id, f.fold, f.label AS sentiment, p.predicted AS predicted_sentiment, p.probability
+FROM folds f JOIN x_p p ON p._key = f._key""")
 _ISSUES = [CLEANED, *_train("issue"), *_bayes_ctes("b_", "train", "test"),
            "pv AS (SELECT t._key, t.label AS y, p.predicted AS pred FROM test t JOIN b_p p ON p._key = t._key)"]
 oracle("issue_confusion", with_(

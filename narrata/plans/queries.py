@@ -20,12 +20,12 @@ from narrata.functions.numeric import round6
 from narrata.functions import vectors as V
 from narrata.operators import classify as CL
 from narrata.operators import filters as FL
-from narrata.operators import hashed_bayes as NB
 from narrata.operators import metrics as MT
 from narrata.operators import scoring as SC
 from narrata.operators import similarity as SI
 from narrata.operators import summarize as SU
 from narrata.operators import tokens as TK
+from narrata.operators import word_bayes as WB
 from narrata.operators import labels as LB
 from narrata.operators import sampling as SM
 from narrata.operators import profile as P
@@ -539,11 +539,7 @@ def q_model_family_compare(spark, sf):
 
 @query("cross_validate")
 def q_cross_validate(spark, sf):
-    docs = TB.cleaned_complaints(spark, sf, with_response=False)
-    scored = S.lexicon_sentiment(docs, "complaint_id", "clean", TB.test_lexicon(spark, sf))
-    labelled = scored.select("complaint_id", S.sentiment_names("sentiment").alias("sentiment")) \
-        .join(docs.select("complaint_id", "clean"), "complaint_id")
-    folds = SM.stratified_folds(labelled, "sentiment", "complaint_id", 5, seed=42)
+    folds = _sentiment_folds(spark, sf)
     pooled = CL.cross_validate(folds, "fold", "clean", "sentiment", 5, keep=["complaint_id", "sentiment"])
     return MT.classification_report(pooled, "sentiment", "predicted_label")
 
@@ -601,61 +597,67 @@ def q_model_compare(spark, sf):
                       S.sentiment_names("sentiment").alias("sentiment_name"))
 
 
-# --- text classifiers whose scores SQL can give: hashed naive Bayes -----------
-
-def _bayes(spark, train, label, pairs=False):
-    """Fit on cleaned texts, save to the shared folder, load again: (labels, classes)."""
-    from narrata.sources import io as IO
-    path = IO.scratch_path(spark, f"models/bayes-{uuid.uuid4().hex}")
-    NB.save(NB.fit(train, "clean", label, pairs), path)
-    return NB.load(spark, path)
-
+# --- text classifiers whose scores SQL can give: naive Bayes over exact words --
 
 def _split(spark, sf, label):
-    """Cleaned complaints with a label, split 80/20 within each class."""
+    """Cleaned complaints with a label, split 80/20 within each class, written once."""
+    from narrata.sources import io as IO
     c = FL.dropna_subset(TB.cleaned_complaints(spark, sf), [label])
-    return SM.stratified_split(c.select("complaint_id", label, "clean"), label, "complaint_id", 0.8, seed=42)
+    split = SM.stratified_split(c.select("complaint_id", label, "clean"), label, "complaint_id", 0.8, seed=42)
+    return IO.materialize(split, spark, f"splits/{label}")
 
 
 @query("batch_text_scores")
 def q_batch_text_scores(spark, sf):
-    train = _split(spark, sf, "response").filter(F.col("split") == "train")
-    labels, classes = _bayes(spark, train, "response")
+    model = WB.fit(_split(spark, sf, "response").filter(F.col("split") == "train"), "clean", "response")
     docs = TB.cleaned_complaints(spark, sf, with_response=False).select("complaint_id", "clean")
-    return NB.score(docs, "clean", labels, classes).select(
+    return WB.score(docs, "clean", model, ["complaint_id"]).select(
         "complaint_id", F.col("predicted").alias("predicted_response"), "probability")
 
 
 @query("trained_model_compare")
 def q_trained_model_compare(spark, sf):
     """Two trained classifiers (words, pairs of words) over the combined text and the summary."""
+    from narrata.sources import io as IO
     train = _split(spark, sf, "response").filter(F.col("split") == "train")
-    models = {name: (_bayes(spark, train, "response", pairs), pairs) for name, pairs in (("words", False), ("pairs", True))}
+    models = {"words": WB.fit(train, "clean", "response"), "pairs": WB.fit(train, "clean", "response", pairs=True)}
     c = TB.complaints(spark, sf, with_response=False)
     c = c.join(SU.extractive_summary(c.select("complaint_id", "narrative"), "complaint_id", "narrative"), "complaint_id")
-    inputs = {
-        "combined": T.build_text(["narrative", "company", "product", "issue"], "skip", sep=" | ",
-                                 labels=["Complaint Narrative", "Company", "Product", "Issue"]),
-        "summary": F.col("summary"),
-    }
+    combined = T.build_text(["narrative", "company", "product", "issue"], "skip", sep=" | ",
+                            labels=["Complaint Narrative", "Company", "Product", "Issue"])
+    # the inputs of both models, stacked, cleaned and written once
+    both = F.array(F.struct(F.lit("combined").alias("input"), combined.alias("text")),
+                   F.struct(F.lit("summary").alias("input"), F.col("summary").alias("text")))
+    inputs = c.select("complaint_id", F.inline(both)).select("complaint_id", "input", T.clean_narrative("text").alias("clean"))
+    inputs = IO.materialize(inputs, spark, "compare-inputs")
+    parts = [WB.score(inputs, "clean", model, ["complaint_id", "input"]).select(
+        "complaint_id", "input", F.lit(name).alias("model"), F.col("predicted").alias("predicted_response"), "probability")
+        for name, model in models.items()]
+    return parts[0].unionByName(parts[1])
+
+
+def _sentiment_folds(spark, sf):
+    """Cleaned complaints with their lexicon sentiment, in five stratified folds."""
+    docs = TB.cleaned_complaints(spark, sf, with_response=False)
+    scored = S.lexicon_sentiment(docs, "complaint_id", "clean", TB.test_lexicon(spark, sf))
+    labelled = scored.select("complaint_id", S.sentiment_names("sentiment").alias("sentiment")) \
+        .join(docs.select("complaint_id", "clean"), "complaint_id")
+    return SM.stratified_folds(labelled, "sentiment", "complaint_id", 5, seed=42)
 
-    def scorer(model, pairs):
-        def run(d):
-            cleaned = d.select("_key", T.clean_narrative("text").alias("clean"))
-            return NB.score(cleaned, "clean", *model, pairs).select("_key", "predicted", "probability")
-        return run
 
-    out = SC.compare_models(c, "complaint_id", inputs, {n: scorer(m, p) for n, (m, p) in models.items()})
-    return out.select("complaint_id", "input", "model", F.col("predicted").alias("predicted_response"), "probability")
+@query("cross_validate_words")
+def q_cross_validate_words(spark, sf):
+    """Out-of-fold predictions of every complaint, all folds from one count of the words."""
+    pooled = WB.cross_validate(_sentiment_folds(spark, sf), "fold", "clean", "sentiment", ["complaint_id", "fold", "sentiment"])
+    return pooled.select("complaint_id", "fold", "sentiment", F.col("predicted").alias("predicted_sentiment"), "probability")
 
 
 def _issue_predictions(spark, sf):
     from narrata.sources import io as IO
     rows = _split(spark, sf, "issue")
-    labels, classes = _bayes(spark, rows.filter(F.col("split") == "train"), "issue")
-    scored = NB.score(rows.filter(F.col("split") == "test"), "clean", labels, classes)
-    scored = scored.select("complaint_id", "issue", "predicted", "scores")
-    return IO.materialize(scored, spark, "issue-predictions"), F.array(*[F.lit(x) for x in labels])
+    model = WB.fit(rows.filter(F.col("split") == "train"), "clean", "issue")
+    scored = WB.score(rows.filter(F.col("split") == "test"), "clean", model, ["complaint_id", "issue"])
+    return IO.materialize(scored, spark, "issue-predictions"), F.array(*[F.lit(x) for x in model.labels])
 
 
 @query("issue_classifier")
@@ -713,7 +715,7 @@ def q_stream_classify(spark, sf):
     from narrata.streaming import score as ST
     train = _split(spark, sf, "response").filter(F.col("split") == "train")
     run = f"streams/classify-{uuid.uuid4().hex}"
-    NB.save(NB.fit(train, "clean", "response"), IO.scratch_path(spark, f"{run}/model"))
+    WB.save(WB.fit(train, "clean", "response"), IO.scratch_path(spark, f"{run}/model"))
     sink = IO.scratch_path(spark, f"{run}/out")
     q = ST.classify_stream(spark, sf, IO.scratch_path(spark, f"{run}/model"), sink,
                            IO.scratch_path(spark, f"{run}/checkpoint"), glob="documents.parquet")

@@ -14,8 +14,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as TY
 
 from narrata.functions import text as T
-from narrata.operators import hashed_bayes as NB
 from narrata.operators import sentiment as S
+from narrata.operators import word_bayes as WB
 
 DOCUMENT_SCHEMA = TY.StructType([
     TY.StructField("doc_id", TY.LongType()),
@@ -36,11 +36,11 @@ def score_batch(docs: DataFrame, lexicon: DataFrame) -> DataFrame:
                          S.sentiment_names("sentiment").alias("sentiment_name"))
 
 
-def classify_batch(docs: DataFrame, labels: list, classes: list) -> DataFrame:
-    """Batch classification of raw documents by a loaded hashed naive Bayes model."""
+def classify_batch(docs: DataFrame, model: WB.Model) -> DataFrame:
+    """Batch classification of raw documents by a loaded naive Bayes model."""
     cleaned = T.with_computed(docs.select(F.col("doc_id").alias("complaint_id"), "text"),
                               clean=T.clean_narrative("text")).filter(F.col("clean") != "")
-    scored = NB.score(cleaned.select("complaint_id", "clean"), "clean", labels, classes)
+    scored = WB.score(cleaned, "clean", model, ["complaint_id"])
     return scored.select("complaint_id", F.col("predicted").alias("predicted_response"), "probability")
 
 
@@ -62,9 +62,11 @@ def _start(spark: SparkSession, source_dir: str, batch_fn, sink_dir: str, checkp
 
 def classify_stream(spark: SparkSession, source_dir: str, model_path: str, sink_dir: str, checkpoint_location: str,
                     glob: str = "*.parquet", available_now: bool = True, max_files_per_trigger: int | None = None):
-    """Start a stream that classifies arriving documents by a saved model; returns the StreamingQuery."""
-    labels, classes = NB.load(spark, model_path)
-    return _start(spark, source_dir, lambda batch: classify_batch(batch, labels, classes), sink_dir,
+    """Start a stream that classifies arriving documents by a saved model; returns the StreamingQuery.
+
+    The model is read again for every micro-batch, so one written in its place is taken up by the next.
+    """
+    return _start(spark, source_dir, lambda batch: classify_batch(batch, WB.load(batch.sparkSession, model_path)), sink_dir,
                   checkpoint_location, glob, available_now, max_files_per_trigger)
 
 
