@@ -672,6 +672,65 @@ oracle("cross_validate_words", "WITH " + SCORED + ", " + ", ".join([
     *_bayes_scores("x_", "folds", "x_w w ON w.tok = t.tok AND w.f = t.fold", "x_l2 l ON l.f = r.fold"),
 ]) + """ SELECT f._key AS complaint_id, f.fold, f.label AS sentiment, p.predicted AS predicted_sentiment, p.probability
 FROM folds f JOIN x_p p ON p._key = f._key""")
+def _softmax_ctes(epochs: int = 6, patience: int = 2, rate: float = 40.0) -> list[str]:
+    """All epochs unrolled: ``hist`` (the epochs up to the stop), ``best`` and ``zall`` (scores by epoch)."""
+    out = [
+        CLEANED,
+        "parts AS MATERIALIZED (SELECT complaint_id AS _key, response AS label, clean, CASE WHEN "
+        f"{_u(_h(42, 'complaint_id'))} < 0.6 THEN 'train' WHEN {_u(_h(42, 'complaint_id'))} < {0.6 + 0.2!r} "
+        "THEN 'validation' ELSE 'test' END AS part FROM cleaned WHERE response IS NOT NULL)",
+        "kinds AS MATERIALIZED (SELECT label, count(*) AS c FROM parts WHERE part = 'train' GROUP BY label)",
+        "wt AS MATERIALIZED (SELECT label, c, CAST(floor(1000::DOUBLE * (SELECT sum(c) FROM kinds) / "
+        "((SELECT count(*) FROM kinds) * c) + 0.5) AS BIGINT) AS weight FROM kinds)",
+        "mass AS MATERIALIZED (SELECT CAST(sum(weight * c) AS DOUBLE) AS mass FROM wt)",
+        f"docs AS MATERIALIZED (SELECT p._key, p.part, p.label, wt.weight, list_distinct({Q.words('p.clean')}) AS w "
+        "FROM parts p LEFT JOIN wt ON wt.label = p.label WHERE p.part = 'test' OR wt.label IS NOT NULL)",
+        "cells AS MATERIALIZED (SELECT _key, part, unnest(w) AS tok, "
+        "CAST(floor(1000 / sqrt(greatest(len(w), 1)::DOUBLE) + 0.5) AS BIGINT) AS x FROM docs "
+        "UNION ALL SELECT _key, part, '', 1000 FROM docs)",
+        "z0 AS MATERIALIZED (SELECT d._key, c.label AS cl, 0::DOUBLE AS z FROM docs d CROSS JOIN kinds c)",
+        "w0 AS MATERIALIZED (SELECT '' AS tok, '' AS cl, 0::BIGINT AS w WHERE false)",
+    ]
+    for e in range(epochs + 1):
+        if e:
+            out += [
+                f"g{e} AS (SELECT c.tok, j.cl, CAST(sum(c.x * j.weight::HUGEINT * j.r) AS DOUBLE) AS g FROM cells c "
+                f"JOIN j{e - 1} j ON j._key = c._key WHERE c.part = 'train' GROUP BY c.tok, j.cl)",
+                f"w{e} AS MATERIALIZED (SELECT g.tok, g.cl, coalesce(o.w, 0) - CAST(floor(g.g * {rate}::DOUBLE / "
+                f"((SELECT mass FROM mass) * 1000) + 0.5) AS BIGINT) AS w FROM g{e} g LEFT JOIN w{e - 1} o "
+                "ON o.tok = g.tok AND o.cl = g.cl)",
+                f"s{e} AS (SELECT c._key, w.cl, sum(c.x::HUGEINT * w.w) AS s FROM cells c JOIN w{e} w ON w.tok = c.tok GROUP BY ALL)",
+                f"z{e} AS MATERIALIZED (SELECT d._key, c.label AS cl, CAST(coalesce(s.s, 0) AS DOUBLE) / 1e12 AS z "
+                f"FROM docs d CROSS JOIN kinds c LEFT JOIN s{e} s ON s._key = d._key AND s.cl = c.label)",
+            ]
+        out += [
+            f"m{e} AS (SELECT *, z - max(z) OVER (PARTITION BY _key) AS d FROM z{e})",
+            f"t{e} AS (SELECT *, exp(d) AS e, sum(exp(d)) OVER (PARTITION BY _key) AS total FROM m{e})",
+            f"j{e} AS MATERIALIZED (SELECT t._key, t.cl, d.part, d.weight, CAST(floor((t.e / t.total - CASE WHEN t.cl = d.label "
+            "THEN 1 ELSE 0 END) * 1e9::DOUBLE + 0.5) AS BIGINT) AS r, CASE WHEN t.cl = d.label THEN "
+            f"CAST(floor((ln(t.total) - t.d) * 1e9::DOUBLE + 0.5) AS BIGINT) END AS loss FROM t{e} t JOIN docs d ON d._key = t._key)",
+            f"l{e} AS (SELECT CAST(sum(loss::HUGEINT * weight) FILTER (WHERE part = 'train') AS DOUBLE) / "
+            "(sum(weight) FILTER (WHERE part = 'train' AND loss IS NOT NULL) * 1e9::DOUBLE) AS tl, "
+            "CAST(sum(loss) FILTER (WHERE part = 'validation') AS DOUBLE) / "
+            f"(count(loss) FILTER (WHERE part = 'validation') * 1e9::DOUBLE) AS vl FROM j{e})",
+        ]
+    rows = " UNION ALL ".join(f"SELECT {e} AS epoch, (SELECT tl FROM l{e - 1}) AS tl, (SELECT vl FROM l{e}) AS vl"
+                              for e in range(1, epochs + 1))
+    return out + [
+        f"allh AS MATERIALIZED ({rows})",
+        "improved AS (SELECT *, vl < coalesce(min(vl) OVER (ORDER BY epoch ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), "
+        "'inf'::DOUBLE) AS up FROM allh)",
+        "lasts AS (SELECT *, max(CASE WHEN up THEN epoch END) OVER (ORDER BY epoch) AS last FROM improved)",
+        f"stop AS (SELECT coalesce(min(epoch) FILTER (WHERE epoch - last >= {patience}), max(epoch)) AS stop FROM lasts)",
+        "best AS (SELECT last AS best FROM lasts WHERE epoch = (SELECT stop FROM stop))",
+        "hist AS (SELECT * FROM lasts WHERE epoch <= (SELECT stop FROM stop))",
+        "zall AS (" + " UNION ALL ".join(f"SELECT {e} AS epoch, * FROM z{e}" for e in range(1, epochs + 1)) + ")",
+    ]
+
+
+oracle("early_stopping", with_(*_softmax_ctes()) + f"""
+SELECT CAST(epoch AS INTEGER) AS epoch, {Q.r6('tl')} AS train_loss, {Q.r6('vl')} AS validation_loss,
+  epoch = (SELECT best FROM best) AS best FROM hist""")
 _ISSUES = [CLEANED, *_train("issue"), *_bayes_ctes("b_", "train", "test"),
            "pv AS (SELECT t._key, t.label AS y, p.predicted AS pred FROM test t JOIN b_p p ON p._key = t._key)"]
 oracle("issue_confusion", with_(
@@ -679,11 +738,7 @@ oracle("issue_confusion", with_(
     "cnt AS (SELECT y, pred, count(*) AS n FROM pv GROUP BY y, pred)")
     + "SELECT a.c AS true_label, b.c AS pred_label, CAST(coalesce(cnt.n, 0) AS BIGINT) AS count "
     "FROM cls a CROSS JOIN cls b LEFT JOIN cnt ON cnt.y = a.c AND cnt.pred = b.c")
-oracle("issue_classifier", with_(
-    *_ISSUES, *PER_CLASS,
-    "rk AS (SELECT t._key, (SELECT 1 + count(*) FROM b_s o WHERE o._key = t._key AND (o.score > a.score OR "
-    "(o.score = a.score AND o.label > a.label))) AS r FROM test t LEFT JOIN b_s a ON a._key = t._key "
-    "AND a.label = t.label)") + """
+_REPORT = """
 SELECT CAST(c AS VARCHAR) AS class, round(precision, 6) AS precision, round(recall, 6) AS recall,
   round(f1, 6) AS f1, CAST(support AS BIGINT) AS support FROM pc
 UNION ALL SELECT 'macro avg', round(avg(precision), 6), round(avg(recall), 6), round(avg(f1), 6),
@@ -691,9 +746,20 @@ UNION ALL SELECT 'macro avg', round(avg(precision), 6), round(avg(recall), 6), r
 UNION ALL SELECT 'weighted avg', round(sum(precision * support) / sum(support), 6),
   round(sum(recall * support) / sum(support), 6), round(sum(f1 * support) / sum(support), 6),
   CAST(sum(support) AS BIGINT) FROM pc
-UNION ALL SELECT 'accuracy', NULL, NULL, round(sum(tp) / sum(support), 6), CAST(sum(support) AS BIGINT) FROM pc
+UNION ALL SELECT 'accuracy', NULL, NULL, round(sum(tp) / sum(support), 6), CAST(sum(support) AS BIGINT) FROM pc"""
+oracle("issue_classifier", with_(
+    *_ISSUES, *PER_CLASS,
+    "rk AS (SELECT t._key, (SELECT 1 + count(*) FROM b_s o WHERE o._key = t._key AND (o.score > a.score OR "
+    "(o.score = a.score AND o.label > a.label))) AS r FROM test t LEFT JOIN b_s a ON a._key = t._key "
+    "AND a.label = t.label)") + _REPORT + """
 UNION ALL SELECT 'top 3 accuracy', NULL, NULL, round(avg(CASE WHEN r <= 3 THEN 1.0 ELSE 0.0 END), 6),
   count(*) FROM rk""")
+oracle("early_stopping_report", with_(
+    *_softmax_ctes(),
+    "nth AS (SELECT z._key, z.cl, row_number() OVER (PARTITION BY z._key ORDER BY z.z DESC, z.cl) AS nth FROM zall z "
+    "WHERE z.epoch = (SELECT best FROM best))",
+    "pv AS (SELECT d._key, d.label AS y, n.cl AS pred FROM docs d JOIN nth n ON n._key = d._key AND n.nth = 1 "
+    "WHERE d.part = 'test')", *PER_CLASS) + _REPORT)
 
 
 def oracle_sql() -> dict[str, str]:

@@ -23,6 +23,7 @@ from narrata.operators import filters as FL
 from narrata.operators import metrics as MT
 from narrata.operators import scoring as SC
 from narrata.operators import similarity as SI
+from narrata.operators import softmax as SX
 from narrata.operators import summarize as SU
 from narrata.operators import tokens as TK
 from narrata.operators import word_bayes as WB
@@ -636,6 +637,30 @@ def q_trained_model_compare(spark, sf):
     return parts[0].unionByName(parts[1])
 
 
+def _early_stopping(spark, sf):
+    """Softmax regression of the response, fitted on the training part and stopped by the validation part."""
+    from narrata.sources import io as IO
+    c = FL.dropna_subset(TB.cleaned_complaints(spark, sf), ["response"]).select("complaint_id", "response", "clean")
+    c = IO.materialize(SM.three_way_split(c, "complaint_id"), spark, "splits/early-stopping")
+    parts = {x: c.filter(F.col("split") == x) for x in ("train", "validation", "test")}
+    return SX.fit_early_stopping(parts["train"], parts["validation"], "clean", "response", epochs=6), parts["test"]
+
+
+@query("early_stopping")
+def q_early_stopping(spark, sf):
+    """Losses by epoch, and the epoch that is kept."""
+    fit, _ = _early_stopping(spark, sf)
+    return fit.history.select("epoch", r6("train_loss").alias("train_loss"),
+                              r6("validation_loss").alias("validation_loss"), "best")
+
+
+@query("early_stopping_report")
+def q_early_stopping_report(spark, sf):
+    """Report of the kept epoch's weights on the test part, which took no part in fitting or stopping."""
+    fit, test = _early_stopping(spark, sf)
+    return MT.classification_report(SX.predict(fit, test, "clean", ["response"]), "response", "predicted")
+
+
 def _sentiment_folds(spark, sf):
     """Cleaned complaints with their lexicon sentiment, in five stratified folds."""
     docs = TB.cleaned_complaints(spark, sf, with_response=False)
