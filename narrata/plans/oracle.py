@@ -705,10 +705,10 @@ def _softmax_ctes(epochs: int = 6, patience: int = 2, rate: float = 40.0) -> lis
             ]
         out += [
             f"m{e} AS (SELECT *, z - max(z) OVER (PARTITION BY _key) AS d FROM z{e})",
-            f"t{e} AS (SELECT *, exp(d) AS e, sum(exp(d)) OVER (PARTITION BY _key) AS total FROM m{e})",
+            f"tt{e} AS (SELECT *, exp(d) AS e, sum(exp(d)) OVER (PARTITION BY _key) AS total FROM m{e})",
             f"j{e} AS MATERIALIZED (SELECT t._key, t.cl, d.part, d.weight, CAST(floor((t.e / t.total - CASE WHEN t.cl = d.label "
             "THEN 1 ELSE 0 END) * 1e9::DOUBLE + 0.5) AS BIGINT) AS r, CASE WHEN t.cl = d.label THEN "
-            f"CAST(floor((ln(t.total) - t.d) * 1e9::DOUBLE + 0.5) AS BIGINT) END AS loss FROM t{e} t JOIN docs d ON d._key = t._key)",
+            f"CAST(floor((ln(t.total) - t.d) * 1e9::DOUBLE + 0.5) AS BIGINT) END AS loss FROM tt{e} t JOIN docs d ON d._key = t._key)",
             f"l{e} AS (SELECT CAST(sum(loss::HUGEINT * weight) FILTER (WHERE part = 'train') AS DOUBLE) / "
             "(sum(weight) FILTER (WHERE part = 'train' AND loss IS NOT NULL) * 1e9::DOUBLE) AS tl, "
             "CAST(sum(loss) FILTER (WHERE part = 'validation') AS DOUBLE) / "
