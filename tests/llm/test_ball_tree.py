@@ -55,16 +55,58 @@ def test_empty(spark):
     assert got(spark.createDataFrame([(0, [1.0])], "vec_id long, embedding array<float>")) == set()
 
 
+def test_hot_id_and_hot_vector_are_spread(spark, monkeypatch):
+    monkeypatch.setattr(BT, "SHARD_ROWS", 64)
+    rng = np.random.default_rng(2)
+    rows = [(7, [1.0, 2.0, -1.0])] * 400 + [(50, rng.normal(size=3).tolist()) for _ in range(300)]
+    rows += [(i, rng.normal(size=3).tolist()) for i in range(1000, 1500)]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>").repartition(3)
+    sizes = []
+    kept = BT.IO.materialize
+
+    def spy(table, session, name):
+        out = kept(table, session, name)
+        if name.endswith("/trees"):
+            sizes.extend(r.n for r in out.select("n").collect())
+        return out
+    monkeypatch.setattr(BT.IO, "materialize", spy)
+    by_query = {}
+    for q, r, j, s in [tuple(x) for x in BT.top_k(df).collect()]:
+        by_query.setdefault(q, []).append((r, s, j))
+    assert sum(sizes) == 1200 and max(sizes) < 130
+    v = [(i, np.floor(256 * np.array(e))) for i, e in df.collect()]
+    for q, found in by_query.items():  # repeated rows each count
+        own = [e for i, e in v if i == q]
+        scored = sorted((-int(e @ w), i) for e in {tuple(x) for x in own} for i, w in v if i != q)[:5]
+        assert [(r + 1, -s, j) for r, (s, j) in enumerate(scored)] == sorted(found)
+
+
+def test_most_leaves_of_clustered_vectors_are_not_visited():
+    rng = np.random.default_rng(3)
+    centres = rng.normal(size=(20, 32)) * 3
+    v = BT.whole((centres[rng.integers(0, 20, 6000)] + rng.normal(size=(6000, 32)) * 0.1))
+    shard = BT.Shard(np.arange(6000), v)
+    queries = v[::50]
+    floor = np.full(len(queries), BT._NONE, np.int64)
+    top, ids = shard.search(np.arange(0, 6000, 50), queries, floor, 5)
+    scores = (queries @ v.T).astype(np.int64)
+    scores[np.arange(len(queries)), np.arange(0, 6000, 50)] = BT._NONE
+    order = np.lexsort((np.broadcast_to(np.arange(6000), scores.shape), -scores), axis=1)[:, :5]
+    assert (ids == order).all() and (top == np.take_along_axis(scores, order, 1)).all()
+    assert shard.visits < shard.possible / 2
+
+
 def test_tree_bounds_hold():
     rng = np.random.default_rng(1)
-    v = BT.whole(rng.normal(size=(400, 8)))
-    q = BT.whole(rng.normal(size=(20, 8)))
+    v = BT.whole(np.concatenate([rng.normal(size=(396, 8)), np.zeros((2, 8)), np.full((2, 8), 3.0)]))
+    q = BT.whole(np.concatenate([rng.normal(size=(20, 8)), np.zeros((1, 8))]))
     tree = BT.BallTree(v, np.arange(400))
     assert sorted(np.concatenate(tree.parts).tolist()) == list(range(400))
 
     def rows(node):
-        children, part = tree.nodes[node][2:]
-        return tree.parts[part].tolist() if part is not None else [r for c in children for r in rows(c)]
+        part = tree.part[node]
+        return tree.parts[part].tolist() if part >= 0 else [r for c in np.flatnonzero(tree.parent == node) for r in rows(c)]
 
-    for node in range(len(tree.nodes)):
-        assert (tree.bounds(q, node)[:, None] >= q @ v[rows(node)].T).all()
+    bounds = tree.bounds(q)
+    for node in range(len(tree.part)):
+        assert (bounds[node][:, None] >= q @ v[rows(node)].T).all()
