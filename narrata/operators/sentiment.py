@@ -1,17 +1,20 @@
 """Lexicon sentiment (M1-M3): valence sum, compound score, 3-way label.
 
-The lexicon is a table ``(token, valence)``. Tokens are exploded with their
-position, joined to the lexicon and summed per document. The join key is
-(token, salt): a document's salt is a hash of its id, and the lexicon is
-repeated for each of the ``SALTS`` salts, so a word of every document is
-spread over as many keys. The written lexicon's size is known to the planner,
-which broadcasts it below the session's threshold. Because the exploded rows of one document
-sit in one partition, the partial aggregate collapses them to one row per
-document before the shuffle.
+The lexicon is a table ``(token, valence)``. Up to ``MAX_LEXICON_BYTES`` it
+becomes one value of the plan, a hash table of small buckets, and every text
+is scored within its row: no token leaves the row, nothing is shuffled or
+grouped, and rows that share an id stay rows. A larger lexicon is joined to
+the exploded tokens by (token, salt): a row's salt is a hash of its number,
+and the lexicon is repeated for each of the ``SALTS`` salts, so a word of
+every text is spread over as many keys; the exploded tokens of a row sit in
+one partition, so the partial aggregate collapses them to one row before the
+shuffle. Both ways give the same sums, as these are of whole numbers.
 """
 
 from __future__ import annotations
 
+import json
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -21,6 +24,8 @@ from narrata.sources import io as IO
 
 #: Keys that one token's rows are spread over.
 SALTS = 16
+#: UTF-8 bytes and numbers of a lexicon that travels with the plan; a larger one is joined.
+MAX_LEXICON_BYTES = 16 << 20
 
 # ---------------------------------------------------------------------------
 # Fixed values of the rule-based scorer (Hutto & Gilbert 2014).
@@ -48,39 +53,90 @@ def sentiment_label(compound_col) -> Column:
             .otherwise(F.lit(1)))
 
 
-def salt_of(id_col) -> Column:
-    """The salt of a document's token rows."""
-    return F.pmod(F.xxhash64(id_col), F.lit(SALTS)).cast("int")
-
-
 def salted(table: DataFrame) -> DataFrame:
     """A token table repeated for every salt, written so that its size is known."""
-    rows = table.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+    rows = table.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
     return IO.materialize(rows, table.sparkSession, "salted-tokens")
 
 
+class RowLexicon:
+    """Roles of words (valence in 1e-9, negator, booster) as one foldable value, looked up within a row."""
+
+    def __init__(self, roles: list, slots: int):
+        table: list[list[dict]] = [[] for _ in range(slots)]
+        for r in roles:
+            table[r.slot].append({"t": r.token, "v": r.val, "n": r.neg, "b": r.bst})
+        kind = "array<array<struct<t: string, v: bigint, n: boolean, b: boolean>>>"
+        self.slots, self.table = slots, F.from_json(F.lit(json.dumps(table, ensure_ascii=False)), kind)
+
+    def role(self, word: Column) -> Column:
+        """The word's role, or null."""
+        slot = F.get(self.table, F.pmod(F.xxhash64(word), F.lit(self.slots)).cast("int"))
+        return F.get(F.filter(slot, lambda e: e["t"] == word), F.lit(0))
+
+
+def _roles(lexicon: DataFrame, negators: DataFrame | None = None, boosters: DataFrame | None = None) -> DataFrame:
+    """(token, val, neg, bst), a row for each token; repeated lexicon rows add up, null tokens are left out."""
+    units = F.round(F.col("valence") * F.lit(1e9)).cast("long")
+    parts = [lexicon.select("token", units.alias("val"), F.lit(False).alias("neg"), F.lit(False).alias("bst"))]
+    none = F.lit(None).cast("long")
+    if negators is not None:
+        parts.append(negators.select("token", none, F.lit(True), F.lit(False)))
+    if boosters is not None:
+        parts.append(boosters.select("token", none, F.lit(False), F.lit(True)))
+    every = parts[0]
+    for part in parts[1:]:
+        every = every.union(part)
+    return every.filter(F.col("token").isNotNull()).groupBy("token").agg(
+        F.sum("val").alias("val"), F.bool_or("neg").alias("neg"), F.bool_or("bst").alias("bst"))
+
+
+def row_lexicon(roles: DataFrame) -> RowLexicon | None:
+    """The roles as a value of the plan if they are small enough, else None."""
+    size = roles.agg(F.count("*").alias("n"), F.coalesce(F.sum(F.octet_length("token")), F.lit(0)).alias("bytes")).first()
+    if size.bytes + 40 * size.n > MAX_LEXICON_BYTES:
+        return None
+    slots = 1 << max(4, size.n.bit_length())
+    return RowLexicon(roles.withColumn("slot", F.pmod(F.xxhash64("token"), F.lit(slots)).cast("int")).collect(), slots)
+
+
+def _numbered(df: DataFrame, id_col: str, text_col: str, keep) -> DataFrame:
+    """(keep, row, pos, tok): the tokens of numbered rows, one empty row for a row without tokens."""
+    rows = df.select(F.struct(id_col, *keep).alias("keep"), T.words(text_col).alias("words"),
+                     F.monotonically_increasing_id().alias("row"))
+    return rows.select("keep", "row", F.pmod(F.xxhash64("row"), F.lit(SALTS)).cast("int").alias("salt"),
+                       F.posexplode_outer("words").alias("pos", "tok"))
+
+
 def _finish(scored: DataFrame) -> DataFrame:
     return (scored.withColumn("compound", compound("valence_sum"))
             .withColumn("sentiment", sentiment_label("compound")))
 
 
-def lexicon_sentiment(df: DataFrame, id_col: str, text_col: str, lexicon: DataFrame,
+def lexicon_sentiment(df: DataFrame, id_col: str, text_col: str, lexicon: DataFrame | RowLexicon,
                       keep=()) -> DataFrame:
-    """Per-document valence sum, compound score and label.
+    """Each row's valence sum, compound score and label.
 
-    Returns ``id_col, *keep, valence_sum, compound, sentiment``; a document
-    with no lexicon word (or no token) scores 0 and is neutral. Valences are
-    summed as integers of 1e-9, so a sum doesn't depend on its order. ``keep``
-    columns ride through the explode, so keep them small (join wide columns
-    back on the id).
+    Returns ``id_col, *keep, valence_sum, compound, sentiment``; a text with
+    no lexicon word (or a null one) scores 0 and is neutral; repeated rows
+    stay rows. Valences are summed as whole numbers of 1e-9, so a sum doesn't
+    depend on its order. With a lexicon too large for the plan, ``keep``
+    columns ride along with the tokens, so keep them small then.
     """
-    units = F.round(F.col("valence") * F.lit(1e9)).cast("long")
-    lex = salted(lexicon.select(F.col("token").alias("_tok"), units.alias("_val")))
-    ex = df.select(id_col, *keep, salt_of(id_col).alias("_salt"), F.explode_outer(T.words(text_col)).alias("_tok"))
-    hits = ex.join(lex, ["_tok", "_salt"], "left")
-    agg = hits.groupBy(id_col, *keep).agg(
-        F.coalesce(F.sum("_val") / F.lit(1e9), F.lit(0.0)).cast("double").alias("valence_sum"))
-    return _finish(agg)
+    held = lexicon
+    if isinstance(lexicon, DataFrame):
+        roles = IO.materialize(_roles(lexicon), lexicon.sparkSession, "lexicon")
+        held = row_lexicon(roles)
+    if held is not None:
+        total = F.aggregate(T.words(text_col), F.lit(0).cast("long"),
+                            lambda a, w: a + F.coalesce(held.role(w)["v"], F.lit(0).cast("long")))
+        value = F.coalesce(total, F.lit(0)) / F.lit(1e9)
+        return _finish(df.select(id_col, *keep, value.cast("double").alias("valence_sum")))
+    met = _numbered(df, id_col, text_col, keep).join(
+        salted(roles.select(F.col("token").alias("tok"), "val")), ["tok", "salt"], "left")
+    sums = met.groupBy("row", "keep").agg(
+        F.coalesce(F.sum("val") / F.lit(1e9), F.lit(0.0)).cast("double").alias("valence_sum"))
+    return _finish(sums.select("keep.*", "valence_sum"))
 
 
 def lexicon_sentiment_context(df: DataFrame, id_col: str, text_col: str, lexicon: DataFrame,
@@ -91,62 +147,85 @@ def lexicon_sentiment_context(df: DataFrame, id_col: str, text_col: str, lexicon
     For a lexicon word at position p, for d = 1, 2, 3 in turn: if the word at
     p-d is not in the lexicon and is a booster, add ``0.293 * damping[d]``
     with the sign of the running valence; if it is a negator, multiply by
-    -0.74. Booster words themselves score 0. Words before the first contrast
-    word are halved, words after it count 1.5x.
-
-    One pass: tokens are exploded with their position (documents without a
-    token keep one row), joined once to a small role table, and one shuffle
-    by document feeds the ordered window and the per-document sum. Word
-    contributions are summed as integers of 1e-9, so the total is exact and
-    independent of partitioning. ``contrast_word`` is a string or a one-row
-    DataFrame with column ``token``.
+    -0.74. Booster words themselves begin at 0. Words before the first
+    contrast word are halved, words after it count 1.5x.
+
+    A word's neighbours are in its row, so with role tables that fit the plan
+    all rules are applied there, without an exchange; otherwise the tokens are
+    joined once to the role table and shuffled by row number for the ordered
+    window. Word contributions are summed as whole numbers of 1e-9.
+    ``contrast_word`` is a string or a one-row DataFrame with column
+    ``token``; repeated rows stay rows, a null text scores 0.
     """
-    lex = lexicon.select(F.col("token").alias("_tok"), F.col("valence").alias("_val"))
-    neg = negators.select(F.col("token").alias("_tok")).distinct().withColumn("_neg", F.lit(True))
-    bst = boosters.select(F.col("token").alias("_tok")).distinct().withColumn("_bst", F.lit(True))
     if isinstance(contrast_word, DataFrame):
-        cw = contrast_word.select("token").scalar()
-    else:
-        cw = F.lit(contrast_word)
-
-    # one small role table (valence, negator, booster per token): a single
-    # join against the exploded token stream instead of three
-    role_table = salted(lex.join(neg, "_tok", "full").join(bst, "_tok", "full"))
-    ex = df.select(id_col, *keep, salt_of(id_col).alias("_salt"),
-                   F.posexplode_outer(T.words(text_col)).alias("_pos", "_tok"))
-    s = (ex.join(role_table, ["_tok", "_salt"], "left")
-         .withColumn("_neg", F.coalesce("_neg", F.lit(False)))
-         .withColumn("_bst", F.coalesce("_bst", F.lit(False)))
-         .withColumn("_cw", F.coalesce(F.col("_tok") == cw, F.lit(False))))
-
-    w = Window.partitionBy(id_col).orderBy("_pos")
-    s = s.withColumn("_bi", F.min(F.when(F.col("_cw"), F.col("_pos"))).over(Window.partitionBy(id_col)))
+        row = contrast_word.select("token").first()
+        contrast_word = row.token if row else None
+    contrast = F.lit(contrast_word).cast("string")
+    roles = IO.materialize(_roles(lexicon, negators, boosters), lexicon.sparkSession, "word-roles")
+    held = row_lexicon(roles)
+    if held is None:
+        return _joined_context(df, id_col, text_col, roles, contrast, keep)
+    rows = df.select(F.struct(id_col, *keep).alias("keep"), F.coalesce(T.words(text_col), F.array().cast("array<string>"))
+                     .alias("words"))
+    rows = rows.select("keep", F.transform("words", held.role).alias("roles"),
+                       (F.array_position("words", contrast) - 1).alias("at"))
+
+    damped = F.array(*[F.lit(BOOSTER_INCREMENT * x) for x in BOOSTER_DAMPING])
+
+    def worth(role: Column, i: Column) -> Column:
+        start = F.when(role["b"], F.lit(0.0)).otherwise(role["v"] / F.lit(1e9))
+        value = F.aggregate(F.array(*[F.lit(d) for d in (1, 2, 3)]), start, lambda v, d: _ruled(
+            v, F.get("roles", i - d), F.element_at(damped, d)))
+        value = (F.when(F.coalesce(F.col("at"), F.lit(-1)) < 0, value).when(i < F.col("at"), value * F.lit(BEFORE_CONTRAST))
+                 .when(i > F.col("at"), value * F.lit(AFTER_CONTRAST)).otherwise(value))
+        return F.coalesce(F.round(value * F.lit(1e9)).cast("long"), F.lit(0).cast("long"))
+    total = F.aggregate(F.transform("roles", worth), F.lit(0).cast("long"), lambda a, x: a + x)
+    return _finish(rows.select("keep.*", (total / F.lit(1e9)).cast("double").alias("valence_sum")))
+
+
+def _ruled(v: Column, before: Column, increment: Column) -> Column:
+    """The running valence after the rules for one earlier word."""
+    free = before["v"].isNull()
+    is_bst, is_neg = (F.coalesce(before[x] & free, F.lit(False)) for x in ("b", "n"))
+    v = v + F.when(is_bst, F.when(v < 0, -increment).otherwise(increment)).otherwise(F.lit(0.0))
+    return F.when(is_neg, v * F.lit(NEGATION_SCALAR)).otherwise(v)
+
+
+def _joined_context(df: DataFrame, id_col: str, text_col: str, roles: DataFrame, contrast: Column, keep) -> DataFrame:
+    """The context rules by a join of all tokens to the role table and a window over each row's tokens."""
+    table = salted(roles.select(F.col("token").alias("tok"), (F.col("val") / F.lit(1e9)).alias("val"), "neg", "bst"))
+    s = (_numbered(df, id_col, text_col, keep).join(table, ["tok", "salt"], "left")
+         .withColumn("neg", F.coalesce("neg", F.lit(False)))
+         .withColumn("bst", F.coalesce("bst", F.lit(False)))
+         .withColumn("contrast", F.coalesce(F.col("tok") == contrast, F.lit(False))))
+    w = Window.partitionBy("row").orderBy("pos")
+    s = s.withColumn("bi", F.min(F.when(F.col("contrast"), F.col("pos"))).over(Window.partitionBy("row")))
     for d in (1, 2, 3):
-        s = (s.withColumn(f"_v{d}", F.lag("_val", d).over(w))
-             .withColumn(f"_n{d}", F.lag("_neg", d).over(w))
-             .withColumn(f"_b{d}", F.lag("_bst", d).over(w)))
+        s = (s.withColumn(f"v{d}", F.lag("val", d).over(w))
+             .withColumn(f"n{d}", F.lag("neg", d).over(w))
+             .withColumn(f"b{d}", F.lag("bst", d).over(w)))
 
     # Each rule step is its own column so the plan never nests the running
     # valence expression inside itself.
-    s = s.withColumn("_v", F.when(F.col("_bst"), F.lit(0.0)).otherwise(F.col("_val")))
+    s = s.withColumn("v", F.when(F.col("bst"), F.lit(0.0)).otherwise(F.col("val")))
     for d in (1, 2, 3):
-        free = F.col(f"_v{d}").isNull()
-        is_bst = F.coalesce(F.col(f"_b{d}") & free, F.lit(False))
-        is_neg = F.coalesce(F.col(f"_n{d}") & free, F.lit(False))
+        free = F.col(f"v{d}").isNull()
+        is_bst = F.coalesce(F.col(f"b{d}") & free, F.lit(False))
+        is_neg = F.coalesce(F.col(f"n{d}") & free, F.lit(False))
         inc = F.lit(BOOSTER_INCREMENT * BOOSTER_DAMPING[d - 1])
-        v = F.col("_v")
-        s = s.withColumn("_v", v + F.when(is_bst, F.when(v < 0, -inc).otherwise(inc)).otherwise(F.lit(0.0)))
-        v = F.col("_v")
-        s = s.withColumn("_v", F.when(is_neg, v * F.lit(NEGATION_SCALAR)).otherwise(v))
-    v = F.col("_v")
-    v = (F.when(F.col("_bi").isNull(), v)
-         .when(F.col("_pos") < F.col("_bi"), v * F.lit(BEFORE_CONTRAST))
-         .when(F.col("_pos") > F.col("_bi"), v * F.lit(AFTER_CONTRAST))
+        v = F.col("v")
+        s = s.withColumn("v", v + F.when(is_bst, F.when(v < 0, -inc).otherwise(inc)).otherwise(F.lit(0.0)))
+        v = F.col("v")
+        s = s.withColumn("v", F.when(is_neg, v * F.lit(NEGATION_SCALAR)).otherwise(v))
+    v = F.col("v")
+    v = (F.when(F.col("bi").isNull(), v)
+         .when(F.col("pos") < F.col("bi"), v * F.lit(BEFORE_CONTRAST))
+         .when(F.col("pos") > F.col("bi"), v * F.lit(AFTER_CONTRAST))
          .otherwise(v))
-    out = s.groupBy(id_col, *keep).agg(
+    out = s.groupBy("row", "keep").agg(
         F.coalesce(F.sum(F.round(v * F.lit(1e9)).cast("long")) / F.lit(1e9), F.lit(0.0))
         .cast("double").alias("valence_sum"))
-    return _finish(out)
+    return _finish(out.select("keep.*", "valence_sum"))
 
 
 def sentiment_names(c) -> Column:

@@ -724,8 +724,9 @@ def q_stream_score(spark, sf):
     run = uuid.uuid4().hex
     sink = IO.scratch_path(spark, f"streams/score-{run}/out")
     ckpt = IO.scratch_path(spark, f"streams/score-{run}/checkpoint")
-    # the lexicon is written once to the shared folder, not re-derived per micro-batch
-    lexicon = IO.materialize(TB.test_lexicon(spark, sf), spark, f"streams/score-{run}/lexicon")
+    # the lexicon is written once to the shared folder and read again for every micro-batch
+    lexicon = IO.scratch_path(spark, f"streams/score-{run}/lexicon")
+    IO.write_stage(TB.test_lexicon(spark, sf), lexicon)
     q = ST.score_stream(spark, sf, lexicon, sink, ckpt, glob="documents.parquet")
     q.awaitTermination()
     if q.exception() is not None:

@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from narrata.functions import text as T
+from narrata.sources import io as IO
 
 TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem",
           "events", "documents", "embeddings", "pages", "benchmark", "labels",
@@ -82,13 +83,11 @@ def test_word_roles(spark: SparkSession, sf_dir: str):
 
     Negators: first md5 hex digit 4; boosters: digit 5; contrast word: the
     token with the smallest md5 (a one-row aggregate used as a scalar). The
-    vocabulary is derived once and checkpointed to the shared checkpoint
-    folder, so the four tables do not each re-read and re-clean the corpus.
+    vocabulary is derived once and written to the shared folder, so the four
+    tables do not each re-read and re-clean the corpus.
     """
-    from narrata.session import checkpoint_dir
-
-    checkpoint_dir(spark)
-    toks = vocabulary_tokens(cleaned_complaints(spark, sf_dir, with_response=False)).checkpoint()
+    toks = vocabulary_tokens(cleaned_complaints(spark, sf_dir, with_response=False))
+    toks = IO.materialize(toks, spark, "vocabulary")
     d = F.substring(F.md5("token"), 1, 1)
     negators = toks.filter(d == "4")
     boosters = toks.filter(d == "5")

@@ -3,6 +3,9 @@
 The stream is read with an explicit schema; every micro-batch goes through
 the *same* batch operators (clean -> lexicon score -> label -> name) inside
 ``foreachBatch``, so stream and batch results are identical by construction.
+A lexicon that fits the plan is looked up within the row: a micro-batch is
+then one pass without any exchange. Lexicons and models given as a path are
+read again for every micro-batch, so one written in their place is taken up.
 Each micro-batch overwrites its own ``epoch=<id>`` folder, which makes a
 retried batch idempotent (exactly-once output with the checkpointed offsets).
 """
@@ -28,9 +31,8 @@ DOCUMENT_SCHEMA = TY.StructType([
 
 def score_batch(docs: DataFrame, lexicon: DataFrame) -> DataFrame:
     """Batch scoring of raw documents: the function every micro-batch runs."""
-    cleaned = (docs.select(F.col("doc_id").alias("complaint_id"), F.col("lang").alias("product"),
-                           T.clean_narrative("text").alias("clean"))
-               .filter(F.col("clean") != ""))
+    cleaned = docs.select(F.col("doc_id").alias("complaint_id"), F.col("lang").alias("product"), "text")
+    cleaned = T.with_computed(cleaned, clean=T.clean_narrative("text")).filter(F.col("clean") != "").drop("text")
     scored = S.lexicon_sentiment(cleaned, "complaint_id", "clean", lexicon, keep=["product"])
     return scored.select("complaint_id", "product", "sentiment",
                          S.sentiment_names("sentiment").alias("sentiment_name"))
@@ -70,9 +72,13 @@ def classify_stream(spark: SparkSession, source_dir: str, model_path: str, sink_
                   checkpoint_location, glob, available_now, max_files_per_trigger)
 
 
-def score_stream(spark: SparkSession, source_dir: str, lexicon: DataFrame, sink_dir: str,
+def score_stream(spark: SparkSession, source_dir: str, lexicon: DataFrame | str, sink_dir: str,
                  checkpoint_location: str, glob: str = "*.parquet",
                  available_now: bool = True, max_files_per_trigger: int | None = None):
-    """Start the streaming scorer; returns the StreamingQuery."""
-    return _start(spark, source_dir, lambda batch: score_batch(batch, lexicon), sink_dir, checkpoint_location, glob,
-                  available_now, max_files_per_trigger)
+    """Start the streaming scorer; returns the StreamingQuery.
+
+    ``lexicon`` is a table, or the path of a written one that is read again for every micro-batch.
+    """
+    def run(batch: DataFrame) -> DataFrame:
+        return score_batch(batch, batch.sparkSession.read.parquet(lexicon) if isinstance(lexicon, str) else lexicon)
+    return _start(spark, source_dir, run, sink_dir, checkpoint_location, glob, available_now, max_files_per_trigger)

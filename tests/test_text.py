@@ -99,3 +99,38 @@ def test_summary_budget(spark, n, expected):
     lo, hi = SU.summary_budget("n")
     r = df.select(lo.alias("lo"), hi.alias("hi")).first()
     assert (r["lo"], r["hi"]) == expected
+
+
+def test_summaries_of_rows_that_share_an_id(spark):
+    from narrata.operators import summarize as SU
+    a = "Alpha fee was charged twice. " + "The bank never answered my letters about it. " * 4 + "Done here."
+    b = "Beta loan papers were lost. " + "Nobody could tell where they had gone to. " * 4 + "Over now."
+    rows = [(1, a, "x"), (1, b, "x"), (1, b, "x"), (2, "too short", "x"), (None, None, "x"), (3, "", "x"), (4, "... !!! ???", "x")]
+    df = spark.createDataFrame(rows, "id long, text string, row string")
+    for fn in (SU.extractive_summary, SU.chunked_summary):
+        got = fn(df, "id", "text").collect()
+        assert sorted((r.id or 0) for r in got) == [0, 1, 1, 1, 2, 3, 4]
+        own = sorted(r.summary for r in got if r.id == 1)
+        assert len(set(own)) == 2 and "Alpha" in own[0] and "Beta" not in own[0] and own[1] == own[2]
+        assert [r.summary for r in got if r.id != 1] == [""] * 4
+        assert fn(df.limit(0), "id", "text").collect() == []
+
+
+def test_chunks_equal_a_plain_fold(spark):
+    import random
+    from narrata.operators import summarize as SU
+    rng = random.Random(2)
+    texts = [" ".join(" ".join(["w"] * rng.randint(1, 9)) + "." for _ in range(rng.randint(0, 30))) for _ in range(40)]
+    got = {}
+    for r in SU.chunk_sentences(spark.createDataFrame(list(enumerate(texts)), "id int, t string"), "id", "t", 7).collect():
+        got.setdefault(r.id, []).append((r.chunk_index, r.chunk))
+    for i, t in enumerate(texts):
+        done, cur, n = [], "", 0
+        for s in [x.strip() + "." for x in t.split(".") if x.strip()]:
+            m = len(s.split())
+            if n + m <= 7:
+                cur, n = (s if not cur else f"{cur} {s}"), n + m
+            else:
+                done, cur, n = [*done, cur], s, m
+        want = [c for c in [*done, cur] if c]
+        assert [c for _, c in sorted(got.get(i, []))] == want
