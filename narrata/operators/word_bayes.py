@@ -166,8 +166,8 @@ def top_labels(labels: list, k: int) -> Column:
     return F.transform(V.top_k_classes("scores", k), lambda i: F.element_at(names, i + 1))
 
 
-def cross_validate(df: DataFrame, fold_col: str, text_col: str, label_col: str, keep=(), pairs: bool = False) -> DataFrame:
-    """Out-of-fold predictions of every labelled row: ``keep`` columns, ``scores``, ``predicted``, ``probability``.
+def cross_validate(df: DataFrame, fold_col: str, text_col: str, label_col: str, keep, pairs: bool = False) -> DataFrame:
+    """Out-of-fold predictions of every labelled row: ``keep`` columns (one at least), ``scores``, ``predicted``, ``probability``.
 
     Equal to fitting on all other folds and scoring the fold, for each fold,
     but (fold, class, token) is counted once: a fold's counts are the totals

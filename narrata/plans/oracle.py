@@ -482,6 +482,58 @@ oracle("embedding_match", with_(
     + "SELECT round(p, 6) AS precision, round(r, 6) AS recall, round(2 * p * r / (p + r), 6) AS f1 FROM pp, rr")
 
 
+def _vector_ctes(src: str, text: str, window: int = 2) -> list[str]:
+    """vdocs (token, docs) and vv (token, vec) of the words of ``src(text)``."""
+    signed = ", ".join(f"sum(CASE WHEN (bits >> {j}) & 1 = 1 THEN -pmi ELSE pmi END)" for j in range(32))
+    pairs = " UNION ALL ".join(f"SELECT unnest(list_zip(w[1:len(w) - {d}], w[{d + 1}:])) AS p FROM vw WHERE len(w) > {d}"
+                               for d in range(1, window + 1))
+    return [
+        f"vw AS MATERIALIZED (SELECT {Q.words(text)} AS w FROM {src})",
+        "vdocs AS MATERIALIZED (SELECT token, count(*) AS docs FROM (SELECT unnest(list_distinct(w)) AS token FROM vw) GROUP BY token)",
+        f"va AS (SELECT p[1] AS a, p[2] AS b, count(*) AS n FROM ({pairs}) GROUP BY ALL)",
+        "vp AS MATERIALIZED (SELECT word, other, sum(n) AS n FROM (SELECT a AS word, b AS other, n FROM va UNION ALL "
+        "SELECT b, a, n FROM va) GROUP BY ALL)",
+        "vs AS MATERIALIZED (SELECT word, sum(n) AS n FROM vp GROUP BY word)",
+        "vi AS (SELECT p.word, CAST(floor(ln(p.n::DOUBLE * (SELECT CAST(sum(n) AS DOUBLE) FROM vs) / (a.n::DOUBLE * b.n::DOUBLE)) "
+        "* 1e6::DOUBLE + 0.5) AS BIGINT) AS pmi, CAST('0x' || substr(md5(p.other), 1, 8) AS BIGINT) AS bits "
+        "FROM vp p JOIN vs a ON a.word = p.word JOIN vs b ON b.word = p.other)",
+        f"vl AS (SELECT word, [{signed}] AS sums FROM vi WHERE pmi > 0 GROUP BY word)",
+        "vm AS (SELECT word, sums, list_max(list_transform(sums, lambda x: abs(x))) AS largest FROM vl)",
+        "vq AS (SELECT word, list_transform(sums, lambda x: CASE WHEN largest > 0 THEN "
+        "CAST(floor(CAST(x AS DOUBLE) * 1000::DOUBLE / CAST(largest AS DOUBLE) + 0.5) AS SMALLINT) ELSE 0::SMALLINT END) AS vec FROM vm)",
+        "vv AS MATERIALIZED (SELECT d.token, d.docs, coalesce(q.vec, list_transform(range(32), lambda i: 0::SMALLINT)) AS vec "
+        "FROM vdocs d LEFT JOIN vq q ON q.word = d.token)",
+    ]
+
+
+oracle("word_vectors", with_(CLEANED_NR, *_vector_ctes("cleaned", "clean")) + "SELECT token, docs, vec FROM vv")
+oracle("pair_similarity", with_(
+    *SUMM,
+    f"pairs AS MATERIALIZED (SELECT complaint_id, {Q.clean('summary')} AS g, {Q.clean('narrative')} AS r FROM summ)",
+    "texts AS (SELECT r FROM pairs WHERE r <> '')",
+    *_vector_ctes("texts", "r"),
+    "sides AS MATERIALIZED (SELECT complaint_id, side, token, count(*) AS tf FROM ("
+    f"SELECT complaint_id, 0 AS side, unnest({Q.words('g')}) AS token FROM pairs WHERE g <> '' AND r <> '' UNION ALL "
+    f"SELECT complaint_id, 1, unnest({Q.words('r')}) FROM pairs WHERE g <> '' AND r <> '') GROUP BY ALL)",
+    "vn AS MATERIALIZED (SELECT token, docs, vec::DOUBLE[32] AS vec, list_dot_product(vec::DOUBLE[], vec::DOUBLE[]) AS n FROM vv)",
+    "tv AS MATERIALIZED (SELECT s.*, v.vec, v.n, CAST(floor(ln((SELECT count(*) + 1 FROM texts)::DOUBLE / (v.docs + 1)::DOUBLE) "
+    "* 1e6::DOUBLE + 0.5) AS BIGINT) AS idf FROM sides s JOIN vn v ON v.token = s.token)",
+    "cs AS (SELECT a.complaint_id, a.token AS ga, b.token AS rb, CASE WHEN a.token = b.token THEN 1.0::DOUBLE "
+    "WHEN a.n > 0 AND b.n > 0 THEN array_inner_product(a.vec, b.vec) / sqrt(a.n * b.n) ELSE 0.0::DOUBLE END AS c "
+    "FROM tv a JOIN tv b ON b.complaint_id = a.complaint_id WHERE a.side = 0 AND b.side = 1)",
+    "bg AS (SELECT complaint_id, 0 AS side, ga AS token, max(c) AS c FROM cs GROUP BY ALL UNION ALL "
+    "SELECT complaint_id, 1, rb, max(c) FROM cs GROUP BY ALL)",
+    "sm AS (SELECT t.complaint_id, t.side, sum(t.tf * t.idf) AS w, "
+    "sum(t.tf * t.idf * CAST(floor(coalesce(b.c, 0) * 1e6::DOUBLE + 0.5) AS BIGINT)) AS s FROM tv t LEFT JOIN bg b "
+    "ON b.complaint_id = t.complaint_id AND b.side = t.side AND b.token = t.token GROUP BY ALL)",
+    "pr2 AS (SELECT p.complaint_id, coalesce(CASE WHEN a.w > 0 THEN CAST(a.s AS DOUBLE) / 1e6 / a.w END, 0) AS p, "
+    "coalesce(CASE WHEN b.w > 0 THEN CAST(b.s AS DOUBLE) / 1e6 / b.w END, 0) AS r FROM pairs p "
+    "LEFT JOIN sm a ON a.complaint_id = p.complaint_id AND a.side = 0 "
+    "LEFT JOIN sm b ON b.complaint_id = p.complaint_id AND b.side = 1 WHERE p.g <> '' AND p.r <> '')")
+    + f"SELECT complaint_id, {Q.r6('p')} AS p, {Q.r6('r')} AS r, "
+    f"{Q.r6('CASE WHEN p + r > 0 THEN 2 * p * r / (p + r) ELSE 0 END')} AS f FROM pr2")
+
+
 oracle("batch_model_scores", with_(*EMB) + "SELECT vec_id, y AS label, pred FROM pv")
 
 

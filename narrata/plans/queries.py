@@ -27,6 +27,7 @@ from narrata.operators import softmax as SX
 from narrata.operators import summarize as SU
 from narrata.operators import tokens as TK
 from narrata.operators import word_bayes as WB
+from narrata.operators import word_vectors as WV
 from narrata.operators import labels as LB
 from narrata.operators import sampling as SM
 from narrata.operators import profile as P
@@ -507,6 +508,25 @@ def q_embedding_match(spark, sf):
     return SI.embedding_match(test.withColumn("model", SC.model_column(model)), "embedding", "model")
 
 
+@query("word_vectors")
+def q_word_vectors(spark, sf):
+    c = TB.cleaned_complaints(spark, sf, with_response=False).select("clean")
+    return WV.word_vectors(c, "clean")
+
+
+@query("pair_similarity")
+def q_pair_similarity(spark, sf):
+    """Precision, recall and F of every summary against its narrative, by vectors learned from the narratives."""
+    from narrata.sources import io as IO
+    pairs = IO.materialize(_summaries(spark, sf).select(
+        "complaint_id", T.clean_narrative("summary").alias("summary"), T.clean_narrative("narrative").alias("narrative")),
+        spark, "similarity-pairs")
+    docs = pairs.filter("narrative <> ''")
+    vectors = IO.materialize(WV.word_vectors(docs, "narrative"), spark, "word-vectors")
+    return WV.pair_similarity(pairs, "summary", "narrative", vectors, docs.count(), ["complaint_id"]).select(
+        "complaint_id", r6("p").alias("p"), r6("r").alias("r"), r6("f").alias("f"))
+
+
 # --- classifiers (MLlib) ----------------------------------------------------
 
 def _response_data(spark, sf):
