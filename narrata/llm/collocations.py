@@ -36,8 +36,9 @@ from narrata.sources import io as IO
 #: Fixed values of the contract: what ends a piece, and what separates words within it.
 PIECE_END = separators(b".,;:!?\x0a\x0b\x0c\x0d")
 WORD_END = PIECE_END | separators(b" \x09")
-#: Distinct words, and phrase occurrences, counted in a task before it hands on its counts.
-HELD_WORDS, HELD_PHRASES = 400_000, 1 << 21
+#: Distinct words, and phrase occurrences, counted in a task before it hands on its counts; and rows handed on at once.
+HELD_WORDS, HELD_PHRASES = 250_000, 3 << 18
+ROWS = 1 << 16
 _LONG_WORD = 64
 
 RELATION = "lang string, id long, word string, n long, ids binary, codes binary, runs binary"
@@ -71,13 +72,15 @@ def _occurrences(text: str, lang: str):
     """Blocks of occurrences, and partial counts of words."""
     names = ["lang", "id", "word", "n", "ids", "codes", "runs"]
 
-    def counts(found: dict[int, list]) -> pa.RecordBatch:
-        langs, words, n = zip(*found.values(), strict=True)
-        none = pa.nulls(len(n), pa.binary())
+    def counts(found: dict[int, list]) -> Iterator[pa.RecordBatch]:
         ids = np.fromiter(found, np.uint64, len(found)).view(np.int64)
-        return pa.RecordBatch.from_arrays([pa.array(langs, pa.string()), pa.array(ids),
-                                           pa.array([w.decode() for w in words], pa.string()),
-                                           pa.array(n, pa.int64()), none, none, none], names=names)
+        rows = list(found.values())
+        for a in range(0, len(rows), ROWS):
+            langs, words, n = zip(*rows[a:a + ROWS], strict=True)
+            none = pa.nulls(len(n), pa.binary())
+            yield pa.RecordBatch.from_arrays([pa.array(langs, pa.string()), pa.array(ids[a:a + ROWS]),
+                                              pa.array([w.decode() for w in words], pa.string()),
+                                              pa.array(n, pa.int64()), none, none, none], names=names)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         found: dict[int, list] = {}
@@ -107,10 +110,10 @@ def _occurrences(text: str, lang: str):
                 else:
                     found[x] = [langs[row[i]], whole[starts[i]:ends[i]], many]
             if len(found) > HELD_WORDS:
-                yield counts(found)
+                yield from counts(found)
                 found = {}
         if found:
-            yield counts(found)
+            yield from counts(found)
     return run
 
 
@@ -148,11 +151,15 @@ def _semi_join(k: int, frequent):
 
 def _count(k: int):
     """Partial counts of the ``k``-word phrases: the relation joined with itself by piece and adjacent position."""
-    def counts(held: list[tuple[np.ndarray, ...]]) -> pa.RecordBatch:
+    def counts(held: list[tuple[np.ndarray, ...]]) -> Iterator[pa.RecordBatch]:
         ids, first, last = (np.concatenate(x) for x in zip(*held, strict=True))
+        held.clear()
         _, at, n = np.unique(ids, return_index=True, return_counts=True)
-        return pa.RecordBatch.from_arrays([pa.array(first[at].view(np.int64)), pa.array(last[at].view(np.int64)),
-                                           pa.array(n.astype(np.int64))], names=["first", "last", "n"])
+        for a in range(0, len(at), ROWS):
+            part = at[a:a + ROWS]
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(first[part].view(np.int64)), pa.array(last[part].view(np.int64)),
+                 pa.array(n[a:a + ROWS].astype(np.int64))], names=["first", "last", "n"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held, size = [], 0
@@ -164,27 +171,34 @@ def _count(k: int):
                 held.append((ids[at], shorter[at], words[at + k - 1]))
                 size += len(at)
             if size >= HELD_PHRASES:
-                yield counts(held)
-                held, size = [], 0
+                yield from counts(held)
+                size = 0
         if held:
-            yield counts(held)
+            yield from counts(held)
     return run
 
 
 def _ids_of_parts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """The phrase's id, and the ids of its first 1, 2, ... and of its other words, for rows with the words' ids."""
+    """The phrase's id, and the ids of its first 1, 2, ... and of its other words, for rows of as many words' ids."""
+    def ids(part: np.ndarray) -> np.ndarray:
+        out = part[:, 0].copy()
+        for j in range(1, part.shape[1]):
+            out = joined_ids(out, part[:, j].copy())
+        return out.view(np.int64)
+
     for batch in batches:
-        rows = [np.array(x, np.int64).view(np.uint64) for x in batch.column("words").to_pylist()]
-
-        def ids(part: np.ndarray) -> int:
-            out = part[:1]
-            for j in range(1, len(part)):
-                out = joined_ids(out, part[j:j + 1])
-            return int(out.view(np.int64)[0])
-        cuts = [[{"cut": j, "head": ids(w[:j]), "tail": ids(w[j:])} for j in range(1, len(w))] for w in rows]
-        kind = pa.list_(pa.struct([("cut", pa.int32()), ("head", pa.int64()), ("tail", pa.int64())]))
-        yield pa.RecordBatch.from_arrays([pa.array([ids(w) for w in rows], pa.int64()), batch.column("words"),
-                                          pa.array(cuts, kind), batch.column("n")], names=["id", "words", "cuts", "n"])
+        n = batch.num_rows
+        if not n:
+            continue
+        words = batch.column("words").flatten().to_numpy().view(np.uint64).reshape(n, -1)
+        k = words.shape[1]
+        cut = np.tile(np.arange(1, k, dtype=np.int32), n)
+        heads, tails = (np.stack(x, axis=1).ravel() for x in zip(
+            *((ids(words[:, :j]), ids(words[:, j:])) for j in range(1, k)), strict=True))
+        cuts = pa.ListArray.from_arrays(np.arange(0, n * (k - 1) + 1, k - 1, dtype=np.int32), pa.StructArray.from_arrays(
+            [pa.array(cut), pa.array(heads), pa.array(tails)], ["cut", "head", "tail"]))
+        yield pa.RecordBatch.from_arrays([pa.array(ids(words)), batch.column("words"), cuts, batch.column("n")],
+                                         names=["id", "words", "cuts", "n"])
 
 
 def _zstd(df: DataFrame, spark: SparkSession, name: str) -> DataFrame:
