@@ -44,19 +44,21 @@ def _white(c: str) -> bool:
 
 
 class Node:
-    """A leaf with its text, or two subtrees; the sums of both."""
+    """A leaf with its text, or two subtrees; the sums of both, and the leaves with a text."""
 
-    __slots__ = ("left", "right", "text", "chars", "tokens")
+    __slots__ = ("left", "right", "text", "chars", "tokens", "leaves")
 
     def __init__(self, text: str | None, tokens: int = 0, left: Node | None = None, right: Node | None = None):
         self.text, self.left, self.right = text, left, right
-        self.chars, self.tokens = (len(text), tokens) if text is not None else (0, 0)
         if text is None:
             self.update()
+        else:
+            self.chars, self.tokens, self.leaves = len(text), tokens, 1 if text else 0
 
     def update(self) -> None:
         self.chars = self.left.chars + self.right.chars
         self.tokens = self.left.tokens + self.right.tokens
+        self.leaves = self.left.leaves + self.right.leaves
 
 
 def _build(leaves: list[Node]) -> Node:
@@ -66,6 +68,23 @@ def _build(leaves: list[Node]) -> Node:
     return leaves[0]
 
 
+def _deepest(leaves: int) -> int:
+    """How far a leaf may lie below a node of so many leaves before the node is built anew."""
+    return 2 * leaves.bit_length() + 2
+
+
+def _rebuilt(node: Node) -> Node:
+    """The node's leaves that hold a text, as a balanced tree."""
+    out, todo = [], [node]
+    while todo:
+        n = todo.pop()
+        if n.text is None:
+            todo += [n.right, n.left]
+        elif n.text:
+            out.append(n)
+    return _build(out or [Node("")])
+
+
 class TokenTree:
     """Token count of a text that is edited; ``encoded`` counts characters that were encoded."""
 
@@ -108,7 +127,7 @@ class TokenTree:
                 if not taken:
                     begin[0] = at
                 taken.append(n.text)
-                n.text, n.chars, n.tokens = "", 0, 0
+                n.text, n.chars, n.tokens, n.leaves = "", 0, 0, 0
                 return
             chars = n.left.chars
             visit(n.left, at)
@@ -129,15 +148,18 @@ class TokenTree:
                 n = n.right
         new = _build(([] if n.chars == 0 else [Node(n.text, n.tokens)] if at else []) + leaves
                      + ([Node(n.text, n.tokens)] if n.chars and not at else []))
-        if not path:
-            self.root = new
-            return
-        if path[-1].left is n:
-            path[-1].left = new
-        else:
-            path[-1].right = new
+        below, deep = n, (new.leaves - 1).bit_length()
         for above in reversed(path):
+            if above.left is below:
+                above.left = new
+            else:
+                above.right = new
             above.update()
+            below, new, deep = above, above, deep + 1
+            if deep > _deepest(above.leaves):  # edits at one place, or emptied leaves
+                new = _rebuilt(above)
+                deep = (new.leaves - 1).bit_length() if new.leaves else 0
+        self.root = new
 
     def edit(self, start: int, end: int, new: str) -> None:
         """Replace characters ``start`` to ``end`` (exclusive); places beyond the text mean its end."""

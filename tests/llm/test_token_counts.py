@@ -1,5 +1,7 @@
 """Edit-aware counts equal a fresh encoding of the edited text."""
 
+import random
+
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
@@ -81,3 +83,31 @@ def test_table_of_edits(spark):
                                   "doc_id long, seq long, start long, end long, replacement string")
     got = {r.doc_id: (r.n_tokens, r.n_edits, r.n_tokens_after) for r in TC.recount_edits(docs, edits).collect()}
     assert got == {1: (fresh("one two three"), 2, fresh("four  three")), 2: (0, 1, fresh("new text"))}
+
+
+def test_many_edits_at_one_place_keep_the_tree_flat(spark):
+    rng = random.Random(9)
+    tree, text = TC.TokenTree("start of a text " * 40), "start of a text " * 40
+    for i in range(1500):
+        new = rng.choice(["a ", "bc def ", "x", " "]) * rng.randint(1, 3)
+        at = 20 if i % 10 else rng.randint(0, len(text))
+        end = at + (rng.randint(0, 60) if i % 7 == 0 else 0)
+        tree.edit(at, end, new)
+        text = text[:at] + new + text[end:]
+
+    def depth():
+        deepest, todo = 0, [(tree.root, 0)]
+        while todo:
+            n, d = todo.pop()
+            deepest = max(deepest, d)
+            if n.text is None:
+                todo += [(n.left, d + 1), (n.right, d + 1)]
+        return deepest
+    assert tree.text() == text and depth() <= TC._deepest(tree.root.leaves)
+    assert tree.tokens == TC.TokenTree(text).tokens
+    docs = spark.createDataFrame([(1, "some words ")], "doc_id long, text string")
+    edits = spark.createDataFrame([(1, i, 5, 5, f"w{i} ") for i in range(1200)],
+                                  "doc_id long, seq long, start long, end long, replacement string")
+    r = TC.recount_edits(docs, edits).first()
+    whole = "some " + "".join(f"w{i} " for i in reversed(range(1200))) + "words "
+    assert (r.n_edits, r.n_tokens_after, r.n_chars) == (1200, TC.TokenTree(whole).tokens, 11)
