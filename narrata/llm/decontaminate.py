@@ -7,10 +7,12 @@ a text is scanned once, a step a word, and a window is matched at all its
 places. Matches are runs of words; the words' places in the original text turn
 them into character offsets.
 
-The automaton is built on each worker from the benchmark, which is broadcast
-after a check of its size. A benchmark of more than ``MAX_WINDOWS`` windows is
-cut into parts, each with an automaton of its own; the texts then pass the
-parts one after another and carry the runs found so far.
+The benchmark's items are cut into stretches of bounded size on Spark and
+gathered in parts of at most ``MAX_WINDOWS`` windows and ``MAX_WORDS`` words.
+A part is what the driver holds, broadcasts, and a worker's automaton is built
+from; a larger benchmark has several, which the texts pass one after another,
+carrying the runs found so far. After every ``PARTS_AT_ONCE`` parts the texts
+are written, so that no more parts than these are held anywhere at a time.
 """
 
 from __future__ import annotations
@@ -21,16 +23,21 @@ from collections.abc import Iterator
 import ahocorasick
 import numpy as np
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, LongType, StructField, StructType
 
 from narrata.llm.batches import map_texts, row_chunks, text_buffer
 from narrata.llm.words import LOWER, NOT_WORD, span_hashes, split_words
+from narrata.sources import io as IO
 
 WINDOW = 13
 #: Windows of one automaton (some 150 MB at most on each worker).
 MAX_WINDOWS = 200_000
+#: Words of an automaton's items: each is a symbol, and symbols are code points.
+MAX_WORDS = 1_000_000
+PARTS_AT_ONCE = 4
 #: Code points of symbols: 0 is any word that no item has.
 _SURROGATES, _GAP = 0xD800, 0x800
 
@@ -142,31 +149,57 @@ def _scan(items, window: int, text: str, keep: list[str], added: list[str],
     return run
 
 
-def _parts(benchmark: DataFrame, window: int) -> list[list[tuple[int, str]]]:
-    """The items in parts of at most ``MAX_WINDOWS`` windows (an item of more is cut into overlapping stretches)."""
-    rows = benchmark.select(F.col("item_id").cast("long").alias("item_id"), "text").dropna()
-    parts: list[list[tuple[int, str]]] = [[]]
-    held = 0
-    for r in rows.toLocalIterator():
-        words = _stretches(r.text, window)
-        for stretch, size in words:
-            if held + size > MAX_WINDOWS and held:
-                parts.append([])
-                held = 0
-            parts[-1].append((r.item_id, stretch))
-            held += size
-    return parts
+def _cut(window: int):
+    """Items to stretches, and each to a part of bounded size within the task."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        task, part, windows, words = TaskContext.get().partitionId(), 0, 0, 0
+        for batch in batches:
+            for item, text in zip(batch.column("item_id").to_pylist(), batch.column("text").to_pylist(), strict=True):
+                for stretch, size, many in _stretches(text, window):
+                    if windows and (windows + size > MAX_WINDOWS or words + many > MAX_WORDS):
+                        part, windows, words = part + 1, 0, 0
+                    windows, words = windows + size, words + many
+                    yield pa.RecordBatch.from_pydict(
+                        {"task": [task], "part": [part], "item_id": [item], "stretch": [stretch], "windows": [size],
+                         "words": [many]}, schema=_STRETCHES)
+    return run
+
 
+_STRETCHES = pa.schema([("task", pa.int32()), ("part", pa.int32()), ("item_id", pa.int64()), ("stretch", pa.string()),
+                        ("windows", pa.int64()), ("words", pa.int64())])
 
-def _stretches(text: str, window: int) -> list[tuple[str, int]]:
+
+def _parts(benchmark: DataFrame, window: int) -> tuple[DataFrame, list[list[str]]]:
+    """The benchmark's written stretches, and their parts of at most ``MAX_WINDOWS`` windows and ``MAX_WORDS`` words.
+
+    Only the sizes of the tasks' own parts (a row for each) come to the driver.
+    """
+    items = benchmark.select(F.col("item_id").cast("long").alias("item_id"), "text").dropna()
+    cut = IO.materialize(items.mapInArrow(
+        _cut(window), "task int, part int, item_id long, stretch string, windows long, words long"),
+        benchmark.sparkSession, "benchmark-stretches").withColumn("key", F.concat_ws(":", "task", "part"))
+    parts: list[list[str]] = [[]]
+    windows = words = 0
+    for r in cut.groupBy("task", "part", "key").agg(F.sum("windows").alias("windows"), F.sum("words").alias("words")).orderBy(
+            "task", "part").collect():
+        if windows and (windows + r.windows > MAX_WINDOWS or words + r.words > MAX_WORDS):
+            parts.append([])
+            windows = words = 0
+        parts[-1].append(r.key)
+        windows, words = windows + r.windows, words + r.words
+    return cut, parts
+
+
+def _stretches(text: str, window: int) -> list[tuple[str, int, int]]:
+    """(stretch, windows, words) of an item; one of more than ``MAX_WINDOWS`` words is cut into overlapping stretches."""
     _, starts, ends, _, raw, _ = words_of(pa.array([text], pa.string()))
     n = len(starts)
     if n <= MAX_WINDOWS:
-        return [(text, max(n - window + 1, 1))] if n else []
+        return [(text, max(n - window + 1, 1), n)] if n else []
     out = []
     for at in range(0, n - window + 1, MAX_WINDOWS):
         last = min(at + MAX_WINDOWS + window - 1, n)
-        out.append((raw[starts[at]:ends[last - 1]].tobytes().decode(), last - at - window + 1))
+        out.append((raw[starts[at]:ends[last - 1]].tobytes().decode(), last - at - window + 1, last - at))
     return out
 
 
@@ -185,9 +218,12 @@ def annotate(docs: DataFrame, benchmark: DataFrame, keep: list[str] | None = Non
     spark = docs.sparkSession
     added = ["n_words", "n_hit", "hit_runs", "spans", "items"]
     keep = [c for c in (keep or docs.columns) if c not in added]
-    parts = _parts(benchmark, window)
+    cut, parts = _parts(benchmark, window)
     out, before = docs.select(*dict.fromkeys([*keep, text])), None
-    for i, items in enumerate(parts):
+    for i, part in enumerate(parts):
+        if i and i % PARTS_AT_ONCE == 0:
+            out = IO.materialize(out, spark, "decontaminate")
+        items = [(r.item_id, r.stretch) for r in cut.filter(F.col("key").isin(part)).select("item_id", "stretch").collect()]
         held = [c for c in out.columns if c not in added] if i < len(parts) - 1 else keep
         fields = [out.schema[c] for c in held]
         schema = StructType([*fields, *(StructField(c, LongType()) for c in added[:2]),

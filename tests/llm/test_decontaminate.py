@@ -96,3 +96,25 @@ def test_query_digest(spark):
 def test_short_items(spark, n):
     text = " ".join(f"v{i}" for i in range(n))
     check(spark, [text, "z " + text + " z", text[:-1]], [(1, text)])
+
+
+def test_many_short_items_are_cut_by_their_words(spark, monkeypatch):
+    """More distinct words than code points: the parts are bounded by words as well as by windows."""
+    n = 100_000
+    items = spark.range(n).selectExpr("id AS item_id", "concat_ws(' ', transform(sequence(0, 11), i -> concat('w', id * 12 + i))) AS text")
+    texts = [(1, " ".join(f"w{12 * 5 + i}" for i in range(12)) + " x"), (2, " ".join(f"w{12 * (n - 1) + i}" for i in range(12))),
+             (3, " ".join(f"w{12 * 7 + i}" for i in range(11)))]
+    docs = spark.createDataFrame(texts, "doc_id long, text string")
+    assert len(DC._parts(items, 13)[1]) > 1
+    got = {r.doc_id: (r.n_hit, r["items"]) for r in DC.annotate(docs, items, keep=["doc_id"]).collect()}
+    assert got == {1: (12, [5]), 2: (12, [n - 1]), 3: (0, [])}
+
+
+def test_more_parts_than_are_held_at_once(spark, monkeypatch):
+    monkeypatch.setattr(DC, "MAX_WORDS", 8)
+    monkeypatch.setattr(DC, "PARTS_AT_ONCE", 2)
+    items = spark.createDataFrame([(i, f"a{i} b{i} c{i}") for i in range(12)], "item_id long, text string").coalesce(1)
+    docs = spark.createDataFrame([(i, f"x a{i} b{i} c{i}", "t") for i in range(13)], "doc_id long, text string, task string")
+    assert len(DC._parts(items, 3)[1]) == 6
+    got = {r.doc_id: (r.n_hit, r["items"], r.task) for r in DC.annotate(docs, items, window=3).collect()}
+    assert got == {i: (3, [i], "t") if i < 12 else (0, [], "t") for i in range(13)}
