@@ -105,5 +105,51 @@ def test_empty_table_and_many_sources(spark):
     rows = [(i, f"text {i}", f"s{i}") for i in range(400)]
     many = spark.createDataFrame(rows, "doc_id long, text string, source string")
     check([r[:2] for r in rows], PK.pack(many, window=128).collect(), 128)
-    with pytest.raises(ValueError):
-        PK.pack(many, weights={"s1": 1.0})
+
+
+def by_queue(by_seq, seq):
+    got = defaultdict(int)
+    for p in by_seq[seq]:
+        got[p.queue] += p.length
+    return got
+
+
+def test_four_hundred_sources_one_of_them_hot(spark, monkeypatch):
+    """Every window holds every source at its share, and weights hold too."""
+    rows = [(i, f"word{i} and some more text here " * 6, f"s{i % 400}") for i in range(800)]
+    rows += [(1000 + i, "a hot source gives a third of all ids " * 12, "hot") for i in range(160)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string").repartition(3)
+    pieces = PK.pack(docs).collect()
+    by_seq = check([r[:2] for r in rows], pieces)
+    share = defaultdict(int)
+    for p in pieces:
+        share[p.queue] += p.length
+    total, last = sum(share.values()), max(by_seq)
+    assert len(share) == 401 and share["shot"] > total / 4
+    for seq in range(last):
+        got = by_queue(by_seq, seq)
+        for q, n in share.items():  # within a few ids: a halving rounds at each of nine levels
+            assert abs(got[q] - 2048 * n / total) <= 5
+    weighted = check([r[:2] for r in rows], PK.pack(docs, weights={"hot": 3.0, "s7": 1.0}, window=64).collect(), 64)
+    assert dict(by_queue(weighted, 0)) == {"shot": 48, "ss7": 16}
+    tail = by_queue(weighted, max(weighted) // 2)
+    assert "ss7" not in tail
+    monkeypatch.setattr(PK, "MAX_SOURCES", 400)
+    with pytest.raises(ValueError, match="sources"):
+        PK.pack(docs)
+    monkeypatch.undo()
+    with pytest.raises(ValueError, match="negative"):
+        PK.pack(docs, weights={"hot": -1.0})
+
+
+@settings(max_examples=60, deadline=None)
+@given(st.lists(st.integers(0, 300), min_size=1, max_size=40), st.dictionaries(st.integers(0, 39), st.integers(0, 5), max_size=6))
+def test_pairs_equal_the_whole_table(totals, weights):
+    weights = {j: float(w) for j, w in weights.items() if j < len(totals)}
+    mix = PK.Mixture(totals, weights)
+    m = np.arange(0, mix.total + 1, max(1, mix.total // 50))
+    table = mix.given(m)
+    queue = np.arange(len(m)) % len(totals)
+    own, earlier = mix.given(m, queue)
+    assert (own == table[np.arange(len(m)), queue]).all()
+    assert (earlier == [table[i, :q].sum() for i, q in enumerate(queue)]).all()
