@@ -42,15 +42,18 @@ def get_session(master: str | None = None, shuffle_partitions: int | None = None
 def checkpoint_dir(spark: SparkSession) -> str:
     """Shared checkpoint folder: ``spark.checkpoint.dir`` from the session.
 
-    Where the session names none (tests, notebooks) a folder under the
-    warehouse is used: like the checkpoint folder, the warehouse is by
-    definition visible to the driver and every executor.
+    A local master (tests, notebooks) that names none gets a folder under the
+    warehouse; on a cluster the setting is required, as neither the warehouse's
+    default nor any other folder is known to be shared.
     """
     current = spark.sparkContext.getCheckpointDir()
     if current:
         return current
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if not configured:
+        master = spark.sparkContext.master
+        if master != "local" and not master.startswith("local["):
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         configured = spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/_checkpoints"
     spark.sparkContext.setCheckpointDir(configured)
     return spark.sparkContext.getCheckpointDir() or configured

@@ -17,9 +17,9 @@ def spark():
     # small inputs on one machine: merge shuffle partitions up to a size instead of one for each core
     local = {"spark.sql.adaptive.coalescePartitions.parallelismFirst": "false",
              "spark.sql.adaptive.advisoryPartitionSizeInBytes": "2m"}
+    # a folder of the run's own; static settings are given before the session starts
+    local["spark.checkpoint.dir"] = tempfile.mkdtemp(prefix="narrata-test-ckpt-")
     s = get_session("local[*]", 8, app_name="narrata-tests", extra=local)
-    if not s.conf.get("spark.checkpoint.dir", None):
-        s.conf.set("spark.checkpoint.dir", tempfile.mkdtemp(prefix="narrata-test-ckpt-"))
     checkpoint_dir(s)
     yield s
 
