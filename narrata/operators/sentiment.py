@@ -13,12 +13,11 @@ shuffle. Both ways give the same sums, as these are of whole numbers.
 
 from __future__ import annotations
 
-import json
-
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from narrata.functions import text as T
+from narrata.functions.lookup import RowTable, row_table
 from narrata.functions.numeric import round6
 from narrata.sources import io as IO
 
@@ -59,22 +58,6 @@ def salted(table: DataFrame) -> DataFrame:
     return IO.materialize(rows, table.sparkSession, "salted-tokens")
 
 
-class RowLexicon:
-    """Roles of words (valence in 1e-9, negator, booster) as one foldable value, looked up within a row."""
-
-    def __init__(self, roles: list, slots: int):
-        table: list[list[dict]] = [[] for _ in range(slots)]
-        for r in roles:
-            table[r.slot].append({"t": r.token, "v": r.val, "n": r.neg, "b": r.bst})
-        kind = "array<array<struct<t: string, v: bigint, n: boolean, b: boolean>>>"
-        self.slots, self.table = slots, F.from_json(F.lit(json.dumps(table, ensure_ascii=False)), kind)
-
-    def role(self, word: Column) -> Column:
-        """The word's role, or null."""
-        slot = F.get(self.table, F.pmod(F.xxhash64(word), F.lit(self.slots)).cast("int"))
-        return F.get(F.filter(slot, lambda e: e["t"] == word), F.lit(0))
-
-
 def _roles(lexicon: DataFrame, negators: DataFrame | None = None, boosters: DataFrame | None = None) -> DataFrame:
     """(token, val, neg, bst), a row for each token; repeated lexicon rows add up, null tokens are left out."""
     units = F.round(F.col("valence") * F.lit(1e9)).cast("long")
@@ -91,13 +74,9 @@ def _roles(lexicon: DataFrame, negators: DataFrame | None = None, boosters: Data
         F.sum("val").alias("val"), F.bool_or("neg").alias("neg"), F.bool_or("bst").alias("bst"))
 
 
-def row_lexicon(roles: DataFrame) -> RowLexicon | None:
+def row_lexicon(roles: DataFrame) -> RowTable | None:
     """The roles as a value of the plan if they are small enough, else None."""
-    size = roles.agg(F.count("*").alias("n"), F.coalesce(F.sum(F.octet_length("token")), F.lit(0)).alias("bytes")).first()
-    if size.bytes + 40 * size.n > MAX_LEXICON_BYTES:
-        return None
-    slots = 1 << max(4, size.n.bit_length())
-    return RowLexicon(roles.withColumn("slot", F.pmod(F.xxhash64("token"), F.lit(slots)).cast("int")).collect(), slots)
+    return row_table(roles, ["val", "neg", "bst"], MAX_LEXICON_BYTES)
 
 
 def _numbered(df: DataFrame, id_col: str, text_col: str, keep) -> DataFrame:
@@ -113,7 +92,7 @@ def _finish(scored: DataFrame) -> DataFrame:
             .withColumn("sentiment", sentiment_label("compound")))
 
 
-def lexicon_sentiment(df: DataFrame, id_col: str, text_col: str, lexicon: DataFrame | RowLexicon,
+def lexicon_sentiment(df: DataFrame, id_col: str, text_col: str, lexicon: DataFrame | RowTable,
                       keep=()) -> DataFrame:
     """Each row's valence sum, compound score and label.
 
@@ -129,7 +108,7 @@ def lexicon_sentiment(df: DataFrame, id_col: str, text_col: str, lexicon: DataFr
         held = row_lexicon(roles)
     if held is not None:
         total = F.aggregate(T.words(text_col), F.lit(0).cast("long"),
-                            lambda a, w: a + F.coalesce(held.role(w)["v"], F.lit(0).cast("long")))
+                            lambda a, w: a + F.coalesce(held.of(w)["val"], F.lit(0).cast("long")))
         value = F.coalesce(total, F.lit(0)) / F.lit(1e9)
         return _finish(df.select(id_col, *keep, value.cast("double").alias("valence_sum")))
     met = _numbered(df, id_col, text_col, keep).join(
@@ -167,13 +146,13 @@ def lexicon_sentiment_context(df: DataFrame, id_col: str, text_col: str, lexicon
         return _joined_context(df, id_col, text_col, roles, contrast, keep)
     rows = df.select(F.struct(id_col, *keep).alias("keep"), F.coalesce(T.words(text_col), F.array().cast("array<string>"))
                      .alias("words"))
-    rows = rows.select("keep", F.transform("words", held.role).alias("roles"),
+    rows = rows.select("keep", F.transform("words", held.of).alias("roles"),
                        (F.array_position("words", contrast) - 1).alias("at"))
 
     damped = F.array(*[F.lit(BOOSTER_INCREMENT * x) for x in BOOSTER_DAMPING])
 
     def worth(role: Column, i: Column) -> Column:
-        start = F.when(role["b"], F.lit(0.0)).otherwise(role["v"] / F.lit(1e9))
+        start = F.when(role["bst"], F.lit(0.0)).otherwise(role["val"] / F.lit(1e9))
         value = F.aggregate(F.array(*[F.lit(d) for d in (1, 2, 3)]), start, lambda v, d: _ruled(
             v, F.get("roles", i - d), F.element_at(damped, d)))
         value = (F.when(F.coalesce(F.col("at"), F.lit(-1)) < 0, value).when(i < F.col("at"), value * F.lit(BEFORE_CONTRAST))
@@ -185,8 +164,8 @@ def lexicon_sentiment_context(df: DataFrame, id_col: str, text_col: str, lexicon
 
 def _ruled(v: Column, before: Column, increment: Column) -> Column:
     """The running valence after the rules for one earlier word."""
-    free = before["v"].isNull()
-    is_bst, is_neg = (F.coalesce(before[x] & free, F.lit(False)) for x in ("b", "n"))
+    free = before["val"].isNull()
+    is_bst, is_neg = (F.coalesce(before[x] & free, F.lit(False)) for x in ("bst", "neg"))
     v = v + F.when(is_bst, F.when(v < 0, -increment).otherwise(increment)).otherwise(F.lit(0.0))
     return F.when(is_neg, v * F.lit(NEGATION_SCALAR)).otherwise(v)
 

@@ -1,12 +1,14 @@
 """Corpus vocabulary and fixed-length token encoding (T19).
 
 A re-aim of pretrained tokenizers as a Spark job: the vocabulary is the
-``vocab_size`` most frequent tokens of the corpus (ties by token), ids come
-from a join with that capped table (its row count is bounded by
-``vocab_size``, so broadcasting it is safe), and every document is encoded
-whole: its tokens are cut into consecutive windows of ``max_len - 2`` ids,
-one output row per window (window 0 is what a truncating tokenizer returns;
-the others are its overflow windows).
+``vocab_size`` most frequent tokens of the corpus (ties by token), and every
+text is encoded whole: its tokens are cut into consecutive windows of
+``max_len - 2`` ids, one output row per window (window 0 is what a truncating
+tokenizer returns; the others are its overflow windows).
+
+A vocabulary of up to ``MAX_VOCABULARY_BYTES`` is a value of the plan: ids are
+looked up and windows are cut within the row. A larger one is joined to the
+exploded tokens by (token, salt), and windows are gathered by row number.
 """
 
 from __future__ import annotations
@@ -15,6 +17,12 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from narrata.functions import text as T
+from narrata.functions.lookup import MAX_BYTES, row_table
+from narrata.operators import word_bayes as WB
+from narrata.sources import io as IO
+
+#: Bytes of a vocabulary that travels with the plan.
+MAX_VOCABULARY_BYTES = MAX_BYTES
 
 # ---------------------------------------------------------------------------
 # Special token ids of the BERT-style vocabulary.
@@ -44,20 +52,38 @@ def encode_tokens(df: DataFrame, id_col: str, text_col: str, vocab: DataFrame,
                   max_len: int = 128) -> DataFrame:
     """``(id, window_index, input_ids, attention_mask)``: [CLS] ids [SEP] padded to ``max_len``.
 
-    Unknown tokens map to [UNK]. Each (id, window_index) group holds at most
-    ``max_len - 2`` tokens, so regrouping never gathers an unbounded list.
+    ``vocab`` holds distinct tokens; a token that it doesn't have maps to
+    [UNK]. A null text, or one without tokens, keeps one window of [CLS]
+    [SEP] and padding. Every row is encoded by itself, also rows that share
+    an id.
     """
+    if max_len < 3:
+        raise ValueError("a window holds [CLS], [SEP] and one id at least")
     body = max_len - 2
-    ex = df.select(id_col, F.posexplode_outer(T.words(text_col)).alias("pos", "token"))
-    ids = (ex.join(F.broadcast(vocab.select("token", "token_id")), "token", "left")
-           .withColumn("tid", F.coalesce("token_id", F.lit(UNK_ID)))
-           .withColumn("window_index", F.coalesce((F.col("pos") / body).cast("int"), F.lit(0))))
-    # A document without tokens keeps one window of [CLS] [SEP] and padding.
-    item = F.when(F.col("pos").isNotNull(), F.struct("pos", "tid"))
-    grouped = ids.groupBy(id_col, "window_index").agg(F.array_sort(F.collect_list(item)).alias("_pt"))
-    seq = F.transform("_pt", lambda x: x["tid"])
-    n = F.size(seq)
-    input_ids = F.concat(F.array(F.lit(CLS_ID)), seq, F.array(F.lit(SEP_ID)),
+    vocab = IO.materialize(vocab.select("token", "token_id").filter("token IS NOT NULL"), df.sparkSession, "vocabulary")
+    table = row_table(vocab, ["token_id"], MAX_VOCABULARY_BYTES)
+    empty = F.array().cast("array<int>")
+    if table is not None:
+        ids = F.transform("words", lambda w: F.coalesce(table.of(w)["token_id"], F.lit(UNK_ID)))
+        # the id under a name of its own; the text is read before names can clash
+        rows = T.with_computed(df.select(F.col(id_col).alias("id"), T.words(text_col).alias("words")),
+                               ids=F.coalesce(ids, empty))
+        last = F.floor((F.greatest(F.size("ids"), F.lit(1)) - 1) / F.lit(body)).cast("int")
+        windows = rows.select("id", F.posexplode(F.transform(F.sequence(F.lit(0), last), lambda i: F.slice(
+            "ids", i * body + 1, F.lit(body)))).alias("window_index", "seq"))
+    else:
+        rows = df.select(F.struct(F.col(id_col).alias("id")).alias("keep"), T.words(text_col).alias("words"),
+                         F.monotonically_increasing_id().alias("row"))
+        hot = WB.hot_tokens(rows.select(F.explode("words").alias("token")).groupBy("token").agg(F.count("*").alias("n")))
+        ex = WB.with_salt(rows.select("keep", "row", F.posexplode_outer("words").alias("pos", "token")), hot, "row")
+        met = ex.join(WB.salted(vocab, hot), ["token", "salt"], "left")
+        # a row and window hold at most max_len - 2 tokens, so no list is unbounded
+        item = F.when(F.col("pos").isNotNull(), F.struct("pos", F.coalesce("token_id", F.lit(UNK_ID)).alias("id")))
+        windows = met.groupBy("row", "keep", F.coalesce((F.col("pos") / body).cast("int"), F.lit(0)).alias("window_index")).agg(
+            F.array_sort(F.collect_list(item)).alias("items"))
+        windows = windows.select("keep.id", "window_index", F.transform("items", lambda x: x["id"]).alias("seq"))
+    n = F.size("seq")
+    input_ids = F.concat(F.array(F.lit(CLS_ID)), "seq", F.array(F.lit(SEP_ID)),
                          F.array_repeat(F.lit(PAD_ID), F.lit(max_len) - n - 2))
     mask = F.concat(F.array_repeat(F.lit(1), n + 2), F.array_repeat(F.lit(0), F.lit(max_len) - n - 2))
-    return grouped.select(id_col, "window_index", input_ids.alias("input_ids"), mask.alias("attention_mask"))
+    return windows.select(F.col("id").alias(id_col), "window_index", input_ids.alias("input_ids"), mask.alias("attention_mask"))

@@ -16,11 +16,17 @@ TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineite
           "events", "documents", "embeddings", "pages", "benchmark", "labels",
           "conversations")
 
+#: Session setting: into how many partitions ``documents`` is dealt after the scan. Unset by default; for inputs of
+#: fewer row groups than cores (one small file), whose texts would all be worked on by one task.
+SPREAD = "spark.narrata.documents.partitions"
+
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     if name not in TABLES:
         raise ValueError(f"unknown table {name!r}")
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    df = spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    spread = spark.conf.get(SPREAD, None)
+    return df.repartition(int(spread)) if spread and name == "documents" else df
 
 
 def complaints(spark: SparkSession, sf_dir: str, with_response: bool = True) -> DataFrame:

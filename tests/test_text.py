@@ -134,3 +134,20 @@ def test_chunks_equal_a_plain_fold(spark):
                 done, cur, n = [*done, cur], s, m
         want = [c for c in [*done, cur] if c]
         assert [c for _, c in sorted(got.get(i, []))] == want
+
+
+@pytest.mark.parametrize("limit", [16 << 20, -1])  # looked up in the row, and joined
+def test_rows_that_share_an_id_are_encoded_alone(spark, monkeypatch, limit):
+    from narrata.operators import tokens as TK
+    monkeypatch.setattr(TK, "MAX_VOCABULARY_BYTES", limit)
+    vocab = spark.createDataFrame([("a", 1000), ("b", 1001), (None, 1002)], "token string, token_id int")
+    rows = [(1, "a b c a b", "w"), (1, "b", "w"), (1, "b", "w"), (2, None, "w"), (3, "", "w"), (4, "a " * 7, "w")]
+    df = spark.createDataFrame(rows, "id int, words string, token string")
+    got = sorted((r.id, r.window_index, r.input_ids, r.attention_mask) for r in TK.encode_tokens(df, "id", "words", vocab, 6).collect())
+    assert got == [(1, 0, [101, 1000, 1001, 100, 1000, 102], [1] * 6), (1, 0, [101, 1001, 102, 0, 0, 0], [1, 1, 1, 0, 0, 0]),
+                   (1, 0, [101, 1001, 102, 0, 0, 0], [1, 1, 1, 0, 0, 0]), (1, 1, [101, 1001, 102, 0, 0, 0], [1, 1, 1, 0, 0, 0]),
+                   (2, 0, [101, 102, 0, 0, 0, 0], [1, 1, 0, 0, 0, 0]), (3, 0, [101, 102, 0, 0, 0, 0], [1, 1, 0, 0, 0, 0]),
+                   (4, 0, [101, 1000, 1000, 1000, 1000, 102], [1] * 6), (4, 1, [101, 1000, 1000, 1000, 102, 0], [1, 1, 1, 1, 1, 0])]
+    assert TK.encode_tokens(df.limit(0), "id", "words", vocab, 6).collect() == []
+    with pytest.raises(ValueError, match="window"):
+        TK.encode_tokens(df, "id", "words", vocab, 2)
