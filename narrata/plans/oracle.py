@@ -288,6 +288,15 @@ oracle("three_way_split",
        f"WHEN {_u(_h(42, 'event_id'))} < {0.6 + 0.2!r} THEN 'validation' ELSE 'test' END AS split FROM events")
 oracle("stratified_folds", with_(EV_RANK)
        + "SELECT event_id, event_type, CAST((rank - 1) % 5 AS INTEGER) AS fold FROM evr")
+oracle("weighted_draws", with_(
+    "items AS (SELECT o_orderkey, CASE WHEN o_orderkey % 10 <> 0 THEN "
+    "CAST(floor(CAST(o_totalprice AS DOUBLE) * 1e6::DOUBLE + 0.5) AS BIGINT) ELSE 0 END AS units FROM orders)",
+    f"rws AS (SELECT o_orderkey, units, {_h(42, 'o_orderkey')} AS h, (SELECT sum(units) FROM items) AS total FROM items WHERE units > 0)",
+    "line AS (SELECT o_orderkey, total, sum(units) OVER (ORDER BY CASE WHEN units * 65536::HUGEINT >= total THEN 0 ELSE 1 END, h, "
+    "o_orderkey ROWS UNBOUNDED PRECEDING) - units AS lo FROM rws)",
+    "dr AS (SELECT event_id, least(CAST(floor(" + _u("md5('42' || ':draw:' || CAST(event_id AS VARCHAR))")
+    + " * (SELECT CAST(max(total) AS DOUBLE) FROM line)) AS BIGINT), (SELECT max(total) FROM line) - 1) AS at FROM events)")
+    + "SELECT d.event_id, l.o_orderkey FROM dr d ASOF JOIN line l ON d.at >= l.lo")
 oracle("weighted_resample", with_(
     EV_RANK,
     "cls AS (SELECT event_type, max(class_n) AS cnt, row_number() OVER (ORDER BY event_type) - 1 AS cidx "

@@ -326,6 +326,14 @@ def q_stratified_folds(spark, sf):
     return SM.stratified_folds(_events(spark, sf), "event_type", "event_id", 5, seed=42)
 
 
+@query("weighted_draws")
+def q_weighted_draws(spark, sf):
+    """An order for every event, drawn by its price (a tenth of the orders has no weight)."""
+    orders = TB.table(spark, sf, "orders").select(
+        "o_orderkey", F.when(F.col("o_orderkey") % 10 != 0, F.col("o_totalprice").cast("double")).alias("price"))
+    return SM.weighted_draws(orders, "price", "o_orderkey", TB.table(spark, sf, "events").select("event_id"), "event_id")
+
+
 @query("weighted_resample")
 def q_weighted_resample(spark, sf):
     ev = _events(spark, sf)

@@ -1,5 +1,6 @@
 """Properties of the hash-ordered picks, splits and folds."""
 
+import pytest
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
@@ -115,3 +116,48 @@ def test_hot_class_spread_over_buckets(spark):
                .groupBy(F.substring(SM.hash_key(42, "event_id"), 1, 2)).count()
                .agg(F.max("count")).first()[0])
     assert biggest < hot / 50
+
+
+@pytest.mark.parametrize("parts", [1 << 16, 4])  # with 4 parts nearly all rows are light
+def test_weighted_draws_equal_a_plain_search(spark, monkeypatch, parts):
+    import hashlib
+    import math
+    from collections import Counter
+    monkeypatch.setattr(SM, "WEIGHT_PARTS", parts)
+    weights = [(i, float(i % 9)) for i in range(300)] + [(1000, 700.0), (1001, None), (1002, -5.0), (1003, float("nan")), (1004, 0.25)]
+    df = spark.createDataFrame([(i, w, "x", 1) for i, w in weights], "key long, w double, id string, at int").repartition(3)
+    draws = spark.range(3000).select(F.col("id").alias("draw"))
+    got = {r.draw: r.key for r in SM.weighted_draws(df, "w", "key", draws, "draw").collect()}
+    rows = [(math.floor(w * 1e6 + 0.5), hashlib.md5(f"42:{i}".encode()).hexdigest(), i) for i, w in weights if w and w > 0]
+    total = sum(u for u, _, _ in rows)
+    rows.sort(key=lambda r: (r[0] * parts < total, r[1]))
+    ends, run = [], 0
+    for u, _, _ in rows:
+        run += u
+        ends.append(run)
+    import bisect
+    for j in range(3000):
+        u = int(hashlib.md5(f"42:draw:{j}".encode()).hexdigest()[:13], 16) / 2 ** 52
+        assert got[j] == rows[bisect.bisect_right(ends, min(math.floor(u * float(total)), total - 1))][2]
+    share = Counter(got.values())
+    assert abs(share[1000] / 3000 - 700e6 / total) < 0.04 and not set(share) & {1001, 1002, 1003}
+    none = SM.weighted_draws(df.filter("key IN (1001, 1002)"), "w", "key", draws, "draw")
+    assert none.collect() == [] and none.columns == ["draw", "key"]
+    assert SM.weighted_draws(df, "w", "key", draws.limit(0), "draw").collect() == []
+
+
+def test_callers_columns_come_back(spark):
+    names = ["_k", "_h", "_b", "_bn", "_off", "_class_n", "_rank", "__k"]
+    df = spark.createDataFrame([(i, "ab"[i % 2], *([i] * len(names))) for i in range(40)],
+                               "id long, cls string, " + ", ".join(f"{n} long" for n in names))
+    rows = sorted(tuple(r) for r in df.collect())
+    split = SM.stratified_split(df, "cls", "id", 0.5)
+    assert split.columns == [*df.columns, "split"] and sorted(tuple(r)[:-1] for r in split.collect()) == rows
+    folds = SM.stratified_folds(df, "cls", "id", 4)
+    assert folds.columns == [*df.columns, "fold"] and sorted(tuple(r)[:-1] for r in folds.collect()) == rows
+    ranked = SM.exact_rank(df, "cls", "id")
+    assert ranked.columns == [*df.columns, "rank"] and sorted(tuple(r)[:-1] for r in ranked.collect()) == rows
+    for some in (SM.cap_per_class(df, "cls", 5, "id"), SM.quota_sample(df, "cls", {"a": 3}, "id")):
+        assert some.columns == df.columns and set(map(tuple, some.collect())) <= set(rows)
+    with pytest.raises(ValueError, match="already"):
+        SM.stratified_split(df, "cls", "id", split_col="_k")
