@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from narrata.functions import text as T
 from narrata.functions.numeric import round6
+from narrata.operators.quantiles import quantile_values
 
 
 def null_counts(df: DataFrame, cols=None) -> DataFrame:
@@ -48,19 +49,17 @@ def length_stats(df: DataFrame, col: str) -> DataFrame:
 def describe(df: DataFrame, col: str) -> DataFrame:
     """count, mean, sample std, min, quartiles (linear interpolation), max.
 
-    ``percentile`` keeps a value -> count map per partial aggregate, so its
-    memory follows the number of distinct values (word counts: thousands),
-    not the number of rows.
+    The quartiles are exact and searched with bounded state (see
+    ``quantiles``), so the column may have any number of distinct values.
     """
     x = F.col(col)
+    quartiles = dict(zip(("p25", "p50", "p75"), quantile_values(df, col, [0.25, 0.5, 0.75]), strict=True))
     return df.agg(
         F.count(x).alias("count"),
         round6(F.avg(x)).alias("mean"),
         round6(F.stddev_samp(x)).alias("std"),
         F.min(x).cast("double").alias("min"),
-        round6(F.percentile(x, 0.25)).alias("p25"),
-        round6(F.percentile(x, 0.5)).alias("p50"),
-        round6(F.percentile(x, 0.75)).alias("p75"),
+        *(round6(F.lit(v).cast("double")).alias(name) for name, v in quartiles.items()),
         F.max(x).cast("double").alias("max"))
 
 

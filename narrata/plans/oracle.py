@@ -158,6 +158,45 @@ SELECT count(clean_word_count) AS count, round(avg(clean_word_count), 6) AS mean
   round(quantile_cont(clean_word_count, 0.75), 6) AS p75, CAST(max(clean_word_count) AS DOUBLE) AS max
 FROM wc""")
 
+oracle("price_quantiles", "WITH ch AS (SELECT CAST(l_extendedprice * (1 - l_discount) * (1 + l_tax) AS DOUBLE) AS v FROM lineitem) "
+       + " UNION ALL ".join(f"SELECT {p}::DOUBLE AS probability, {Q.r6(f'quantile_cont(v, {p})')} AS value FROM ch"
+                            for p in (0.0, 0.01, 0.25, 0.5, 0.75, 0.99, 1.0)))
+
+
+def _abbreviation_ctes(src: str, text: str) -> list[str]:
+    def likelihood(p: str) -> str:
+        q = f"greatest(least({p}, 1 - 1e-12::DOUBLE), 1e-12::DOUBLE)"
+        return f"(k * ln({q}) + (n - k) * ln(1 - {q}))"
+    return [
+        f"bw AS (SELECT lower(unnest({Q.words(text)})) AS w FROM {src})",
+        "bt AS (SELECT CASE WHEN w LIKE '%.' THEN w[:-2] ELSE w END AS token, w LIKE '%.' AS ends FROM bw)",
+        "bc AS MATERIALIZED (SELECT token, count(*) FILTER (WHERE ends) AS with_period, count(*) FILTER (WHERE NOT ends) AS without, "
+        "CAST(count(*) AS DOUBLE) AS n, CAST(count(*) FILTER (WHERE ends) AS DOUBLE) AS k FROM bt "
+        "WHERE regexp_matches(token, '\\p{L}') GROUP BY token)",
+        "bp AS (SELECT CAST(sum(with_period) AS DOUBLE) / CAST(sum(n) AS DOUBLE) AS p FROM bc)",
+        "bs AS (SELECT token, with_period, without, CAST(length(token) - length(replace(token, '.', '')) AS DOUBLE) AS inner_p, "
+        f"-2 * ({likelihood('(SELECT p FROM bp)')} - {likelihood('0.99::DOUBLE')}) AS ratio FROM bc WHERE with_period > 0)",
+        "abbr AS MATERIALIZED (SELECT * FROM (SELECT token, with_period, without, floor(ratio * exp(-(length(token) - inner_p)) * "
+        "(inner_p + 1) * pow(length(token) - inner_p, -CAST(without AS DOUBLE)) * 1e6::DOUBLE + 0.5) / 1e6::DOUBLE AS score FROM bs) "
+        "WHERE score >= 0.3)",
+    ]
+
+
+oracle("abbreviations", with_(COMPLAINTS_NR, *_abbreviation_ctes("complaints", "narrative"))
+       + "SELECT token, with_period, without, score FROM abbr")
+oracle("learned_sentences", with_(
+    COMPLAINTS_NR, *_abbreviation_ctes("complaints", "narrative"),
+    f"lw AS (SELECT complaint_id, {Q.words('narrative')} AS w FROM complaints)",
+    "lt AS (SELECT complaint_id, unnest(w) AS w, generate_subscripts(w, 1) AS i FROM lw)",
+    "lb AS (SELECT t.complaint_id, t.w, t.i, regexp_matches(t.w, '[.!?]$') AND NOT (t.w LIKE '%.' AND a.token IS NOT NULL) AS ends "
+    "FROM lt t LEFT JOIN abbr a ON a.token = lower(CASE WHEN t.w LIKE '%.' THEN t.w[:-2] ELSE t.w END))",
+    "lg AS (SELECT *, coalesce(sum(CASE WHEN ends THEN 1 ELSE 0 END) OVER (PARTITION BY complaint_id ORDER BY i "
+    "ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS g FROM lb)",
+    "ls AS (SELECT complaint_id, g, string_agg(w, ' ' ORDER BY i) AS s FROM lg GROUP BY complaint_id, g)",
+    "la AS (SELECT complaint_id, list(s ORDER BY g) AS sentences FROM ls GROUP BY complaint_id)")
+    + "SELECT c.complaint_id, CASE WHEN c.narrative IS NULL THEN NULL ELSE coalesce(la.sentences, []::VARCHAR[]) END AS sentences "
+    "FROM complaints c LEFT JOIN la ON la.complaint_id = c.complaint_id")
+
 oracle("threshold_counts", with_(CLEANED, WC)
        + "SELECT count(*) FILTER (WHERE clean_word_count > 512) AS over, "
        "count(*) FILTER (WHERE clean_word_count < 512) AS under FROM wc")

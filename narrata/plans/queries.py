@@ -18,9 +18,11 @@ from pyspark.sql.types import ArrayType, DoubleType
 from narrata.functions import text as T
 from narrata.functions.numeric import round6
 from narrata.functions import vectors as V
+from narrata.operators import borders as BO
 from narrata.operators import classify as CL
 from narrata.operators import filters as FL
 from narrata.operators import metrics as MT
+from narrata.operators import quantiles as QT
 from narrata.operators import scoring as SC
 from narrata.operators import similarity as SI
 from narrata.operators import softmax as SX
@@ -147,7 +149,18 @@ def q_length_stats(spark, sf):
 
 @query("length_describe")
 def q_length_describe(spark, sf):
-    return P.describe(_wc_frame(spark, sf), "clean_word_count")
+    from narrata.sources import io as IO
+    lengths = IO.materialize(_wc_frame(spark, sf).select("clean_word_count"), spark, "lengths")
+    return P.describe(lengths, "clean_word_count")
+
+
+@query("price_quantiles")
+def q_price_quantiles(spark, sf):
+    """Quantiles of a column of nearly all-distinct numbers."""
+    items = TB.table(spark, sf, "lineitem").select((F.col("l_extendedprice") * (1 - F.col("l_discount")) * (
+        1 + F.col("l_tax"))).alias("charge"))
+    return QT.quantiles(items, "charge", [0.0, 0.01, 0.25, 0.5, 0.75, 0.99, 1.0]).select(
+        "probability", r6("value").alias("value"))
 
 
 @query("threshold_counts")
@@ -418,6 +431,20 @@ def q_sentences(spark, sf):
         .withColumn("sentence_pos", F.col("sentence_pos").cast("bigint"))
 
 
+@query("abbreviations")
+def q_abbreviations(spark, sf):
+    c = TB.complaints(spark, sf, with_response=False).select("narrative")
+    return BO.abbreviations(c, "narrative")
+
+
+@query("learned_sentences")
+def q_learned_sentences(spark, sf):
+    """Sentences whose borders know the corpus's abbreviations."""
+    c = TB.complaints(spark, sf, with_response=False).select("complaint_id", "narrative")
+    table = BO.abbreviation_table(BO.abbreviations(c, "narrative"))
+    return BO.with_sentences(c, "narrative", table).drop("narrative")
+
+
 @query("dedupe_sentences")
 def q_dedupe_sentences(spark, sf):
     c = TB.complaints(spark, sf, with_response=False)
