@@ -16,6 +16,7 @@ from pyspark.sql import types as TY
 from narrata.functions import text as T
 from narrata.functions import vectors as V
 from narrata.functions.numeric import round6
+from narrata.functions.stem import stems
 
 
 def ngrams(tokens, n: int) -> Column:
@@ -35,35 +36,49 @@ def _valid_pairs(df: DataFrame, gen_col: str, ref_col: str) -> DataFrame:
                      & F.col(ref_col).isNotNull() & (F.col(ref_col) != ""))
 
 
-def rouge_n_pairs(df: DataFrame, id_col: str, gen_col: str, ref_col: str, ns=(1, 2)) -> DataFrame:
+def _pair_tokens(df: DataFrame, id_col: str, gen_col: str, ref_col: str, stem: bool) -> DataFrame:
+    """(id, g, r): the token lists of valid pairs, stemmed if asked for."""
+    pairs = _valid_pairs(df, gen_col, ref_col).select(F.col(id_col).alias("id"), F.col(gen_col).alias("gen"),
+                                                      F.col(ref_col).alias("ref"))
+    toks = T.with_computed(pairs, g=T.rouge_tokens("gen"), r=T.rouge_tokens("ref")).select("id", "g", "r")
+    return toks.select("id", stems(F.col("g")).alias("g"), stems(F.col("r")).alias("r")) if stem else toks
+
+
+def rouge_n_pairs(df: DataFrame, id_col: str, gen_col: str, ref_col: str, ns=(1, 2), stem: bool = False) -> DataFrame:
     """Per pair and n: ``(id, n, p, r, f)``; pairs with a NULL or empty side are skipped.
 
     Both texts are in one row, so the overlap is counted there and nothing is
-    shuffled: the reference's n-grams that occur in the summary are kept (a
-    summary has a bounded number of words), then clipped counts are summed.
+    shuffled: the n-grams of both sides are sorted together, and one fold over
+    them adds the smaller count of every n-gram; the work is that of the sort.
+    With ``stem``, words of four letters and more count by their stems.
     """
     ns = [int(n) for n in (ns if isinstance(ns, (list, tuple)) else [ns])]
-    toks = T.with_computed(_valid_pairs(df, gen_col, ref_col).select(id_col, gen_col, ref_col),
-                           _g=T.rouge_tokens(gen_col), _r=T.rouge_tokens(ref_col)).drop(gen_col, ref_col)
-    grams = F.array(*[F.struct(F.lit(n).alias("n"), ngrams("_g", n).alias("g"), ngrams("_r", n).alias("r"))
+    toks = _pair_tokens(df, id_col, gen_col, ref_col, stem)
+    grams = F.array(*[F.struct(F.lit(n).alias("n"), ngrams("g", n).alias("gg"), ngrams("r", n).alias("rr"))
                       for n in ns])
-    rows = toks.select(id_col, F.inline(grams))
-    rows = T.with_computed(rows, common=F.array_intersect("g", "r"))
-    rows = T.with_computed(rows, shared=F.filter("r", lambda x: F.array_contains(F.col("common"), x)))
+    rows = toks.select("id", F.inline(grams))
+
+    def side(grams: str, number: int) -> Column:
+        return F.transform(grams, lambda x: F.struct(x.alias("t"), F.lit(number).alias("s")))
+
+    rows = T.with_computed(rows, both=F.array_sort(F.concat(side("gg", 0), side("rr", 1))))
+    zero = F.struct(F.lit("").alias("t"), F.lit(0).alias("g"), F.lit(0).alias("r"), F.lit(0).alias("n"))
 
-    def clipped(x):
-        return F.least(F.size(F.filter("g", lambda y: y == x)), F.size(F.filter("shared", lambda y: y == x)))
+    def step(a, x):
+        same = a["t"] == x["t"]
+        return F.struct(x["t"].alias("t"), (F.when(same, a["g"]).otherwise(0) + 1 - x["s"]).alias("g"),
+                        (F.when(same, a["r"]).otherwise(0) + x["s"]).alias("r"),
+                        (a["n"] + F.when(same, 0).otherwise(F.least(a["g"], a["r"]))).alias("n"))
 
-    overlap = F.aggregate(F.transform("common", clipped), F.lit(0), lambda acc, c: acc + c)
-    p = F.col("_ov") / F.greatest(F.size("g"), F.lit(1))
-    r = F.col("_ov") / F.greatest(F.size("r"), F.lit(1))
-    rows = T.with_computed(rows, _ov=overlap)
-    return rows.select(id_col, "n", p.alias("p"), r.alias("r"), _fmeasure(p, r).alias("f"))
+    rows = T.with_computed(rows, ov=F.aggregate("both", zero, step, lambda a: a["n"] + F.least(a["g"], a["r"])))
+    p = F.col("ov") / F.greatest(F.size("gg"), F.lit(1))
+    r = F.col("ov") / F.greatest(F.size("rr"), F.lit(1))
+    return rows.select(F.col("id").alias(id_col), "n", p.alias("p"), r.alias("r"), _fmeasure(p, r).alias("f"))
 
 
-def rouge_n(df: DataFrame, id_col: str, gen_col: str, ref_col: str, ns=(1, 2)) -> DataFrame:
+def rouge_n(df: DataFrame, id_col: str, gen_col: str, ref_col: str, ns=(1, 2), stem: bool = False) -> DataFrame:
     """Mean ROUGE-N precision, recall and F over all valid pairs, one column set per n."""
-    per = rouge_n_pairs(df, id_col, gen_col, ref_col, ns)
+    per = rouge_n_pairs(df, id_col, gen_col, ref_col, ns, stem)
     aggs = [F.count_if(F.col("n") == ns[0]).alias("n_pairs")]
     for n in ns:
         for m in ("p", "r", "f"):
@@ -107,11 +122,10 @@ def _rouge_l_udf(gen: pd.Series, ref: pd.Series) -> pd.DataFrame:
     return pd.DataFrame({"p": ps, "r": rs, "f": fs})
 
 
-def rouge_l_pairs(df: DataFrame, id_col: str, gen_col: str, ref_col: str) -> DataFrame:
-    """Per pair ROUGE-L ``(id, p, r, f)`` over whole token lists."""
-    pairs = _valid_pairs(df, gen_col, ref_col)
-    s = _rouge_l_udf(T.rouge_tokens(gen_col), T.rouge_tokens(ref_col))
-    return pairs.select(id_col, s.alias("_s")).select(id_col, "_s.p", "_s.r", "_s.f")
+def rouge_l_pairs(df: DataFrame, id_col: str, gen_col: str, ref_col: str, stem: bool = False) -> DataFrame:
+    """Per pair ROUGE-L ``(id, p, r, f)`` over whole token lists (their stems with ``stem``)."""
+    pairs = _pair_tokens(df, id_col, gen_col, ref_col, stem)
+    return pairs.select(F.col("id").alias(id_col), _rouge_l_udf("g", "r").alias("s")).select(id_col, "s.p", "s.r", "s.f")
 
 
 def embedding_match(df: DataFrame, vec_col: str, model: str) -> DataFrame:

@@ -537,6 +537,17 @@ def q_rouge_l(spark, sf):
                     r6("f").alias("rouge_l_f"))
 
 
+@query("rouge_stemmed")
+def q_rouge_stemmed(spark, sf):
+    """Mean ROUGE-1, -2 and -L of all summaries over stemmed words."""
+    from narrata.sources import io as IO
+    pairs = IO.materialize(_summaries(spark, sf), spark, "rouge-pairs")
+    n = SI.rouge_n(pairs, "complaint_id", "summary", "narrative", (1, 2), stem=True)
+    longest = SI.rouge_l_pairs(pairs, "complaint_id", "summary", "narrative", stem=True).agg(
+        *(r6(F.avg(c)).alias(f"rougeL_{c}") for c in ("p", "r", "f")))
+    return n.crossJoin(longest)  # one row and one row
+
+
 @query("embedding_match")
 def q_embedding_match(spark, sf):
     test, model = _embedding_split(spark, sf)

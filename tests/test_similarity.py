@@ -82,3 +82,73 @@ def test_rouge_l_query_against_brute_force(spark):
         f = 2 * p * rec / (p + rec) if p + rec else 0.0
         own = got[r.complaint_id]
         assert max(abs(own.rouge_l_p - p), abs(own.rouge_l_r - rec), abs(own.rouge_l_f - f)) < 1e-6
+
+
+#: Word pairs of the published rules.
+STEMS = {"caresses": "caress", "ponies": "poni", "ties": "ti", "caress": "caress", "cats": "cat", "feed": "feed", "agreed": "agre",
+         "plastered": "plaster", "bled": "bled", "motoring": "motor", "sing": "sing", "conflated": "conflat", "troubled": "troubl",
+         "sized": "size", "hopping": "hop", "tanned": "tan", "falling": "fall", "hissing": "hiss", "fizzed": "fizz",
+         "failing": "fail", "filing": "file", "happy": "happi", "sky": "sky", "relational": "relat", "conditional": "condit",
+         "rational": "ration", "valenci": "valenc", "hesitanci": "hesit", "digitizer": "digit", "conformabli": "conform",
+         "radicalli": "radic", "differentli": "differ", "vileli": "vile", "analogousli": "analog", "vietnamization": "vietnam",
+         "predication": "predic", "operator": "oper", "feudalism": "feudal", "decisiveness": "decis", "hopefulness": "hope",
+         "callousness": "callous", "formaliti": "formal", "sensitiviti": "sensit", "sensibiliti": "sensibl",
+         "triplicate": "triplic", "formative": "form", "formalize": "formal", "electriciti": "electr", "electrical": "electr",
+         "hopeful": "hope", "goodness": "good", "revival": "reviv", "allowance": "allow", "inference": "infer",
+         "airliner": "airlin", "gyroscopic": "gyroscop", "adjustable": "adjust", "defensible": "defens", "irritant": "irrit",
+         "replacement": "replac", "adjustment": "adjust", "dependent": "depend", "adoption": "adopt", "homologou": "homolog",
+         "communism": "commun", "activate": "activ", "angulariti": "angular", "homologous": "homolog", "effective": "effect",
+         "bowdlerize": "bowdler", "probate": "probat", "rate": "rate", "cease": "ceas", "controll": "control", "roll": "roll",
+         "generalizations": "gener", "oscillators": "oscil", "by": "by", "s": "s", "ing": "ing", "eed": "eed", "yy": "yy"}
+
+
+def test_published_stems():
+    from narrata.functions.stem import stem
+    assert {w: stem(w) for w in STEMS} == STEMS
+
+
+def test_stemmed_scores(spark):
+    from narrata.functions.stem import SHORTEST, stem
+    pairs = [(1, "charged fees twice, owing", "they charge a fee twice and owed it"), (2, "fee", "fees"), (3, "12 ponies", "pony 12"),
+             (4, None, "x"), (1, "same id", "same ids")]
+    df = spark.createDataFrame(pairs, "id long, t string, s string")
+
+    def stemmed(text):
+        import re
+        return " ".join(stem(w) if len(w) >= SHORTEST else w for w in re.findall(r"[a-z0-9]+", text.lower()))
+    got = SI.rouge_n_pairs(df, "id", "t", "s", (1, 2), stem=True).collect()
+    want = sorted((i, n, *_rouge_n(stemmed(g), stemmed(r), n)) for i, g, r in pairs if g for n in (1, 2))
+    assert len(got) == len(want)
+    for a, b in zip(sorted(tuple(r) for r in got), want):
+        assert all(abs(x - y) < 1e-12 for x, y in zip(a, b))
+    whole = {r.id: r for r in SI.rouge_l_pairs(df, "id", "t", "s", stem=True).filter("id <> 1").collect()}
+    assert whole[2].f == 1.0 and whole[3].f == 0.5  # "fees" and "fee"; "ponies" and "pony" in the other order
+
+
+def test_long_pair_is_scored_in_sorting_time(spark):
+    import time
+    rng = __import__("random").Random(1)
+    texts = [" ".join(f"w{rng.randint(0, 6000)}" for _ in range(20_000)) for _ in "ab"]
+    df = spark.createDataFrame([(1, *texts)], "id long, g string, r string")
+    SI.rouge_n_pairs(df.limit(0), "id", "g", "r", (1, 2)).collect()
+    start = time.perf_counter()
+    got = {r.n: (r.p, r.r, r.f) for r in SI.rouge_n_pairs(df, "id", "g", "r", (1, 2)).collect()}
+    assert time.perf_counter() - start < 10  # some two seconds; a quadratic count took 31
+    for n in (1, 2):
+        assert all(abs(a - b) < 1e-12 for a, b in zip(got[n], _rouge_n(*texts, n)))
+
+
+def test_registered_rouge_l_equals_brute_force(spark):
+    import re
+
+    import __spark_entry__ as E
+    from tests.conftest import SF_SMALL
+    texts = {r.doc_id: r.text for r in spark.read.parquet(f"{SF_SMALL}/documents.parquet").collect()}
+    summaries = {r.complaint_id: r.summary for r in E.queries()["extractive_summary"](spark, SF_SMALL).collect()}
+    got = {r.complaint_id: (r.rouge_l_p, r.rouge_l_r, r.rouge_l_f) for r in E.queries()["rouge_l"](spark, SF_SMALL).collect()}
+    assert set(got) == {i for i, s in summaries.items() if s}
+    for i in sorted(got)[:80]:
+        g, r = (re.findall("[a-z0-9]+", x.lower()) for x in (summaries[i], texts[i]))
+        n = lcs_dp(r, g)
+        p, q = (n / len(g) if g else 0.0), (n / len(r) if r else 0.0)
+        assert all(abs(a - b) < 1e-6 for a, b in zip(got[i], (p, q, 2 * p * q / (p + q) if p + q else 0.0)))
