@@ -595,11 +595,12 @@ def q_train_classifier(spark, sf):
 
 @query("model_family_compare")
 def q_model_family_compare(spark, sf):
-    """Metrics of every family; the best one is saved to the shared folder."""
+    """Metrics of every family on the test split; the best one on a validation split is saved to the shared folder."""
     from narrata.sources import io as IO
-    data = _response_data(spark, sf)
-    rows, best = CL.compare_families(data.filter(F.col("split") == "train"),
-                                     data.filter(F.col("split") == "test"), "text", "response")
+    data = IO.materialize(_response_data(spark, sf), spark, "splits/families")
+    train = SM.stratified_split(data.filter(F.col("split") == "train").drop("split"), "response", "complaint_id", 0.75, seed=43)
+    rows, best = CL.compare_families(train.filter(F.col("split") == "train"), data.filter(F.col("split") == "test"), "text",
+                                     "response", validation=train.filter(F.col("split") == "test"))
     CL.save(best, IO.scratch_path(spark, f"models/best-{uuid.uuid4().hex}"))
     return rows
 
