@@ -30,7 +30,7 @@ LEAST = (9, 10)
 
 
 def _default_templates() -> tuple[tuple[str, str, str], ...]:
-    raw = resources.files("narrata.data").joinpath("licenses.json").read_text(encoding="utf-8")
+    raw = resources.files("narrata.llm").joinpath("licenses.json").read_text(encoding="utf-8")
     return tuple((x["license"], x["name"], x["text"]) for x in json.loads(raw))
 
 
