@@ -13,7 +13,6 @@ from __future__ import annotations
 import json
 from collections.abc import Iterator
 from dataclasses import dataclass
-from fractions import Fraction
 from importlib import resources
 from itertools import groupby
 
@@ -81,27 +80,37 @@ def compile_templates(templates=TEMPLATES, least: tuple[int, int] = LEAST) -> Co
                     member.sum(axis=0), least)
 
 
+def _distinct_ahead(values: np.ndarray, places: np.ndarray, length: int, n: int) -> np.ndarray:
+    """How many distinct ``values`` (at ascending ``places`` of 0..n-1) each window of ``length`` from 0..n-1 on holds."""
+    order = np.argsort(values, kind="stable")
+    again = values[order[1:]] == values[order[:-1]]
+    before = np.full(len(values), -1)
+    before[order[1:][again]] = places[order[:-1][again]]
+    # a value counts at its first place of a window: for windows that begin behind its place before, and hold it
+    steps = np.zeros(n + 1, np.int64)
+    np.add.at(steps, np.maximum(before, places - length) + 1, 1)
+    np.add.at(steps, places + 1, -1)
+    return np.cumsum(steps)[:n]
+
+
 def scoring_windows(bigrams: np.ndarray, hits: np.ndarray, template: int, c: Compiled) -> list[tuple[int, int, int]]:
     """(shared, both sizes, first bigram) of all windows of a text that score enough.
 
     Windows begin at a bigram of the template and are as long as the template,
-    or end with the text.
+    or end with the text. All windows are counted in one pass, in the time of
+    sorting the text's bigrams, however often the text repeats a template.
     """
     num, den = c.least
     places = np.flatnonzero(hits >= 0)
     places = places[c.member[hits[places], template]]
-    ends = places + c.windows[template]
-    inside = np.searchsorted(places, ends, "left") - np.arange(len(places))
-    out = []
-    for i in np.flatnonzero(inside >= c.need[template]):
-        own = hits[places[i:i + inside[i]]]
-        shared = len(np.unique(own))
-        if shared < c.need[template]:
-            continue
-        both = len(np.unique(bigrams[places[i]:ends[i]])) + int(c.sizes[template])
-        if 2 * shared * den >= num * both:
-            out.append((shared, both, int(places[i])))
-    return out
+    n, length = len(bigrams), int(c.windows[template])
+    shared = _distinct_ahead(hits[places], places, length, n)[places]
+    places, shared = places[shared >= c.need[template]], shared[shared >= c.need[template]]
+    if not len(places):
+        return []
+    both = _distinct_ahead(bigrams, np.arange(n), length, n)[places] + int(c.sizes[template])
+    good = 2 * shared * den >= num * both
+    return list(zip(shared[good].tolist(), both[good].tolist(), places[good].tolist(), strict=True))
 
 
 def best_window(windows: list[tuple[int, int, int]]) -> tuple[int, int, int] | None:
@@ -120,7 +129,8 @@ def unexplained(found: list[tuple[int, list[tuple[int, int, int]]]], hits: np.nd
     bigrams lie in better windows that stay is the same notice again, seen
     through a similar template; windows of equal scores all stay.
     """
-    every = sorted(((Fraction(w[0], w[1]), t, w[2]) for t, own in found for w in own), reverse=True)
+    # sizes are far below 2**25, so different fractions are different doubles
+    every = sorted(((w[0] / w[1], t, w[2]) for t, own in found for w in own), reverse=True)
     explained = np.zeros(len(hits), bool)
     out = set()
     for _, group in groupby(every, key=lambda x: x[0]):

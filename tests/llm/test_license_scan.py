@@ -2,6 +2,7 @@
 
 import random
 import re
+import time
 
 from narrata.llm import license_scan as LS
 from tests.conftest import SF_SMALL
@@ -65,6 +66,34 @@ def test_documents(spark):
     check(spark, [t for t in texts if len(t) < 8000])
 
 
+def test_windows_of_repetitive_texts():
+    rng = random.Random(5)
+    c = LS.compile_templates((("X", "x", "a b a c a b d"), ("Y", "y", "b a b a"), ("Z", "z", "c d e f g h")), (1, 2))
+    for size in (2, 5, 9, 40, 200):
+        text = " ".join(rng.choice("abcdefgh") for _ in range(size))
+        own, _, *_ = LS._bigrams(LS.pa.array([text]))
+        at = LS.np.minimum(LS.np.searchsorted(c.bigrams, own), len(c.bigrams) - 1)
+        hits = LS.np.where(c.bigrams[at] == own, at, -1)
+        for t in range(len(c.templates)):
+            want = []
+            for i in range(len(own)):
+                window = hits[i:i + c.windows[t]]
+                shared = len({h for h in window if h >= 0 and c.member[h, t]})
+                both = len(set(own[i:i + c.windows[t]])) + int(c.sizes[t])
+                if hits[i] >= 0 and c.member[hits[i], t] and 4 * shared >= both:
+                    want.append((shared, both, i))
+            assert LS.scoring_windows(own, hits, t, c) == want
+
+
+def test_long_text_that_repeats_a_notice(spark):
+    notice = next(t for _, name, t in LS.TEMPLATES if name == "mit-text")
+    text = " ".join([notice] * (1_400_000 // len(notice)))
+    started = time.monotonic()
+    r, = LS.scan(spark.createDataFrame([(1, text)], "id int, text string"), best_only=True).collect()
+    assert list(r.licenses) == ["MIT"] and r.dice == 1.0 and r.match_start == 0
+    assert time.monotonic() - started < 20
+
+
 def test_own_templates_and_empty(spark):
     check(spark, ["b a b a b", "a b a b a c", "a b"], templates=(("X", "x", "a b a b"), ("Y", "y", "one")))
     assert LS.scan(spark.createDataFrame([], "doc_id long, text string")).collect() == []
