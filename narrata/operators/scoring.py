@@ -93,22 +93,24 @@ def numpy_linear_predictor(matrix):
     return make
 
 
-def compare_models(df: DataFrame, id_col: str, inputs: dict, models: dict) -> DataFrame:
-    """Every (input, model) pair scored side by side, one row per (id, input, model).
-
-    ``inputs``: name -> Column (text); ``models``: name -> (DataFrame with a
-    ``text`` column -> DataFrame with ``id_col`` and prediction columns).
-    The inputs are stacked into one long table, so each model runs once.
+def compare_models(df: DataFrame, id_col: str, inputs: dict, models: dict, prepare=None) -> DataFrame:
+    """Every (input, model) pair scored side by side, one row per (row of ``df``, input, model).
+
+    ``inputs``: name -> Column (text). They are stacked as rows (``id_col``,
+    ``input``, ``text``), ``prepare`` (a text Column -> Column, cleaning for
+    example) is applied to ``text``, and the table is written once; all models
+    read it. ``models``: name -> (that table -> DataFrame that carries
+    ``id_col`` and ``input`` beside its prediction columns); so no scores are
+    joined back, and rows that share an id stay rows. A null text is the
+    model's to score. The result has the columns ``model`` and those that the
+    models return, which must agree in names.
     """
-    stacked = None
-    for name, col in inputs.items():
-        part = df.select(F.col(id_col), F.lit(name).alias("input"), col.alias("text"))
-        stacked = part if stacked is None else stacked.unionByName(part)
-    key = F.concat_ws("|", F.col(id_col).cast("string"), F.col("input")).alias("_key")
-    stacked = stacked.select(key, id_col, "input", "text")
+    both = F.array(*[F.struct(F.lit(name).alias("input"), col.alias("text")) for name, col in inputs.items()])
+    text = prepare(F.col("text")) if prepare else F.col("text")
+    stacked = df.select(F.col(id_col), F.inline(both)).select(id_col, "input", text.alias("text"))
+    stacked = IO.materialize(stacked, df.sparkSession, "compare-inputs")
     out = None
-    for mname, fn in models.items():
-        scored = fn(stacked.select("_key", "text")).withColumn("model", F.lit(mname))
+    for name, score in models.items():
+        scored = score(stacked).withColumn("model", F.lit(name))
         out = scored if out is None else out.unionByName(scored)
-    meta = stacked.select("_key", id_col, "input")
-    return out.join(meta, "_key").drop("_key")
+    return out

@@ -585,8 +585,9 @@ oracle("pair_similarity", with_(
 oracle("batch_model_scores", with_(*EMB) + "SELECT vec_id, y AS label, pred FROM pv")
 
 
-oracle("csv_roundtrip", with_(COMPLAINTS)
-       + "SELECT complaint_id, narrative, product, company, issue, response FROM complaints")
+for _name in ("csv_roundtrip", "csv_splits"):
+    oracle(_name, with_(COMPLAINTS)
+           + "SELECT complaint_id, narrative, product, company, issue, response FROM complaints")
 
 
 oracle("stream_score", "WITH " + SCORED + f"""

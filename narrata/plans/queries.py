@@ -653,14 +653,12 @@ def q_model_compare(spark, sf):
     }
 
     def plain(d):
-        d = d.withColumn("clean", T.clean_narrative("text"))
-        return S.lexicon_sentiment(d, "_key", "clean", lex).select("_key", "sentiment")
+        return S.lexicon_sentiment(d, "complaint_id", "text", lex, keep=["input"])
 
     def context(d):
-        d = d.withColumn("clean", T.clean_narrative("text"))
-        return S.lexicon_sentiment_context(d, "_key", "clean", lex, neg, bst, cw).select("_key", "sentiment")
+        return S.lexicon_sentiment_context(d, "complaint_id", "text", lex, neg, bst, cw, keep=["input"])
 
-    out = SC.compare_models(c, "complaint_id", inputs, {"lexicon": plain, "lexicon_context": context})
+    out = SC.compare_models(c, "complaint_id", inputs, {"lexicon": plain, "lexicon_context": context}, T.clean_narrative)
     return out.select("complaint_id", "input", "model", "sentiment",
                       S.sentiment_names("sentiment").alias("sentiment_name"))
 
@@ -686,22 +684,19 @@ def q_batch_text_scores(spark, sf):
 @query("trained_model_compare")
 def q_trained_model_compare(spark, sf):
     """Two trained classifiers (words, pairs of words) over the combined text and the summary."""
-    from narrata.sources import io as IO
     train = _split(spark, sf, "response").filter(F.col("split") == "train")
     models = {"words": WB.fit(train, "clean", "response"), "pairs": WB.fit(train, "clean", "response", pairs=True)}
     c = TB.complaints(spark, sf, with_response=False)
     c = c.join(SU.extractive_summary(c.select("complaint_id", "narrative"), "complaint_id", "narrative"), "complaint_id")
     combined = T.build_text(["narrative", "company", "product", "issue"], "skip", sep=" | ",
                             labels=["Complaint Narrative", "Company", "Product", "Issue"])
-    # the inputs of both models, stacked, cleaned and written once
-    both = F.array(F.struct(F.lit("combined").alias("input"), combined.alias("text")),
-                   F.struct(F.lit("summary").alias("input"), F.col("summary").alias("text")))
-    inputs = c.select("complaint_id", F.inline(both)).select("complaint_id", "input", T.clean_narrative("text").alias("clean"))
-    inputs = IO.materialize(inputs, spark, "compare-inputs")
-    parts = [WB.score(inputs, "clean", model, ["complaint_id", "input"]).select(
-        "complaint_id", "input", F.lit(name).alias("model"), F.col("predicted").alias("predicted_response"), "probability")
-        for name, model in models.items()]
-    return parts[0].unionByName(parts[1])
+
+    def scorer(model):
+        return lambda d: WB.score(d, "text", model, ["complaint_id", "input"])
+
+    out = SC.compare_models(c, "complaint_id", {"combined": combined, "summary": F.col("summary")},
+                            {name: scorer(model) for name, model in models.items()}, T.clean_narrative)
+    return out.select("complaint_id", "input", "model", F.col("predicted").alias("predicted_response"), "probability")
 
 
 def _early_stopping(spark, sf):
@@ -780,6 +775,16 @@ def q_csv_roundtrip(spark, sf):
     return IO.read_complaints(spark, path)
 
 
+@query("csv_splits")
+def q_csv_splits(spark, sf):
+    """The same stage, its files read in splits."""
+    from narrata.sources import csv_splits as CS
+    from narrata.sources import io as IO
+    path = IO.scratch_path(spark, f"stages/complaints-{uuid.uuid4().hex}.csv")
+    IO.write_stage(TB.complaints(spark, sf), path, "csv")
+    return CS.read_csv_splits(spark, path, IO.COMPLAINT_SCHEMA)
+
+
 # --- streaming --------------------------------------------------------------
 
 @query("stream_score")

@@ -100,3 +100,16 @@ def test_sentiment_by_product_nulls(spark):
     out = {r["product"]: (r["negative"], r["neutral"], r["positive"])
            for r in S.sentiment_by_product(scored).collect()}
     assert out == {"a": (0.5, None, 0.5), "b": (None, 1.0, None)}
+
+
+def test_models_side_by_side_keep_rows(spark):
+    from narrata.operators import scoring as SC
+
+    df = spark.createDataFrame([(1, "Good", "bad"), (1, "bad", None), (None, "", "good")], "id int, a string, b string")
+    lex = spark.createDataFrame([("good", 2.0), ("bad", -2.0)], "token string, valence double")
+    models = {"one": lambda d: S.lexicon_sentiment(d, "id", "text", lex, keep=["input"]).select("id", "input", "sentiment"),
+              "none": lambda d: d.select("id", "input", F.lit(9).alias("sentiment"))}
+    out = SC.compare_models(df, "id", {"a": F.col("a"), "b": F.col("b")}, models, F.lower)
+    got = [(r.id, r.input, r.sentiment) for r in out.collect() if r.model == "one"]
+    assert sorted(got, key=str) == sorted([(1, "a", 2), (1, "a", 0), (None, "a", 1), (1, "b", 0), (1, "b", 1), (None, "b", 2)], key=str)
+    assert out.filter("model = 'none'").count() == 6
