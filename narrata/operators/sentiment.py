@@ -3,28 +3,31 @@
 The lexicon is a table ``(token, valence)``. Up to ``MAX_LEXICON_BYTES`` it
 becomes one value of the plan, a hash table of small buckets, and every text
 is scored within its row: no token leaves the row, nothing is shuffled or
-grouped, and rows that share an id stay rows. A larger lexicon is joined to
-the exploded tokens by (token, salt): a row's salt is a hash of its number,
-and the lexicon is repeated for each of the ``SALTS`` salts, so a word of
-every text is spread over as many keys; the exploded tokens of a row sit in
-one partition, so the partial aggregate collapses them to one row before the
-shuffle. Both ways give the same sums, as these are of whole numbers.
+grouped, and rows that share an id stay rows. With a larger lexicon the
+numbered rows are written with their words: common words meet it by broadcast
+where the rows lie, and only rare words are exchanged (``common_words``). The
+words of a row sit in one partition, so the partial aggregate collapses them
+to one row. Both ways give the same sums, as these are of whole numbers.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+import uuid
+from collections.abc import Iterator
+
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from narrata.functions import text as T
 from narrata.functions.lookup import RowTable, row_table
 from narrata.functions.numeric import round6
+from narrata.operators import common_words as CW
+from narrata.operators import word_bayes as WB
 from narrata.sources import io as IO
 
-#: Keys that one token's rows are spread over.
-SALTS = 16
-#: UTF-8 bytes and numbers of a lexicon that travels with the plan; a larger one is joined.
-MAX_LEXICON_BYTES = 16 << 20
+#: UTF-8 bytes and numbers of a lexicon that travels with the plan, of which the driver holds several copies; a larger one is joined.
+MAX_LEXICON_BYTES = 256 << 10
 
 # ---------------------------------------------------------------------------
 # Fixed values of the rule-based scorer (Hutto & Gilbert 2014).
@@ -52,12 +55,6 @@ def sentiment_label(compound_col) -> Column:
             .otherwise(F.lit(1)))
 
 
-def salted(table: DataFrame) -> DataFrame:
-    """A token table repeated for every salt, written so that its size is known."""
-    rows = table.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
-    return IO.materialize(rows, table.sparkSession, "salted-tokens")
-
-
 def _roles(lexicon: DataFrame, negators: DataFrame | None = None, boosters: DataFrame | None = None) -> DataFrame:
     """(token, val, neg, bst), a row for each token; repeated lexicon rows add up, null tokens are left out."""
     units = F.round(F.col("valence") * F.lit(1e9)).cast("long")
@@ -74,17 +71,24 @@ def _roles(lexicon: DataFrame, negators: DataFrame | None = None, boosters: Data
         F.sum("val").alias("val"), F.bool_or("neg").alias("neg"), F.bool_or("bst").alias("bst"))
 
 
+_ROLES = ["val", "neg", "bst"]
+
+
 def row_lexicon(roles: DataFrame) -> RowTable | None:
     """The roles as a value of the plan if they are small enough, else None."""
-    return row_table(roles, ["val", "neg", "bst"], MAX_LEXICON_BYTES)
+    return row_table(roles, _ROLES, MAX_LEXICON_BYTES)
 
 
-def _numbered(df: DataFrame, id_col: str, text_col: str, keep) -> DataFrame:
-    """(keep, row, pos, tok): the tokens of numbered rows, one empty row for a row without tokens."""
-    rows = df.select(F.struct(id_col, *keep).alias("keep"), T.words(text_col).alias("words"),
-                     F.monotonically_increasing_id().alias("row"))
-    return rows.select("keep", "row", F.pmod(F.xxhash64("row"), F.lit(SALTS)).cast("int").alias("salt"),
-                       F.posexplode_outer("words").alias("pos", "tok"))
+def _written(df: DataFrame, id_col: str, text_col: str, roles: DataFrame, keep) -> tuple[DataFrame, DataFrame, list[str]]:
+    """Numbered rows (keep, row, words), the common words of the texts with their roles, and the hot words."""
+    spark, run = df.sparkSession, f"lexicon-{uuid.uuid4().hex}"
+    rows = IO.materialize(df.select(F.struct(id_col, *keep).alias("keep"), F.monotonically_increasing_id().alias("row"),
+                                    F.coalesce(T.words(text_col), F.array().cast("array<string>")).alias("words")),
+                          spark, f"{run}/rows")
+    counts = IO.materialize(rows.select(F.explode("words").alias("token")).groupBy("token").agg(F.count("*").alias("n")),
+                            spark, f"{run}/counts")
+    often = CW.common(counts, f"{run}/common").join(roles, "token", "left").select("token", *_ROLES)
+    return rows, IO.materialize(often, spark, f"{run}/roles"), WB.hot_tokens(counts)
 
 
 def _finish(scored: DataFrame) -> DataFrame:
@@ -99,8 +103,8 @@ def lexicon_sentiment(df: DataFrame, id_col: str, text_col: str, lexicon: DataFr
     Returns ``id_col, *keep, valence_sum, compound, sentiment``; a text with
     no lexicon word (or a null one) scores 0 and is neutral; repeated rows
     stay rows. Valences are summed as whole numbers of 1e-9, so a sum doesn't
-    depend on its order. With a lexicon too large for the plan, ``keep``
-    columns ride along with the tokens, so keep them small then.
+    depend on its order. With a lexicon too large for the plan, the texts'
+    words are written once, numbered, and only numbers go with rare words.
     """
     held = lexicon
     if isinstance(lexicon, DataFrame):
@@ -111,11 +115,12 @@ def lexicon_sentiment(df: DataFrame, id_col: str, text_col: str, lexicon: DataFr
                             lambda a, w: a + F.coalesce(held.of(w)["val"], F.lit(0).cast("long")))
         value = F.coalesce(total, F.lit(0)) / F.lit(1e9)
         return _finish(df.select(id_col, *keep, value.cast("double").alias("valence_sum")))
-    met = _numbered(df, id_col, text_col, keep).join(
-        salted(roles.select(F.col("token").alias("tok"), "val")), ["tok", "salt"], "left")
-    sums = met.groupBy("row", "keep").agg(
-        F.coalesce(F.sum("val") / F.lit(1e9), F.lit(0.0)).cast("double").alias("valence_sum"))
-    return _finish(sums.select("keep.*", "valence_sum"))
+    rows, often, hot = _written(df, id_col, text_col, roles, keep)
+    tokens = rows.select("row", F.explode("words").alias("token"))
+    sums = CW.all_met(tokens, often.select("token", "val"), roles.select("token", "val"), hot).groupBy("row").agg(
+        F.sum("val").alias("val"))
+    value = (F.coalesce("val", F.lit(0)) / F.lit(1e9)).cast("double")
+    return _finish(rows.select("row", "keep").join(sums, "row", "left").select("keep.*", value.alias("valence_sum")))
 
 
 def lexicon_sentiment_context(df: DataFrame, id_col: str, text_col: str, lexicon: DataFrame,
@@ -129,10 +134,10 @@ def lexicon_sentiment_context(df: DataFrame, id_col: str, text_col: str, lexicon
     -0.74. Booster words themselves begin at 0. Words before the first
     contrast word are halved, words after it count 1.5x.
 
-    A word's neighbours are in its row, so with role tables that fit the plan
-    all rules are applied there, without an exchange; otherwise the tokens are
-    joined once to the role table and shuffled by row number for the ordered
-    window. Word contributions are summed as whole numbers of 1e-9.
+    A word's neighbours are in its row, so all rules are applied there. With
+    role tables that fit the plan nothing is exchanged; otherwise a row gets
+    the roles of its rare words by its number, and those of the common words
+    go to every task. Word contributions are summed as whole numbers of 1e-9.
     ``contrast_word`` is a string or a one-row DataFrame with column
     ``token``; repeated rows stay rows, a null text scores 0.
     """
@@ -143,7 +148,7 @@ def lexicon_sentiment_context(df: DataFrame, id_col: str, text_col: str, lexicon
     roles = IO.materialize(_roles(lexicon, negators, boosters), lexicon.sparkSession, "word-roles")
     held = row_lexicon(roles)
     if held is None:
-        return _joined_context(df, id_col, text_col, roles, contrast, keep)
+        return _joined_context(df, id_col, text_col, roles, contrast_word, keep)
     rows = df.select(F.struct(id_col, *keep).alias("keep"), F.coalesce(T.words(text_col), F.array().cast("array<string>"))
                      .alias("words"))
     rows = rows.select("keep", F.transform("words", held.of).alias("roles"),
@@ -170,41 +175,53 @@ def _ruled(v: Column, before: Column, increment: Column) -> Column:
     return F.when(is_neg, v * F.lit(NEGATION_SCALAR)).otherwise(v)
 
 
-def _joined_context(df: DataFrame, id_col: str, text_col: str, roles: DataFrame, contrast: Column, keep) -> DataFrame:
-    """The context rules by a join of all tokens to the role table and a window over each row's tokens."""
-    table = salted(roles.select(F.col("token").alias("tok"), (F.col("val") / F.lit(1e9)).alias("val"), "neg", "bst"))
-    s = (_numbered(df, id_col, text_col, keep).join(table, ["tok", "salt"], "left")
-         .withColumn("neg", F.coalesce("neg", F.lit(False)))
-         .withColumn("bst", F.coalesce("bst", F.lit(False)))
-         .withColumn("contrast", F.coalesce(F.col("tok") == contrast, F.lit(False))))
-    w = Window.partitionBy("row").orderBy("pos")
-    s = s.withColumn("bi", F.min(F.when(F.col("contrast"), F.col("pos"))).over(Window.partitionBy("row")))
-    for d in (1, 2, 3):
-        s = (s.withColumn(f"v{d}", F.lag("val", d).over(w))
-             .withColumn(f"n{d}", F.lag("neg", d).over(w))
-             .withColumn(f"b{d}", F.lag("bst", d).over(w)))
-
-    # Each rule step is its own column so the plan never nests the running
-    # valence expression inside itself.
-    s = s.withColumn("v", F.when(F.col("bst"), F.lit(0.0)).otherwise(F.col("val")))
-    for d in (1, 2, 3):
-        free = F.col(f"v{d}").isNull()
-        is_bst = F.coalesce(F.col(f"b{d}") & free, F.lit(False))
-        is_neg = F.coalesce(F.col(f"n{d}") & free, F.lit(False))
-        inc = F.lit(BOOSTER_INCREMENT * BOOSTER_DAMPING[d - 1])
-        v = F.col("v")
-        s = s.withColumn("v", v + F.when(is_bst, F.when(v < 0, -inc).otherwise(inc)).otherwise(F.lit(0.0)))
-        v = F.col("v")
-        s = s.withColumn("v", F.when(is_neg, v * F.lit(NEGATION_SCALAR)).otherwise(v))
-    v = F.col("v")
-    v = (F.when(F.col("bi").isNull(), v)
-         .when(F.col("pos") < F.col("bi"), v * F.lit(BEFORE_CONTRAST))
-         .when(F.col("pos") > F.col("bi"), v * F.lit(AFTER_CONTRAST))
-         .otherwise(v))
-    out = s.groupBy("row", "keep").agg(
-        F.coalesce(F.sum(F.round(v * F.lit(1e9)).cast("long")) / F.lit(1e9), F.lit(0.0))
-        .cast("double").alias("valence_sum"))
-    return _finish(out.select("keep.*", "valence_sum"))
+def _text_units(words: list[str], roles: list, contrast: str | None) -> int:
+    """The sum of a text's word contributions in 1e-9, given each word's role (valence in 1e-9, negator, booster) or None."""
+    at = words.index(contrast) if contrast is not None and contrast in words else None
+    total = 0
+    for i, role in enumerate(roles):
+        if role is None or not (role[2] or role[0] is not None):
+            continue
+        v = 0.0 if role[2] else role[0] / 1e9
+        for d in (1, 2, 3):
+            before = roles[i - d] if i >= d else None
+            if before is None or before[0] is not None:
+                continue
+            if before[2]:
+                increment = BOOSTER_INCREMENT * BOOSTER_DAMPING[d - 1]
+                v += -increment if v < 0 else increment
+            if before[1]:
+                v *= NEGATION_SCALAR
+        if at is not None and i != at:
+            v *= BEFORE_CONTRAST if i < at else AFTER_CONTRAST
+        units = abs(v * 1e9)
+        whole = int(units)
+        whole += units - whole >= 0.5
+        total += whole if v >= 0 else -whole
+    return total
+
+
+def _scorer(common: dict, contrast: str | None):
+    def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            texts, rare, units = batch.column("words"), batch.column("rare"), []
+            for i in range(batch.num_rows):
+                words = texts[i].as_py()
+                own = {r["token"]: (r["val"], r["neg"], r["bst"]) for r in rare[i].as_py()}
+                units.append(_text_units(words, [common.get(w) or own.get(w) for w in words], contrast))
+            yield pa.RecordBatch.from_arrays([batch.column("keep"), pa.array(units, pa.int64())], schema=pa.schema(
+                [batch.schema.field("keep"), ("units", pa.int64())]))
+    return score
+
+
+def _joined_context(df: DataFrame, id_col: str, text_col: str, roles: DataFrame, contrast: str | None, keep) -> DataFrame:
+    """The context rules over written rows: common words by their roles in the task, rare ones by those joined to the row."""
+    rows, often, hot = _written(df, id_col, text_col, roles, keep)
+    some = often.filter(F.col("val").isNotNull() | F.col("neg") | F.col("bst")).collect()  # at most COMMON_PARTS words
+    met = CW.with_rare(rows, F.col("words"), often, roles.select("token", *_ROLES), hot).select("keep", "words", "rare")
+    kind = dict(met.dtypes)["keep"]
+    scored = met.mapInArrow(_scorer({r.token: (r.val, r.neg, r.bst) for r in some}, contrast), f"keep {kind}, units long")
+    return _finish(scored.select("keep.*", (F.col("units") / F.lit(1e9)).cast("double").alias("valence_sum")))
 
 
 def sentiment_names(c) -> Column:
