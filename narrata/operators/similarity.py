@@ -1,14 +1,18 @@
 """Summary quality metrics (G7-G9): ROUGE-N, ROUGE-L, embedding match.
 
-ROUGE-N counts the n-gram overlap of a pair within its row, by array
-functions. ROUGE-L needs a longest common subsequence per pair,
+ROUGE-N counts the n-gram overlap of a pair within its row, over Arrow
+batches of token lists. ROUGE-L needs a longest common subsequence per pair,
 which no built-in computes, so it runs in an Arrow-batched pandas UDF with a
 bit-parallel LCS over whole token lists.
 """
 
 from __future__ import annotations
 
+from collections import Counter
+from collections.abc import Iterator
+
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as TY
@@ -19,12 +23,28 @@ from narrata.functions.numeric import round6
 from narrata.functions.stem import stems
 
 
-def ngrams(tokens, n: int) -> Column:
-    """Space-joined n-grams of a token array (empty when shorter than n)."""
-    t = F.col(tokens) if isinstance(tokens, str) else tokens
-    count = F.size(t) - n + 1
-    starts = F.when(count >= 1, F.sequence(F.lit(1), count)).otherwise(F.array().cast("array<int>"))
-    return F.transform(starts, lambda i: F.array_join(F.slice(t, i, n), " "))
+def _grams(tokens: list[str], n: int) -> Counter:
+    """How often each n-gram occurs (none where the list is shorter than n)."""
+    return Counter(tokens if n == 1 else zip(*(tokens[i:] for i in range(n)), strict=False))
+
+
+def _overlaps(ns: list[int]):
+    """Batches of (id, g, r), token lists, as (id, n, ov, gg, rr): for each n the n-grams in common and those of both sides."""
+    def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            gen, ref, rows = batch.column("g"), batch.column("r"), []
+            for i in range(batch.num_rows):
+                g, r = gen[i].as_py(), ref[i].as_py()
+                for n in ns:
+                    a, b = _grams(g, n), _grams(r, n)
+                    few, many = (a, b) if len(a) <= len(b) else (b, a)
+                    rows.append((i, n, sum(min(c, many[x]) for x, c in few.items() if x in many), a.total(), b.total()))
+            at, *sums = list(zip(*rows, strict=True)) or [[]] * 5
+            ids = batch.column("id").take(pa.array(at, pa.int64()))
+            yield pa.RecordBatch.from_arrays(
+                [ids, *(pa.array(c, pa.int32()) for c in sums)],
+                schema=pa.schema([batch.schema.field("id"), *((c, pa.int32()) for c in ("n", "ov", "gg", "rr"))]))
+    return counted
 
 
 def _fmeasure(p: Column, r: Column) -> Column:
@@ -47,32 +67,15 @@ def _pair_tokens(df: DataFrame, id_col: str, gen_col: str, ref_col: str, stem: b
 def rouge_n_pairs(df: DataFrame, id_col: str, gen_col: str, ref_col: str, ns=(1, 2), stem: bool = False) -> DataFrame:
     """Per pair and n: ``(id, n, p, r, f)``; pairs with a NULL or empty side are skipped.
 
-    Both texts are in one row, so the overlap is counted there and nothing is
-    shuffled: the n-grams of both sides are sorted together, and one fold over
-    them adds the smaller count of every n-gram; the work is that of the sort.
-    With ``stem``, words of four letters and more count by their stems.
+    Both texts are in one row, so the overlap is counted there, the smaller
+    count of every n-gram, and nothing is shuffled. With ``stem``, words of
+    four letters and more count by their stems.
     """
     ns = [int(n) for n in (ns if isinstance(ns, (list, tuple)) else [ns])]
     toks = _pair_tokens(df, id_col, gen_col, ref_col, stem)
-    grams = F.array(*[F.struct(F.lit(n).alias("n"), ngrams("g", n).alias("gg"), ngrams("r", n).alias("rr"))
-                      for n in ns])
-    rows = toks.select("id", F.inline(grams))
-
-    def side(grams: str, number: int) -> Column:
-        return F.transform(grams, lambda x: F.struct(x.alias("t"), F.lit(number).alias("s")))
-
-    rows = T.with_computed(rows, both=F.array_sort(F.concat(side("gg", 0), side("rr", 1))))
-    zero = F.struct(F.lit("").alias("t"), F.lit(0).alias("g"), F.lit(0).alias("r"), F.lit(0).alias("n"))
-
-    def step(a, x):
-        same = a["t"] == x["t"]
-        return F.struct(x["t"].alias("t"), (F.when(same, a["g"]).otherwise(0) + 1 - x["s"]).alias("g"),
-                        (F.when(same, a["r"]).otherwise(0) + x["s"]).alias("r"),
-                        (a["n"] + F.when(same, 0).otherwise(F.least(a["g"], a["r"]))).alias("n"))
-
-    rows = T.with_computed(rows, ov=F.aggregate("both", zero, step, lambda a: a["n"] + F.least(a["g"], a["r"])))
-    p = F.col("ov") / F.greatest(F.size("gg"), F.lit(1))
-    r = F.col("ov") / F.greatest(F.size("rr"), F.lit(1))
+    rows = toks.mapInArrow(_overlaps(ns), f"id {dict(toks.dtypes)['id']}, n int, ov int, gg int, rr int")
+    p = F.col("ov") / F.greatest("gg", F.lit(1))
+    r = F.col("ov") / F.greatest("rr", F.lit(1))
     return rows.select(F.col("id").alias(id_col), "n", p.alias("p"), r.alias("r"), _fmeasure(p, r).alias("f"))
 
 
