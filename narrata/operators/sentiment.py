@@ -117,8 +117,9 @@ def lexicon_sentiment(df: DataFrame, id_col: str, text_col: str, lexicon: DataFr
         return _finish(df.select(id_col, *keep, value.cast("double").alias("valence_sum")))
     rows, often, hot = _written(df, id_col, text_col, roles, keep)
     tokens = rows.select("row", F.explode("words").alias("token"))
-    sums = CW.all_met(tokens, often.select("token", "val"), roles.select("token", "val"), hot).groupBy("row").agg(
-        F.sum("val").alias("val"))
+    # most words have no valence: they leave at the broadcast, before anything is grouped
+    met = CW.all_met(tokens, often.select("token", "val"), roles.select("token", "val"), hot).filter("val IS NOT NULL")
+    sums = met.groupBy("row").agg(F.sum("val").alias("val"))
     value = (F.coalesce("val", F.lit(0)) / F.lit(1e9)).cast("double")
     return _finish(rows.select("row", "keep").join(sums, "row", "left").select("keep.*", value.alias("valence_sum")))
 
