@@ -12,17 +12,24 @@ from pyspark.sql import DataFrame
 CHUNK_BYTES = 1 << 20
 #: Rows of an Arrow batch; Spark's default of 10,000 would be tens of megabytes of text on both sides of the pipe.
 BATCH_ROWS = 400
+#: Bytes of an Arrow batch (one row at least): 400 long texts or token chunks would be hundreds of megabytes of direct
+#: memory in the JVM, which the heap's limit doesn't count.
+BATCH_BYTES = 4 << 20
 
 
 def map_texts(df: DataFrame, task, schema) -> DataFrame:
     """``mapInArrow`` over rows with texts, in small batches.
 
-    Batches have one size in a session: it is lowered to ``BATCH_ROWS`` here
-    and stays so (results don't depend on it).
+    Batches have one size in a session: it is lowered to ``BATCH_ROWS`` and
+    ``BATCH_BYTES`` here and stays so (results don't depend on it).
     """
-    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
-    if not 0 < int(df.sparkSession.conf.get(key)) <= BATCH_ROWS:
-        df.sparkSession.conf.set(key, str(BATCH_ROWS))
+    conf = df.sparkSession.conf
+    rows, size = (f"spark.sql.execution.arrow.{k}" for k in ("maxRecordsPerBatch", "maxBytesPerBatch"))
+    if not 0 < int(conf.get(rows)) <= BATCH_ROWS:
+        conf.set(rows, str(BATCH_ROWS))
+    now = conf.get(size).rstrip("bB")
+    if not (now.isdigit() and int(now) <= BATCH_BYTES):
+        conf.set(size, str(BATCH_BYTES))
     return df.mapInArrow(task, schema)
 
 

@@ -45,6 +45,9 @@ BLOCK = 128
 PERCENTILE = 0.9
 #: Ids of a chunk, up to the end of the document that reaches it.
 CHUNK_IDS = 1 << 18
+#: Bytes of a Parquet row group of chunks. A row is a whole chunk, so the writer looks at its buffers after each row: by
+#: default it looks after 100 rows, and all chunks of a task are one page, which writer and readers hold several times.
+ROW_GROUP_BYTES = 4 << 20
 END_ID = 2
 FILE_SCHEMA = ("shard int, chunk int, first_doc_id long, first_hash long, n_ids long, "
                "doc_ids array<long>, counts array<long>, payload binary")
@@ -186,7 +189,9 @@ def write_token_files(docs: DataFrame, path: str, vocabulary: str | None = None,
     """
     keyed = docs.select("doc_id", "text", F.xxhash64(F.coalesce("text", F.lit(""))).alias("h"))
     ordered = keyed.repartitionByRange("doc_id", "h").sortWithinPartitions("doc_id", "h")
-    map_texts(ordered, _encode_partition(vocabulary, end_id), FILE_SCHEMA).write.mode("overwrite").parquet(path)
+    files = map_texts(ordered, _encode_partition(vocabulary, end_id), FILE_SCHEMA)
+    (files.write.mode("overwrite").option("parquet.block.size", ROW_GROUP_BYTES)
+     .option("parquet.page.size.row.check.min", 1).parquet(path))
 
 
 def shard_starts(spark: SparkSession, path: str) -> DataFrame:
@@ -234,8 +239,8 @@ def _read_ids(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def read_token_files(spark: SparkSession, path: str) -> DataFrame:
     """(doc_id, ids): the decoded ids of every document."""
-    return spark.read.parquet(path).select("doc_ids", "counts", "payload").mapInArrow(
-        _read_ids, "doc_id long, ids array<long>")
+    return map_texts(spark.read.parquet(path).select("doc_ids", "counts", "payload"),
+                     _read_ids, "doc_id long, ids array<long>")
 
 
 def token_file_digest(spark: SparkSession, path: str) -> DataFrame:
@@ -250,7 +255,7 @@ def token_file_digest(spark: SparkSession, path: str) -> DataFrame:
     places = chunks.join(shard_starts(spark, path), "shard").select(
         "shard", "chunk", (F.col("base") + F.col("in_shard")).alias("base"))
     places = IO.materialize(places, spark, f"token-places-{uuid.uuid4().hex}")  # small: a row for each chunk
-    docs = files.select("shard", "chunk", "doc_ids", "counts", "payload").mapInArrow(_read_chunks, DOC_SCHEMA)
+    docs = map_texts(files.select("shard", "chunk", "doc_ids", "counts", "payload"), _read_chunks, DOC_SCHEMA)
     return docs.join(places, ["shard", "chunk"]).select(
         "doc_id", (F.col("base") + F.col("local_start")).alias("start"), "n_tokens", "ids_crc32")
 

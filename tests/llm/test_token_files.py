@@ -1,13 +1,17 @@
 """Token files: exact round trip of blocks and documents, starts in doc_id order."""
 
+import os
 import uuid
 import zlib
 
 import numpy as np
+import pyarrow as pa
+import pyarrow.parquet as pq
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
 from narrata.llm import token_files as TF
+from narrata.llm.batches import BATCH_BYTES, map_texts
 from narrata.llm.bpe import encoder
 from narrata.sources import io as IO
 from tests.conftest import SF_SMALL
@@ -58,3 +62,32 @@ def test_edge_rows(spark):
 def test_empty_table(spark):
     _, got = digest(spark, spark.createDataFrame([], "doc_id long, text string"))
     assert got == []
+
+
+def test_chunks_are_written_in_small_row_groups(spark):
+    """A task's chunks were one row group of one page, held whole by the writer and by every reader."""
+    docs = spark.range(40).selectExpr("id AS doc_id", "repeat('alpha zebra one ', 40000) || id AS text").coalesce(1)
+    path = IO.scratch_path(spark, f"test-{uuid.uuid4().hex}")
+    TF.write_token_files(docs, path)
+    folder = path.removeprefix("file:")
+    groups = []
+    for name in sorted(n for n in os.listdir(folder) if n.endswith(".parquet")):
+        meta = pq.ParquetFile(os.path.join(folder, name)).metadata
+        groups += [(name, meta.row_group(i).total_byte_size) for i in range(meta.num_row_groups)]
+    assert len(groups) > len({name for name, _ in groups})
+    assert max(size for _, size in groups) < 2 * TF.ROW_GROUP_BYTES
+    got = TF.token_file_digest(spark, path).collect()
+    assert sorted(r.doc_id for r in got) == list(range(40))
+    assert max(r.start + r.n_tokens for r in got) == sum(r.n_ids for r in spark.read.parquet(path).collect())
+
+
+def test_batches_of_long_rows_are_small(spark):
+    """400 rows of any length were one Arrow batch."""
+    def sizes(batches):
+        for b in batches:
+            yield pa.RecordBatch.from_arrays([pa.array([b.num_rows]), pa.array([b.nbytes])], names=["n", "size"])
+
+    rows = spark.range(0, 60, 1, 1).selectExpr("repeat('x', 1000000) AS text")
+    got = map_texts(rows, sizes, "n long, size long").collect()
+    assert sum(r.n for r in got) == 60
+    assert max(r["size"] for r in got) < 2 * BATCH_BYTES
