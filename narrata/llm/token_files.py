@@ -45,9 +45,9 @@ BLOCK = 128
 PERCENTILE = 0.9
 #: Ids of a chunk, up to the end of the document that reaches it.
 CHUNK_IDS = 1 << 18
-#: Bytes of a Parquet row group of chunks. A row is a whole chunk, so the writer looks at its buffers after each row: by
-#: default it looks after 100 rows, and all chunks of a task are one page, which writer and readers hold several times.
-ROW_GROUP_BYTES = 4 << 20
+#: Chunks of a Parquet row group (about 4 MB), and after each the writer looks at its page: by default it looks after
+#: 100 rows, and all chunks of a task are one page, which writer and readers hold several times.
+ROW_GROUP_CHUNKS = 8
 END_ID = 2
 FILE_SCHEMA = ("shard int, chunk int, first_doc_id long, first_hash long, n_ids long, "
                "doc_ids array<long>, counts array<long>, payload binary")
@@ -190,7 +190,7 @@ def write_token_files(docs: DataFrame, path: str, vocabulary: str | None = None,
     keyed = docs.select("doc_id", "text", F.xxhash64(F.coalesce("text", F.lit(""))).alias("h"))
     ordered = keyed.repartitionByRange("doc_id", "h").sortWithinPartitions("doc_id", "h")
     files = map_texts(ordered, _encode_partition(vocabulary, end_id), FILE_SCHEMA)
-    (files.write.mode("overwrite").option("parquet.block.size", ROW_GROUP_BYTES)
+    (files.write.mode("overwrite").option("parquet.block.row.count.limit", ROW_GROUP_CHUNKS)
      .option("parquet.page.size.row.check.min", 1).parquet(path))
 
 

@@ -73,9 +73,9 @@ def test_chunks_are_written_in_small_row_groups(spark):
     groups = []
     for name in sorted(n for n in os.listdir(folder) if n.endswith(".parquet")):
         meta = pq.ParquetFile(os.path.join(folder, name)).metadata
-        groups += [(name, meta.row_group(i).total_byte_size) for i in range(meta.num_row_groups)]
+        groups += [(name, meta.row_group(i).num_rows) for i in range(meta.num_row_groups)]
     assert len(groups) > len({name for name, _ in groups})
-    assert max(size for _, size in groups) < 2 * TF.ROW_GROUP_BYTES
+    assert max(n for _, n in groups) <= TF.ROW_GROUP_CHUNKS
     got = TF.token_file_digest(spark, path).collect()
     assert sorted(r.doc_id for r in got) == list(range(40))
     assert max(r.start + r.n_tokens for r in got) == sum(r.n_ids for r in spark.read.parquet(path).collect())
