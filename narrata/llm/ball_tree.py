@@ -38,6 +38,8 @@ BLOCK_QUERIES = 4096
 MAX_PIVOTS = 1024
 #: Roots (a few hundred bytes each) that are sent to the tasks at once; more go in turns.
 ROOTS_AT_ONCE = 1 << 15
+#: Scores or bounds (eight bytes each) that a task works out at once.
+CELLS = 1 << 20
 #: Shards that a query looks into for its floor.
 SEEDS = 2
 _LONG = (1 << 63) - 1
@@ -136,8 +138,13 @@ class Shard:
         best = bound.argmax(axis=0)
         self.possible += bound.size
 
-        def visit(leaf: int, rows: np.ndarray) -> None:
-            own = self.tree.parts[self.tree.part[leaves[leaf]]]
+        def visit(leaf: int, asking: np.ndarray) -> None:
+            own = self.tree.parts[self.tree.part[leaves[leaf]]]  # a leaf of copies may be as large as the shard
+            step = max(1, CELLS // len(own))
+            for a in range(0, len(asking), step):
+                look(own, asking[a:a + step])
+
+        def look(own: np.ndarray, rows: np.ndarray) -> None:
             self.visits += len(rows)
             scores = _scores(queries[rows], self.vectors[own])
             ids = np.broadcast_to(self.ids[own], scores.shape)
@@ -228,18 +235,20 @@ def _targets(roots, seeds: int | None):
                 if width not in roots.value:
                     continue
                 shards, centres, balls = roots.value[width]
-                own = np.flatnonzero(widths == width)
-                part = batch.take(pa.array(own))
-                bound = node_bounds(centres, balls, _matrix(part.column("embedding"), len(own)))
-                if seeds is None:
-                    shard, row = np.nonzero(bound >= part.column("floor").to_numpy().astype(np.float64)[None, :] - 0.5)
-                else:
-                    shard = np.argsort(-bound, axis=0, kind="stable")[:seeds]
-                    shard, row = shard.ravel(), np.tile(np.arange(len(own)), len(shard))
-                for a in range(0, len(row), 4096):
-                    sent = part.take(pa.array(row[a:a + 4096]))
-                    yield pa.RecordBatch.from_arrays([*sent.columns, pa.array(shards[shard[a:a + 4096]])],
-                                                     names=[*part.schema.names, "shard"])
+                every = np.flatnonzero(widths == width)
+                step = max(1, CELLS // len(shards))
+                for own in (every[a:a + step] for a in range(0, len(every), step)):
+                    part = batch.take(pa.array(own))
+                    bound = node_bounds(centres, balls, _matrix(part.column("embedding"), len(own)))
+                    if seeds is None:
+                        shard, row = np.nonzero(bound >= part.column("floor").to_numpy().astype(np.float64)[None, :] - 0.5)
+                    else:
+                        shard = np.argsort(-bound, axis=0, kind="stable")[:seeds]
+                        shard, row = shard.ravel(), np.tile(np.arange(len(own)), len(shard))
+                    for a in range(0, len(row), 4096):
+                        sent = part.take(pa.array(row[a:a + 4096]))
+                        yield pa.RecordBatch.from_arrays([*sent.columns, pa.array(shards[shard[a:a + 4096]])],
+                                                         names=[*part.schema.names, "shard"])
     return run
 
 
@@ -252,8 +261,9 @@ def _search(k: int, first_only: bool):
         for batch in batches:
             is_tree = np.array(batch.column("ids").is_valid())
             at = np.flatnonzero(is_tree).tolist()
+            # queries before the first tree are of the tree of an earlier batch; a batch may hold no tree at all
             runs = [(0, at[0] if at else batch.num_rows, None)] + [
-                (a + 1, b, a) for a, b in zip(at, [*at[1:], batch.num_rows], strict=True)]
+                (a + 1, b, a) for a, b in zip(at, [*at, batch.num_rows][1:], strict=True)]
             for start, end, tree in runs:
                 if tree is not None:
                     held = _load(batch.slice(tree, 1).to_pylist()[0])

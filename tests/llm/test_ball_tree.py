@@ -110,3 +110,33 @@ def test_tree_bounds_hold():
     bounds = tree.bounds(q)
     for node in range(len(tree.part)):
         assert (bounds[node][:, None] >= q @ v[rows(node)].T).all()
+
+
+def test_batches_without_a_tree(spark):
+    """A shard's queries may fill more Arrow batches than one; the later ones hold no tree."""
+    rng = np.random.default_rng(4)
+    df = spark.createDataFrame([(i, rng.normal(size=4).tolist()) for i in range(0, 3000, 10)],
+                               "vec_id long, embedding array<double>")
+    rows = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(rows)
+    spark.conf.set(rows, "7")
+    try:
+        assert got(df) == expected([(r.vec_id, r.embedding) for r in df.collect()])
+    finally:
+        spark.conf.set(rows, before)
+
+
+def test_few_bounds_and_scores_at_once(spark, monkeypatch):
+    monkeypatch.setattr(BT, "SHARD_ROWS", 40)
+    rows = [(i, [0.5, 0.25]) for i in range(300)] + [(i, [i / 7, 1 - i / 9]) for i in range(300, 600)]
+    shard = BT.Shard(np.arange(600), BT.whole(np.array([e for _, e in rows])))
+    floor = np.full(12, BT._NONE, np.int64)
+    asked = np.arange(0, 600, 50)
+    whole = shard.search(asked, shard.vectors[asked], floor, 5)
+    most, kept = [], BT._scores
+    monkeypatch.setattr(BT, "CELLS", 64)
+    monkeypatch.setattr(BT, "_scores", lambda q, v: most.append(len(q)) or kept(q, v))
+    few = shard.search(asked, shard.vectors[asked], floor, 5)
+    assert max(most) == 1 and all((a == b).all() for a, b in zip(whole, few, strict=True))
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    assert got(df) == expected(rows)
