@@ -2,6 +2,7 @@
 
 from collections import Counter
 
+import numpy as np
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
@@ -152,3 +153,54 @@ def test_registered_rouge_l_equals_brute_force(spark):
         n = lcs_dp(r, g)
         p, q = (n / len(g) if g else 0.0), (n / len(r) if r else 0.0)
         assert all(abs(a - b) < 1e-6 for a, b in zip(got[i], (p, q, 2 * p * q / (p + q) if p + q else 0.0)))
+
+
+def test_stemmed_pairs_are_cut_and_stemmed_once(spark):
+    """Token lists in place of texts give the same measures; a text of no token stays a pair."""
+    rows = [(1, "Running cats ran home", "the cat runs; cats run"), (2, "!!!", "words here"), (3, "", "x"), (4, None, "x"),
+            (5, "a b a b", "b a b a b a"), (1, "one", "one")]
+    df = spark.createDataFrame(rows, "id long, s string, t string")
+    cut = SI.pair_tokens(df, "id", "s", "t", stem=True)
+    assert cut.count() == 4 and cut.schema["s"].dataType.simpleString() == "array<string>"
+    for of in (lambda d, **kw: SI.rouge_n_pairs(d, "id", "s", "t", (1, 2, 3), **kw), lambda d, **kw: SI.rouge_l_pairs(d, "id", "s", "t", **kw)):
+        assert sorted(of(cut).collect()) == sorted(of(df, stem=True).collect())
+
+
+def test_overlaps_of_many_rows_equal_counters():
+    """N-grams numbered for all rows of a batch at once equal those counted row by row."""
+    import pyarrow as pa
+    rng = np.random.default_rng(6)
+    lists = [[[f"w{x}" for x in rng.integers(0, 6, rng.integers(0, 9))] for _ in range(600)] for _ in range(2)]
+    kind = pa.list_(pa.string())
+    batch = pa.RecordBatch.from_arrays([pa.array(range(600)), *(pa.array(x, kind) for x in lists)], names=["id", "g", "r"])
+    found = [tuple(r.values()) for part in SI._overlaps([1, 2, 4])(iter([batch])) for r in part.to_pylist()]
+    want = []
+    for i, (g, r) in enumerate(zip(*lists, strict=True)):
+        for n in (1, 2, 4):
+            a, b = (Counter(zip(*(x[d:] for d in range(n)), strict=False)) for x in (g, r))
+            want.append((i, n, (a & b).total(), a.total(), b.total()))
+    assert found == want
+
+
+def test_sentence_weights_are_counted_for_many_rows_at_once():
+    """No Python loop over words: the weights equal the plain formula's, also of empty texts and sentences."""
+    import math
+
+    import pyarrow as pa
+
+    from narrata.operators import summarize as SU
+    rng = np.random.default_rng(7)
+    texts = [[" ".join(f"w{x}" for x in rng.integers(0, 9, rng.integers(0, 6))) for _ in range(rng.integers(0, 5))] for _ in range(300)]
+    common, rare = {f"w{i}": math.log(10 / (i + 1)) for i in range(5)}, {f"w{i}": math.log(90 / i) for i in range(5, 9)}
+    own = [[{"token": w, "idf": rare[w]} for w in sorted({w for s in t for w in s.split()}) if w in rare] for t in texts]
+    batch = pa.RecordBatch.from_arrays([
+        pa.array(range(300)), pa.array(texts, pa.list_(pa.string())),
+        pa.array(own, pa.list_(pa.struct([("token", pa.string()), ("idf", pa.float64())])))], names=["row", "clean", "rare"])
+    found = [ws for part in SU._sentence_sums(common)(iter([batch])) for ws in part.column("ws").to_pylist()]
+    idf = common | rare
+    want = []
+    for t in texts:
+        counts = Counter(w for s in t for w in s.split())
+        units = {w: math.floor(tf / counts.total() * idf[w] * 1e9 + 0.5) for w, tf in counts.items()}
+        want.append([sum(units[w] for w in s.split()) for s in t])
+    assert found == want
