@@ -12,10 +12,13 @@ to one row. Both ways give the same sums, as these are of whole numbers.
 
 from __future__ import annotations
 
+import functools
 import uuid
 from collections.abc import Iterator
 
+import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -28,6 +31,8 @@ from narrata.sources import io as IO
 
 #: UTF-8 bytes and numbers of a lexicon that travels with the plan, of which the driver holds several copies; a larger one is joined.
 MAX_LEXICON_BYTES = 256 << 10
+#: Texts whose words a task numbers at once.
+ROWS_AT_ONCE = 256
 
 # ---------------------------------------------------------------------------
 # Fixed values of the rule-based scorer (Hutto & Gilbert 2014).
@@ -79,16 +84,42 @@ def row_lexicon(roles: DataFrame) -> RowTable | None:
     return row_table(roles, _ROLES, MAX_LEXICON_BYTES)
 
 
-def _written(df: DataFrame, id_col: str, text_col: str, roles: DataFrame, keep) -> tuple[DataFrame, DataFrame, list[str]]:
-    """Numbered rows (keep, row, words), the common words of the texts with their roles, and the hot words."""
-    spark, run = df.sparkSession, f"lexicon-{uuid.uuid4().hex}"
-    rows = IO.materialize(df.select(F.struct(id_col, *keep).alias("keep"), F.monotonically_increasing_id().alias("row"),
-                                    F.coalesce(T.words(text_col), F.array().cast("array<string>")).alias("words")),
-                          spark, f"{run}/rows")
-    counts = IO.materialize(rows.select(F.explode("words").alias("token")).groupBy("token").agg(F.count("*").alias("n")),
-                            spark, f"{run}/counts")
-    often = CW.common(counts, f"{run}/common").join(roles, "token", "left").select("token", *_ROLES)
-    return rows, IO.materialize(often, spark, f"{run}/roles"), WB.hot_tokens(counts)
+class TextWords:
+    """The words of texts, cut and counted once for all scorers with large lexicons that read them; nothing is done before it is asked for.
+
+    ``rows`` (keep, row, words) are written and numbered, their words as one
+    string with spaces; ``common`` are the words that go to every task, and
+    ``hot`` those whose keys are salted.
+    """
+
+    def __init__(self, df: DataFrame, id_col: str, text_col: str, keep=()):
+        self._df, self._id_col, self._text_col, self._keep = df, id_col, text_col, keep
+        self._run = f"lexicon-{uuid.uuid4().hex}"
+
+    @functools.cached_property
+    def rows(self) -> DataFrame:
+        words = F.coalesce(T.spaced(self._text_col), F.lit(""))
+        return IO.materialize(self._df.select(
+            F.struct(self._id_col, *self._keep).alias("keep"), F.monotonically_increasing_id().alias("row"), words.alias("words")),
+            self._df.sparkSession, f"{self._run}/rows")
+
+    @functools.cached_property
+    def counts(self) -> DataFrame:
+        return IO.materialize(T.exploded(self.rows, T.spaced_words("words")).groupBy("token").agg(F.count("*").alias("n")),
+                              self._df.sparkSession, f"{self._run}/counts")
+
+    @functools.cached_property
+    def common(self) -> DataFrame:
+        return CW.common(self.counts, f"{self._run}/common")
+
+    @functools.cached_property
+    def hot(self) -> list[str]:
+        return WB.hot_tokens(self.counts)
+
+    def often(self, roles: DataFrame) -> DataFrame:
+        """The common words with their roles."""
+        met = self.common.join(roles, "token", "left").select("token", *_ROLES)
+        return IO.materialize(met, self._df.sparkSession, f"{self._run}/roles")
 
 
 def _finish(scored: DataFrame) -> DataFrame:
@@ -97,14 +128,15 @@ def _finish(scored: DataFrame) -> DataFrame:
 
 
 def lexicon_sentiment(df: DataFrame, id_col: str, text_col: str, lexicon: DataFrame | RowTable,
-                      keep=()) -> DataFrame:
+                      keep=(), words: TextWords | None = None) -> DataFrame:
     """Each row's valence sum, compound score and label.
 
     Returns ``id_col, *keep, valence_sum, compound, sentiment``; a text with
     no lexicon word (or a null one) scores 0 and is neutral; repeated rows
     stay rows. Valences are summed as whole numbers of 1e-9, so a sum doesn't
     depend on its order. With a lexicon too large for the plan, the texts'
-    words are written once, numbered, and only numbers go with rare words.
+    words are written once, numbered, and only numbers go with rare words;
+    ``words``: those of these texts, where another scorer reads them too.
     """
     held = lexicon
     if isinstance(lexicon, DataFrame):
@@ -115,10 +147,11 @@ def lexicon_sentiment(df: DataFrame, id_col: str, text_col: str, lexicon: DataFr
                             lambda a, w: a + F.coalesce(held.of(w)["val"], F.lit(0).cast("long")))
         value = F.coalesce(total, F.lit(0)) / F.lit(1e9)
         return _finish(df.select(id_col, *keep, value.cast("double").alias("valence_sum")))
-    rows, often, hot = _written(df, id_col, text_col, roles, keep)
-    tokens = rows.select("row", F.explode("words").alias("token"))
+    own = words or TextWords(df, id_col, text_col, keep)
+    rows, often = own.rows, own.often(roles)
+    tokens = T.exploded(rows, T.spaced_words("words"), "row")
     # most words have no valence: they leave at the broadcast, before anything is grouped
-    met = CW.all_met(tokens, often.select("token", "val"), roles.select("token", "val"), hot).filter("val IS NOT NULL")
+    met = CW.all_met(tokens, often.select("token", "val"), roles.select("token", "val"), own.hot).filter("val IS NOT NULL")
     sums = met.groupBy("row").agg(F.sum("val").alias("val"))
     value = (F.coalesce("val", F.lit(0)) / F.lit(1e9)).cast("double")
     return _finish(rows.select("row", "keep").join(sums, "row", "left").select("keep.*", value.alias("valence_sum")))
@@ -126,7 +159,7 @@ def lexicon_sentiment(df: DataFrame, id_col: str, text_col: str, lexicon: DataFr
 
 def lexicon_sentiment_context(df: DataFrame, id_col: str, text_col: str, lexicon: DataFrame,
                               negators: DataFrame, boosters: DataFrame, contrast_word,
-                              keep=()) -> DataFrame:
+                              keep=(), words: TextWords | None = None) -> DataFrame:
     """Valence with context rules: negation, boosters, contrast word.
 
     For a lexicon word at position p, for d = 1, 2, 3 in turn: if the word at
@@ -140,7 +173,8 @@ def lexicon_sentiment_context(df: DataFrame, id_col: str, text_col: str, lexicon
     the roles of its rare words by its number, and those of the common words
     go to every task. Word contributions are summed as whole numbers of 1e-9.
     ``contrast_word`` is a string or a one-row DataFrame with column
-    ``token``; repeated rows stay rows, a null text scores 0.
+    ``token``; repeated rows stay rows, a null text scores 0. ``words``: as in
+    :func:`lexicon_sentiment`.
     """
     if isinstance(contrast_word, DataFrame):
         row = contrast_word.select("token").first()
@@ -149,7 +183,7 @@ def lexicon_sentiment_context(df: DataFrame, id_col: str, text_col: str, lexicon
     roles = IO.materialize(_roles(lexicon, negators, boosters), lexicon.sparkSession, "word-roles")
     held = row_lexicon(roles)
     if held is None:
-        return _joined_context(df, id_col, text_col, roles, contrast_word, keep)
+        return _joined_context(words or TextWords(df, id_col, text_col, keep), roles, contrast_word)
     rows = df.select(F.struct(id_col, *keep).alias("keep"), F.coalesce(T.words(text_col), F.array().cast("array<string>"))
                      .alias("words"))
     rows = rows.select("keep", F.transform("words", held.of).alias("roles"),
@@ -176,50 +210,59 @@ def _ruled(v: Column, before: Column, increment: Column) -> Column:
     return F.when(is_neg, v * F.lit(NEGATION_SCALAR)).otherwise(v)
 
 
-def _text_units(words: list[str], roles: list, contrast: str | None) -> int:
-    """The sum of a text's word contributions in 1e-9, given each word's role (valence in 1e-9, negator, booster) or None."""
-    at = words.index(contrast) if contrast is not None and contrast in words else None
-    total = 0
-    for i, role in enumerate(roles):
-        if role is None or not (role[2] or role[0] is not None):
-            continue
-        v = 0.0 if role[2] else role[0] / 1e9
-        for d in (1, 2, 3):
-            before = roles[i - d] if i >= d else None
-            if before is None or before[0] is not None:
-                continue
-            if before[2]:
-                increment = BOOSTER_INCREMENT * BOOSTER_DAMPING[d - 1]
-                v += -increment if v < 0 else increment
-            if before[1]:
-                v *= NEGATION_SCALAR
-        if at is not None and i != at:
-            v *= BEFORE_CONTRAST if i < at else AFTER_CONTRAST
-        units = abs(v * 1e9)
-        whole = int(units)
-        whole += units - whole >= 0.5
-        total += whole if v >= 0 else -whole
+def _units(texts: pa.Array, common: dict, own: dict, contrast: str | None) -> np.ndarray:
+    """Each text's sum of word contributions in 1e-9, given words' roles (valence in 1e-9, negator, booster): all words at once.
+
+    The rules act word by word in the order of the published ones, so a value
+    is the same as one worked out alone.
+    """
+    cut = pc.split_pattern(texts, " ")
+    rows = np.repeat(np.arange(len(texts)), pc.list_value_length(cut).to_numpy(zero_copy_only=False))
+    coded = cut.flatten().dictionary_encode()
+    code, distinct = coded.indices.to_numpy(), coded.dictionary.to_pylist()
+    roles = [common.get(w) or own.get(w) or (None, False, False) for w in distinct]
+    has = np.array([r[0] is not None for r in roles], bool)[code]
+    val = np.array([r[0] or 0 for r in roles], np.int64)[code]
+    neg, bst = (np.array([bool(r[i]) for r in roles], bool)[code] for i in (1, 2))
+    at = np.flatnonzero(has | bst)  # the words that contribute
+    v = np.where(bst[at], 0.0, val[at] / 1e9)
+    for d in (1, 2, 3):
+        before = np.maximum(at - d, 0)
+        free = (at >= d) & (rows[before] == rows[at]) & ~has[before]
+        increment = BOOSTER_INCREMENT * BOOSTER_DAMPING[d - 1]
+        v = np.where(free & bst[before], v + np.where(v < 0, -increment, increment), v)
+        v = np.where(free & neg[before], v * NEGATION_SCALAR, v)
+    if contrast is not None and contrast in distinct:
+        place = np.flatnonzero(code == distinct.index(contrast))
+        of_row = np.full(len(texts), -1)
+        of_row[rows[place[::-1]]] = place[::-1]  # the first one of a text is written last
+        turn = of_row[rows[at]]
+        v = np.where((turn >= 0) & (at < turn), v * BEFORE_CONTRAST, np.where((turn >= 0) & (at > turn), v * AFTER_CONTRAST, v))
+    size = np.abs(v * 1e9)
+    whole = np.floor(size).astype(np.int64)
+    whole += size - whole >= 0.5
+    total = np.zeros(len(texts), np.int64)
+    np.add.at(total, rows[at], np.where(v >= 0, whole, -whole))
     return total
 
 
 def _scorer(common: dict, contrast: str | None):
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            texts, rare, units = batch.column("words"), batch.column("rare"), []
-            for i in range(batch.num_rows):
-                words = texts[i].as_py()
-                own = {r["token"]: (r["val"], r["neg"], r["bst"]) for r in rare[i].as_py()}
-                units.append(_text_units(words, [common.get(w) or own.get(w) for w in words], contrast))
-            yield pa.RecordBatch.from_arrays([batch.column("keep"), pa.array(units, pa.int64())], schema=pa.schema(
-                [batch.schema.field("keep"), ("units", pa.int64())]))
+        for whole in batches:
+            for batch in (whole.slice(at, ROWS_AT_ONCE) for at in range(0, whole.num_rows, ROWS_AT_ONCE)):
+                rare = [batch.column("rare").flatten().field(c).to_pylist() for c in ("token", *_ROLES)]
+                own = {token: role for token, *role in zip(*rare, strict=True)}
+                units = _units(batch.column("words"), common, own, contrast)
+                yield pa.RecordBatch.from_arrays([batch.column("keep"), pa.array(units, pa.int64())], schema=pa.schema(
+                    [batch.schema.field("keep"), ("units", pa.int64())]))
     return score
 
 
-def _joined_context(df: DataFrame, id_col: str, text_col: str, roles: DataFrame, contrast: str | None, keep) -> DataFrame:
+def _joined_context(words: TextWords, roles: DataFrame, contrast: str | None) -> DataFrame:
     """The context rules over written rows: common words by their roles in the task, rare ones by those joined to the row."""
-    rows, often, hot = _written(df, id_col, text_col, roles, keep)
+    rows, often = words.rows, words.often(roles)
     some = often.filter(F.col("val").isNotNull() | F.col("neg") | F.col("bst")).collect()  # at most COMMON_PARTS words
-    met = CW.with_rare(rows, F.col("words"), often, roles.select("token", *_ROLES), hot).select("keep", "words", "rare")
+    met = CW.with_rare(rows, T.spaced_words("words"), often, roles.select("token", *_ROLES), words.hot).select("keep", "words", "rare")
     kind = dict(met.dtypes)["keep"]
     scored = met.mapInArrow(_scorer({r.token: (r.val, r.neg, r.bst) for r in some}, contrast), f"keep {kind}, units long")
     return _finish(scored.select("keep.*", (F.col("units") / F.lit(1e9)).cast("double").alias("valence_sum")))
